@@ -2,50 +2,62 @@
 
 The reference computes expansion and churn with self-joins on customer id,
 which for a customer with many subscriptions emits every (this month row,
-last month row) pair. Here every movement is an exact aggregate formulation:
-
-* the revenue rows are first collapsed to a histogram
-  ``(customer, month, plan, mrr) -> rows`` with map-side partial aggregation,
-  so a customer or month that holds a huge share of the rows becomes a few
-  rows per map task before any shuffle;
-* **new**: per customer, the first month and the MRR in it (two aggregations);
-* **churn**: (customer, month) rows with no (customer, month + 1) row, an
-  anti join on a key that is unique on both sides;
-* **expansion**: sum over pairs a > b of (a - b) equals, per value a,
-  ``a * count(b < a) - sum(b < a)``: a running count/sum over the values of
-  one customer-month ordered by value. The window sees one row per distinct
-  MRR value of a customer-month (price points), never one row per pair.
+last month row) pair. Here every movement is an exact aggregate formulation
+over a per-customer histogram:
+
+1. ``revenue_histogram``: rows collapse to ``(customer, month, plan, mrr) ->
+   rows`` with map-side partial aggregation, so a customer or month holding a
+   huge share of the rows is a few rows per map task before the shuffle.
+2. The histogram is hash-partitioned by customer once. After step 1 a customer
+   has at most (months x plans x price points) rows however many
+   subscriptions it owns, so this partitioning cannot concentrate a hot
+   customer's raw rows in one task.
+3. Everything keyed by customer then runs inside those partitions without a
+   further shuffle: customer-month totals, first month, churn (a window over
+   the customer's months), expansion (running sums over a customer-month's
+   values). Only the month-level results are shuffled, and they are tiny.
+
+Expansion identity: sum over pairs a > b of (a - b) = sum over values a of
+``a * count(b < a) - sum(b < a)``, a running count/sum in value order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 C, T, P, V = "customer_id", "revenue_month", "plan", "mrr_usd"
 
 
 def revenue_histogram(revenue: DataFrame) -> DataFrame:
-    """(customer, month, plan, mrr) -> rows, from rows with a non-null MRR."""
+    """(customer, month, plan, mrr) -> rows from rows with a non-null MRR,
+    then hash-partitioned by customer (see module note)."""
     return (
         revenue.where(F.col(V).isNotNull())
         .groupBy(C, T, P, V)
         .agg(F.count(F.lit(1)).alias("rows"))
+        .repartition(C)
     )
 
 
-def _amount() -> F.Column:
+def _amount() -> Column:
     return F.col(V) * F.col("rows")
 
 
 def mrr_by_month_plan(hist: DataFrame) -> DataFrame:
-    """A1: active customers (distinct), total and average MRR per month and plan."""
+    """A1: active customers (distinct), total and average MRR per month and plan.
+
+    The (month, plan, customer) step is local to the customer partitions, so
+    the distinct count needs only the small month x plan shuffle.
+    """
+    per_customer = hist.groupBy(T, P, C).agg(
+        F.sum(_amount()).alias("_mrr"), F.sum("rows").alias("_n"))
     return (
-        hist.groupBy(T, P)
+        per_customer.groupBy(T, P)
         .agg(
-            F.countDistinct(C).alias("active_customers"),
-            F.sum(_amount()).alias("total_mrr"),
-            F.sum("rows").alias("_n"),
+            F.count(F.lit(1)).alias("active_customers"),
+            F.sum("_mrr").alias("total_mrr"),
+            F.sum("_n").alias("_n"),
         )
         .select(
             T, P, "active_customers", "total_mrr",
@@ -54,9 +66,16 @@ def mrr_by_month_plan(hist: DataFrame) -> DataFrame:
     )
 
 
+def _by_plan_first(hist: DataFrame) -> DataFrame:
+    # Aggregating through (customer, month, plan, mrr) keeps every histogram
+    # column referenced, so this branch shares the customer shuffle with the
+    # others instead of getting a pruned copy of it.
+    return hist.groupBy(C, T, P, V).agg(F.sum("rows").alias("rows"))
+
+
 def customer_month(hist: DataFrame) -> DataFrame:
     """(customer, month) -> MRR summed over that customer's rows; unique key."""
-    return hist.groupBy(C, T).agg(F.sum(_amount()).alias(V))
+    return _by_plan_first(hist).groupBy(C, T).agg(F.sum(_amount()).alias(V))
 
 
 def first_revenue_month(cm: DataFrame) -> DataFrame:
@@ -82,13 +101,20 @@ def new_mrr(cm: DataFrame) -> DataFrame:
 def churned_mrr(cm: DataFrame) -> DataFrame:
     """A5: customers with revenue in month m and none in m + 1, reported in m + 1.
 
-    The MRR is negated. The anti-join key (customer, month) is unique on both
-    sides, so no key can be hot.
+    For each customer-month, a probe row keyed by (customer, m + 1) meets the
+    customer-month rows keyed by their own month; a probe whose key group has
+    no customer-month row is a churn. The window is per customer and key, on
+    the customer partitioning (no shuffle), and sees at most a few rows.
     """
-    nxt = cm.select(C, F.col(T).alias("_next"))
-    last = cm.withColumn("_next", F.add_months(T, 1))
+    probe = cm.select(C, F.add_months(T, 1).alias("_key"), T, V, F.lit(False).alias("_present"))
+    # (the present rows keep their MRR column so both union inputs read the
+    # same customer-month plan; only probe rows are summed)
+    present = cm.select(C, F.col(T).alias("_key"), F.lit(None).cast("date").alias(T),
+                        V, F.lit(True).alias("_present"))
+    w = Window.partitionBy(C, "_key")
+    marked = probe.unionByName(present).withColumn("_has_next", F.max("_present").over(w))
     return (
-        last.join(nxt, [C, "_next"], "left_anti")
+        marked.where(~F.col("_present") & ~F.col("_has_next"))
         .groupBy(T)
         .agg(
             (F.sum(V) * F.lit(-1)).alias("churned_mrr"),
@@ -102,7 +128,7 @@ def expansion_mrr(hist: DataFrame) -> DataFrame:
     """A4: sum of (this - last) over every pair of a customer's rows in month m
     and in m - 1 with this > last, and the count of customers with such a pair.
     """
-    vals = hist.groupBy(C, T, V).agg(F.sum("rows").alias("n"))
+    vals = _by_plan_first(hist).groupBy(C, T, V).agg(F.sum("rows").alias("n"))
     this = vals.select(
         C, F.add_months(T, -1).alias("_key"), T, V,
         F.col("n").alias("n_this"), F.lit(0).cast("long").alias("n_last"),

@@ -11,7 +11,7 @@ customers without a subscription.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from subledger.operators import revenue as rv
@@ -30,7 +30,11 @@ def _rate_pct(flag_col: str, n: Column | None = None) -> Column:
 # ---- mart_mrr (C8) ---------------------------------------------------------
 
 def mrr_components(revenue: DataFrame) -> dict[str, DataFrame]:
-    """Every CTE of the MRR mart, from silver monthly revenue."""
+    """Every CTE of the MRR mart, from silver monthly revenue.
+
+    Every branch reads all histogram columns, so the plans below the
+    customer repartition are identical and AQE runs that shuffle once.
+    """
     hist = rv.revenue_histogram(revenue)
     cm = rv.customer_month(hist)
     by_plan = rv.mrr_by_month_plan(hist)
@@ -52,16 +56,14 @@ def mart_mrr(revenue: DataFrame) -> DataFrame:
     # Month-grain context. The reference's growth is a lag over rows ordered
     # by month (ties by plan here): the first plan row of a month compares with
     # the previous month's total, every other row with its own month (0 %).
-    month = (
-        parts["growth"]
-        .select(
-            T,
-            F.col("total_mrr").alias("total_mrr_all_plans"),
-            "total_active_customers",
-            F.col("mrr_growth_rate_pct").alias("_growth_vs_prev"),
-        )
-        .join(m.groupBy(T).agg(F.min("plan").alias("_first_plan")), T)
+    month = parts["growth"].select(
+        T,
+        F.col("total_mrr").alias("total_mrr_all_plans"),
+        "total_active_customers",
+        F.col("mrr_growth_rate_pct").alias("_growth_vs_prev"),
     )
+    # first plan of each month, over the small month x plan table
+    m = m.withColumn("_first_plan", F.min("plan").over(Window.partitionBy(T)))
     j = (
         m.join(month, T)
         .join(parts["new_mrr"], T, "left")
@@ -233,25 +235,40 @@ TX_DETAIL_COLS = (
 )
 
 
+def _context_cube(tx: DataFrame) -> DataFrame:
+    """(month, method, channel) -> row count, successful count and volume.
+
+    One pass over the transactions; the three context tables are then
+    re-aggregations of this small result (AQE reuses its shuffle for all
+    three), instead of three passes over the detail rows. Null keys form
+    their own groups, so every re-aggregate still counts every row.
+    """
+    return tx.groupBy("transaction_month", "payment_method", "channel").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(F.col("is_successful")).alias("_ok"),
+        F.sum(_success_amount()).alias("_vol"),
+    )
+
+
+def _context(cube: DataFrame, key: str, rate: str, volume: str | None = None) -> DataFrame:
+    agg = cube.groupBy(key).agg(F.sum("_n").alias("_n"), F.sum("_ok").alias("_ok"), F.sum("_vol").alias("_vol"))
+    cols = [key, F.round(F.col("_ok").cast("double") / F.nullif(F.col("_n"), F.lit(0)) * 100, 2).alias(rate)]
+    if volume:
+        cols.append(F.col("_vol").alias(volume))
+    return agg.select(*cols, "_n")
+
+
 def mart_transactions(tx: DataFrame) -> DataFrame:
     """Detail rows plus month / method / channel context.
 
     Keys join with plain equality, so a null method or channel gets null context.
     """
-    m = tx_monthly_summary(tx).select(
-        "transaction_month",
-        F.col("total_transactions").alias("month_total_transactions"),
-        F.col("success_rate_pct").alias("month_success_rate_pct"),
-        F.col("successful_volume_usd").alias("month_successful_volume_usd"),
-    )
-    pm = tx_payment_method_summary(tx).select(
-        "payment_method",
-        F.col("success_rate_pct").alias("payment_method_success_rate_pct"),
-        F.col("total_volume_usd").alias("payment_method_total_volume_usd"),
-    )
-    ch = tx_channel_summary(tx).select(
-        "channel", F.col("success_rate_pct").alias("channel_success_rate_pct"),
-    )
+    cube = _context_cube(tx)
+    m = _context(cube, "transaction_month", "month_success_rate_pct", "month_successful_volume_usd") \
+        .withColumnRenamed("_n", "month_total_transactions")
+    pm = _context(cube, "payment_method", "payment_method_success_rate_pct",
+                  "payment_method_total_volume_usd").drop("_n")
+    ch = _context(cube, "channel", "channel_success_rate_pct").drop("_n")
     t = tx.select(*TX_DETAIL_COLS)
     out = (
         t.join(m, t["transaction_month"] == m["transaction_month"], "left").drop(m["transaction_month"])

@@ -17,6 +17,9 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of a DataFrame are deleted once it is garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -64,3 +67,14 @@ def checkpoint_dir(spark: SparkSession, local_fallback: bool | None = None) -> s
     path = tempfile.mkdtemp(prefix="subledger-ckpt-", dir=os.environ.get("TMPDIR"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+def cut_lineage(df):
+    """Reliable, eager ``checkpoint()`` into the shared checkpoint folder.
+
+    Used where one intermediate feeds many branches of a plan: it is computed
+    once, its files survive executor loss, later stages read it instead of
+    recomputing (and re-shuffling) it, and its hash partitioning is kept.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

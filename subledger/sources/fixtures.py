@@ -9,13 +9,14 @@ layouts, negative/zero/sub-0.50 money, null plan/status, future dates.
 Each table is one pass over its source: duplicates are produced with
 ``explode`` of a 1- or 2-element array (no second scan, no union), and the
 monthly revenue schedule with ``explode(sequence(..))`` (no cross join).
-No shuffle happens here.
+No shuffle happens here. The projections are SQL expression strings: each
+``selectExpr`` is parsed JVM-side in one call, instead of one driver round
+trip per expression node.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from subledger.sources.bronze import ROW_SEQ, Bronze
 
@@ -34,175 +35,142 @@ SCHEDULE_MONTHS = 20
 SECOND_SUB_OFFSET = 5_000_000
 
 
-def _pick(values: tuple[str, ...], index: Column) -> Column:
-    """values[index] for a 0-based integer column."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _pick(values: tuple[str, ...], index: str) -> str:
+    """values[index] for a 0-based integer expression."""
+    arr = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({arr}), cast(({index}) + 1 AS INT))"
 
 
-def _pad(c: Column, n: int) -> Column:
-    return F.lpad(c.cast("string"), n, "0")
+def _pad(x: str, n: int) -> str:
+    return f"lpad(cast({x} AS STRING), {n}, '0')"
 
 
-def mixed_date_text(d: Column, n: Column) -> Column:
+def mixed_date_text(d: str, n: str) -> str:
     """TXT(d, n): ISO for n%6 in 0..2, then dd/MM/yyyy, MM/dd/yyyy, dd-MM-yyyy."""
-    y = F.year(d).cast("string")
-    m = _pad(F.month(d), 2)
-    dd = _pad(F.dayofmonth(d), 2)
-    r = n % 6
+    y, m, dd = f"cast(year({d}) AS STRING)", _pad(f"month({d})", 2), _pad(f"day({d})", 2)
     return (
-        F.when(r <= 2, d.cast("string"))
-        .when(r == 3, F.concat_ws("/", dd, m, y))
-        .when(r == 4, F.concat_ws("/", m, dd, y))
-        .otherwise(F.concat_ws("-", dd, m, y))
+        f"CASE WHEN ({n}) % 6 <= 2 THEN cast({d} AS STRING) "
+        f"WHEN ({n}) % 6 = 3 THEN concat_ws('/', {dd}, {m}, {y}) "
+        f"WHEN ({n}) % 6 = 4 THEN concat_ws('/', {m}, {dd}, {y}) "
+        f"ELSE concat_ws('-', {dd}, {m}, {y}) END"
     )
 
 
-def _base_date(k: Column) -> Column:
-    return F.date_add(F.lit(EPOCH).cast("date"), (k * 37 % 335).cast("int"))
+def _base_date(k: str) -> str:
+    return f"date_add(DATE'{EPOCH}', cast({k} * 37 % 335 AS INT))"
 
 
-def _dup_flag(cond: Column) -> Column:
-    return F.explode(F.when(cond, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+def _dup(cond: str) -> str:
+    return f"explode(CASE WHEN {cond} THEN array(0, 1) ELSE array(0) END) AS dup"
 
 
-def _cust_id(k: Column) -> Column:
-    return F.concat(F.lit("CUST-"), _pad(k, 7))
+def _cust_id(k: str) -> str:
+    return f"concat('CUST-', {_pad(k, 7)})"
 
 
-def bronze_customers(customer: DataFrame) -> DataFrame:
-    k = F.col("c_custkey")
-    x = customer.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment",
-                        _dup_flag(k % 97 == 13).alias("dup"))
-    dup = F.col("dup")
-    d = F.date_add(_base_date(k), (dup * 10).cast("int"))
-    return x.select(
-        F.when(k % 211 == 17, F.lit(None)).otherwise(_cust_id(k)).alias("customer_id"),
-        mixed_date_text(d, k + dup * 3).alias("signup_date"),
-        F.col("c_name").alias("full_name"),
-        F.when(k % 53 == 7, F.lit(None))
-        .otherwise(F.concat(F.lit(" User"), k.cast("string"), F.lit("@Company.io ")))
-        .alias("email"),
-        F.concat(F.lit("Nation_"), F.col("c_nationkey").cast("string")).alias("country"),
-        _pick(COMPANY_SIZES, k % 5).alias("company_size"),
-        F.lower("c_mktsegment").alias("acquisition_channel"),
-        F.when(k % 67 == 5, F.lit(None))
-        .when(k % 71 == 9, F.lit("n/a"))
-        .when(k % 73 == 11, F.lit("0.30"))
-        .otherwise(F.col("c_acctbal").cast("decimal(10,2)").cast("string"))
-        .alias("cac_usd"),
-        _pick(INDUSTRIES, k % 7).alias("industry"),
-        (k * 2 + dup).cast("long").alias(ROW_SEQ),
-    )
-
-
-def _plan_index(k: Column) -> Column:
-    r = k % 10
-    return F.when(r <= 3, 0).when(r <= 6, 1).when(r <= 8, 2).otherwise(3)
-
+PLAN_INDEX = "CASE WHEN k % 10 <= 3 THEN 0 WHEN k % 10 <= 6 THEN 1 WHEN k % 10 <= 8 THEN 2 ELSE 3 END"
+CHURNED = "(k % 7 = 3)"
+UPGRADED = "(k % 8 = 1 AND k % 7 <> 3 AND k % 10 <> 9)"
 
-def _churned(k: Column) -> Column:
-    return k % 7 == 3
 
-
-def _upgraded(k: Column) -> Column:
-    return (k % 8 == 1) & (k % 7 != 3) & (k % 10 != 9)
+def bronze_customers(customer: DataFrame) -> DataFrame:
+    x = customer.selectExpr("c_custkey AS k", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment",
+                            _dup("c_custkey % 97 = 13"))
+    d = f"date_add({_base_date('k')}, dup * 10)"
+    return x.selectExpr(
+        f"CASE WHEN k % 211 = 17 THEN NULL ELSE {_cust_id('k')} END AS customer_id",
+        f"{mixed_date_text(d, 'k + dup * 3')} AS signup_date",
+        "c_name AS full_name",
+        "CASE WHEN k % 53 = 7 THEN NULL ELSE concat(' User', cast(k AS STRING), '@Company.io ') END AS email",
+        "concat('Nation_', cast(c_nationkey AS STRING)) AS country",
+        f"{_pick(COMPANY_SIZES, 'k % 5')} AS company_size",
+        "lower(c_mktsegment) AS acquisition_channel",
+        "CASE WHEN k % 67 = 5 THEN NULL WHEN k % 71 = 9 THEN 'n/a' WHEN k % 73 = 11 THEN '0.30' "
+        "ELSE cast(cast(c_acctbal AS DECIMAL(10,2)) AS STRING) END AS cac_usd",
+        f"{_pick(INDUSTRIES, 'k % 7')} AS industry",
+        f"cast(k * 2 + dup AS BIGINT) AS {ROW_SEQ}",
+    )
 
 
 def bronze_subscriptions(customer: DataFrame) -> DataFrame:
-    k = F.col("c_custkey")
-    x = customer.select("c_custkey", _dup_flag(k % 103 == 6).alias("dup"))
-    dup = F.col("dup")
-    d = _base_date(k)
-    pi = _plan_index(k)
-    churned, up = _churned(k), _upgraded(k)
-    return x.select(
-        F.concat(F.lit("SUB-"), _pad(k + dup * SECOND_SUB_OFFSET, 7)).alias("subscription_id"),
-        F.when(k % 109 == 21, F.lit(None)).otherwise(_cust_id(k)).alias("customer_id"),
-        F.when(k % 59 == 4, F.lit(None)).otherwise(_pick(PLAN_TEXT, pi)).alias("plan"),
-        F.when(k % 61 == 8, F.lit("0")).when(k % 83 == 2, F.lit(None))
-        .otherwise(_pick(PLAN_MRR_TEXT, pi)).alias("mrr_usd"),
-        mixed_date_text(d, k).alias("start_date"),
-        F.when(churned, mixed_date_text(F.date_add(d, (30 * (1 + k % 12)).cast("int")), k + 1))
-        .alias("end_date"),
-        F.when(churned, F.lit("churned")).otherwise(F.lit("active")).alias("status"),
-        F.when(up, F.lit("True")).otherwise(F.lit("False")).alias("is_upgraded"),
-        F.when(up, _pick(PLAN_TEXT, pi + 1)).alias("upgrade_plan"),
-        F.when(up, mixed_date_text(F.date_add(d, (60 + k % 141).cast("int")), k + 2))
-        .alias("upgrade_date"),
-        F.when(up, _pick(UPGRADE_MRR_TEXT, pi)).alias("upgrade_mrr_usd"),
-        F.when(k % 3 == 0, F.lit("annual")).otherwise(F.lit("monthly")).alias("billing_cycle"),
-        (k * 2 + dup).cast("long").alias(ROW_SEQ),
+    x = customer.selectExpr("c_custkey AS k", _dup("c_custkey % 103 = 6"))
+    d = _base_date("k")
+    pi = PLAN_INDEX
+    return x.selectExpr(
+        f"concat('SUB-', {_pad(f'k + dup * {SECOND_SUB_OFFSET}', 7)}) AS subscription_id",
+        f"CASE WHEN k % 109 = 21 THEN NULL ELSE {_cust_id('k')} END AS customer_id",
+        f"CASE WHEN k % 59 = 4 THEN NULL ELSE {_pick(PLAN_TEXT, pi)} END AS plan",
+        f"CASE WHEN k % 61 = 8 THEN '0' WHEN k % 83 = 2 THEN NULL ELSE {_pick(PLAN_MRR_TEXT, pi)} END AS mrr_usd",
+        f"{mixed_date_text(d, 'k')} AS start_date",
+        f"CASE WHEN {CHURNED} THEN {mixed_date_text(f'date_add({d}, cast(30 * (1 + k % 12) AS INT))', 'k + 1')} "
+        "END AS end_date",
+        f"CASE WHEN {CHURNED} THEN 'churned' ELSE 'active' END AS status",
+        f"CASE WHEN {UPGRADED} THEN 'True' ELSE 'False' END AS is_upgraded",
+        f"CASE WHEN {UPGRADED} THEN {_pick(PLAN_TEXT, pi + ' + 1')} END AS upgrade_plan",
+        f"CASE WHEN {UPGRADED} THEN {mixed_date_text(f'date_add({d}, cast(60 + k % 141 AS INT))', 'k + 2')} "
+        "END AS upgrade_date",
+        f"CASE WHEN {UPGRADED} THEN {_pick(UPGRADE_MRR_TEXT, pi)} END AS upgrade_mrr_usd",
+        "CASE WHEN k % 3 = 0 THEN 'annual' ELSE 'monthly' END AS billing_cycle",
+        f"cast(k * 2 + dup AS BIGINT) AS {ROW_SEQ}",
     )
 
 
 def bronze_transactions(orders: DataFrame) -> DataFrame:
-    k = F.col("o_orderkey")
-    x = orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate",
-                      _dup_flag(k % 89 == 12).alias("dup"))
-    dup = F.col("dup")
-    d = F.date_add(F.col("o_orderdate").cast("date"), dup.cast("int"))
-    price = F.col("o_totalprice").cast("decimal(12,2)")
-    status = (
-        F.when(k % 97 == 1, F.lit(None))
-        .when(k % 100 < 87, F.lit("success"))
-        .when(k % 100 < 94, F.lit("failed"))
-        .when(k % 100 < 98, F.lit("Pending"))
-        .otherwise(F.lit("refunded"))
+    x = orders.selectExpr(
+        "o_orderkey AS k", "o_custkey",
+        "cast(o_totalprice AS DECIMAL(12,2)) AS price",
+        "date_add(cast(o_orderdate AS DATE), 0) AS d0",
+        _dup("o_orderkey % 89 = 12"),
     )
-    return x.select(
-        F.concat(F.lit("TXN-"), _pad(k, 9)).alias("transaction_id"),
-        F.when(k % 33 == 2, F.lit(None)).otherwise(_cust_id(F.col("o_custkey"))).alias("customer_id"),
-        mixed_date_text(d, k).alias("transaction_date"),
-        F.when(k % 47 == 3, F.concat(F.lit("-"), price.cast("string")))
-        .when(k % 67 == 5, F.lit("0.0"))
-        .when(k % 101 == 7, F.lit(None))
-        .otherwise(price.cast("string"))
-        .alias("amount"),
-        F.when(k % 7 == 3, F.lit("eur")).when(k % 7 == 4, F.lit("GBP"))
-        .otherwise(F.lit(" usd")).alias("currency"),
-        _pick(PAYMENT_METHODS, k % 4).alias("payment_method"),
-        status.alias("status"),
-        F.when(k % 50 == 0, F.lit("0.12"))
-        .otherwise((price * F.lit(0.02).cast("decimal(3,2)")).cast("decimal(12,2)").cast("string"))
-        .alias("fee_usd"),
-        _pick(CHANNELS, (k % 7) % 4).alias("channel"),
-        F.concat(F.lit("Nation_"), (k % 25).cast("string")).alias("country"),
-        _pick(DESCRIPTIONS, k % 5).alias("description"),
-        (k * 2 + dup).cast("long").alias(ROW_SEQ),
+    d = "date_add(d0, dup)"
+    return x.selectExpr(
+        f"concat('TXN-', {_pad('k', 9)}) AS transaction_id",
+        f"CASE WHEN k % 33 = 2 THEN NULL ELSE {_cust_id('o_custkey')} END AS customer_id",
+        f"{mixed_date_text(d, 'k')} AS transaction_date",
+        "CASE WHEN k % 47 = 3 THEN concat('-', cast(price AS STRING)) WHEN k % 67 = 5 THEN '0.0' "
+        "WHEN k % 101 = 7 THEN NULL ELSE cast(price AS STRING) END AS amount",
+        "CASE WHEN k % 7 = 3 THEN 'eur' WHEN k % 7 = 4 THEN 'GBP' ELSE ' usd' END AS currency",
+        f"{_pick(PAYMENT_METHODS, 'k % 4')} AS payment_method",
+        "CASE WHEN k % 97 = 1 THEN NULL WHEN k % 100 < 87 THEN 'success' WHEN k % 100 < 94 THEN 'failed' "
+        "WHEN k % 100 < 98 THEN 'Pending' ELSE 'refunded' END AS status",
+        "CASE WHEN k % 50 = 0 THEN '0.12' "
+        "ELSE cast(cast(price * cast(0.02 AS DECIMAL(3,2)) AS DECIMAL(12,2)) AS STRING) END AS fee_usd",
+        f"{_pick(CHANNELS, '(k % 7) % 4')} AS channel",
+        "concat('Nation_', cast(k % 25 AS STRING)) AS country",
+        f"{_pick(DESCRIPTIONS, 'k % 5')} AS description",
+        f"cast(k * 2 + dup AS BIGINT) AS {ROW_SEQ}",
     )
 
 
 def bronze_monthly_revenue(subscriptions: DataFrame) -> DataFrame:
-    """One row per subscription and schedule month, from bronze subscriptions."""
-    k = F.substring("subscription_id", 5, 64).cast("long") % SECOND_SUB_OFFSET
-    d = _base_date(k)
-    du = F.date_add(d, (60 + k % 141).cast("int"))
-    churned, up = _churned(k), _upgraded(k)
-    # months kept: all 20 unless churned, then 2 + k%12; generated directly
-    last_i = F.when(churned, F.least(F.lit(SCHEDULE_MONTHS - 1), 1 + k % 12)) \
-        .otherwise(F.lit(SCHEDULE_MONTHS - 1))
-    x = subscriptions.select(
+    """One row per subscription and schedule month, from bronze subscriptions.
+
+    Months kept: all of them unless churned, then the first 2 + k%12; the
+    sequence is generated to that length directly (no filter on a product).
+    """
+    k = f"(cast(substring(subscription_id, 5) AS BIGINT) % {SECOND_SUB_OFFSET})"
+    x = subscriptions.selectExpr(
         "subscription_id", "customer_id", "plan", "billing_cycle", "mrr_usd", "upgrade_mrr_usd",
-        k.alias("k"),
-        (F.year(d) * 12 + F.month(d) - 1).alias("mi0"),
-        (F.year(du) * 12 + F.month(du) - 1).alias("umi"),
-        up.alias("up"),
-        F.explode(F.sequence(F.lit(0), last_i.cast("int"))).alias("i"),
-    )
-    mi = F.col("mi0") + F.col("i")
-    x = x.where(mi <= LAST_MONTH_INDEX)
-    return x.select(
-        F.concat(F.lit("REV-"), F.substring("subscription_id", 5, 64), F.lit("-"),
-                 _pad(F.col("i"), 2)).alias("revenue_id"),
+        f"{k} AS k",
+    ).selectExpr(
+        "*",
+        f"year({_base_date('k')}) * 12 + month({_base_date('k')}) - 1 AS mi0",
+        f"year(date_add({_base_date('k')}, cast(60 + k % 141 AS INT))) * 12 "
+        f"+ month(date_add({_base_date('k')}, cast(60 + k % 141 AS INT))) - 1 AS umi",
+        f"{UPGRADED} AS up",
+        f"explode(sequence(0, CASE WHEN {CHURNED} THEN least({SCHEDULE_MONTHS - 1}, 1 + k % 12) "
+        f"ELSE {SCHEDULE_MONTHS - 1} END)) AS i",
+    ).where(f"mi0 + i <= {LAST_MONTH_INDEX}")
+    mi = "(mi0 + i)"
+    return x.selectExpr(
+        f"concat('REV-', substring(subscription_id, 5), '-', {_pad('i', 2)}) AS revenue_id",
         "subscription_id",
         "customer_id",
-        F.make_date(F.floor(mi / 12).cast("int"), (mi % 12 + 1).cast("int"), F.lit(1))
-        .cast("string").alias("month"),
-        F.when(F.col("up") & (mi >= F.col("umi")), F.col("upgrade_mrr_usd"))
-        .otherwise(F.col("mrr_usd")).alias("mrr_usd"),
+        f"cast(make_date(cast(floor({mi} / 12) AS INT), cast({mi} % 12 + 1 AS INT), 1) AS STRING) AS month",
+        f"CASE WHEN up AND {mi} >= umi THEN upgrade_mrr_usd ELSE mrr_usd END AS mrr_usd",
         "plan",
         "billing_cycle",
-        (F.col("k") * 100 + F.col("i")).cast("long").alias(ROW_SEQ),
+        f"cast(k * 100 + i AS BIGINT) AS {ROW_SEQ}",
     )
 
 
