@@ -40,6 +40,8 @@ def mrr_components(revenue: DataFrame) -> dict[str, DataFrame]:
     by_plan = rv.mrr_by_month_plan(hist)
     totals = rv.month_totals(by_plan)
     return {
+        "hist": hist,
+        "customer_month": cm,
         "mrr_by_month": by_plan,
         "first_revenue_month": rv.first_revenue_month(cm),
         "new_mrr": rv.new_mrr(cm),
@@ -52,26 +54,24 @@ def mrr_components(revenue: DataFrame) -> dict[str, DataFrame]:
 
 def mart_mrr(revenue: DataFrame) -> DataFrame:
     parts = mrr_components(revenue)
-    m = parts["mrr_by_month"]
-    # Month-grain context. The reference's growth is a lag over rows ordered
-    # by month (ties by plan here): the first plan row of a month compares with
-    # the previous month's total, every other row with its own month (0 %).
-    month = parts["growth"].select(
-        T,
-        F.col("total_mrr").alias("total_mrr_all_plans"),
-        "total_active_customers",
-        F.col("mrr_growth_rate_pct").alias("_growth_vs_prev"),
-    )
-    # first plan of each month, over the small month x plan table
-    m = m.withColumn("_first_plan", F.min("plan").over(Window.partitionBy(T)))
-    j = (
-        m.join(month, T)
-        .join(parts["new_mrr"], T, "left")
-        .join(parts["expansion_mrr"], T, "left")
-        .join(parts["churned_mrr"], T, "left")
+    # Month x plan rows are few (months of history x plans): the month totals
+    # and the reference's growth - a lag over rows ordered by month (ties by
+    # plan here) - are windows over that small table in one partition.
+    by_month = Window.partitionBy(T)
+    in_order = Window.orderBy(T, "plan")
+    m = parts["mrr_by_month"].select(
+        "*",
+        F.sum("total_mrr").over(by_month).alias("total_mrr_all_plans"),
+        F.sum("active_customers").over(by_month).alias("total_active_customers"),
     )
+    prev = F.lag("total_mrr_all_plans").over(in_order)
+    m = m.withColumn(
+        "mrr_growth_rate_pct",
+        F.round((F.col("total_mrr_all_plans") - prev) / F.nullif(prev, F.lit(0)) * 100, 2))
+    moves = rv.new_and_expansion(parts["customer_month"], parts["hist"])
+    j = m.join(moves, T, "left").join(parts["churned_mrr"], T, "left")
     total = F.col("total_mrr_all_plans")
-    same_month_growth = F.round((total - total) / F.nullif(total, F.lit(0)) * 100, 2)
+    z = F.lit(0)
     return j.select(
         T,
         "plan",
@@ -80,16 +80,15 @@ def mart_mrr(revenue: DataFrame) -> DataFrame:
         "avg_mrr_per_customer",
         "total_mrr_all_plans",
         "total_active_customers",
-        F.coalesce("new_mrr", F.lit(0)).alias("new_mrr"),
-        F.coalesce("new_customers", F.lit(0)).alias("new_customers"),
-        F.coalesce("expansion_mrr", F.lit(0)).alias("expansion_mrr"),
-        F.coalesce("expanded_customers", F.lit(0)).alias("expanded_customers"),
-        F.coalesce("churned_mrr", F.lit(0)).alias("churned_mrr"),
-        F.coalesce("churned_customers", F.lit(0)).alias("churned_customers"),
-        (F.coalesce("new_mrr", F.lit(0)) + F.coalesce("expansion_mrr", F.lit(0))
-         + F.coalesce("churned_mrr", F.lit(0))).alias("net_new_mrr"),
-        F.when(F.col("plan") == F.col("_first_plan"), F.col("_growth_vs_prev"))
-        .otherwise(same_month_growth).alias("mrr_growth_rate_pct"),
+        F.coalesce("new_mrr", z).alias("new_mrr"),
+        F.coalesce("new_customers", z).alias("new_customers"),
+        F.coalesce("expansion_mrr", z).alias("expansion_mrr"),
+        F.coalesce("expanded_customers", z).alias("expanded_customers"),
+        F.coalesce("churned_mrr", z).alias("churned_mrr"),
+        F.coalesce("churned_customers", z).alias("churned_customers"),
+        (F.coalesce("new_mrr", z) + F.coalesce("expansion_mrr", z)
+         + F.coalesce("churned_mrr", z)).alias("net_new_mrr"),
+        "mrr_growth_rate_pct",
         (total * 12).alias("arr"),
     ).orderBy(T, "plan")
 

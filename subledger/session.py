@@ -14,6 +14,9 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Small shuffles feeding CPU-heavy windows keep several tasks; at scale
+    # partitions are far above this floor and the setting has no effect.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.ansi.enabled": "true",
