@@ -69,17 +69,22 @@ class VersionedTable:
         path = jvm.org.apache.hadoop.fs.Path(self.root)
         return jvm, path, path.getFileSystem(conf)
 
-    def versions(self) -> list[int]:
+    def _scan(self, committed_only: bool) -> list[int]:
         jvm, path, fs = self._fs()
         if not fs.exists(path):
             return []
         out = []
         for st in fs.listStatus(path):
             m = _VERSION_DIR.match(st.getPath().getName())
-            if m and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            if m and (not committed_only
+                      or fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))):
                 out.append(int(m.group(1)))
         return sorted(out)
 
+    def versions(self) -> list[int]:
+        """Committed versions, oldest first."""
+        return self._scan(committed_only=True)
+
     def path(self, version: int) -> str:
         return f"{self.root}/v={version:06d}"
 
@@ -88,7 +93,9 @@ class VersionedTable:
         return self.spark.read.parquet(self.path(vs[-1])) if vs else None
 
     def publish(self, df: DataFrame) -> int:
-        vs = self.versions()
+        # Numbered past every directory, committed or not: a job that died
+        # mid-write leaves an uncommitted directory that is never reused.
+        vs = self._scan(committed_only=False)
         nxt = (vs[-1] + 1) if vs else 1
         df.write.mode("errorifexists").parquet(self.path(nxt))
         return nxt

@@ -46,7 +46,17 @@ def _write(df: DataFrame, path: str, partition_by: str | None = None) -> str:
     return path
 
 
-def build(spark: SparkSession, bronze: Bronze, out_root: str, params: RunParams = DEFAULT_PARAMS) -> BuildResult:
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def build(spark: SparkSession, bronze: Bronze, out_root: str, params: RunParams = DEFAULT_PARAMS,
+          keep_intermediate: bool = False) -> BuildResult:
+    """Build every layer. The deduplicated bronze copies live in a per-run
+    folder under the shared checkpoint folder and are removed after a
+    successful build unless ``keep_intermediate``."""
     out_root = out_root.rstrip("/")
     work = f"{checkpoint_dir(spark).rstrip('/')}/build-{uuid.uuid4().hex}"
     res = BuildResult()
@@ -87,8 +97,11 @@ def build(spark: SparkSession, bronze: Bronze, out_root: str, params: RunParams
         "mart_cac_ltv": marts.mart_cac_ltv(s["stg_customers"], s["stg_subscriptions"], s["stg_monthly_revenue"]),
         "mart_transactions": marts.mart_transactions(s["stg_transactions"]),
     }
+    # The transactions mart is range-sorted by date, so a month partition is
+    # written by the few tasks whose ranges cover it (files ~ tasks + months).
+    partition = {"mart_transactions": "transaction_month"}
     for name, df in gold.items():
-        res.tables[name] = _write(df, f"{out_root}/gold/{name}")
+        res.tables[name] = _write(df, f"{out_root}/gold/{name}", partition.get(name))
 
     # 5. data-quality reports over what was written
     q = {n: spark.read.parquet(res.tables[n]) for n in (
@@ -96,4 +109,6 @@ def build(spark: SparkSession, bronze: Bronze, out_root: str, params: RunParams
     models = {**s, **q}
     res.tables["dq_not_null"] = _write(not_null_report(models), f"{out_root}/dq/not_null")
     res.tables["dq_unique"] = _write(unique_report(models), f"{out_root}/dq/unique")
+    if not keep_intermediate:
+        _delete(spark, work)
     return res

@@ -59,3 +59,14 @@ def test_versioned_table_publishes_new_directories(spark, scratch):
     assert rows(vt.current(), "row_id", "issue_type") == [("A", "new"), ("B", "new")]
     # the previous version is untouched
     assert rows(spark.read.parquet(vt.path(1)), "row_id", "issue_type") == [("A", "old")]
+
+
+def test_publish_skips_an_uncommitted_directory(spark, scratch):
+    vt = VersionedTable(spark, f"{scratch}/q")
+    vt.publish(_q(spark, [("A", "old", TS1)]))
+    # a job that died mid-write: directory without _SUCCESS
+    _q(spark, [("X", "partial", TS1)]).write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(vt.path(2))
+    assert vt.versions() == [1]
+    assert vt.publish(_q(spark, [("B", "new", TS2)])) == 3
+    assert vt.versions() == [1, 3]
