@@ -71,13 +71,3 @@ def checkpoint_dir(spark: SparkSession, local_fallback: bool | None = None) -> s
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
-
-def cut_lineage(df):
-    """Reliable, eager ``checkpoint()`` into the shared checkpoint folder.
-
-    Used where one intermediate feeds many branches of a plan: it is computed
-    once, its files survive executor loss, later stages read it instead of
-    recomputing (and re-shuffling) it, and its hash partitioning is kept.
-    """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

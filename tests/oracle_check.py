@@ -31,13 +31,16 @@ def duck(sf_dir: str):
     return con
 
 
+EXACT = False
+
+
 def norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return v if EXACT else round(v, 6)
     if isinstance(v, decimal.Decimal):
         return round(float(v), 6)
     if isinstance(v, dt.datetime):
@@ -113,6 +116,10 @@ def _type_ok(s: str, o: str) -> bool:
 def main(argv):
     from subledger.session import get_spark
 
+    global EXACT
+    if "--exact" in argv:
+        argv = [a for a in argv if a != "--exact"]
+        EXACT = True
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:]
     import __spark_entry__ as entry
