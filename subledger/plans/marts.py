@@ -249,12 +249,27 @@ def _context_cube(tx: DataFrame) -> DataFrame:
     )
 
 
-def _context(cube: DataFrame, key: str, rate: str, volume: str | None = None) -> DataFrame:
-    agg = cube.groupBy(key).agg(F.sum("_n").alias("_n"), F.sum("_ok").alias("_ok"), F.sum("_vol").alias("_vol"))
-    cols = [key, F.round(F.col("_ok").cast("double") / F.nullif(F.col("_n"), F.lit(0)) * 100, 2).alias(rate)]
+_CONTEXT_KEYS = ("transaction_month", "payment_method", "channel")
+
+
+def _contexts(cube: DataFrame) -> DataFrame:
+    """Month, method and channel totals in ONE grouping-sets aggregation of
+    the small cube (one shuffle); ``_gid`` tells the three sets apart, so a
+    real null key is never confused with a rolled-up one."""
+    return cube.groupingSets([[k] for k in _CONTEXT_KEYS], *_CONTEXT_KEYS).agg(
+        F.sum("_n").alias("_n"), F.sum("_ok").alias("_ok"), F.sum("_vol").alias("_vol"),
+        F.grouping_id().alias("_gid"),
+    )
+
+
+def _context(ctx: DataFrame, key: str, rate: str, volume: str | None = None) -> DataFrame:
+    # grouping_id bit i is 1 when key i is rolled up
+    gid = sum(1 << (len(_CONTEXT_KEYS) - 1 - i) for i, k in enumerate(_CONTEXT_KEYS) if k != key)
+    cols = [F.col(key).alias(f"_key_{key}"),
+            F.round(F.col("_ok").cast("double") / F.nullif(F.col("_n"), F.lit(0)) * 100, 2).alias(rate)]
     if volume:
         cols.append(F.col("_vol").alias(volume))
-    return agg.select(*cols, "_n")
+    return ctx.where(F.col("_gid") == gid).select(*cols, "_n")
 
 
 def mart_transactions(tx: DataFrame) -> DataFrame:
@@ -262,17 +277,17 @@ def mart_transactions(tx: DataFrame) -> DataFrame:
 
     Keys join with plain equality, so a null method or channel gets null context.
     """
-    cube = _context_cube(tx)
-    m = _context(cube, "transaction_month", "month_success_rate_pct", "month_successful_volume_usd") \
+    ctx = _contexts(_context_cube(tx))
+    m = _context(ctx, "transaction_month", "month_success_rate_pct", "month_successful_volume_usd") \
         .withColumnRenamed("_n", "month_total_transactions")
-    pm = _context(cube, "payment_method", "payment_method_success_rate_pct",
+    pm = _context(ctx, "payment_method", "payment_method_success_rate_pct",
                   "payment_method_total_volume_usd").drop("_n")
-    ch = _context(cube, "channel", "channel_success_rate_pct").drop("_n")
+    ch = _context(ctx, "channel", "channel_success_rate_pct").drop("_n")
     t = tx.select(*TX_DETAIL_COLS)
     out = (
-        t.join(m, t["transaction_month"] == m["transaction_month"], "left").drop(m["transaction_month"])
-        .join(pm, t["payment_method"] == pm["payment_method"], "left").drop(pm["payment_method"])
-        .join(ch, t["channel"] == ch["channel"], "left").drop(ch["channel"])
+        t.join(m, F.col("transaction_month") == F.col("_key_transaction_month"), "left")
+        .join(pm, F.col("payment_method") == F.col("_key_payment_method"), "left")
+        .join(ch, F.col("channel") == F.col("_key_channel"), "left")
     )
     return out.select(
         *TX_DETAIL_COLS,

@@ -76,3 +76,18 @@ class Warehouse:
     @cached_property
     def mart_transactions(self) -> DataFrame:
         return marts.mart_transactions(self.stg_transactions)
+
+    MODELS = (
+        "stg_customers", "stg_subscriptions", "stg_transactions", "stg_monthly_revenue",
+        "quarantine_customers", "quarantine_subscriptions", "quarantine_transactions",
+        "mart_mrr", "mart_cac_ltv", "mart_transactions",
+    )
+
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Expose every model as a temporary view for SQL users (the silver
+        layer of the reference is a set of views). Nothing is computed."""
+        names = []
+        for m in self.MODELS:
+            getattr(self, m).createOrReplaceTempView(prefix + m)
+            names.append(prefix + m)
+        return names

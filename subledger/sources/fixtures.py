@@ -188,12 +188,13 @@ def spread(df: DataFrame) -> DataFrame:
 
 def fixture_bronze(spark: SparkSession, sf_dir: str) -> Bronze:
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    # orders (10x customers) and the revenue schedule (~14 rows per
+    # subscription) are the row-heavy derivations: spread their inputs
+    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet"))
     subs = bronze_subscriptions(customer)
     return Bronze(
         customers=bronze_customers(customer),
         subscriptions=subs,
         transactions=bronze_transactions(orders),
-        # the schedule multiplies rows ~14x: spread its input first
         monthly_revenue=bronze_monthly_revenue(spread(subs)),
     )
