@@ -133,11 +133,20 @@ def customer_metrics(customers: DataFrame, subscriptions: DataFrame, revenue: Da
         "customer_id", "left",
     )
     subs = subscriptions.select("customer_id", "subscription_id", *CAC_LTV_SUB_COLS)
+    # One (customer, plan) pre-aggregate feeds both the set of customers that
+    # have a subscription and the churn rate by plan (one shared shuffle).
+    per_customer_plan = subscriptions.groupBy("customer_id", "plan").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum(F.when(F.col("is_churned"), 1).otherwise(0)).alias("_churned"),
+    )
+    rates = per_customer_plan.groupBy("plan").agg(
+        F.round(F.sum("_churned").cast("double") / F.nullif(F.sum("_n"), F.lit(0)), 4)
+        .alias("monthly_churn_rate"))
     # customers LEFT JOIN subscriptions == matched pairs + customers with none.
     matched = cust.join(subs, "customer_id", "inner")
-    unmatched = cust.join(subs.select("customer_id").distinct(), "customer_id", "left_anti")
+    unmatched = cust.join(per_customer_plan.select("customer_id"), "customer_id", "left_anti")
     rows = matched.unionByName(unmatched, allowMissingColumns=True)
-    rows = rows.join(churn_by_plan(subscriptions).select("plan", "monthly_churn_rate"), "plan", "left")
+    rows = rows.join(rates, "plan", "left")
 
     avg, rate, cac = F.col("avg_monthly_mrr"), F.col("monthly_churn_rate"), F.col("cac_usd")
     ratio = (avg / F.nullif(rate, F.lit(0))) / F.nullif(cac, F.lit(0))
