@@ -239,3 +239,22 @@ def test_transactions_null_method_gets_null_context(spark):
     assert got["T1"].month_total_transactions == 2 and got["T1"].month_success_rate_pct == 50.0
     assert got["T1"].month_successful_volume_usd == Decimal("10.00")
     assert got["T2"].channel_success_rate_pct == 50.0
+
+
+def test_as_of_boundary_is_inclusive(spark):
+    as_of = DEFAULT_PARAMS.as_of.isoformat()            # 2001-06-30
+    later = (DEFAULT_PARAMS.as_of + dt.timedelta(days=1)).isoformat()
+    tx = _bronze(spark, "transactions", [
+        dict(transaction_id="T1", customer_id="C", amount="5", status="success", transaction_date=as_of, row_seq=1),
+        dict(transaction_id="T2", customer_id="C", amount="5", status="success", transaction_date=later, row_seq=2),
+    ])
+    kept = silver.clean_transactions(tx, DEFAULT_PARAMS).collect()
+    assert [r.transaction_id for r in kept] == ["T1"] and kept[0].is_future_dated is False
+    rev = _bronze(spark, "monthly_revenue", [
+        dict(revenue_id="R1", subscription_id="S", customer_id="C", month=as_of, mrr_usd="10", plan="pro", row_seq=1),
+        dict(revenue_id="R2", subscription_id="S", customer_id="C", month=later, mrr_usd="10", plan="pro", row_seq=2),
+        dict(revenue_id="R3", subscription_id="S", customer_id="C", month=as_of, mrr_usd=None, plan="pro", row_seq=3),
+    ])
+    got = {r.revenue_id: r for r in silver.clean_monthly_revenue(rev, DEFAULT_PARAMS).collect()}
+    assert set(got) == {"R1", "R3"}                      # null MRR is kept in silver
+    assert got["R3"].mrr_usd is None and got["R3"].is_zero_mrr is True
