@@ -125,35 +125,73 @@ def churned_mrr(cm: DataFrame) -> DataFrame:
     )
 
 
+LOW_BITS = 16  # a level-0 window holds at most 2**16 distinct values
+
+
 def _expansion_rows(hist: DataFrame) -> DataFrame:
-    """(month, gain, 1) per customer-month that has a pair this > last."""
+    """(month, gain, 1) per customer-month that has a pair this > last.
+
+    For each (customer, month m) the gain is sum over values a of m and b of
+    m - 1 with a > b of (a - b) * n_a * n_b = sum_a n_a * (a * N(b < a) - S(b < a)),
+    where N and S are the count and sum of last-month values below a.
+
+    N and S are running sums in value order, split in two levels so that no
+    window partition is large however many distinct MRR values a customer has:
+    values become exact integer units (cents for scale 2); level 0 runs within
+    a bucket of 2**16 consecutive units, level 1 over the bucket totals of the
+    customer-month pair (at most 10**precision / 2**16 buckets), and each
+    bucket's level-1 prefix reaches its rows through a window over the bucket
+    (a union, not a join). All windows are keyed by customer first, so they run
+    on the customer partitioning without another shuffle.
+    """
+    scale = hist.schema[V].dataType.scale
+    units = (F.col(V) * F.lit(10 ** scale)).cast("long")
     vals = _by_plan_first(hist).groupBy(C, T, V).agg(F.sum("rows").alias("n"))
     this = vals.select(
-        C, F.add_months(T, -1).alias("_key"), T, V,
+        C, F.add_months(T, -1).alias("_key"), T, units.alias("_u"),
         F.col("n").alias("n_this"), F.lit(0).cast("long").alias("n_last"),
     )
     last = vals.select(
-        C, F.col(T).alias("_key"), F.lit(None).cast("date").alias(T), V,
+        C, F.col(T).alias("_key"), F.lit(None).cast("date").alias(T), units.alias("_u"),
         F.lit(0).cast("long").alias("n_this"), F.col("n").alias("n_last"),
     )
-    # Equal values: this-month rows sort before last-month rows, so the running
-    # sums at a this-month row cover last-month values strictly below it.
-    w = (
-        Window.partitionBy(C, "_key")
-        .orderBy(F.col(V).asc(), F.col("n_last").asc())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    ranked = this.unionByName(last).select(
-        C, T, V, "n_this",
-        F.sum("n_last").over(w).alias("_below_n"),
-        F.sum(F.col(V) * F.col("n_last")).over(w).alias("_below_sum"),
+    big = "decimal(38,0)"
+    rows = this.unionByName(last).withColumn("_hi", F.shiftright("_u", LOW_BITS))
+
+    # level 1: per bucket, the last-month count / sum of all lower buckets
+    w1 = Window.partitionBy(C, "_key").orderBy("_hi").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = rows.groupBy(C, "_key", "_hi").agg(
+        F.sum("n_last").alias("_bn"),
+        F.sum(F.col("n_last").cast(big) * F.col("_u")).alias("_bs"),
+        F.sum("n_this").alias("_bt"),
     )
+    # prefix rows are only needed where this-month values are (after the
+    # window, so last-month-only buckets still count in the prefixes)
+    prefix = buckets.select(
+        C, "_key", "_hi", "_bt",
+        F.coalesce(F.sum("_bn").over(w1), F.lit(0)).cast("long").alias("_pn"),
+        F.coalesce(F.sum("_bs").over(w1), F.lit(0)).cast(big).alias("_ps"),
+    ).where(F.col("_bt") > 0).drop("_bt")
+
+    # level 0: running sums inside the bucket; equal values: this-month rows
+    # sort before last-month rows, so only strictly lower last values count
+    marked = rows.select("*", F.lit(None).cast("long").alias("_pn"), F.lit(None).cast(big).alias("_ps")) \
+        .unionByName(prefix, allowMissingColumns=True)
+    bucket = Window.partitionBy(C, "_key", "_hi")
+    w0 = bucket.orderBy(F.col("_u").asc_nulls_first(), F.col("n_last").asc_nulls_first()) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    below_n = F.coalesce(F.sum("n_last").over(w0), F.lit(0)) + F.max("_pn").over(bucket)
+    below_s = F.coalesce(F.sum(F.col("n_last").cast(big) * F.col("_u")).over(w0), F.lit(0)) \
+        + F.max("_ps").over(bucket)
+    ranked = marked.select(C, T, "_u", "n_this", below_n.alias("_below_n"), below_s.alias("_below_s"))
+    unit = F.lit(10 ** scale).cast(big)
     return (
         ranked.where((F.col("n_this") > 0) & (F.col("_below_n") > 0))
         .groupBy(C, T)
-        .agg(F.sum(F.col("n_this") * (F.col(V) * F.col("_below_n") - F.col("_below_sum")))
-             .alias("expansion_mrr"))
-        .select(T, "expansion_mrr", F.lit(1).cast("long").alias("expanded_customers"))
+        .agg(F.sum(F.col("n_this").cast(big) * (F.col("_u").cast(big) * F.col("_below_n") - F.col("_below_s")))
+             .alias("_gain_units"))
+        .select(T, (F.col("_gain_units") / unit).cast(f"decimal(38,{scale})").alias("expansion_mrr"),
+                F.lit(1).cast("long").alias("expanded_customers"))
     )
 
 

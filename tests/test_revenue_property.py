@@ -13,10 +13,10 @@ from test_models_small import _brute_force, _rev
 DATES = [dt.date(2024, 1, 1), dt.date(2024, 1, 31), dt.date(2024, 2, 1), dt.date(2024, 2, 29),
          dt.date(2024, 3, 1), dt.date(2024, 3, 31), dt.date(2024, 4, 1)]
 row = st.tuples(st.sampled_from(["A", "B", "C"]), st.sampled_from(DATES), st.sampled_from(["pro", "starter"]),
-                st.one_of(st.none(), st.sampled_from(["10", "20", "20", "35.50"])))
+                st.one_of(st.none(), st.sampled_from(["10", "20", "20", "35.50", "655.35", "655.36", "1500.25", "99999.99"])))
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(row, min_size=1, max_size=14))
 def test_movements_equal_brute_force(spark, records):
     hist = rv.revenue_histogram(_rev(spark, records))
