@@ -177,12 +177,14 @@ def _expansion_rows(hist: DataFrame) -> DataFrame:
     # sort before last-month rows, so only strictly lower last values count
     marked = rows.select("*", F.lit(None).cast("long").alias("_pn"), F.lit(None).cast(big).alias("_ps")) \
         .unionByName(prefix, allowMissingColumns=True)
-    bucket = Window.partitionBy(C, "_key", "_hi")
-    w0 = bucket.orderBy(F.col("_u").asc_nulls_first(), F.col("n_last").asc_nulls_first()) \
+    # the bucket's prefix row (null value) sorts first, so first() over the
+    # same running frame carries it: one window operator, one sort
+    w0 = Window.partitionBy(C, "_key", "_hi") \
+        .orderBy(F.col("_u").asc_nulls_first(), F.col("n_last").asc_nulls_first()) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    below_n = F.coalesce(F.sum("n_last").over(w0), F.lit(0)) + F.max("_pn").over(bucket)
+    below_n = F.coalesce(F.sum("n_last").over(w0), F.lit(0)) + F.coalesce(F.first("_pn").over(w0), F.lit(0))
     below_s = F.coalesce(F.sum(F.col("n_last").cast(big) * F.col("_u")).over(w0), F.lit(0)) \
-        + F.max("_ps").over(bucket)
+        + F.coalesce(F.first("_ps").over(w0), F.lit(0))
     ranked = marked.select(C, T, "_u", "n_this", below_n.alias("_below_n"), below_s.alias("_below_s"))
     unit = F.lit(10 ** scale).cast(big)
     return (
