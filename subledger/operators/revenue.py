@@ -107,13 +107,15 @@ def churned_mrr(cm: DataFrame) -> DataFrame:
     no customer-month row is a churn. The window is per customer and key, on
     the customer partitioning (no shuffle), and sees at most a few rows.
     """
-    probe = cm.select(C, F.add_months(T, 1).alias("_key"), T, V, F.lit(False).alias("_present"))
-    # (the present rows keep their MRR column so both union inputs read the
-    # same customer-month plan; only probe rows are summed)
-    present = cm.select(C, F.col(T).alias("_key"), F.lit(None).cast("date").alias(T),
-                        V, F.lit(True).alias("_present"))
+    # each customer-month row plays both roles (explode, not a union: one read)
+    roles = F.explode(F.array(
+        F.struct(F.add_months(T, 1).alias("_key"), F.col(T).alias("_t"), F.lit(False).alias("_present")),
+        F.struct(F.col(T).alias("_key"), F.lit(None).cast("date").alias("_t"), F.lit(True).alias("_present")),
+    )).alias("_r")
     w = Window.partitionBy(C, "_key")
-    marked = probe.unionByName(present).withColumn("_has_next", F.max("_present").over(w))
+    marked = cm.select(C, V, roles).select(C, V, "_r.*") \
+        .withColumn("_has_next", F.max("_present").over(w)) \
+        .withColumnRenamed("_t", T)
     return (
         marked.where(~F.col("_present") & ~F.col("_has_next"))
         .groupBy(T)
@@ -132,66 +134,76 @@ def _expansion_rows(hist: DataFrame) -> DataFrame:
     """(month, gain, 1) per customer-month that has a pair this > last.
 
     For each (customer, month m) the gain is sum over values a of m and b of
-    m - 1 with a > b of (a - b) * n_a * n_b = sum_a n_a * (a * N(b < a) - S(b < a)),
-    where N and S are the count and sum of last-month values below a.
-
-    N and S are running sums in value order, split in two levels so that no
-    window partition is large however many distinct MRR values a customer has:
-    values become exact integer units (cents for scale 2); level 0 runs within
-    a bucket of 2**16 consecutive units, level 1 over the bucket totals of the
-    customer-month pair (at most 10**precision / 2**16 buckets), and each
-    bucket's level-1 prefix reaches its rows through a window over the bucket
-    (a union, not a join). All windows are keyed by customer first, so they run
-    on the customer partitioning without another shuffle.
+    m - 1 with a > b of (a - b) * n_a * n_b. Values become exact integer units
+    (cents for scale 2) and are split into buckets of 2**16 consecutive units,
+    so no window partition is large however many distinct values a customer
+    has:
+
+    * pairs inside one bucket: running count / sum of last-month values in
+      value order, per (customer, month pair, bucket) - at most 2**16 values;
+    * pairs across buckets, from bucket totals only:
+      sum over this-buckets i of (SA_i * NB(<i) - NA_i * SB(<i)), with NB / SB
+      the last-month count / sum of all lower buckets - a range window over
+      the bucket totals of one customer and month pair (at most
+      10**precision / 2**16 buckets).
+
+    One linear pipeline on the customer partitioning (no union, no further
+    shuffle): each value row yields its "this month" and "last month" role
+    with an explode, then window, bucket totals, window, per-customer sum.
     """
     scale = hist.schema[V].dataType.scale
+    big = "decimal(38,0)"
     units = (F.col(V) * F.lit(10 ** scale)).cast("long")
     vals = _by_plan_first(hist).groupBy(C, T, V).agg(F.sum("rows").alias("n"))
-    this = vals.select(
-        C, F.add_months(T, -1).alias("_key"), T, units.alias("_u"),
-        F.col("n").alias("n_this"), F.lit(0).cast("long").alias("n_last"),
+    zero = F.lit(0).cast("long")
+    roles = F.explode(F.array(
+        # as this month m: compared with the month before
+        F.struct(F.add_months(T, -1).alias("_key"), F.col(T).alias("_t"),
+                 F.col("n").alias("n_this"), zero.alias("n_last")),
+        # as last month: compared with by the month after
+        F.struct(F.col(T).alias("_key"), F.lit(None).cast("date").alias("_t"),
+                 zero.alias("n_this"), F.col("n").alias("n_last")),
+    )).alias("_r")
+    rows = vals.select(C, units.alias("_u"), roles).select(
+        C, "_u", "_r.*", F.shiftright("_u", LOW_BITS).alias("_hi"))
+
+    # pairs within a bucket; equal values: this-month rows sort before
+    # last-month rows, so only strictly lower last-month values count
+    w0 = (
+        Window.partitionBy(C, "_key", "_hi")
+        .orderBy(F.col("_u").asc(), F.col("n_last").asc())
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    last = vals.select(
-        C, F.col(T).alias("_key"), F.lit(None).cast("date").alias(T), units.alias("_u"),
-        F.lit(0).cast("long").alias("n_this"), F.col("n").alias("n_last"),
+    below_n = F.sum("n_last").over(w0)
+    below_s = F.sum(F.col("n_last").cast(big) * F.col("_u")).over(w0)
+    scored = rows.select(
+        "*",
+        (F.col("n_this").cast(big) * (F.col("_u").cast(big) * below_n - below_s)).alias("_wg"),
+        ((F.col("n_this") > 0) & (below_n > 0)).alias("_wp"),
     )
-    big = "decimal(38,0)"
-    rows = this.unionByName(last).withColumn("_hi", F.shiftright("_u", LOW_BITS))
-
-    # level 1: per bucket, the last-month count / sum of all lower buckets
-    w1 = Window.partitionBy(C, "_key").orderBy("_hi").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = rows.groupBy(C, "_key", "_hi").agg(
-        F.sum("n_last").alias("_bn"),
-        F.sum(F.col("n_last").cast(big) * F.col("_u")).alias("_bs"),
-        F.sum("n_this").alias("_bt"),
+    # bucket totals (this-month rows keep their own month: two months can
+    # share a previous month), then pairs across buckets
+    buckets = scored.groupBy(C, "_key", "_t", "_hi").agg(
+        F.sum("n_this").alias("_na"),
+        F.sum(F.col("n_this").cast(big) * F.col("_u")).alias("_sa"),
+        F.sum("n_last").alias("_nb"),
+        F.sum(F.col("n_last").cast(big) * F.col("_u")).alias("_sb"),
+        F.sum("_wg").alias("_wg"),
+        F.max("_wp").alias("_wp"),
     )
-    # prefix rows are only needed where this-month values are (after the
-    # window, so last-month-only buckets still count in the prefixes)
-    prefix = buckets.select(
-        C, "_key", "_hi", "_bt",
-        F.coalesce(F.sum("_bn").over(w1), F.lit(0)).cast("long").alias("_pn"),
-        F.coalesce(F.sum("_bs").over(w1), F.lit(0)).cast(big).alias("_ps"),
-    ).where(F.col("_bt") > 0).drop("_bt")
-
-    # level 0: running sums inside the bucket; equal values: this-month rows
-    # sort before last-month rows, so only strictly lower last values count
-    marked = rows.select("*", F.lit(None).cast("long").alias("_pn"), F.lit(None).cast(big).alias("_ps")) \
-        .unionByName(prefix, allowMissingColumns=True)
-    # the bucket's prefix row (null value) sorts first, so first() over the
-    # same running frame carries it: one window operator, one sort
-    w0 = Window.partitionBy(C, "_key", "_hi") \
-        .orderBy(F.col("_u").asc_nulls_first(), F.col("n_last").asc_nulls_first()) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    below_n = F.coalesce(F.sum("n_last").over(w0), F.lit(0)) + F.coalesce(F.first("_pn").over(w0), F.lit(0))
-    below_s = F.coalesce(F.sum(F.col("n_last").cast(big) * F.col("_u")).over(w0), F.lit(0)) \
-        + F.coalesce(F.first("_ps").over(w0), F.lit(0))
-    ranked = marked.select(C, T, "_u", "n_this", below_n.alias("_below_n"), below_s.alias("_below_s"))
+    w1 = Window.partitionBy(C, "_key").orderBy("_hi").rangeBetween(Window.unboundedPreceding, -1)
+    lower_n = F.coalesce(F.sum("_nb").over(w1), F.lit(0))
+    lower_s = F.coalesce(F.sum("_sb").over(w1), F.lit(0))
+    per_bucket = buckets.select(
+        C, F.col("_t").alias(T),
+        (F.col("_wg") + F.col("_sa") * lower_n - F.col("_na").cast(big) * lower_s).alias("_gain"),
+        (F.col("_wp") | (lower_n > 0)).alias("_pair"),
+    ).where(F.col("_na") > 0)
     unit = F.lit(10 ** scale).cast(big)
     return (
-        ranked.where((F.col("n_this") > 0) & (F.col("_below_n") > 0))
-        .groupBy(C, T)
-        .agg(F.sum(F.col("n_this").cast(big) * (F.col("_u").cast(big) * F.col("_below_n") - F.col("_below_s")))
-             .alias("_gain_units"))
+        per_bucket.groupBy(C, T)
+        .agg(F.sum("_gain").alias("_gain_units"), F.max("_pair").alias("_pair"))
+        .where(F.col("_pair"))
         .select(T, (F.col("_gain_units") / unit).cast(f"decimal(38,{scale})").alias("expansion_mrr"),
                 F.lit(1).cast("long").alias("expanded_customers"))
     )
