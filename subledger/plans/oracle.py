@@ -449,7 +449,3 @@ def _deps_in(sql: str, rels: dict[str, str]) -> set[str]:
 
     return {n for n in rels if re.search(rf"(?<![\w.]){n}(?!\w)", sql)}
 
-
-def as_double(cols: list[str], relation: str, all_cols: list[str]) -> str:
-    sel = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c in cols else c for c in all_cols)
-    return f"SELECT {sel} FROM {relation}"
