@@ -26,10 +26,13 @@ def mrr_trend(mart_mrr: DataFrame) -> DataFrame:
 
 
 def kpi_mrr_latest(mart_mrr: DataFrame) -> DataFrame:
-    """G1: total MRR, ARR and active customers of the latest month."""
-    trend = mrr_trend(mart_mrr)
-    latest = trend.select(F.max(T)).scalar()
-    return trend.where(F.col(T) == latest)
+    """G1: total MRR, ARR and active customers of the latest month.
+
+    A top-1 over the month-grain trend (one row per month): planned as a
+    TakeOrderedAndProject, so the mart is computed once (a scalar subquery
+    for the max month would plan it twice).
+    """
+    return mrr_trend(mart_mrr).orderBy(F.col(T).desc()).limit(1)
 
 
 def mrr_by_plan(mart_mrr: DataFrame) -> DataFrame:
