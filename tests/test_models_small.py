@@ -258,3 +258,28 @@ def test_as_of_boundary_is_inclusive(spark):
     got = {r.revenue_id: r for r in silver.clean_monthly_revenue(rev, DEFAULT_PARAMS).collect()}
     assert set(got) == {"R1", "R3"}                      # null MRR is kept in silver
     assert got["R3"].mrr_usd is None and got["R3"].is_zero_mrr is True
+
+
+def test_revenue_schedule_prices_upgrades_and_dates(spark):
+    from subledger.operators.schedule import expand_monthly_revenue
+
+    subs = _bronze(spark, "subscriptions", [
+        # zero MRR -> plan list price; upgrade from the upgrade month on; ends mid-March
+        dict(subscription_id="S1", customer_id="C1", plan=" Growth", mrr_usd="0", start_date="2001-01-20",
+             end_date="03/15/2001", is_upgraded="True", upgrade_date="2001-02-05", upgrade_mrr_usd="199.0",
+             row_seq=1),
+        # unknown plan -> default price; runs to the horizon (2001-06-30)
+        dict(subscription_id="S2", customer_id="C2", plan="legacy", mrr_usd=None, start_date="2001-05-31",
+             row_seq=2),
+        # unparseable start -> no months
+        dict(subscription_id="S3", customer_id="C3", plan="pro", mrr_usd="199", start_date="not a date",
+             row_seq=3),
+    ])
+    got = rows(expand_monthly_revenue(subs, DEFAULT_PARAMS.as_of), "revenue_id", "month", "mrr_usd")
+    assert got == [
+        ("S1-200101", dt.date(2001, 1, 1), Decimal("99.00")),
+        ("S1-200102", dt.date(2001, 2, 1), Decimal("199.00")),
+        ("S1-200103", dt.date(2001, 3, 1), Decimal("199.00")),
+        ("S2-200105", dt.date(2001, 5, 1), Decimal("49.00")),
+        ("S2-200106", dt.date(2001, 6, 1), Decimal("49.00")),
+    ]
