@@ -8,14 +8,15 @@ over a per-customer histogram:
 1. ``revenue_histogram``: rows collapse to ``(customer, month, plan, mrr) ->
    rows`` with map-side partial aggregation, so a customer or month holding a
    huge share of the rows is a few rows per map task before the shuffle.
-2. The histogram is hash-partitioned by customer once. After step 1 a customer
-   has at most (months x plans x price points) rows however many
-   subscriptions it owns, so this partitioning cannot concentrate a hot
-   customer's raw rows in one task.
-3. Everything keyed by customer then runs inside those partitions without a
-   further shuffle: customer-month totals, first month, churn (a window over
-   the customer's months), expansion (running sums over a customer-month's
-   values). Only the month-level results are shuffled, and they are tiny.
+2. ``split_hot_customers``: customers whose histogram stays large (many
+   distinct MRR values) are set apart. The others are hash-partitioned by
+   customer once, and everything keyed by customer - customer-month totals,
+   first month, churn, expansion - runs inside those partitions without a
+   further shuffle. The hot customers run the same operators without that
+   partitioning, so Spark shuffles each step on its own keys (customer and
+   month, or customer, month pair and value bucket) and a hot customer is
+   spread over many tasks.
+3. Only month-level results are shuffled at the end, and they are tiny.
 
 Expansion identity: sum over pairs a > b of (a - b) = sum over values a of
 ``a * count(b < a) - sum(b < a)``, a running count/sum in value order.
@@ -29,17 +30,48 @@ from pyspark.sql import functions as F
 C, T, P, V = "customer_id", "revenue_month", "plan", "mrr_usd"
 
 
+# Histogram rows above which a customer is spread instead of kept in one task.
+HOT_CUSTOMER_ROWS = 1 << 20
+
+
 def revenue_histogram(revenue: DataFrame) -> DataFrame:
-    """(customer, month, plan, mrr) -> rows from rows with a non-null MRR,
-    then hash-partitioned by customer (see module note)."""
+    """(customer, month, plan, mrr) -> rows, from rows with a non-null MRR."""
     return (
         revenue.where(F.col(V).isNotNull())
         .groupBy(C, T, P, V)
         .agg(F.count(F.lit(1)).alias("rows"))
-        .repartition(C)
     )
 
 
+def split_hot_customers(hist: DataFrame, limit: int = HOT_CUSTOMER_ROWS) -> list[DataFrame]:
+    """[normal, hot] parts of the histogram; the customer sets are disjoint.
+
+    The normal part is hash-partitioned by customer (one shuffle for all the
+    per-customer steps). A hot customer - more than ``limit`` histogram rows,
+    or more than ``limit`` * 1024 revenue rows - keeps the histogram's own
+    partitioning, so each later step shuffles it on finer keys. The hot list
+    is one row per hot customer; AQE decides by its measured size how to join
+    it, and prunes the hot branch when it is empty.
+    """
+    sizes = hist.groupBy(C).agg(F.count(F.lit(1)).alias("_n"), F.sum("rows").alias("_rows"))
+    hot = sizes.where((F.col("_n") > limit) | (F.col("_rows") > limit * 1024)).select(C)
+    return [hist.join(hot, C, "left_anti").repartition(C), hist.join(hot, C, "left_semi")]
+
+
+def _union(parts) -> DataFrame:
+    parts = [parts] if isinstance(parts, DataFrame) else list(parts)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _each(parts, fn) -> DataFrame:
+    """Apply a per-customer step to every part and union the results."""
+    parts = [parts] if isinstance(parts, DataFrame) else list(parts)
+    return _union([fn(p) for p in parts])
+
+
 def _amount() -> Column:
     return F.col(V) * F.col("rows")
 
@@ -50,8 +82,8 @@ def mrr_by_month_plan(hist: DataFrame) -> DataFrame:
     The (month, plan, customer) step is local to the customer partitions, so
     the distinct count needs only the small month x plan shuffle.
     """
-    per_customer = hist.groupBy(T, P, C).agg(
-        F.sum(_amount()).alias("_mrr"), F.sum("rows").alias("_n"))
+    per_customer = _each(hist, lambda h: h.groupBy(T, P, C).agg(
+        F.sum(_amount()).alias("_mrr"), F.sum("rows").alias("_n")))
     return (
         per_customer.groupBy(T, P)
         .agg(
@@ -74,19 +106,22 @@ def _by_plan_first(hist: DataFrame) -> DataFrame:
 
 
 def customer_month(hist: DataFrame) -> DataFrame:
-    """(customer, month) -> MRR summed over that customer's rows; unique key."""
+    """(customer, month) -> MRR summed over that customer's rows; unique key.
+    Given a list of histogram parts, returns the list of their parts."""
+    if not isinstance(hist, DataFrame):
+        return [customer_month(h) for h in hist]
     return _by_plan_first(hist).groupBy(C, T).agg(F.sum(_amount()).alias(V))
 
 
 def first_revenue_month(cm: DataFrame) -> DataFrame:
     """A2: first month with revenue per customer, and the MRR of that month."""
-    return cm.groupBy(C).agg(
+    return _each(cm, lambda c: c.groupBy(C).agg(
         F.min(T).alias("first_month"),
         F.min_by(V, T).alias("first_month_mrr"),
-    )
+    ))
 
 
-def _new_rows(cm: DataFrame) -> DataFrame:
+def _new_rows(cm) -> DataFrame:
     """One row per customer: its first revenue month and the MRR in it."""
     return first_revenue_month(cm).select(
         F.col("first_month").alias(T), F.col("first_month_mrr").alias("new_mrr"),
@@ -99,13 +134,13 @@ def new_mrr(cm: DataFrame) -> DataFrame:
         F.sum("new_mrr").alias("new_mrr"), F.sum("new_customers").alias("new_customers"))
 
 
-def churned_mrr(cm: DataFrame) -> DataFrame:
-    """A5: customers with revenue in month m and none in m + 1, reported in m + 1.
+def _churn_rows(cm: DataFrame) -> DataFrame:
+    """(last month, MRR) per customer-month with no revenue in the month after.
 
     For each customer-month, a probe row keyed by (customer, m + 1) meets the
     customer-month rows keyed by their own month; a probe whose key group has
-    no customer-month row is a churn. The window is per customer and key, on
-    the customer partitioning (no shuffle), and sees at most a few rows.
+    no customer-month row is a churn. The window is per customer and key and
+    sees at most a few rows.
     """
     # each customer-month row plays both roles (explode, not a union: one read)
     roles = F.explode(F.array(
@@ -114,10 +149,15 @@ def churned_mrr(cm: DataFrame) -> DataFrame:
     )).alias("_r")
     w = Window.partitionBy(C, "_key")
     marked = cm.select(C, V, roles).select(C, V, "_r.*") \
-        .withColumn("_has_next", F.max("_present").over(w)) \
-        .withColumnRenamed("_t", T)
+        .withColumn("_has_next", F.max("_present").over(w))
+    return marked.where(~F.col("_present") & ~F.col("_has_next")).select(F.col("_t").alias(T), V)
+
+
+def churned_mrr(cm: DataFrame) -> DataFrame:
+    """A5: customers with revenue in month m and none in m + 1, reported in m + 1
+    (grouped by m, as in the reference, then shifted). The MRR is negated."""
     return (
-        marked.where(~F.col("_present") & ~F.col("_has_next"))
+        _each(cm, _churn_rows)
         .groupBy(T)
         .agg(
             (F.sum(V) * F.lit(-1)).alias("churned_mrr"),
@@ -213,7 +253,7 @@ def expansion_mrr(hist: DataFrame) -> DataFrame:
     """A4: sum of (this - last) over every pair of a customer's rows in month m
     and in m - 1 with this > last, and the count of customers with such a pair.
     """
-    return _expansion_rows(hist).groupBy(T).agg(
+    return _each(hist, _expansion_rows).groupBy(T).agg(
         F.sum("expansion_mrr").alias("expansion_mrr"),
         F.sum("expanded_customers").alias("expanded_customers"),
     )
@@ -223,7 +263,7 @@ def new_and_expansion(cm: DataFrame, hist: DataFrame) -> DataFrame:
     """New and expansion MRR per month from one month-level aggregation over
     the union of the per-customer contribution rows (one shuffle, not two)."""
     new = _new_rows(cm)
-    exp = _expansion_rows(hist)
+    exp = _each(hist, _expansion_rows)
     return new.unionByName(exp, allowMissingColumns=True).groupBy(T).agg(
         F.sum("new_mrr").alias("new_mrr"),
         F.sum("new_customers").alias("new_customers"),

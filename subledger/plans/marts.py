@@ -35,7 +35,7 @@ def mrr_components(revenue: DataFrame) -> dict[str, DataFrame]:
     Every branch reads all histogram columns, so the plans below the
     customer repartition are identical and AQE runs that shuffle once.
     """
-    hist = rv.revenue_histogram(revenue)
+    hist = rv.split_hot_customers(rv.revenue_histogram(revenue))
     cm = rv.customer_month(hist)
     by_plan = rv.mrr_by_month_plan(hist)
     totals = rv.month_totals(by_plan)

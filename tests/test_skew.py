@@ -61,3 +61,22 @@ def test_plans_pre_aggregate_before_the_shuffle(spark):
     dedup = keep_first(_skewed(spark).withColumn("row_seq", F.lit(1)), "customer_id", "revenue_month")
     dplan = dedup._jdf.queryExecution().executedPlan().toString()
     assert "Partial" in dplan and "WindowGroupLimit" in dplan
+
+
+def test_hot_customer_path_equals_the_partitioned_path(spark):
+    df = _skewed(spark, hot_subs=300, others=600).unionByName(spark.createDataFrame(
+        [("HOT", m, "pro", Decimal(f"{100 + i}.{i % 100:02d}")) for i, m in
+         enumerate(MONTHS * 40)], "customer_id string, revenue_month date, plan string, mrr_usd decimal(10,2)"))
+    hist = rv.revenue_histogram(df)
+
+    def movements(parts):
+        cm = rv.customer_month(parts)
+        return (sorted(map(tuple, rv.new_mrr(cm).collect())),
+                sorted(map(tuple, rv.expansion_mrr(parts).collect())),
+                sorted(map(tuple, rv.churned_mrr(cm).collect())),
+                sorted(map(tuple, rv.mrr_by_month_plan(parts).collect())))
+
+    normal = rv.split_hot_customers(hist)            # nobody is hot
+    spread = rv.split_hot_customers(hist, limit=1)   # every multi-row customer is hot
+    assert spread[1].select("customer_id").distinct().count() > 1
+    assert movements(normal) == movements(spread)
