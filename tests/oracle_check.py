@@ -1,7 +1,9 @@
 """Run registered Spark queries and their DuckDB oracle side by side.
 
-Usage: python tests/oracle_check.py [sf_dir] [name ...]
+Usage: python tests/oracle_check.py [sf_dir] [--exact] [name ...]
 Prints one line per query: OK / MISMATCH with details. Exit 1 on any mismatch.
+Values are compared as Python objects from collect() / fetchall(); floats are
+rounded to 6 decimals unless --exact.
 """
 
 from __future__ import annotations
