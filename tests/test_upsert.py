@@ -70,3 +70,18 @@ def test_publish_skips_an_uncommitted_directory(spark, scratch):
     assert vt.versions() == [1]
     assert vt.publish(_q(spark, [("B", "new", TS2)])) == 3
     assert vt.versions() == [1, 3]
+
+
+def test_dq_reports_apply_severity(spark):
+    from subledger.operators.quality import not_null_report, unique_report
+
+    cust = spark.createDataFrame(
+        [("A", None, "web"), ("A", dt.date(2024, 1, 1), None), (None, dt.date(2024, 1, 2), "web")],
+        "customer_id string, signup_date date, acquisition_channel string")
+    rep = {(r.column_name, r.test_name): (r.failures, r.status)
+           for r in not_null_report({"stg_customers": cust}).unionByName(
+               unique_report({"stg_customers": cust})).collect()}
+    assert rep[("signup_date", "not_null")] == (1, "warn")         # severity warn
+    assert rep[("acquisition_channel", "not_null")] == (1, "fail")
+    assert rep[("customer_id", "not_null")] == (1, "fail")
+    assert rep[("customer_id", "unique")] == (1, "fail")            # 'A' twice; nulls ignored
