@@ -14,6 +14,7 @@ Decimal results are cast to DOUBLE, as the Spark queries do.
 
 from __future__ import annotations
 
+from subledger import params as fx
 from subledger.params import DEFAULT_PARAMS, RunParams
 
 P = DEFAULT_PARAMS
@@ -245,7 +246,7 @@ SELECT customer_id AS row_id, 'customers' AS source_table,
   CASE WHEN {D('signup_date')} IS NULL THEN signup_date
        WHEN {N('cac_usd')} <= 0 THEN cac_usd ELSE NULL END AS problematic_raw_value,
   {RUN_TS} AS flagged_at,
-  'investigate_source_system' AS recommended_action
+  '{fx.ACTION_CUSTOMERS}' AS recommended_action
 FROM d_customers
 WHERE (customer_id IS NULL OR {D('signup_date')} IS NULL OR {N('cac_usd')} IS NULL
        OR {N('cac_usd')} <= 0 OR email IS NULL)""",
@@ -257,12 +258,12 @@ SELECT subscription_id AS row_id, 'subscriptions' AS source_table, customer_id,
        WHEN {N('mrr_usd')} IS NULL THEN 'null_mrr'
        WHEN {N('mrr_usd')} <= 0 THEN 'zero_mrr'
        ELSE 'unknown' END AS issue_type,
-  CASE WHEN plan IS NULL THEN 'Plan not assigned - check billing system'
-       WHEN {N('mrr_usd')} <= 0 THEN 'Zero MRR - check billing processor'
-       WHEN customer_id IS NULL THEN 'Orphaned subscription - no matching customer'
+  CASE WHEN plan IS NULL THEN '{fx.NOTE_NULL_PLAN}'
+       WHEN {N('mrr_usd')} <= 0 THEN '{fx.NOTE_ZERO_MRR}'
+       WHEN customer_id IS NULL THEN '{fx.NOTE_ORPHAN_SUBSCRIPTION}'
        ELSE NULL END AS investigation_notes,
   {RUN_TS} AS flagged_at,
-  'investigate_billing_system' AS recommended_action
+  '{fx.ACTION_SUBSCRIPTIONS}' AS recommended_action
 FROM d_subscriptions
 WHERE (customer_id IS NULL OR plan IS NULL OR {N('mrr_usd')} IS NULL OR {N('mrr_usd')} <= 0)""",
 }
@@ -280,12 +281,12 @@ SELECT transaction_id AS row_id, 'transactions' AS source_table, customer_id,
        WHEN {N('amount')} IS NULL THEN 'null_amount'
        WHEN {N('amount')} <= 0 THEN 'negative_or_zero_amount'
        ELSE 'unknown' END AS issue_type,
-  CASE WHEN customer_id IS NULL THEN 'Orphaned transaction - no matching customer, check payment processor logs'
-       WHEN {N('amount')} <= 0 THEN 'Invalid amount - check payment processor for correct value'
-       WHEN transaction_id IS NULL THEN 'Missing transaction ID - check payment processor'
+  CASE WHEN customer_id IS NULL THEN '{fx.NOTE_ORPHAN_TRANSACTION}'
+       WHEN {N('amount')} <= 0 THEN '{fx.NOTE_BAD_AMOUNT}'
+       WHEN transaction_id IS NULL THEN '{fx.NOTE_NULL_TRANSACTION_ID}'
        ELSE NULL END AS investigation_notes,
   {run_ts} AS flagged_at,
-  'investigate_payment_processor' AS recommended_action{extra}
+  '{fx.ACTION_TRANSACTIONS}' AS recommended_action{extra}
 FROM {source}
 WHERE transaction_id IS NULL OR customer_id IS NULL OR {N('amount')} IS NULL
    OR {N('amount')} <= 0{gated}"""
