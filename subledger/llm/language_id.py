@@ -60,7 +60,7 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     keep[0] = True
     np.logical_or(low[1:] != 0, low[:-1] != 0, out=keep[1:])
     ends = begin + sizes
-    for at in (ends, ends + 1):  # two gaps after each text: no n-gram spans two texts
+    for at in (ends, ends + 1):  # two gaps after each text: no n-gram that starts in it leaves it
         keep[at] = True
     place = np.cumsum(keep) - 1
     starts = place[begin - 1] + 1
@@ -75,6 +75,7 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             total = total + (seq[j : n + j] + np.uint64(1)) * np.uint64(MIX[j])
             mixed = (total ^ (total >> np.uint64(29))) * np.uint64(MIX[order % 3])
             out[:, j] = (mixed >> shift).astype(np.int32)
+    out[np.concatenate([[0, 1], place[ends], place[ends + 1]])] = BUCKETS  # a gap between texts weighs nothing
     has = np.add.reduceat((seq[:n] != 0).astype(np.int64), starts) > 0
     has[sizes == 0] = False
     return out, starts, has
@@ -93,7 +94,7 @@ def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             cut = np.append(starts[first], len(grams))
             for i, k in enumerate(first):
                 lang = langs[k]
-                got = np.bincount(grams[cut[i] : cut[i + 1]].ravel(), minlength=BUCKETS)
+                got = np.bincount(grams[cut[i] : cut[i + 1]].ravel(), minlength=BUCKETS)[:BUCKETS]
                 sums[lang] = sums.get(lang, 0) + got
                 upto = first[i + 1] if i + 1 < len(first) else len(langs)
                 texts[lang] = texts.get(lang, 0) + int(upto - k)
@@ -109,7 +110,10 @@ def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Languages in order and the matrix log P(bucket | language), prior in the last row."""
+    """Languages in order and the matrix log P(bucket | language).
+
+    After the buckets come a row of zeros, for gaps between texts, and the prior.
+    """
     ship(docs.sparkSession)
     labelled = docs.where(
         F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.col("lang") != "")
@@ -125,11 +129,11 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     )
     names = sorted(rows["lang"].unique())
     where = {lang: i for i, lang in enumerate(names)}
-    matrix = np.zeros((BUCKETS + 1, len(names)))
+    matrix = np.zeros((BUCKETS + 2, len(names)))
     matrix[rows["bucket"].to_numpy(), rows["lang"].map(where).to_numpy(dtype=int)] = rows["n"]
     if names:
-        seen = matrix[:-1] + SMOOTHING
-        matrix[:-1] = np.log(seen / seen.sum(axis=0))
+        seen = matrix[:BUCKETS] + SMOOTHING
+        matrix[:BUCKETS] = np.log(seen / seen.sum(axis=0))
         matrix[-1] = np.log(matrix[-1] / matrix[-1].sum())
     return names, matrix.astype(np.float32)
 
