@@ -60,7 +60,7 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     keep[0] = True
     np.logical_or(low[1:] != 0, low[:-1] != 0, out=keep[1:])
     ends = begin + sizes
-    for at in (ends, ends + 1):  # two gaps after each text: no n-gram that starts in it leaves it
+    for at in (1, ends, ends + 1):  # two gaps after each text: no n-gram that starts in it leaves it
         keep[at] = True
     place = np.cumsum(keep) - 1
     starts = place[begin - 1] + 1
