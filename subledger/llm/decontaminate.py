@@ -231,14 +231,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     shared = spark.sparkContext.broadcast(bit_map(items))
     base = stored(
         docs.select(
-            "doc_id",
+            F.col("doc_id").cast("string").alias("doc_id"),  # pandas has no null integers
             F.xxhash64(text_or_empty()).alias("text_key"),
             F.monotonically_increasing_id().alias("row_no"),
             text_or_empty().alias("text"),
         ).mapInPandas(
             document_rows(shared, lengths),
-            f"doc_id long, text_key long, row_no long, n_words long, hits array<struct<{HIT.replace(' ', ':').replace(',:', ',')}>>",
-        ),
+            f"doc_id string, text_key long, row_no long, n_words long, hits array<struct<{HIT.replace(' ', ':').replace(',:', ',')}>>",
+        ).withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType)),
         "winnow-documents",
     )
     hits = base.select("row_no", F.explode("hits").alias("h")).select("row_no", "h.*")

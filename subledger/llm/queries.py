@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 
 from subledger.llm import (
     byte_bpe,
+    chat_format,
     decontaminate,
     exact_dedup,
     language_id,
     simhash,
+    token_files,
+    warc,
 )
 
 
@@ -61,12 +64,50 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    made = chat_format.formatted(conversations.unionByName(planted)).select("conv_id", "formatted", "loss")
+    back = made.select(
+        "*",
+        chat_format.parse(F.col("formatted")).alias("turns"),
+        F.array_join(chat_format.loss_texts(F.col("formatted"), F.col("loss")), "").alias("lost"),
+    )
+    line = lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", line), ""), 256).alias("turns_sha256"),
+        F.length("lost").cast("long").alias("loss_chars"),
+        F.sha2("lost", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    )
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_decontamination": op5_decontamination,
     "op6_language_id": op6_language_id,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_chat_format": op8_chat_format,
+    "op9_token_files": op9_token_files,
+    "op10_warc": op10_warc,
 }
 
 OP7_SQL = r"""
@@ -117,7 +158,28 @@ SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
-ORACLE = {"op5_decontamination": OP5_SQL, "op7_exact_dedup": OP7_SQL}
+OP8_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), e AS (
+  SELECT *, regexp_replace(regexp_replace(text, '\[(\\*/?(INST|ASST|ROLE|TEXT)\])', '[\\\1', 'g'),
+                           '<(\\*/?s>)', '<\\\1', 'g') AS shown
+  FROM t
+), g AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+         coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS lost,
+         3 + sum(length(shown) + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 11 ELSE 21 + length(role) END) AS chars
+  FROM e GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(lost) AS loss_chars, sha256(lost) AS loss_sha256,
+       CAST(chars AS BIGINT) AS formatted_chars
+FROM g
+"""
+
+ORACLE = {"op8_chat_format": OP8_SQL, "op5_decontamination": OP5_SQL, "op7_exact_dedup": OP7_SQL}
 
 
 def queries() -> dict:
