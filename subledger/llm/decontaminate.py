@@ -31,53 +31,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from subledger.llm.common import pieces, ship, stored, text_or_empty, without
+from subledger.llm.hashing import BASE, GRAM, byte_values, grams, mixed, rolled
 
 SPAN = 13
 K, W = 8, 6
 MAP_BITS = 24
 CHUNK = 1 << 20
-MASK = (1 << 64) - 1
-BASE = 0x9E3779B97F4A7C15
-GRAM = 0xD1342543DE82EF95
 
 
 @lru_cache(1)
 def byte_table() -> np.ndarray:
-    """A random odd-looking 64-bit value per byte after lower-casing; 0 ends words."""
-    rng = np.random.default_rng(13)
-    table = rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    """A 64-bit value per byte after lower-casing; 0 ends words."""
+    table = byte_values().copy()
     table[0x41:0x5B] = table[0x61:0x7B]
     for a, b in ((0x00, 0x30), (0x3A, 0x41), (0x5B, 0x61), (0x7B, 0x80)):
         table[a:b] = 0
     return table
 
 
-@lru_cache(8)
-def powers(base: int, n: int) -> np.ndarray:
-    """base^0 .. base^(n-1) modulo 2^64."""
-    out = np.ones(n, np.uint64)
-    with np.errstate(over="ignore"):
-        np.cumprod(np.full(n - 1, base, np.uint64), out=out[1:])
-    return out
-
-
-def rolled(values: np.ndarray, begin: np.ndarray, end: np.ndarray, base: int) -> np.ndarray:
-    """Polynomial hash of values[begin:end], wherever it stands."""
-    size = 1 << max(4, int(len(values)).bit_length())
-    up, down = powers(base, size), powers(pow(base, -1, 1 << 64), size)
-    with np.errstate(over="ignore"):
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * up[: len(values)])])
-        return (sums[end] - sums[begin]) * down[begin]
-
-
-def mixed(x: np.ndarray, salt: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        x = (x ^ np.uint64(salt * BASE & MASK)) * np.uint64(0xBF58476D1CE4E5B9)
-        x ^= x >> np.uint64(27)
-        x *= np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 class Words:
     """The words of some texts: byte ranges, hashes, and the words of each text."""
 
@@ -96,11 +67,8 @@ class Words:
 
     def grams(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of k words from each word on, and whether they lie in one text."""
-        n = len(self.hash) - k + 1
-        if n <= 0:
-            return np.zeros(0, np.uint64), np.zeros(0, bool)
-        at = np.arange(n)
-        return mixed(rolled(self.hash, at, at + k, GRAM), k), self.text[:n] == self.text[k - 1 :]
+        found = grams(self.hash, k, GRAM)
+        return mixed(found, k), self.text[: len(found)] == self.text[k - 1 :]
 
     def fingerprints(self, k: int, w: int) -> tuple[np.ndarray, np.ndarray]:
         """Winnowed grams: first words and hashes."""
