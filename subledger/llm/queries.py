@@ -11,6 +11,7 @@ from subledger.llm import (
     chat_format,
     decontaminate,
     exact_dedup,
+    html_extract,
     language_id,
     simhash,
     suffix_dedup,
@@ -34,6 +35,13 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
     )
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extracted(pages).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars")
+    )
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"))
 
@@ -105,6 +113,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_extract": op1_html_extract,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
