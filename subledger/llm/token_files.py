@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from subledger.llm.common import pieces, ship, stored, text_or_empty
+from subledger.llm.piece_ids import PieceIds
 
 END_ID = 1
 MOST_BITS = 20
@@ -67,51 +68,29 @@ class WordIds:
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
-        self.clear()
-
-    def clear(self) -> None:
-        self.place: dict[str, int] = {}
-        self.flat, self.offset, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def learn(self, new: list[str]) -> None:
-        simple = [x for x in new if SIMPLE.fullmatch(x)]
-        other = [x for x in new if not SIMPLE.fullmatch(x)]
-        ids, sizes = [], []
-        calls = [simple[i : i + 200] for i in range(0, len(simple), 200)]
-        for words, got in zip(
-            calls, self.library.encode_batch([" ".join(c) for c in calls], add_special_tokens=False), strict=True
-        ):
-            n = np.bincount(np.array(got.word_ids, np.int64), minlength=len(words))
-            if len(n) != len(words) or not n.all():
-                raise ValueError("the library does not see one word per piece")
-            ids.append(got.ids)
-            sizes.append(n)
-        for got in self.library.encode_batch(other, add_special_tokens=False):
-            ids.append(got.ids)
-            sizes.append([len(got.ids)])
-        base = len(self.place)
-        self.place.update(zip(chain(simple, other), range(base, base + len(new)), strict=True))
-        size = np.concatenate([np.asarray(s, np.int64) for s in sizes])
-        start = len(self.flat) + np.cumsum(size) - size
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.int32)])
-        self.offset = np.concatenate([self.offset, start])
-        self.size = np.concatenate([self.size, size])
+        self.pieces = PieceIds(self.learn, KEPT)
+
+    def learn(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        simple = np.array([SIMPLE.fullmatch(x) is not None for x in new])
+        words = [x for x, s in zip(new, simple, strict=True) if s]
+        other = [x for x, s in zip(new, simple, strict=True) if not s]
+        calls = [words[i : i + 200] for i in range(0, len(words), 200)]
+        got = self.library.encode_batch([" ".join(c) for c in calls], add_special_tokens=False)
+        size = np.zeros(len(new), np.int64)
+        counts = [np.bincount(np.array(g.word_ids, np.int64), minlength=len(c)) for g, c in zip(got, calls, strict=True)]
+        if any(len(n) != len(c) or not n.all() for n, c in zip(counts, calls, strict=True)):
+            raise ValueError("the library does not see one word per piece")
+        single = self.library.encode_batch(other, add_special_tokens=False)
+        size[simple] = np.concatenate([np.zeros(0, np.int64), *counts])
+        size[~simple] = [len(g.ids) for g in single]
+        flat = np.empty(int(size.sum()), np.int32)
+        of_simple = np.repeat(simple, size)
+        flat[of_simple] = np.fromiter(chain.from_iterable(g.ids for g in got), np.int32)
+        flat[~of_simple] = np.fromiter(chain.from_iterable(g.ids for g in single), np.int32)
+        return size, flat
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        found = [PIECE.findall(t) for t in texts]
-        new = set(chain.from_iterable(found)).difference(self.place)
-        if new:
-            if len(self.place) + len(new) > KEPT:
-                self.clear()
-                new = set(chain.from_iterable(found))
-            self.learn(sorted(new))
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(found)), np.int64, int(counts.sum()))
-        size = self.size[at]
-        ends = np.concatenate([[0], np.cumsum(size)])
-        ids = self.flat[np.repeat(self.offset[at] - ends[:-1], size) + np.arange(ends[-1])]
-        cuts = ends[np.concatenate([[0], np.cumsum(counts)])]
-        return [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        return self.pieces.ids([PIECE.findall(t) for t in texts])
 
 
 @lru_cache(1)

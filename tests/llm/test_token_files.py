@@ -39,7 +39,7 @@ def test_dictionary_stays_bounded(monkeypatch):
     for i in range(30):
         text = f"word{i} other-{i} third, same"
         assert coder.encode([text])[0].tolist() == plain(text)
-        assert len(coder.place) <= 20
+        assert len(coder.pieces.place) <= 20
 
 
 def huffman_cost(counts):
