@@ -16,9 +16,10 @@ results upwards, on two levels:
   matches ends; the pattern looks at nothing before a match, so all later
   matches agree.
 
-Joining is associative, so any tree gives the same ids. Decoding concatenates
-the tokens' bytes up a tree of the same kind. Encodings of pre-tokens are kept
-in a bounded dictionary per task.
+Joining is associative, so any tree gives the same ids. Leaves are merged many
+at a time, by arrays over all of them. Decoding concatenates the tokens' bytes
+up a tree of the same kind. Ids of pre-tokens are kept in a bounded dictionary
+per task.
 
 Null and empty texts have no ids. Lone surrogates cannot occur in Spark strings.
 Ids that the vocabulary lacks make ``decode`` fail with a KeyError. Extra columns are kept.
@@ -27,24 +28,30 @@ Ids that the vocabulary lacks make ``decode`` fail with a KeyError. Extra column
 from __future__ import annotations
 
 import base64
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subledger.llm.common import ship, text_or_empty
+from subledger.llm.common import ship, text_chunks, text_or_empty
+from subledger.llm.piece_ids import PieceIds
 
 #: Leaves: bytes of a pre-token merged directly, characters of a text matched directly.
 LEAF_BYTES = 48
 LEAF_CHARS = 1 << 16
 #: Pre-tokens whose ids a task keeps.
-KEPT = 1 << 19
+KEPT = 200_000
 #: The pattern's reach past a match's start (its contractions have three characters).
 REACH = 3
+#: Bytes of text handled at once in a task.
+CHUNK = 1 << 18
+NONE = np.iinfo(np.int64).max
 
 
 class BytePairs:
@@ -56,27 +63,82 @@ class BytePairs:
         self.tokens = {i: t for t, i in self.ranks.items()}
         self.find = regex.compile(pattern).findall
         self.leaf_bytes, self.leaf_chars = leaf_bytes, leaf_chars
-        self.kept: dict[str, tuple[int, ...]] = {}
+        self.pieces = PieceIds(self.learn, KEPT)
         self.settled = lru_cache(1 << 16)(self._settled)
+        # every pair of tokens that merges, as left << 32 | right, in order
+        rank = self.ranks.get
+        made = [
+            (a << 32 | b, i)
+            for t, i in self.ranks.items()
+            for k in range(1, len(t))
+            if (a := rank(t[:k])) is not None and (b := rank(t[k:])) is not None
+        ]
+        pairs = np.array(made, np.int64).reshape(-1, 2)
+        by = pairs[:, 0].argsort()
+        self.pairs, self.merged = np.append(pairs[by, 0], NONE), np.append(pairs[by, 1], NONE)
+        self.single = np.array([self.ranks[bytes([i])] for i in range(256)])
 
     # --- merges within one pre-token
 
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The token that each pair merges to, NONE if it does not."""
+        want = left << 32 | right
+        at = np.searchsorted(self.pairs, want)
+        return np.where(self.pairs[at] == want, self.merged[at], NONE)
+
+    def merge_leaves(self, leaves: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(sizes, flat ids): in every leaf, the leftmost pair of the lowest rank again and again."""
+        n_bytes = np.fromiter(map(len, leaves), np.int64, len(leaves))
+        token = self.single[np.frombuffer(b"".join(leaves), np.uint8)]
+        leaf = np.repeat(np.arange(len(leaves)), n_bytes)
+        ends, done = [], []  # leaves without another merge leave the arrays
+        pair = np.full(len(token), NONE)  # of each token and the next one of its leaf
+        near = np.flatnonzero(leaf[1:] == leaf[:-1])
+        pair[near] = self.rank(token[near], token[near + 1])
+        while len(token):
+            first = np.flatnonzero(np.r_[True, leaf[1:] != leaf[:-1]])
+            low = np.repeat(np.minimum.reduceat(pair, first), np.diff(np.append(first, len(leaf))))
+            over = low == NONE
+            if over.any():
+                ends.append(leaf[over])
+                done.append(token[over])
+                token, leaf, pair, low = token[~over], leaf[~over], pair[~over], low[~over]
+                if not len(token):
+                    break
+            hit = np.flatnonzero(pair == low)
+            hit = hit[np.r_[True, leaf[hit[1:]] != leaf[hit[:-1]]]]  # leftmost in its leaf
+            token[hit] = pair[hit]
+            keep = np.ones(len(token), bool)
+            keep[hit + 1] = False
+            moved = np.cumsum(keep) - 1
+            token, leaf, pair, hit = token[keep], leaf[keep], pair[keep], moved[hit]
+            pair[hit] = NONE
+            for at in (hit[(hit + 1 < len(leaf))], hit[hit > 0] - 1):
+                at = at[leaf[at] == leaf[at + 1]]
+                pair[at] = self.rank(token[at], token[at + 1])
+        if not done:
+            return n_bytes, np.zeros(0, np.int64)
+        leaf, token = np.concatenate(ends), np.concatenate(done)
+        return np.bincount(leaf, minlength=len(leaves)), token[leaf.argsort(kind="stable")]
+
     def merge_leaf(self, data: bytes) -> list[int]:
-        """Repeatedly merge the leftmost pair of the lowest rank."""
-        parts = [data[i : i + 1] for i in range(len(data))]
-        rank = self.ranks.get
-        pairs = [rank(a + b) for a, b in zip(parts, parts[1:], strict=False)]
-        while True:
-            low = min((r for r in pairs if r is not None), default=None)
-            if low is None:
-                return [self.ranks[p] for p in parts]
-            i = pairs.index(low)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del pairs[i]
-            if i < len(pairs):
-                pairs[i] = rank(parts[i] + parts[i + 1])
-            if i:
-                pairs[i - 1] = rank(parts[i - 1] + parts[i])
+        return self.merge_leaves([data])[1].tolist()
+
+    def learn(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and flat ids of pre-tokens; those over a leaf go through the tree."""
+        raw = [x.encode("utf-8") for x in new]
+        short = np.fromiter((len(x) <= self.leaf_bytes for x in raw), bool, len(raw))
+        size = np.zeros(len(raw), np.int64)
+        size[short], flat = self.merge_leaves([x for x, s in zip(raw, short, strict=True) if s])
+        if short.all():
+            return size, flat.astype(np.int32)
+        long = [self.merge_tree(x) for x, s in zip(raw, short, strict=True) if not s]
+        size[~short] = list(map(len, long))
+        out = np.empty(int(size.sum()), np.int32)
+        of_short = np.repeat(short, size)
+        out[of_short] = flat
+        out[~of_short] = np.fromiter(chain.from_iterable(long), np.int32)
+        return size, out
 
     def _settled(self, a: int, b: int) -> bool:
         return self.merge_leaf(self.tokens[a] + self.tokens[b]) == [a, b]
@@ -98,7 +160,7 @@ class BytePairs:
 
     def merge_tree(self, data: bytes) -> list[int]:
         if len(data) <= self.leaf_bytes:
-            return [self.ranks[data]] if data in self.ranks else self.merge_leaf(data)
+            return self.merge_leaf(data)
         half = len(data) // 2
         return self.merge_join(self.merge_tree(data[:half]), self.merge_tree(data[half:]))
 
@@ -141,17 +203,9 @@ class BytePairs:
 
     # --- whole texts
 
-    def encode(self, text: str) -> np.ndarray:
-        pieces = self.split_tree(text)
-        kept = self.kept
-        try:
-            return np.fromiter(chain.from_iterable(map(kept.__getitem__, pieces)), np.int32)
-        except KeyError:
-            if len(kept) > KEPT:
-                kept.clear()
-            for piece in set(pieces).difference(kept):
-                kept[piece] = tuple(self.merge_tree(piece.encode("utf-8")))
-            return np.fromiter(chain.from_iterable(map(kept.__getitem__, pieces)), np.int32)
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of the texts, and where each text's begin (and the last's end)."""
+        return self.pieces.ids([self.split_tree(t) for t in texts])
 
     def decode(self, ids: np.ndarray) -> bytes:
         if len(ids) <= self.leaf_chars:
@@ -166,15 +220,30 @@ def coder(path: str, pattern: str) -> BytePairs:
     return BytePairs(path, pattern)
 
 
-def encoded(docs: DataFrame, path: str, pattern: str, name: str = "ids") -> DataFrame:
-    """``docs`` with the ids of its texts."""
+def rows_by_chunk(batches: Iterator[pa.RecordBatch], path: str, pattern: str, decode: bool) -> Iterator[pa.RecordBatch]:
+    """The ids (and what they decode to) of each chunk of texts; only one chunk is held."""
+    own = coder(path, pattern)
+    for batch in batches:
+        for a, texts in text_chunks(batch, "text", CHUNK):
+            ids, cuts = own.encode(texts)
+            columns = {
+                "doc_id": batch.column("doc_id").slice(a, len(texts)),
+                "ids": pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids, pa.int32())),
+            }
+            if decode:
+                back = [own.decode(ids[i:j]) for i, j in zip(cuts, cuts[1:], strict=False)]
+                columns["bytes"] = pa.array(back, pa.binary())
+            yield pa.RecordBatch.from_pydict(columns)
+
+
+def encoded(docs: DataFrame, path: str, pattern: str, decode: bool = False) -> DataFrame:
+    """doc_id and ids of every row of ``docs``, and with ``decode`` the bytes the ids stand for."""
     ship(docs.sparkSession)
-
-    @F.pandas_udf("array<int>")
-    def encode(text: pd.Series) -> pd.Series:
-        return text.map(coder(path, pattern).encode)
-
-    return docs.withColumn(name, encode(text_or_empty()))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, ids array<int>" + ", bytes binary" * decode
+    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(
+        lambda batches: rows_by_chunk(batches, path, pattern, decode), schema
+    )
 
 
 def decoded(rows: DataFrame, path: str, pattern: str, ids: str = "ids", name: str = "bytes") -> DataFrame:
@@ -189,6 +258,5 @@ def decoded(rows: DataFrame, path: str, pattern: str, ids: str = "ids", name: st
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, ids and the decoded bytes of every row of ``docs``."""
-    rows = encoded(docs.select("doc_id", "text"), path, pattern).drop("text")
-    return decoded(rows, path, pattern)
+    """doc_id, ids and the decoded bytes of every row of ``docs``, in one pass through Python."""
+    return encoded(docs, path, pattern, decode=True)

@@ -6,6 +6,9 @@ import os
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,3 +85,15 @@ def pieces(texts: Iterable[str], most: int) -> Iterator[tuple[int, int]]:
         size += len(text)
     if start < len(texts):
         yield start, len(texts)
+
+
+def text_chunks(batch: pa.RecordBatch, column: str, most: int) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts) over a batch in chunks of about ``most`` bytes, one text at least."""
+    cells = batch.column(column)
+    ends = np.cumsum(pc.binary_length(cells).to_numpy(zero_copy_only=False))
+    a = 0
+    while a < len(cells):
+        before = ends[a - 1] if a else 0
+        b = max(a + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield a, cells.slice(a, b - a).to_pylist()
+        a = b

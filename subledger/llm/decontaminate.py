@@ -36,7 +36,7 @@ from subledger.llm.hashing import BASE, GRAM, byte_values, grams, mixed, rolled
 SPAN = 13
 K, W = 8, 6
 MAP_BITS = 24
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 
 @lru_cache(1)

@@ -32,7 +32,7 @@ UNKNOWN = "und"
 #: Most megabytes of the count matrix (languages x BUCKETS x 8 bytes).
 MODEL_MB = 256
 #: Characters handled at once in a task.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 

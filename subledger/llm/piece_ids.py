@@ -22,8 +22,8 @@ class PieceIds:
         self.place: dict[str, int] = {}
         self.flat, self.offset, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def ids(self, found: list[list[str]]) -> list[np.ndarray]:
-        """The ids of each list of pieces, one after the other."""
+    def ids(self, found: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all lists of pieces end to end, and where each list's begin (and the last's end)."""
         new = set(chain.from_iterable(found)).difference(self.place)
         if new:
             if len(self.place) + len(new) > self.most:
@@ -40,8 +40,7 @@ class PieceIds:
         size = self.size[at]
         ends = np.concatenate([[0], np.cumsum(size)])
         ids = self.flat[np.repeat(self.offset[at] - ends[:-1], size) + np.arange(ends[-1])]
-        cuts = ends[np.concatenate([[0], np.cumsum(counts)])]
-        return [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        return ids, ends[np.concatenate([[0], np.cumsum(counts)])]
 
     def places(self, pieces: Iterable[str]) -> Iterable[int]:
         return map(self.place.__getitem__, pieces)

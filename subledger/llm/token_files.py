@@ -22,6 +22,7 @@ hashes. Extra columns are ignored; an empty table gives empty files.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,22 +30,22 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
-import re
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from subledger.llm.common import pieces, ship, stored, text_or_empty
+from subledger.llm.common import ship, stored, text_chunks, text_or_empty
 from subledger.llm.piece_ids import PieceIds
 
 END_ID = 1
 MOST_BITS = 20
 BLOCK = 1 << 18
 STEP = 128
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 #: Pieces of text whose ids a task keeps.
-KEPT = 600_000
+KEPT = 400_000
 #: Latin letters that no normaliser joins with what surrounds them here.
 LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: A word without its full stops and commas, those, or anything else between white space.
@@ -90,7 +91,8 @@ class WordIds:
         return size, flat
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return self.pieces.ids([PIECE.findall(t) for t in texts])
+        ids, cuts = self.pieces.ids([PIECE.findall(t) for t in texts])
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 @lru_cache(1)
@@ -114,19 +116,20 @@ def tokenised(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     """doc_id, text_key and the packed ids (with the end id) of every row of ``docs``; stored."""
     ship(docs.sparkSession)
 
-    @F.pandas_udf("binary")
-    def ids(text: pd.Series) -> pd.Series:
-        coder, out, texts = word_ids(path), [], list(text)
-        for a, b in pieces(texts, CHUNK):
-            out += [packed(np.append(x, end_id)) for x in coder.encode(texts[a:b])]
-        return pd.Series(out)
-
-    return stored(
-        docs.select(
-            "doc_id", F.xxhash64(text_or_empty()).alias("text_key"), ids(text_or_empty()).alias("ids")
-        ),
-        "token-ids",
-    )
+    def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = word_ids(path)
+        for batch in batches:
+            for a, texts in text_chunks(batch, "text", CHUNK):
+                cells = [packed(np.append(x, end_id)) for x in coder.encode(texts)]
+                part = batch.slice(a, len(texts))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("text_key"), pa.array(cells, pa.binary())],
+                    ["doc_id", "text_key", "ids"],
+                )
+
+    rows = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("text_key"), text_or_empty().alias("text"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return stored(rows.mapInArrow(ids, f"doc_id {kind}, text_key long, ids binary"), "token-ids")
 
 
 # --- the code ---------------------------------------------------------------

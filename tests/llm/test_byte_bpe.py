@@ -31,8 +31,9 @@ TEXTS = st.text(alphabet=st.sampled_from(list("aeinrst'lvdmL  \n\t\r.,!-19 é́
 def test_any_tree_gives_the_library_s_ids(text):
     want = tiktoken_ids(text)
     for coder in CODERS:
-        ids = coder.encode(text)
-        assert ids.tolist() == want
+        ids, cuts = coder.encode([text, text])
+        assert ids.tolist() == want + want and cuts.tolist() == [0, len(want), 2 * len(want)]
+        ids = ids[: len(want)]
         assert coder.decode(ids) == text.encode()
 
 
@@ -50,7 +51,7 @@ def test_long_pretokens_and_runs(library):
     texts += ["".join(rng.choice("éü中a1") for _ in range(1500)) for _ in range(5)]
     for coder in CODERS[1:]:
         for text in texts:
-            assert coder.encode(text).tolist() == library.encode_ordinary(text)
+            assert coder.encode([text])[0].tolist() == library.encode_ordinary(text)
 
 
 def test_awkward_rows(spark, library):
@@ -59,12 +60,21 @@ def test_awkward_rows(spark, library):
     want = sorted(((i, library.encode_ordinary(t or ""), (t or "").encode()) for i, t, *_ in AWKWARD), key=repr)
     assert sorted(((r["doc_id"], r["ids"], bytes(r["bytes"])) for r in rows), key=repr) == want
     assert byte_bpe.round_trip(documents(spark, []), PATH, PATTERN).count() == 0
+    apart = byte_bpe.decoded(byte_bpe.encoded(docs, PATH, PATTERN), PATH, PATTERN).collect()
+    assert sorted(((r["doc_id"], r["ids"], bytes(r["bytes"])) for r in apart), key=repr) == want
+
+
+def test_chunks_do_not_matter(spark, monkeypatch, library):
+    monkeypatch.setattr(byte_bpe, "CHUNK", 10)
+    docs = documents(spark, AWKWARD[:8] + AWKWARD[-2:])
+    rows = byte_bpe.round_trip(docs, PATH, PATTERN).collect()
+    assert len(rows) == 10 and all(bytes(r["bytes"]) == b"".join(byte_bpe.coder(PATH, PATTERN).tokens[i] for i in r["ids"]) for r in rows)
 
 
 def test_dictionary_stays_bounded(monkeypatch):
     monkeypatch.setattr(byte_bpe, "KEPT", 10)
     coder = byte_bpe.BytePairs(PATH, PATTERN)
     for i in range(50):
-        coder.encode(f"word{i} other{i} third{i}")
-        assert len(coder.kept) <= 10 + 9
+        coder.encode([f"word{i} other{i} third{i}"])
+        assert len(coder.pieces.place) <= 10
     assert coder.decode(np.zeros(0, np.int32)) == b""
