@@ -1,8 +1,8 @@
 """Command line: build all layers, or run the data-quality tests.
 
     python -m subledger build --bronze <parquet root | csv root> [--csv] --out <root>
-                              [--as-of YYYY-MM-DD] [--run-ts 'YYYY-MM-DD HH:MM:SS']
-    python -m subledger test  --silver-root <out root>
+                              [--as-of YYYY-MM-DD] [--run-ts 'YYYY-MM-DD HH:MM:SS'] [--multi-line]
+    python -m subledger test  --out <out root>
 
 ``build`` is the scheduled run (silver, quarantine with incremental upsert,
 gold, DQ reports); ``test`` prints the not_null / unique report of a build.
@@ -17,10 +17,12 @@ import sys
 
 
 def _params(args):
-    from subledger.params import DEFAULT_PARAMS, RunParams
+    """Run parameters; what the flags leave open comes from the clock, asked once, in UTC."""
+    from subledger.params import RunParams
 
-    as_of = dt.date.fromisoformat(args.as_of) if args.as_of else DEFAULT_PARAMS.as_of
-    run_ts = dt.datetime.fromisoformat(args.run_ts) if args.run_ts else DEFAULT_PARAMS.run_ts
+    now = dt.datetime.now(dt.UTC).replace(tzinfo=None)
+    as_of = dt.date.fromisoformat(args.as_of) if args.as_of else now.date()
+    run_ts = dt.datetime.fromisoformat(args.run_ts) if args.run_ts else now
     return RunParams(as_of=as_of, run_ts=run_ts)
 
 
@@ -30,6 +32,7 @@ def main(argv=None) -> int:
     b = sub.add_parser("build")
     b.add_argument("--bronze", required=True)
     b.add_argument("--csv", action="store_true", help="bronze root holds <table>/ CSV folders")
+    b.add_argument("--multi-line", action="store_true", help="quoted CSV fields may hold line breaks")
     b.add_argument("--out", required=True)
     b.add_argument("--as-of")
     b.add_argument("--run-ts")
@@ -49,11 +52,11 @@ def main(argv=None) -> int:
     if args.cmd == "build":
         from subledger.plans.pipeline import build
         from subledger.sources.bronze import TABLES, Bronze, load_csv, read_bronze
-        from subledger.session import checkpoint_dir
 
         if args.csv:
-            root = f"{checkpoint_dir(spark).rstrip('/')}/bronze-load"
-            bronze = Bronze(**{tb: load_csv(spark, f"{args.bronze}/{tb}", tb, f"{root}/{tb}") for tb in TABLES})
+            bronze = Bronze(**{
+                t: load_csv(spark, f"{args.bronze}/{t}", t, f"{args.out}/bronze/{t}", args.multi_line) for t in TABLES
+            })
         else:
             bronze = read_bronze(spark, args.bronze)
         res = build(spark, bronze, args.out, _params(args))
@@ -61,7 +64,10 @@ def main(argv=None) -> int:
             print(f"{name}\t{path}")
         return 0
 
-    report = spark.read.parquet(f"{args.out}/dq/not_null").unionByName(spark.read.parquet(f"{args.out}/dq/unique"))
+    from subledger.operators.upsert import VersionedTable
+
+    not_null, unique = (VersionedTable(spark, f"{args.out}/dq/{n}").current() for n in ("not_null", "unique"))
+    report = not_null.unionByName(unique)
     rows = report.orderBy("model", "column_name", "test_name").collect()  # one row per declared test
     for r in rows:
         print(f"{r.status.upper():5s} {r.test_name:9s} {r.model}.{r.column_name} failures={r.failures}")

@@ -34,10 +34,17 @@ def keep_first(df: DataFrame, key: str, order_by: str, tie_break: str | None = R
 def dropped_duplicates(df: DataFrame, key: str, order_by: str, tie_break: str = ROW_SEQ) -> DataFrame:
     """Rows that ``keep_first`` discards for a non-null key.
 
-    Computed as all rows minus the winners, joined on (key, arrival order),
-    rather than a full ``row_number() > 1`` window: the window would put every
-    copy of a hot key into one task, the anti join spreads them by row_seq.
+    Keys that occur once are set apart by a partial count, so only the few
+    repeated ones are looked at further. Of their rows those that are not the
+    winner are kept by an anti join on (key, arrival order), rather than by a
+    ``row_number() > 1`` window, which would put all copies of a hot key into
+    one task. ``tie_break`` has to be there and not null; a null ends the job.
     """
-    keyed = df.where(F.col(key).isNotNull())
-    winners = keep_first(keyed, key, order_by, tie_break).select(key, tie_break)
-    return keyed.join(winners, [key, tie_break], "left_anti")
+    if tie_break not in df.columns:
+        raise ValueError(f"dropped_duplicates needs the column {tie_break}")
+    seq = F.coalesce(F.col(tie_break), F.raise_error(F.lit(f"{tie_break} is null")).cast("long"))
+    keyed = df.where(F.col(key).isNotNull()).withColumn(tie_break, seq)
+    many = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    repeated = keyed.join(many, key, "left_semi").select(*df.columns)
+    winners = keep_first(repeated, key, order_by, tie_break).select(key, tie_break)
+    return repeated.join(winners, [key, tie_break], "left_anti").select(*df.columns)

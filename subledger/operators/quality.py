@@ -101,20 +101,26 @@ def unique_report(models: dict[str, DataFrame], tests=SCHEMA_TESTS) -> DataFrame
     return _report(reduce(DataFrame.unionByName, parts))
 
 
-def profile(df: DataFrame, table: str, checks: dict[str, Column]) -> DataFrame:
-    """Long (table_name, check_name, failures) rows from one aggregation pass.
+def profile(df: DataFrame, table: str, checks: dict[str, Column | str]) -> DataFrame:
+    """Long (table_name, check_name, failures) rows.
 
-    A check is a Column *aggregate* (e.g. ``F.count_if(..)``).
+    A check is a Column *aggregate* (e.g. ``F.count_if(..)``), all of which run in
+    one pass, or a column name: then its failures are the rows beyond the first of
+    each non-null value, from one row per value (partial counts before the
+    shuffle). Two distinct counts in one aggregate would expand every row instead.
     """
-    names = list(checks)
-    agg = df.agg(*[checks[n].cast("long").alias(f"c{i}") for i, n in enumerate(names)])
-    rows = F.array(*[
-        F.struct(F.lit(n).alias("check_name"), F.col(f"c{i}").alias("failures"))
-        for i, n in enumerate(names)
-    ])
-    return agg.select(F.inline(rows)).select(F.lit(table).alias("table_name"), "check_name", "failures")
-
-
-def duplicate_keys(key: str) -> Column:
-    """Rows with a non-null key beyond the first per key value."""
-    return F.count(key) - F.countDistinct(key)
+    plain = {n: c for n, c in checks.items() if not isinstance(c, str)}
+    parts = []
+    if plain:
+        agg = df.agg(*[c.cast("long").alias(f"c{i}") for i, c in enumerate(plain.values())])
+        rows = F.array(*[
+            F.struct(F.lit(n).alias("check_name"), F.col(f"c{i}").alias("failures"))
+            for i, n in enumerate(plain)
+        ])
+        parts.append(agg.select(F.inline(rows)))
+    for name, key in checks.items():
+        if isinstance(key, str):
+            per_value = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+            beyond = F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long")
+            parts.append(per_value.agg(beyond.alias("failures")).select(F.lit(name).alias("check_name"), "failures"))
+    return reduce(DataFrame.unionByName, parts).select(F.lit(table).alias("table_name"), "check_name", "failures")

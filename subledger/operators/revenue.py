@@ -7,15 +7,11 @@ over a per-customer histogram:
 
 1. ``revenue_histogram``: rows collapse to ``(customer, month, plan, mrr) ->
    rows`` with map-side partial aggregation, so a customer or month holding a
-   huge share of the rows is a few rows per map task before the shuffle.
-2. ``split_hot_customers``: customers whose histogram stays large (many
-   distinct MRR values) are set apart. The others are hash-partitioned by
-   customer once, and everything keyed by customer - customer-month totals,
-   first month, churn, expansion - runs inside those partitions without a
-   further shuffle. The hot customers run the same operators without that
-   partitioning, so Spark shuffles each step on its own keys (customer and
-   month, or customer, month pair and value bucket) and a hot customer is
-   spread over many tasks.
+   huge share of the rows is a few rows per map task before the shuffle. The
+   mart writes it once; every step reads it back.
+2. Each step shuffles on keys finer than the customer - customer and month, or
+   customer, month pair and value bucket - so a customer with very many
+   distinct values is spread over many tasks like everybody else.
 3. Only month-level results are shuffled at the end, and they are tiny.
 
 Expansion identity: sum over pairs a > b of (a - b) = sum over values a of
@@ -30,48 +26,15 @@ from pyspark.sql import functions as F
 C, T, P, V = "customer_id", "revenue_month", "plan", "mrr_usd"
 
 
-# Histogram rows above which a customer is spread instead of kept in one task.
-HOT_CUSTOMER_ROWS = 1 << 20
-
-
 def revenue_histogram(revenue: DataFrame) -> DataFrame:
-    """(customer, month, plan, mrr) -> rows, from rows with a non-null MRR."""
+    """(customer, month, plan, mrr) -> rows, from rows with an MRR and a customer."""
     return (
-        revenue.where(F.col(V).isNotNull())
+        revenue.where(F.col(V).isNotNull() & F.col(C).isNotNull())
         .groupBy(C, T, P, V)
         .agg(F.count(F.lit(1)).alias("rows"))
     )
 
 
-def split_hot_customers(hist: DataFrame, limit: int = HOT_CUSTOMER_ROWS) -> list[DataFrame]:
-    """[normal, hot] parts of the histogram; the customer sets are disjoint.
-
-    The normal part is hash-partitioned by customer (one shuffle for all the
-    per-customer steps). A hot customer - more than ``limit`` histogram rows,
-    or more than ``limit`` * 1024 revenue rows - keeps the histogram's own
-    partitioning, so each later step shuffles it on finer keys. The hot list
-    is one row per hot customer; AQE decides by its measured size how to join
-    it, and prunes the hot branch when it is empty.
-    """
-    sizes = hist.groupBy(C).agg(F.count(F.lit(1)).alias("_n"), F.sum("rows").alias("_rows"))
-    hot = sizes.where((F.col("_n") > limit) | (F.col("_rows") > limit * 1024)).select(C)
-    return [hist.join(hot, C, "left_anti").repartition(C), hist.join(hot, C, "left_semi")]
-
-
-def _union(parts) -> DataFrame:
-    parts = [parts] if isinstance(parts, DataFrame) else list(parts)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _each(parts, fn) -> DataFrame:
-    """Apply a per-customer step to every part and union the results."""
-    parts = [parts] if isinstance(parts, DataFrame) else list(parts)
-    return _union([fn(p) for p in parts])
-
-
 def _amount() -> Column:
     return F.col(V) * F.col("rows")
 
@@ -79,11 +42,10 @@ def _amount() -> Column:
 def mrr_by_month_plan(hist: DataFrame) -> DataFrame:
     """A1: active customers (distinct), total and average MRR per month and plan.
 
-    The (month, plan, customer) step is local to the customer partitions, so
-    the distinct count needs only the small month x plan shuffle.
+    Customers are told apart on (month, plan, customer), so the distinct count
+    is a plain count and only a small month x plan shuffle follows.
     """
-    per_customer = _each(hist, lambda h: h.groupBy(T, P, C).agg(
-        F.sum(_amount()).alias("_mrr"), F.sum("rows").alias("_n")))
+    per_customer = hist.groupBy(T, P, C).agg(F.sum(_amount()).alias("_mrr"), F.sum("rows").alias("_n"))
     return (
         per_customer.groupBy(T, P)
         .agg(
@@ -98,30 +60,20 @@ def mrr_by_month_plan(hist: DataFrame) -> DataFrame:
     )
 
 
-def _by_plan_first(hist: DataFrame) -> DataFrame:
-    # Aggregating through (customer, month, plan, mrr) keeps every histogram
-    # column referenced, so this branch shares the customer shuffle with the
-    # others instead of getting a pruned copy of it.
-    return hist.groupBy(C, T, P, V).agg(F.sum("rows").alias("rows"))
-
-
 def customer_month(hist: DataFrame) -> DataFrame:
-    """(customer, month) -> MRR summed over that customer's rows; unique key.
-    Given a list of histogram parts, returns the list of their parts."""
-    if not isinstance(hist, DataFrame):
-        return [customer_month(h) for h in hist]
-    return _by_plan_first(hist).groupBy(C, T).agg(F.sum(_amount()).alias(V))
+    """(customer, month) -> MRR summed over that customer's rows; unique key."""
+    return hist.groupBy(C, T).agg(F.sum(_amount()).alias(V))
 
 
 def first_revenue_month(cm: DataFrame) -> DataFrame:
     """A2: first month with revenue per customer, and the MRR of that month."""
-    return _each(cm, lambda c: c.groupBy(C).agg(
+    return cm.groupBy(C).agg(
         F.min(T).alias("first_month"),
         F.min_by(V, T).alias("first_month_mrr"),
-    ))
+    )
 
 
-def _new_rows(cm) -> DataFrame:
+def _new_rows(cm: DataFrame) -> DataFrame:
     """One row per customer: its first revenue month and the MRR in it."""
     return first_revenue_month(cm).select(
         F.col("first_month").alias(T), F.col("first_month_mrr").alias("new_mrr"),
@@ -157,7 +109,7 @@ def churned_mrr(cm: DataFrame) -> DataFrame:
     """A5: customers with revenue in month m and none in m + 1, reported in m + 1
     (grouped by m, as in the reference, then shifted). The MRR is negated."""
     return (
-        _each(cm, _churn_rows)
+        _churn_rows(cm)
         .groupBy(T)
         .agg(
             (F.sum(V) * F.lit(-1)).alias("churned_mrr"),
@@ -187,14 +139,14 @@ def _expansion_rows(hist: DataFrame) -> DataFrame:
       the bucket totals of one customer and month pair (at most
       10**precision / 2**16 buckets).
 
-    One linear pipeline on the customer partitioning (no union, no further
-    shuffle): each value row yields its "this month" and "last month" role
-    with an explode, then window, bucket totals, window, per-customer sum.
+    One linear pipeline (no union, no self-join): each value row yields its
+    "this month" and "last month" role with an explode, then window, bucket
+    totals, window, per-customer sum.
     """
     scale = hist.schema[V].dataType.scale
     big = "decimal(38,0)"
     units = (F.col(V) * F.lit(10 ** scale)).cast("long")
-    vals = _by_plan_first(hist).groupBy(C, T, V).agg(F.sum("rows").alias("n"))
+    vals = hist.groupBy(C, T, V).agg(F.sum("rows").alias("n"))
     zero = F.lit(0).cast("long")
     roles = F.explode(F.array(
         # as this month m: compared with the month before
@@ -253,7 +205,7 @@ def expansion_mrr(hist: DataFrame) -> DataFrame:
     """A4: sum of (this - last) over every pair of a customer's rows in month m
     and in m - 1 with this > last, and the count of customers with such a pair.
     """
-    return _each(hist, _expansion_rows).groupBy(T).agg(
+    return _expansion_rows(hist).groupBy(T).agg(
         F.sum("expansion_mrr").alias("expansion_mrr"),
         F.sum("expanded_customers").alias("expanded_customers"),
     )
@@ -263,8 +215,7 @@ def new_and_expansion(cm: DataFrame, hist: DataFrame) -> DataFrame:
     """New and expansion MRR per month from one month-level aggregation over
     the union of the per-customer contribution rows (one shuffle, not two)."""
     new = _new_rows(cm)
-    exp = _each(hist, _expansion_rows)
-    return new.unionByName(exp, allowMissingColumns=True).groupBy(T).agg(
+    return new.unionByName(_expansion_rows(hist), allowMissingColumns=True).groupBy(T).agg(
         F.sum("new_mrr").alias("new_mrr"),
         F.sum("new_customers").alias("new_customers"),
         F.sum("expansion_mrr").alias("expansion_mrr"),

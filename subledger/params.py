@@ -1,8 +1,9 @@
 """Run parameters and fixed values.
 
-Nothing in the library reads the clock: every time-dependent model takes an
-``as_of`` date (the reference's ``current_date``) and a ``run_ts`` timestamp
-(the reference's ``current_timestamp()``), so a rebuild is reproducible.
+Nothing in the library reads the clock, and nothing has a default date: every
+time-dependent model takes an ``as_of`` date (today, in a scheduled run) and a
+``run_ts`` timestamp from its caller, so a rebuild is reproducible. Only the
+command line asks the clock, once, when its flags are absent.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class RunParams:
-    as_of: dt.date = dt.date(2001, 6, 30)
-    run_ts: dt.datetime = dt.datetime(2001, 7, 1, 6, 0, 0)
+    as_of: dt.date
+    run_ts: dt.datetime
 
     @property
     def as_of_sql(self) -> str:
@@ -25,8 +26,6 @@ class RunParams:
         return f"TIMESTAMP '{self.run_ts.isoformat(sep=' ')}'"
 
 
-DEFAULT_PARAMS = RunParams()
-
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference models' literals.
 # ---------------------------------------------------------------------------
@@ -43,6 +42,19 @@ ACTION_SUBSCRIPTIONS = "investigate_billing_system"
 ACTION_TRANSACTIONS = "investigate_payment_processor"
 UNKNOWN_ISSUE = "unknown"
 
+# Issue labels.
+NULL_CUSTOMER_ID = "null_customer_id"
+UNPARSEABLE_DATE = "unparseable_date"
+NULL_CAC = "null_cac"
+NEGATIVE_CAC = "negative_cac"
+NULL_EMAIL = "null_email"
+NULL_PLAN = "null_plan"
+NULL_MRR = "null_mrr"
+ZERO_MRR = "zero_mrr"
+NULL_TRANSACTION_ID = "null_transaction_id"
+NULL_AMOUNT = "null_amount"
+BAD_AMOUNT = "negative_or_zero_amount"
+
 # Investigation notes.
 NOTE_NULL_PLAN = "Plan not assigned - check billing system"
 NOTE_ZERO_MRR = "Zero MRR - check billing processor"

@@ -1,12 +1,12 @@
 """Gold marts: MRR movements, unit economics, payment analytics.
 
-Joins against month / plan / payment-method / channel aggregates are left to
-AQE: those sides are shuffled aggregates whose *measured* size decides a
-broadcast at run time (``spark.sql.adaptive.autoBroadcastJoinThreshold``), with
-a sort-merge join if they ever outgrow it. Customer-grain joins stay
-shuffle joins; the one-to-many customer -> subscriptions join is written as an
-inner join (which AQE can split when a customer is hot) plus an anti join for
-customers without a subscription.
+Month / plan / payment-method / channel aggregates are computed first, written
+to the shared folder and joined to the detail rows by ``context_join``: a
+broadcast after their rows were counted, a salted shuffle join beyond that. So
+no detail row is ever shuffled on one of these few keys, whatever the planner
+estimates. Customer-grain joins stay shuffle joins; the one-to-many customer ->
+subscriptions join is an inner join of two directly shuffled sides (which AQE
+splits when a customer is hot) plus an anti join for customers without one.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from subledger.operators import revenue as rv
+from subledger.operators.materialise import context_join, materialised
 from subledger.operators.rules import first_match
 from subledger.params import HEALTH_CLASSES, HEALTH_DEFAULT, STATUS_PENDING
 
@@ -30,12 +31,11 @@ def _rate_pct(flag_col: str, n: Column | None = None) -> Column:
 # ---- mart_mrr (C8) ---------------------------------------------------------
 
 def mrr_components(revenue: DataFrame) -> dict[str, DataFrame]:
-    """Every CTE of the MRR mart, from silver monthly revenue.
+    """Every step of the MRR mart, from silver monthly revenue.
 
-    Every branch reads all histogram columns, so the plans below the
-    customer repartition are identical and AQE runs that shuffle once.
+    The histogram, the one large shuffle, is written once and read by each step.
     """
-    hist = rv.split_hot_customers(rv.revenue_histogram(revenue))
+    hist = materialised(rv.revenue_histogram(revenue), "revenue-histogram")
     cm = rv.customer_month(hist)
     by_plan = rv.mrr_by_month_plan(hist)
     totals = rv.month_totals(by_plan)
@@ -53,23 +53,25 @@ def mrr_components(revenue: DataFrame) -> dict[str, DataFrame]:
 
 
 def mart_mrr(revenue: DataFrame) -> DataFrame:
-    parts = mrr_components(revenue)
-    # Month x plan rows are few (months of history x plans): the month totals
-    # and the reference's growth - a lag over rows ordered by month (ties by
-    # plan here) - are windows over that small table in one partition.
-    by_month = Window.partitionBy(T)
-    in_order = Window.orderBy(T, "plan")
-    m = parts["mrr_by_month"].select(
-        "*",
-        F.sum("total_mrr").over(by_month).alias("total_mrr_all_plans"),
-        F.sum("active_customers").over(by_month).alias("total_active_customers"),
+    """C8. Growth is a lag over rows ordered by month and plan: the first plan
+    row of a month sees the month before, the others see their own month again,
+    so it is a window over months, and 0 (null for a zero total) elsewhere."""
+    hist = materialised(rv.revenue_histogram(revenue), "revenue-histogram")
+    cm = rv.customer_month(hist)
+    by_plan = materialised(rv.mrr_by_month_plan(hist), "mrr-by-month-plan")
+    growth = rv.month_growth(rv.month_totals(by_plan)).select(
+        T,
+        F.col("total_mrr").alias("total_mrr_all_plans"),
+        "total_active_customers",
+        F.col("mrr_growth_rate_pct").alias("_first_growth"),
     )
-    prev = F.lag("total_mrr_all_plans").over(in_order)
-    m = m.withColumn(
+    months = growth.join(rv.new_and_expansion(cm, hist), T, "left").join(rv.churned_mrr(cm), T, "left")
+    in_month = Window.partitionBy(T).orderBy("plan")
+    m = by_plan.withColumn("_place", F.row_number().over(in_month))
+    j = context_join(m, materialised(months, "mrr-months"), T).withColumn(
         "mrr_growth_rate_pct",
-        F.round((F.col("total_mrr_all_plans") - prev) / F.nullif(prev, F.lit(0)) * 100, 2))
-    moves = rv.new_and_expansion(parts["customer_month"], parts["hist"])
-    j = m.join(moves, T, "left").join(parts["churned_mrr"], T, "left")
+        F.when(F.col("_place") == 1, F.col("_first_growth"))
+        .when(F.col("total_mrr_all_plans") != 0, F.lit(0)))
     total = F.col("total_mrr_all_plans")
     z = F.lit(0)
     return j.select(
@@ -127,26 +129,17 @@ CAC_LTV_SUB_COLS = ("plan", "mrr_usd", "status", "is_churned", "months_active",
 
 def customer_metrics(customers: DataFrame, subscriptions: DataFrame, revenue: DataFrame) -> DataFrame:
     """Customer x subscription rows with unit-economics measures (unsorted)."""
-    cust = customers.select(*CAC_LTV_CUSTOMER_COLS).join(
+    cust = materialised(customers.select(*CAC_LTV_CUSTOMER_COLS).join(
         customer_revenue_summary(revenue).select(
             "customer_id", "avg_monthly_mrr", "total_revenue_to_date", "months_with_revenue"),
         "customer_id", "left",
-    )
+    ), "customer-revenue")
     subs = subscriptions.select("customer_id", "subscription_id", *CAC_LTV_SUB_COLS)
-    # One (customer, plan) pre-aggregate feeds both the set of customers that
-    # have a subscription and the churn rate by plan (one shared shuffle).
-    per_customer_plan = subscriptions.groupBy("customer_id", "plan").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.sum(F.when(F.col("is_churned"), 1).otherwise(0)).alias("_churned"),
-    )
-    rates = per_customer_plan.groupBy("plan").agg(
-        F.round(F.sum("_churned").cast("double") / F.nullif(F.sum("_n"), F.lit(0)), 4)
-        .alias("monthly_churn_rate"))
-    # customers LEFT JOIN subscriptions == matched pairs + customers with none.
+    rates = materialised(churn_by_plan(subscriptions).select("plan", "monthly_churn_rate"), "churn-by-plan")
+    # customers LEFT JOIN subscriptions == matched pairs + customers with none
     matched = cust.join(subs, "customer_id", "inner")
-    unmatched = cust.join(per_customer_plan.select("customer_id"), "customer_id", "left_anti")
-    rows = matched.unionByName(unmatched, allowMissingColumns=True)
-    rows = rows.join(rates, "plan", "left")
+    unmatched = cust.join(subs.select("customer_id").distinct(), "customer_id", "left_anti")
+    rows = context_join(matched.unionByName(unmatched, allowMissingColumns=True), rates, "plan")
 
     avg, rate, cac = F.col("avg_monthly_mrr"), F.col("monthly_churn_rate"), F.col("cac_usd")
     ratio = (avg / F.nullif(rate, F.lit(0))) / F.nullif(cac, F.lit(0))
@@ -243,42 +236,30 @@ TX_DETAIL_COLS = (
 )
 
 
+_CONTEXT_KEYS = ("transaction_month", "payment_method", "channel")
+
+
 def _context_cube(tx: DataFrame) -> DataFrame:
     """(month, method, channel) -> row count, successful count and volume.
 
     One pass over the transactions; the three context tables are then
-    re-aggregations of this small result (AQE reuses its shuffle for all
-    three), instead of three passes over the detail rows. Null keys form
-    their own groups, so every re-aggregate still counts every row.
+    re-aggregations of this small written table. Null keys form their own
+    groups, so every re-aggregate still counts every row.
     """
-    return tx.groupBy("transaction_month", "payment_method", "channel").agg(
+    return tx.groupBy(*_CONTEXT_KEYS).agg(
         F.count(F.lit(1)).alias("_n"),
         F.count_if(F.col("is_successful")).alias("_ok"),
         F.sum(_success_amount()).alias("_vol"),
     )
 
 
-_CONTEXT_KEYS = ("transaction_month", "payment_method", "channel")
-
-
-def _contexts(cube: DataFrame) -> DataFrame:
-    """Month, method and channel totals in ONE grouping-sets aggregation of
-    the small cube (one shuffle); ``_gid`` tells the three sets apart, so a
-    real null key is never confused with a rolled-up one."""
-    return cube.groupingSets([[k] for k in _CONTEXT_KEYS], *_CONTEXT_KEYS).agg(
-        F.sum("_n").alias("_n"), F.sum("_ok").alias("_ok"), F.sum("_vol").alias("_vol"),
-        F.grouping_id().alias("_gid"),
-    )
-
-
-def _context(ctx: DataFrame, key: str, rate: str, volume: str | None = None) -> DataFrame:
-    # grouping_id bit i is 1 when key i is rolled up
-    gid = sum(1 << (len(_CONTEXT_KEYS) - 1 - i) for i, k in enumerate(_CONTEXT_KEYS) if k != key)
-    cols = [F.col(key).alias(f"_key_{key}"),
-            F.round(F.col("_ok").cast("double") / F.nullif(F.col("_n"), F.lit(0)) * 100, 2).alias(rate)]
-    if volume:
-        cols.append(F.col("_vol").alias(volume))
-    return ctx.where(F.col("_gid") == gid).select(*cols, "_n")
+def _context(cube: DataFrame, key: str, rate: str, volume: str | None = None, rows: str | None = None) -> DataFrame:
+    """One row per ``key`` with its success rate, and its volume and row count if named."""
+    n, ok = F.sum("_n"), F.sum("_ok")
+    measures = [F.round(ok.cast("double") / F.nullif(n, F.lit(0)) * 100, 2).alias(rate)]
+    measures += [n.alias(rows)] if rows else []
+    measures += [F.sum("_vol").alias(volume)] if volume else []
+    return materialised(cube.groupBy(key).agg(*measures), f"by-{key}")
 
 
 def mart_transactions(tx: DataFrame) -> DataFrame:
@@ -286,18 +267,16 @@ def mart_transactions(tx: DataFrame) -> DataFrame:
 
     Keys join with plain equality, so a null method or channel gets null context.
     """
-    ctx = _contexts(_context_cube(tx))
-    m = _context(ctx, "transaction_month", "month_success_rate_pct", "month_successful_volume_usd") \
-        .withColumnRenamed("_n", "month_total_transactions")
-    pm = _context(ctx, "payment_method", "payment_method_success_rate_pct",
-                  "payment_method_total_volume_usd").drop("_n")
-    ch = _context(ctx, "channel", "channel_success_rate_pct").drop("_n")
-    t = tx.select(*TX_DETAIL_COLS)
-    out = (
-        t.join(m, F.col("transaction_month") == F.col("_key_transaction_month"), "left")
-        .join(pm, F.col("payment_method") == F.col("_key_payment_method"), "left")
-        .join(ch, F.col("channel") == F.col("_key_channel"), "left")
-    )
+    cube = materialised(_context_cube(tx), "payment-context")
+    out = tx.select(*TX_DETAIL_COLS)
+    for key, context in (
+        ("transaction_month", _context(cube, "transaction_month", "month_success_rate_pct",
+                                       "month_successful_volume_usd", "month_total_transactions")),
+        ("payment_method", _context(cube, "payment_method", "payment_method_success_rate_pct",
+                                    "payment_method_total_volume_usd")),
+        ("channel", _context(cube, "channel", "channel_success_rate_pct")),
+    ):
+        out = context_join(out, context, key)
     return out.select(
         *TX_DETAIL_COLS,
         "month_total_transactions", "month_success_rate_pct", "month_successful_volume_usd",

@@ -10,8 +10,11 @@ runs once and is written:
    not repeated, and a lost executor never sends the job back to bronze;
 2. silver tables are written, then the marts read them (column-pruned scans
    instead of re-running dedup and parsing per branch);
-3. the incremental quarantine is a keyed upsert published as a new version
-   directory; the previous version stays readable until the new one commits.
+3. the incremental quarantine is a keyed upsert that rewrites the hash buckets
+   its batch touches.
+
+Every table is published as a new version: readers see the last complete one
+(``VersionedTable(spark, root).current()``), during a build and after a failed one.
 
 All time-dependent values come from ``RunParams``; re-running with the same
 parameters over the same bronze rewrites identical tables.
@@ -25,8 +28,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from subledger.operators.quality import not_null_report, unique_report
-from subledger.operators.upsert import VersionedTable, incremental_gate, keyed_upsert
-from subledger.params import DEFAULT_PARAMS, RunParams
+from subledger.operators.upsert import BucketedTable, VersionedTable, incremental_gate
+from subledger.params import RunParams
 from subledger.plans import marts, quarantine, silver
 from subledger.session import checkpoint_dir
 from subledger.sources.bronze import Bronze
@@ -38,21 +41,23 @@ class BuildResult:
     quarantine_transactions_version: int = 0
 
 
-def _write(df: DataFrame, path: str, partition_by: str | None = None) -> str:
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
+def _write(df: DataFrame, path: str) -> str:
+    df.write.parquet(path)
     return path
 
 
+def _publish(df: DataFrame, root: str) -> str:
+    table = VersionedTable(df.sparkSession, root)
+    return table.path(table.publish(df))
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def build(spark: SparkSession, bronze: Bronze, out_root: str, params: RunParams = DEFAULT_PARAMS,
+def build(spark: SparkSession, bronze: Bronze, out_root: str, params: RunParams,
           keep_intermediate: bool = False) -> BuildResult:
     """Build every layer. The deduplicated bronze copies live in a per-run
     folder under the shared checkpoint folder and are removed after a
@@ -74,22 +79,21 @@ def build(spark: SparkSession, bronze: Bronze, out_root: str, params: RunParams
         "stg_monthly_revenue": silver.stg_monthly_revenue(bronze, params),
     }
     for name, df in stg.items():
-        res.tables[name] = _write(df, f"{out_root}/silver/{name}")
+        res.tables[name] = _publish(df, f"{out_root}/silver/{name}")
     s = {name: spark.read.parquet(p) for name, p in res.tables.items()}
 
     # 3. quarantine: two full rebuilds, one keyed incremental upsert
-    res.tables["quarantine_customers"] = _write(
+    res.tables["quarantine_customers"] = _publish(
         quarantine.quarantine_customers_from(dedup["customers"], params),
         f"{out_root}/quarantine/quarantine_customers")
-    res.tables["quarantine_subscriptions"] = _write(
+    res.tables["quarantine_subscriptions"] = _publish(
         quarantine.quarantine_subscriptions_from(dedup["subscriptions"], params),
         f"{out_root}/quarantine/quarantine_subscriptions")
-    vt = VersionedTable(spark, f"{out_root}/quarantine/quarantine_transactions")
-    target = vt.current()
-    gate = incremental_gate(quarantine.flagged_at(params), target)
+    table = BucketedTable(spark, f"{out_root}/quarantine/quarantine_transactions", "row_id")
+    gate = incremental_gate(quarantine.flagged_at(params), table.current())
     batch = quarantine.quarantine_transactions_from(dedup["transactions"], params, gate)
-    res.quarantine_transactions_version = vt.publish(keyed_upsert(target, batch, "row_id"))
-    res.tables["quarantine_transactions"] = vt.path(res.quarantine_transactions_version)
+    res.quarantine_transactions_version = table.upsert(batch)
+    res.tables["quarantine_transactions"] = table.root
 
     # 4. gold, from the written silver tables
     gold = {
@@ -97,18 +101,16 @@ def build(spark: SparkSession, bronze: Bronze, out_root: str, params: RunParams
         "mart_cac_ltv": marts.mart_cac_ltv(s["stg_customers"], s["stg_subscriptions"], s["stg_monthly_revenue"]),
         "mart_transactions": marts.mart_transactions(s["stg_transactions"]),
     }
-    # The transactions mart is range-sorted by date, so a month partition is
-    # written by the few tasks whose ranges cover it (files ~ tasks + months).
-    partition = {"mart_transactions": "transaction_month"}
     for name, df in gold.items():
-        res.tables[name] = _write(df, f"{out_root}/gold/{name}", partition.get(name))
+        res.tables[name] = _publish(df, f"{out_root}/gold/{name}")
 
     # 5. data-quality reports over what was written
-    q = {n: spark.read.parquet(res.tables[n]) for n in (
-        "quarantine_customers", "quarantine_subscriptions", "quarantine_transactions")}
+    q = {n: spark.read.parquet(res.tables[n]) for n in ("quarantine_customers", "quarantine_subscriptions")}
+    flagged = table.current()
+    q["quarantine_transactions"] = batch.limit(0) if flagged is None else flagged
     models = {**s, **q}
-    res.tables["dq_not_null"] = _write(not_null_report(models), f"{out_root}/dq/not_null")
-    res.tables["dq_unique"] = _write(unique_report(models), f"{out_root}/dq/unique")
+    res.tables["dq_not_null"] = _publish(not_null_report(models), f"{out_root}/dq/not_null")
+    res.tables["dq_unique"] = _publish(unique_report(models), f"{out_root}/dq/unique")
     if not keep_intermediate:
         _delete(spark, work)
     return res

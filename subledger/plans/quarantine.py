@@ -18,16 +18,27 @@ from subledger.params import (
     ACTION_CUSTOMERS,
     ACTION_SUBSCRIPTIONS,
     ACTION_TRANSACTIONS,
+    BAD_AMOUNT,
+    NEGATIVE_CAC,
     NOTE_BAD_AMOUNT,
     NOTE_NULL_PLAN,
     NOTE_NULL_TRANSACTION_ID,
     NOTE_ORPHAN_SUBSCRIPTION,
     NOTE_ORPHAN_TRANSACTION,
     NOTE_ZERO_MRR,
+    NULL_AMOUNT,
+    NULL_CAC,
+    NULL_CUSTOMER_ID,
+    NULL_EMAIL,
+    NULL_MRR,
+    NULL_PLAN,
+    NULL_TRANSACTION_ID,
     SOURCE_CUSTOMERS,
     SOURCE_SUBSCRIPTIONS,
     SOURCE_TRANSACTIONS,
     UNKNOWN_ISSUE,
+    UNPARSEABLE_DATE,
+    ZERO_MRR,
     RunParams,
 )
 from subledger.plans.silver import deduped
@@ -48,11 +59,11 @@ def _null(c: str) -> Column:
 def customer_issue_rules() -> list[tuple[str, Column]]:
     cac0 = whole_number("cac_usd")
     return [
-        ("null_customer_id", _null("customer_id")),
-        ("unparseable_date", iso_date("signup_date").isNull()),
-        ("null_cac", cac0.isNull()),
-        ("negative_cac", cac0 <= 0),
-        ("null_email", _null("email")),
+        (NULL_CUSTOMER_ID, _null("customer_id")),
+        (UNPARSEABLE_DATE, iso_date("signup_date").isNull()),
+        (NULL_CAC, cac0.isNull()),
+        (NEGATIVE_CAC, cac0 <= 0),
+        (NULL_EMAIL, _null("email")),
     ]
 
 
@@ -82,10 +93,10 @@ def quarantine_customers_from(raw: DataFrame, params: RunParams) -> DataFrame:
 def subscription_issue_rules() -> list[tuple[str, Column]]:
     mrr0 = whole_number("mrr_usd")
     return [
-        ("null_customer_id", _null("customer_id")),
-        ("null_plan", _null("plan")),
-        ("null_mrr", mrr0.isNull()),
-        ("zero_mrr", mrr0 <= 0),
+        (NULL_CUSTOMER_ID, _null("customer_id")),
+        (NULL_PLAN, _null("plan")),
+        (NULL_MRR, mrr0.isNull()),
+        (ZERO_MRR, mrr0 <= 0),
     ]
 
 
@@ -116,10 +127,10 @@ def quarantine_subscriptions_from(raw: DataFrame, params: RunParams) -> DataFram
 def transaction_issue_rules() -> list[tuple[str, Column]]:
     amount0 = whole_number("amount")
     return [
-        ("null_transaction_id", _null("transaction_id")),
-        ("null_customer_id", _null("customer_id")),
-        ("null_amount", amount0.isNull()),
-        ("negative_or_zero_amount", amount0 <= 0),
+        (NULL_TRANSACTION_ID, _null("transaction_id")),
+        (NULL_CUSTOMER_ID, _null("customer_id")),
+        (NULL_AMOUNT, amount0.isNull()),
+        (BAD_AMOUNT, amount0 <= 0),
     ]
 
 

@@ -22,22 +22,22 @@ from subledger.operators import quality
 from subledger.operators.dedup import dropped_duplicates
 from subledger.operators.schedule import expand_monthly_revenue
 from subledger.operators.upsert import incremental_gate, keyed_upsert
-from subledger.params import DEFAULT_PARAMS, DEFAULT_PLAN_PRICE, PLAN_PRICES, RunParams
+from subledger.params import DEFAULT_PLAN_PRICE, PLAN_PRICES, RunParams
 from subledger.plans import kpi, marts
 from subledger.plans import oracle as o
 from subledger.plans.quarantine import flagged_at, quarantine_transactions
 from subledger.plans.silver import deduped
 from subledger.plans.warehouse import Warehouse
 from subledger.sources.bronze import BRONZE_COLUMNS, Bronze
-from subledger.sources.fixtures import bronze_transactions, fixture_bronze
+from subledger.sources.fixtures import FIXTURE_PARAMS, bronze_transactions, fixture_bronze
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
 # Scenario of the incremental quarantine queries: a first load holding the
 # orders placed before DAY1_CUTOFF, flagged at DAY1_RUN_TS; then the full
-# reload, flagged at the default run timestamp.
+# reload, flagged at the fixture's run timestamp.
 DAY1_CUTOFF = dt.date(1995, 6, 17)
-DAY1_PARAMS = RunParams(as_of=DEFAULT_PARAMS.as_of, run_ts=dt.datetime(2001, 6, 30, 6, 0, 0))
+DAY1_PARAMS = RunParams(as_of=FIXTURE_PARAMS.as_of, run_ts=dt.datetime(2001, 6, 30, 6, 0, 0))
 
 
 def report(df: DataFrame) -> DataFrame:
@@ -49,7 +49,7 @@ def report(df: DataFrame) -> DataFrame:
 
 
 def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return Warehouse(fixture_bronze(spark, sf_dir), DEFAULT_PARAMS)
+    return Warehouse(fixture_bronze(spark, sf_dir), FIXTURE_PARAMS)
 
 
 @dataclass(frozen=True)
@@ -189,10 +189,10 @@ def q_mart_mrr(spark, sf_dir):
 
 
 @register("mrr_growth_monthly", """
-SELECT revenue_month, total_mrr,
-  round((total_mrr - lag(total_mrr) OVER (ORDER BY revenue_month))
-        / nullif(lag(total_mrr) OVER (ORDER BY revenue_month), 0) * 100, 2) AS mrr_growth_rate_pct
-FROM g_mrr_total""", doubles=("total_mrr", "mrr_growth_rate_pct"))
+SELECT t.revenue_month, t.total_mrr,
+  round((t.total_mrr - b.total_mrr) / nullif(b.total_mrr, 0) * 100, 2) AS mrr_growth_rate_pct
+FROM g_mrr_total t ASOF LEFT JOIN g_mrr_total b ON b.revenue_month < t.revenue_month""",
+          doubles=("total_mrr", "mrr_growth_rate_pct"))
 def q_mrr_growth_monthly(spark, sf_dir):
     return _wh(spark, sf_dir).mrr_components["growth"].select(
         "revenue_month", "total_mrr", "mrr_growth_rate_pct")
@@ -222,19 +222,17 @@ def q_mart_cac_ltv(spark, sf_dir):
     return _wh(spark, sf_dir).mart_cac_ltv
 
 
-@register("cac_channel_summary", """
-SELECT acquisition_channel,
-  count(DISTINCT customer_id) AS total_customers,
-  round(avg(cac_usd), 2) AS avg_cac,
-  round(avg(projected_ltv), 2) AS avg_ltv,
-  round(avg(ltv_cac_ratio), 2) AS avg_ltv_cac_ratio,
-  round(avg(cac_payback_months), 1) AS avg_payback_months,
-  sum(mrr_usd) AS total_mrr,
-  count(CASE WHEN unit_economics_health = 'excellent' THEN 1 END) AS excellent_count,
-  count(CASE WHEN unit_economics_health = 'healthy' THEN 1 END) AS healthy_count,
-  count(CASE WHEN unit_economics_health = 'marginal' THEN 1 END) AS marginal_count,
-  count(CASE WHEN unit_economics_health = 'poor' THEN 1 END) AS poor_count
-FROM g_customer_metrics GROUP BY acquisition_channel""",
+_AVERAGES = {"avg_cac": ("cac_usd", 2), "avg_ltv": ("projected_ltv", 2), "avg_ltv_cac_ratio": ("ltv_cac_ratio", 2),
+             "avg_payback_months": ("cac_payback_months", 1)}
+_AVERAGES_SQL = ", ".join(f"round(avg({c}), {n}) AS {name}" for name, (c, n) in _AVERAGES.items())
+_HEALTH_SQL = ", ".join(f"count(*) FILTER (unit_economics_health = '{h}') AS {h}_count"
+                        for h in ("excellent", "healthy", "marginal", "poor"))
+
+
+@register("cac_channel_summary", f"""
+SELECT acquisition_channel, len(list(DISTINCT customer_id)) AS total_customers, sum(mrr_usd) AS total_mrr,
+  {_AVERAGES_SQL}, {_HEALTH_SQL}
+FROM g_customer_metrics GROUP BY ALL""",
           doubles=("avg_cac", "avg_ltv", "avg_ltv_cac_ratio", "avg_payback_months", "total_mrr"))
 def q_cac_channel_summary(spark, sf_dir):
     return marts.cac_channel_summary(_wh(spark, sf_dir).customer_metrics)
@@ -320,20 +318,14 @@ def q_quarantine_breakdown(spark, sf_dir):
     return kpi.quarantine_breakdown(w.quarantine_customers, w.quarantine_subscriptions, w.quarantine_transactions)
 
 
-@register("kpi_transactions", """
-SELECT count(*) AS total_transactions,
-  round(CAST(count(CASE WHEN is_successful THEN 1 END) AS DOUBLE) / nullif(count(*), 0) * 100, 2) AS success_rate_pct,
-  round(CAST(count(CASE WHEN is_failed THEN 1 END) AS DOUBLE) / nullif(count(*), 0) * 100, 2) AS failure_rate_pct,
-  sum(CASE WHEN is_successful THEN amount_usd ELSE 0 END) AS successful_volume_usd
-FROM mart_transactions""", doubles=("successful_volume_usd",))
+@register("kpi_transactions", o.payments("", "total_transactions", "success_rate_pct", "failure_rate_pct",
+                                         "volume:successful_volume_usd", source="mart_transactions"),
+          doubles=("successful_volume_usd",))
 def q_kpi_transactions(spark, sf_dir):
     return kpi.kpi_transactions(_wh(spark, sf_dir).mart_transactions)
 
 
-@register("kpi_unit_economics", """
-SELECT round(avg(cac_usd), 2) AS avg_cac, round(avg(projected_ltv), 2) AS avg_ltv,
-  round(avg(ltv_cac_ratio), 2) AS avg_ltv_cac_ratio, round(avg(cac_payback_months), 1) AS avg_payback_months
-FROM g_customer_metrics""", doubles=("avg_cac", "avg_ltv", "avg_ltv_cac_ratio", "avg_payback_months"))
+@register("kpi_unit_economics", f"SELECT {_AVERAGES_SQL} FROM g_customer_metrics", doubles=tuple(_AVERAGES))
 def q_kpi_unit_economics(spark, sf_dir):
     return kpi.kpi_unit_economics(_wh(spark, sf_dir).mart_cac_ltv)
 
@@ -423,10 +415,10 @@ ANOMALY_CHECKS: dict[str, dict[str, tuple[str, str]]] = {
 }
 
 
-def anomaly_spark(kind: str, col: str, params: RunParams = DEFAULT_PARAMS):
+def anomaly_spark(kind: str, col: str, params: RunParams = FIXTURE_PARAMS):
     c = F.col(col)
     if kind == "duplicates":
-        return quality.duplicate_keys(col)
+        return col  # one row per value, see quality.profile
     return F.count_if({
         "nulls": lambda: c.isNull(),
         "negative": lambda: whole_number(col) < 0,
@@ -436,7 +428,7 @@ def anomaly_spark(kind: str, col: str, params: RunParams = DEFAULT_PARAMS):
     }[kind]())
 
 
-def anomaly_sql(kind: str, col: str, params: RunParams = DEFAULT_PARAMS) -> str:
+def anomaly_sql(kind: str, col: str) -> str:
     if kind == "duplicates":
         return f"count({col}) - count(DISTINCT {col})"
     cond = {
@@ -444,7 +436,7 @@ def anomaly_sql(kind: str, col: str, params: RunParams = DEFAULT_PARAMS) -> str:
         "negative": f"{o.N(col)} < 0",
         "zero": f"{o.N(col)} = 0",
         "non_iso": f"{col} IS NOT NULL AND {o.D(col)} IS NULL",
-        "future": f"{o.D(col)} > {params.as_of_sql}",
+        "future": f"{o.D(col)} > {o.AS_OF}",
     }[kind]
     return f"count(*) FILTER (WHERE {cond})"
 
@@ -482,12 +474,12 @@ def _repaired_bronze(b: Bronze) -> Bronze:
     return b.replace(transactions=tx)
 
 
+_DAY1_TS = "TIMESTAMP '2001-06-30 06:00:00'"
 _DAY1_REL = {
     "b_transactions_day1": o.bronze_transactions_sql(
         f"(SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '{DAY1_CUTOFF.isoformat()}')"),
-    "d_transactions_day1": "SELECT * FROM b_transactions_day1 QUALIFY row_number() OVER "
-                           "(PARTITION BY transaction_id ORDER BY transaction_date ASC NULLS LAST, row_seq) = 1",
-    "q_target": o.quarantine_transactions_sql("d_transactions_day1", run_ts=DAY1_PARAMS.run_ts_sql),
+    "d_transactions_day1": o.first_copies("b_transactions_day1", "transaction_id", "transaction_date"),
+    "q_target": o.quarantine_transactions_sql("d_transactions_day1", run_ts=_DAY1_TS),
 }
 _GATE2 = f"{o.RUN_TS} > (SELECT max(flagged_at) FROM q_target)"
 
@@ -507,8 +499,8 @@ SELECT * FROM {batch}"""
 def q_quarantine_upsert(spark, sf_dir):
     target = quarantine_transactions(_day1_bronze(spark, sf_dir), DAY1_PARAMS)
     full = fixture_bronze(spark, sf_dir)
-    gate = incremental_gate(flagged_at(DEFAULT_PARAMS), target)
-    batch = quarantine_transactions(full, DEFAULT_PARAMS, gate)
+    gate = incremental_gate(flagged_at(FIXTURE_PARAMS), target)
+    batch = quarantine_transactions(full, FIXTURE_PARAMS, gate)
     return keyed_upsert(target, batch, "row_id")
 
 
@@ -518,15 +510,15 @@ def q_quarantine_upsert(spark, sf_dir):
 def q_quarantine_upsert_new_column(spark, sf_dir):
     target = quarantine_transactions(_day1_bronze(spark, sf_dir), DAY1_PARAMS)
     full = fixture_bronze(spark, sf_dir)
-    gate = incremental_gate(flagged_at(DEFAULT_PARAMS), target)
-    batch = quarantine_transactions(full, DEFAULT_PARAMS, gate, extra={"raw_fee_usd": F.col("fee_usd")})
+    gate = incremental_gate(flagged_at(FIXTURE_PARAMS), target)
+    batch = quarantine_transactions(full, FIXTURE_PARAMS, gate, extra={"raw_fee_usd": F.col("fee_usd")})
     return keyed_upsert(target, batch, "row_id")
 
 
 @register("quarantine_incremental_gate", "SELECT * FROM q_rerun",
           extra_relations={**_DAY1_REL, "q_rerun": o.quarantine_transactions_sql(
-              "d_transactions", f"{DAY1_PARAMS.run_ts_sql} > (SELECT max(flagged_at) FROM q_target)",
-              run_ts=DAY1_PARAMS.run_ts_sql)})
+              "d_transactions", f"{_DAY1_TS} > (SELECT max(flagged_at) FROM q_target)",
+              run_ts=_DAY1_TS)})
 def q_quarantine_incremental_gate(spark, sf_dir):
     """A re-run at the target's own timestamp: the gate is false, so rows whose
     only defect is a non-positive amount are not re-flagged; null id, customer
@@ -537,10 +529,9 @@ def q_quarantine_incremental_gate(spark, sf_dir):
 
 
 _FIX_REL = {
-    "q_v1": o.quarantine_transactions_sql("d_transactions", run_ts=DAY1_PARAMS.run_ts_sql),
+    "q_v1": o.quarantine_transactions_sql("d_transactions", run_ts=_DAY1_TS),
     "b_transactions_fixed": "SELECT * REPLACE (regexp_replace(amount, '^-', '') AS amount) FROM b_transactions",
-    "d_transactions_fixed": "SELECT * FROM b_transactions_fixed QUALIFY row_number() OVER "
-                            "(PARTITION BY transaction_id ORDER BY transaction_date ASC NULLS LAST, row_seq) = 1",
+    "d_transactions_fixed": o.first_copies("b_transactions_fixed", "transaction_id", "transaction_date"),
     "q_fix_batch": o.quarantine_transactions_sql(
         "d_transactions_fixed", f"{o.RUN_TS} > (SELECT max(flagged_at) FROM q_v1)"),
 }
@@ -552,8 +543,8 @@ def q_fix_cycle_replay(spark, sf_dir):
     reach silver), while their old quarantine rows stay as history."""
     full = fixture_bronze(spark, sf_dir)
     v1 = quarantine_transactions(full, DAY1_PARAMS)
-    gate = incremental_gate(flagged_at(DEFAULT_PARAMS), v1)
-    batch = quarantine_transactions(_repaired_bronze(full), DEFAULT_PARAMS, gate)
+    gate = incremental_gate(flagged_at(FIXTURE_PARAMS), v1)
+    batch = quarantine_transactions(_repaired_bronze(full), FIXTURE_PARAMS, gate)
     return keyed_upsert(v1, batch, "row_id")
 
 
@@ -575,7 +566,7 @@ def _multi_sql(col: str) -> str:
     ) + ")"
 
 
-_HORIZON = DEFAULT_PARAMS.as_of_sql
+_HORIZON = o.AS_OF
 _SCHEDULE_SQL = f"""
 SELECT subscription_id || '-' || strftime(month, '%Y%m') AS revenue_id,
   subscription_id, customer_id, month,
@@ -593,7 +584,7 @@ FROM (
       CASE WHEN {o.N('upgrade_mrr_usd')} > 0 THEN {o.N('upgrade_mrr_usd', 10, 2)} END AS up_mrr,
       CAST(date_trunc('month', {_multi_sql('start_date')}) AS DATE) AS first_m,
       CAST(date_trunc('month', least(coalesce({_multi_sql('end_date')}, {_HORIZON}), {_HORIZON})) AS DATE) AS last_m
-    FROM (SELECT * FROM b_subscriptions QUALIFY row_number() OVER (PARTITION BY subscription_id ORDER BY row_seq) = 1)
+    FROM (SELECT unnest(r) FROM (SELECT arg_min(b, row_seq) AS r FROM b_subscriptions b GROUP BY subscription_id))
     WHERE subscription_id IS NOT NULL
   ) s
   WHERE first_m <= last_m
@@ -602,7 +593,7 @@ FROM (
 
 @register("expand_monthly_revenue", _SCHEDULE_SQL, doubles=("mrr_usd",))
 def q_expand_monthly_revenue(spark, sf_dir):
-    return expand_monthly_revenue(fixture_bronze(spark, sf_dir).subscriptions, DEFAULT_PARAMS.as_of)
+    return expand_monthly_revenue(fixture_bronze(spark, sf_dir).subscriptions, FIXTURE_PARAMS.as_of)
 
 
 def _layout_sql(col: str) -> str:
@@ -657,7 +648,7 @@ def q_duplicate_transactions(spark, sf_dir):
         F.col("amount").alias("raw_amount"),
         "status",
         F.lit("duplicate_transaction_id").alias("issue_type"),
-        flagged_at(DEFAULT_PARAMS).alias("flagged_at"),
+        flagged_at(FIXTURE_PARAMS).alias("flagged_at"),
         F.lit("investigate_payment_processor").alias("recommended_action"),
     )
 
@@ -666,21 +657,38 @@ def q_duplicate_transactions(spark, sf_dir):
 # Bronze bulk load (S5): CSV -> bronze table, rows-only check
 # ---------------------------------------------------------------------------
 
-@register("bronze_load_csv", f"SELECT {', '.join(BRONZE_COLUMNS['transactions'])} FROM b_transactions")
-def q_bronze_load_csv(spark, sf_dir):
-    """Derived bronze transactions written as raw CSV into the shared
-    checkpoint folder, then bulk-loaded back as an all-text bronze table."""
-    import uuid
-
-    from subledger.session import checkpoint_dir
-    from subledger.sources.bronze import load_csv
-
-    root = f"{checkpoint_dir(spark).rstrip('/')}/csv-load-{uuid.uuid4().hex}"
-    tx = fixture_bronze(spark, sf_dir).transactions.drop("row_seq")
-    (tx.write.mode("overwrite").option("header", True)
-       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-       .csv(f"{root}/csv"))
-    return load_csv(spark, f"{root}/csv", "transactions", f"{root}/bronze").drop("row_seq")
+#: Texts that only survive a reader of RFC 4180: put into one text column per table.
+_AWKWARD = {"customers": "full_name", "subscriptions": "billing_cycle", "transactions": "description",
+            "monthly_revenue": "billing_cycle"}
+_AWKWARD_SPARK = "concat({c}, ', \"', {c}, '\"', char(10), 'x')"
+_AWKWARD_SQL = "{c} || ', \"' || {c} || '\"' || chr(10) || 'x'"
+
+
+def _csv_query(table: str):
+    column = _AWKWARD[table]
+    shown = ", ".join(_AWKWARD_SQL.format(c=c) + f" AS {c}" if c == column else c for c in BRONZE_COLUMNS[table])
+    name = "bronze_load_csv" if table == "transactions" else f"bronze_load_csv_{table}"
+
+    @register(name, f"SELECT {shown} FROM b_{table}")
+    def load(spark, sf_dir):
+        """Derived bronze rows, with commas, quotes and line breaks in one column,
+        written as raw CSV into the shared folder and bulk-loaded back as bronze."""
+        import uuid
+
+        from subledger.session import checkpoint_dir
+        from subledger.sources.bronze import CORRUPT, ROW_SEQ, load_csv
+
+        root = f"{checkpoint_dir(spark).rstrip('/')}/csv-load-{uuid.uuid4().hex}"
+        rows = fixture_bronze(spark, sf_dir).table(table).drop(ROW_SEQ)
+        rows = rows.withColumn(column, F.expr(_AWKWARD_SPARK.format(c=column)))
+        (rows.write.option("header", True).option("quote", '"').option("escape", '"')
+             .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+             .csv(f"{root}/csv"))
+        return load_csv(spark, f"{root}/csv", table, f"{root}/bronze", multi_line=True).drop(ROW_SEQ, CORRUPT)
+
+
+for _t in _AWKWARD:
+    _csv_query(_t)
 
 
 def queries() -> dict[str, Builder]:

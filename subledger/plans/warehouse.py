@@ -11,13 +11,13 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from subledger.params import DEFAULT_PARAMS, RunParams
+from subledger.params import RunParams
 from subledger.plans import marts, quarantine, silver
 from subledger.sources.bronze import Bronze
 
 
 class Warehouse:
-    def __init__(self, bronze: Bronze, params: RunParams = DEFAULT_PARAMS, silver_tables: dict | None = None):
+    def __init__(self, bronze: Bronze, params: RunParams, silver_tables: dict | None = None):
         self.bronze = bronze
         self.params = params
         self._silver = silver_tables or {}

@@ -1,17 +1,21 @@
 """Bronze (raw, all-text) relations: schemas, CSV bulk load, parquet read.
 
 Every bronze column is text; typing happens in silver with safe casts. Each
-table may carry one helper column, ``row_seq`` (bigint arrival order), used
-only to make the keep-first dedup a total order.
+table carries one helper column, ``row_seq`` (bigint arrival order), used only
+to make the keep-first dedup a total order.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from subledger.operators.materialise import BROADCAST_ROWS, materialised
+from subledger.operators.upsert import VersionedTable
+
 # Bronze column lists, as the raw CSV files carry them.
 BRONZE_COLUMNS: dict[str, tuple[str, ...]] = {
     "customers": (
@@ -60,38 +64,56 @@ class Bronze:
         return Bronze(**cur)
 
 
-def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
+#: Text of a line that does not parse as the table's columns.
+CORRUPT = "_corrupt_record"
+
+
+def read_csv(spark: SparkSession, path: str, table: str, multi_line: bool = False) -> DataFrame:
     """Raw CSV with header, every column text (no inference); empty field -> null.
 
-    ``row_seq`` is not in the file; it is added by ``load_csv`` from the file
-    name and the row position, which is stable for a given file set.
+    RFC 4180: fields may be quoted, a quote inside doubled. ``multi_line`` lets
+    quoted fields hold line breaks, at the price that a file is read by one task.
+    A line with too few or too many fields keeps what it has and its text in
+    ``_corrupt_record``.
     """
+    schema = text_schema(table).add(CORRUPT, T.StringType(), True)
     return (
-        spark.read.schema(text_schema(table))
+        spark.read.schema(schema)
         .option("header", True)
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", multi_line)
         .option("enforceSchema", False)
         .csv(path)
     )
 
 
-def with_arrival_order(df: DataFrame) -> DataFrame:
-    """Attach ``row_seq`` = (scan split index, row offset in the split).
+def load_csv(spark: SparkSession, csv_path: str, table: str, out_root: str, multi_line: bool = False) -> DataFrame:
+    """Bulk load: raw CSV -> the next version of a bronze table, then read back.
 
-    Applied directly on the file scan, before any shuffle, the split layout is
-    fixed by the file set, so a recomputed task reproduces the same values.
-    The number is written once with the bronze table and read back from then on.
+    ``row_seq`` orders the rows by file name, then by place in the file, however
+    the files were split among tasks: a first write keeps file, block and position
+    in the task; the blocks, one row per input split, are then ranked.
     """
-    from pyspark.sql import functions as F
-
-    return df.withColumn(ROW_SEQ, F.monotonically_increasing_id())
-
-
-def load_csv(spark: SparkSession, csv_path: str, table: str, out_path: str) -> DataFrame:
-    """Bulk load: raw CSV -> bronze parquet (full overwrite), then read back."""
-    df = with_arrival_order(read_csv(spark, csv_path, table))
-    df.write.mode("overwrite").parquet(out_path)
-    return spark.read.parquet(out_path)
+    raw = read_csv(spark, csv_path, table, multi_line).select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_place"),
+    )
+    staged = materialised(raw, f"csv-{table}")
+    blocks = staged.select("_file", "_block").distinct()
+    ranked = blocks.withColumn("_rank", F.row_number().over(Window.orderBy("_file", "_block")) - 1)
+    ranked = materialised(ranked, "csv-blocks")
+    seq = F.shiftleft(F.col("_rank").cast("long"), 33).bitwiseOR(F.col("_place"))
+    columns = [*BRONZE_COLUMNS[table], CORRUPT]
+    side = F.broadcast(ranked) if ranked.count() <= BROADCAST_ROWS else ranked
+    out = staged.join(side, ["_file", "_block"]).select(*columns, seq.alias(ROW_SEQ))
+    bronze = VersionedTable(spark, out_root)
+    bronze.publish(out)
+    return bronze.current()
 
 
 def read_bronze(spark: SparkSession, root: str) -> Bronze:

@@ -16,11 +16,15 @@ trip per expression node.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 
+from subledger.params import RunParams
 from subledger.sources.bronze import ROW_SEQ, Bronze
 
 # Fixed values of the fixture derivation (FIXTURES.md section 3).
+FIXTURE_PARAMS = RunParams(as_of=dt.date(2001, 6, 30), run_ts=dt.datetime(2001, 7, 1, 6, 0, 0))
 COMPANY_SIZES = ("1-10", "11-50", "51-200", "201-500", "500+")
 INDUSTRIES = ("FinTech", "ecommerce", "saas", "healthcare", "logistics", "media", " education")
 PLAN_TEXT = (" Starter", "growth", "pro", "enterprise")
@@ -32,7 +36,6 @@ DESCRIPTIONS = ("subscription_payment", "one_time_payment", "refund_processed",
 EPOCH = "2000-01-01"
 LAST_MONTH_INDEX = 2001 * 12 + 7  # 2001-08
 SCHEDULE_MONTHS = 20
-SECOND_SUB_OFFSET = 5_000_000
 
 
 def _pick(values: tuple[str, ...], index: str) -> str:
@@ -42,7 +45,8 @@ def _pick(values: tuple[str, ...], index: str) -> str:
 
 
 def _pad(x: str, n: int) -> str:
-    return f"lpad(cast({x} AS STRING), {n}, '0')"
+    """At least ``n`` digits; a longer number keeps them all."""
+    return f"format_string('%0{n}d', cast({x} AS BIGINT))"
 
 
 def mixed_date_text(d: str, n: str) -> str:
@@ -92,12 +96,19 @@ def bronze_customers(customer: DataFrame) -> DataFrame:
     )
 
 
-def bronze_subscriptions(customer: DataFrame) -> DataFrame:
+def _subscription_id(k: str, dup: str) -> str:
+    """The customer's number; a second subscription of the customer ends in ``-2``."""
+    return f"concat('SUB-', {_pad(k, 7)}, CASE WHEN {dup} = 1 THEN '-2' ELSE '' END)"
+
+
+def _subscription_rows(customer: DataFrame) -> DataFrame:
+    """Bronze subscriptions with their source key ``k`` and copy number ``dup``."""
     x = customer.selectExpr("c_custkey AS k", _dup("c_custkey % 103 = 6"))
     d = _base_date("k")
     pi = PLAN_INDEX
     return x.selectExpr(
-        f"concat('SUB-', {_pad(f'k + dup * {SECOND_SUB_OFFSET}', 7)}) AS subscription_id",
+        "k", "dup",
+        f"{_subscription_id('k', 'dup')} AS subscription_id",
         f"CASE WHEN k % 109 = 21 THEN NULL ELSE {_cust_id('k')} END AS customer_id",
         f"CASE WHEN k % 59 = 4 THEN NULL ELSE {_pick(PLAN_TEXT, pi)} END AS plan",
         f"CASE WHEN k % 61 = 8 THEN '0' WHEN k % 83 = 2 THEN NULL ELSE {_pick(PLAN_MRR_TEXT, pi)} END AS mrr_usd",
@@ -115,6 +126,10 @@ def bronze_subscriptions(customer: DataFrame) -> DataFrame:
     )
 
 
+def bronze_subscriptions(customer: DataFrame) -> DataFrame:
+    return _subscription_rows(customer).drop("k", "dup")
+
+
 def bronze_transactions(orders: DataFrame) -> DataFrame:
     x = orders.selectExpr(
         "o_orderkey AS k", "o_custkey",
@@ -142,16 +157,14 @@ def bronze_transactions(orders: DataFrame) -> DataFrame:
     )
 
 
-def bronze_monthly_revenue(subscriptions: DataFrame) -> DataFrame:
-    """One row per subscription and schedule month, from bronze subscriptions.
+def bronze_monthly_revenue(customer: DataFrame) -> DataFrame:
+    """One row per subscription and schedule month.
 
     Months kept: all of them unless churned, then the first 2 + k%12; the
     sequence is generated to that length directly (no filter on a product).
     """
-    k = f"(cast(substring(subscription_id, 5) AS BIGINT) % {SECOND_SUB_OFFSET})"
-    x = subscriptions.selectExpr(
-        "subscription_id", "customer_id", "plan", "billing_cycle", "mrr_usd", "upgrade_mrr_usd",
-        f"{k} AS k",
+    x = _subscription_rows(customer).select(
+        "k", "dup", "subscription_id", "customer_id", "plan", "billing_cycle", "mrr_usd", "upgrade_mrr_usd",
     ).selectExpr(
         "*",
         f"year({_base_date('k')}) * 12 + month({_base_date('k')}) - 1 AS mi0",
@@ -170,31 +183,16 @@ def bronze_monthly_revenue(subscriptions: DataFrame) -> DataFrame:
         f"CASE WHEN up AND {mi} >= umi THEN upgrade_mrr_usd ELSE mrr_usd END AS mrr_usd",
         "plan",
         "billing_cycle",
-        f"cast(k * 100 + i AS BIGINT) AS {ROW_SEQ}",
+        f"cast((k * 2 + dup) * 100 + i AS BIGINT) AS {ROW_SEQ}",
     )
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan with fewer splits than the cluster has cores.
-
-    A one-row-group file is read by one task, and a row-multiplying
-    derivation up to the first shuffle (the revenue schedule) would run on one
-    core. A large input already has at least that many splits and is left
-    untouched, so this never adds a shuffle at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def fixture_bronze(spark: SparkSession, sf_dir: str) -> Bronze:
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    # orders (10x customers) and the revenue schedule (~14 rows per
-    # subscription) are the row-heavy derivations: spread their inputs
-    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet"))
-    subs = bronze_subscriptions(customer)
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     return Bronze(
         customers=bronze_customers(customer),
-        subscriptions=subs,
+        subscriptions=bronze_subscriptions(customer),
         transactions=bronze_transactions(orders),
-        monthly_revenue=bronze_monthly_revenue(spread(subs)),
+        monthly_revenue=bronze_monthly_revenue(customer),
     )

@@ -8,9 +8,10 @@ against the current table version, upserted, and published as the next
 version. ``Trigger.AvailableNow`` turns it into the scheduled-batch job the
 reference runs (process what has arrived, then stop).
 
-Re-running a micro-batch after a failure is harmless: the same batch with the
-same run timestamp upserts identical rows, and the gate then drops the
-amount-only rows, whose earlier copies the upsert keeps.
+A micro-batch that was published and is run again after a failure is skipped:
+each version carries its stream and batch number. Run timestamps have to
+increase from batch to batch, as the gate compares them with the newest flag;
+one that does not raises a ValueError instead of dropping rows.
 
 Differences from the full re-read, by design of file-incremental processing:
 duplicates are removed within a micro-batch, not against earlier files.
@@ -18,19 +19,35 @@ duplicates are removed within a micro-batch, not against earlier files.
 
 from __future__ import annotations
 
+import zlib
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from subledger.operators.dedup import keep_first
-from subledger.operators.upsert import VersionedTable, incremental_gate, keyed_upsert
+from subledger.operators.upsert import BucketedTable, incremental_gate
 from subledger.params import RunParams
 from subledger.plans.quarantine import flagged_at, quarantine_transactions_from
 from subledger.session import checkpoint_dir
 from subledger.sources.bronze import text_schema
 
 
+def publish_batch(table: BucketedTable, batch: DataFrame, params: RunParams, tag: str) -> None:
+    """Upsert one micro-batch, unless ``tag`` is published already."""
+    if tag in table.tags():
+        return
+    target = table.current()
+    if target is not None:
+        last = target.agg(F.max("flagged_at")).first()[0]
+        if last is not None and params.run_ts <= last:
+            raise ValueError(f"run timestamp {params.run_ts} is not after {last}")
+    gate = incremental_gate(flagged_at(params), target)
+    rows = keep_first(batch, "transaction_id", "transaction_date")
+    table.upsert(quarantine_transactions_from(rows, params, gate), tag)
+
+
 def start(
     spark: SparkSession,
     landing_dir: str,
@@ -44,15 +61,13 @@ def start(
     The landing files are bronze transactions in parquet (text columns plus
     ``row_seq``).
     """
-    vt = VersionedTable(spark, table_root)
+    table = BucketedTable(spark, table_root, "row_id")
     ckpt = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/stream-quarantine-transactions"
 
+    stream_no = zlib.crc32(ckpt.encode())
+
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        params = params_for_batch(batch_id)
-        target = vt.current()
-        gate = incremental_gate(flagged_at(params), target)
-        rows = keep_first(batch, "transaction_id", "transaction_date")
-        vt.publish(keyed_upsert(target, quarantine_transactions_from(rows, params, gate), "row_id"))
+        publish_batch(table, batch, params_for_batch(batch_id), f"{stream_no}-{batch_id}")
 
     stream = spark.readStream.schema(text_schema("transactions", with_row_seq=True)).parquet(landing_dir)
     writer = stream.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", ckpt)

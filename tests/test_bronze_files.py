@@ -1,0 +1,64 @@
+"""Raw files: RFC 4180 quoting, malformed lines, arrival order; ids that do not collide."""
+
+from pyspark.sql import functions as F
+
+from subledger.sources.bronze import CORRUPT, load_csv, read_csv
+from subledger.sources.fixtures import bronze_customers, bronze_monthly_revenue, bronze_subscriptions, bronze_transactions
+
+HEAD = "customer_id,signup_date,full_name,email,country,company_size,acquisition_channel,cac_usd,industry"
+
+
+def _file(path, *lines, name="a.csv"):
+    path.mkdir(parents=True, exist_ok=True)
+    (path / name).write_text("\n".join([HEAD, *lines]) + "\n")
+
+
+def test_quotes_commas_and_line_breaks(spark, tmp_path):
+    _file(tmp_path / "c", 'C1,2024-01-05,"Ann ""Al"", Lee",a@x,US,1-10,web,12.00,saas',
+          'C2,2024-01-06,"two\nlines",b@x,US,1-10,web,,saas')
+    got = {r.customer_id: r for r in read_csv(spark, str(tmp_path / "c"), "customers", multi_line=True).collect()}
+    assert (got["C1"].full_name, got["C1"].email, got["C1"].cac_usd) == ('Ann "Al", Lee', "a@x", "12.00")
+    assert (got["C2"].full_name, got["C2"].cac_usd, got["C2"].industry) == ("two\nlines", None, "saas")
+    assert got["C1"][CORRUPT] is None
+
+
+def test_malformed_lines_are_kept_and_told(spark, tmp_path):
+    _file(tmp_path / "c", "C1,2024-01-05,Ann,a@x,US,1-10,web,12.00,saas", "C2,short", "C3,1,2,3,4,5,6,7,8,9,10")
+    bronze = load_csv(spark, str(tmp_path / "c"), "customers", str(tmp_path / "out"))
+    bad = {r.customer_id: r[CORRUPT] for r in bronze.collect() if r[CORRUPT]}
+    assert bad == {"C2": "C2,short", "C3": "C3,1,2,3,4,5,6,7,8,9,10"}
+
+
+def test_arrival_order_does_not_depend_on_the_splits(spark, tmp_path):
+    for name, base in (("b.csv", 1000), ("a.csv", 0), ("c.csv", 2000)):
+        _file(tmp_path / "c", *[f"C{base + i},2024-01-05,{'x' * (i % 50)},a@x,US,1-10,web,12.00,saas" for i in range(700)], name=name)
+    orders = []
+    for size in ("16m", "4k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            bronze = load_csv(spark, str(tmp_path / "c"), "customers", str(tmp_path / f"out{size}"))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        rows = bronze.orderBy("row_seq").select("customer_id", "row_seq").collect()
+        assert len({r.row_seq for r in rows}) == len(rows) == 2100
+        orders.append([r.customer_id for r in rows])
+    assert orders[0] == orders[1] == [f"C{b + i}" for b in (0, 1000, 2000) for i in range(700)]
+
+
+def test_ids_of_very_large_keys_stay_apart(spark):
+    keys = [1, 7, 5_000_006, 10_000_001, 12_345_678, 123_456_789, 109 * 1_000_000, 5_000_006 + 103 * 50_000]
+    customer = spark.createDataFrame(
+        [(k, "n", 1, 1.0, "AUTO") for k in keys], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string")
+    orders = spark.createDataFrame([(k * 100, k) for k in keys], "o_orderkey long, o_custkey long").selectExpr(
+        "*", "cast(5.0 as double) o_totalprice", "timestamp'1995-01-01 00:00:00' o_orderdate")
+    ids = lambda df, c: [r[0] for r in df.where(F.col(c).isNotNull()).select(c).distinct().collect()]
+    named = sum(1 for k in keys if k % 211 != 17)
+    assert len(ids(bronze_customers(customer), "customer_id")) == named
+    subs = bronze_subscriptions(customer)
+    assert len(ids(subs, "subscription_id")) == subs.count() == len(keys) + sum(1 for k in keys if k % 103 == 6)
+    tx = bronze_transactions(orders)
+    assert len(ids(tx, "transaction_id")) == len(keys)
+    assert "TXN-12345678900" in ids(tx, "transaction_id")
+    revenue = bronze_monthly_revenue(customer)
+    assert len(ids(revenue, "revenue_id")) == revenue.count()
+    assert set(ids(revenue, "subscription_id")) == set(ids(subs, "subscription_id"))

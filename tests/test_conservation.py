@@ -3,10 +3,9 @@
 from pyspark.sql import functions as F
 
 from subledger.functions import iso_date, whole_number
-from subledger.params import DEFAULT_PARAMS
 from subledger.plans.silver import deduped
 from subledger.plans.warehouse import Warehouse
-from subledger.sources.fixtures import fixture_bronze
+from subledger.sources.fixtures import FIXTURE_PARAMS, fixture_bronze
 
 from conftest import SF01
 
@@ -15,7 +14,7 @@ def test_bronze_and_model_counts(spark):
     b = fixture_bronze(spark, SF01)
     assert [b.table(t).count() for t in ("customers", "subscriptions", "transactions", "monthly_revenue")] \
         == [1516, 1515, 15169, 21084]
-    w = Warehouse(b)
+    w = Warehouse(b, FIXTURE_PARAMS)
     assert w.stg_customers.count() == 634
     assert w.stg_subscriptions.count() == 1432
     assert w.stg_transactions.count() == 6771
@@ -32,7 +31,7 @@ def test_bronze_and_model_counts(spark):
 def test_conservation_of_deduped_rows(spark):
     """deduped = silver + quarantine + rows dropped by neither (reason-coded)."""
     b = fixture_bronze(spark, SF01)
-    w = Warehouse(b)
+    w = Warehouse(b, FIXTURE_PARAMS)
     for table, stg, q in (("customers", w.stg_customers, w.quarantine_customers),
                           ("subscriptions", w.stg_subscriptions, w.quarantine_subscriptions),
                           ("transactions", w.stg_transactions, w.quarantine_transactions)):
@@ -49,7 +48,7 @@ def _neither(raw, table):
     # transactions: valid id/customer/amount but null status, bad or future date
     ok = F.col("transaction_id").isNotNull() & F.col("customer_id").isNotNull() & (whole_number("amount") > 0)
     bad = F.col("status").isNull() | iso_date("transaction_date").isNull() \
-        | (iso_date("transaction_date") > F.lit(DEFAULT_PARAMS.as_of))
+        | (iso_date("transaction_date") > F.lit(FIXTURE_PARAMS.as_of))
     n = raw.where(ok & bad).count()
     assert n == 143 + 6870 + 98
     return n
@@ -57,7 +56,7 @@ def _neither(raw, table):
 
 def test_rebuild_is_deterministic(spark):
     def snapshot():
-        w = Warehouse(fixture_bronze(spark, SF01))
+        w = Warehouse(fixture_bronze(spark, SF01), FIXTURE_PARAMS)
         return {
             "mrr": sorted(map(tuple, w.mart_mrr.collect())),
             "q": sorted(map(repr, w.quarantine_transactions.collect())),

@@ -4,7 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 from subledger.operators.dedup import dropped_duplicates, keep_first
-from subledger.params import DEFAULT_PARAMS
+from subledger.sources.fixtures import FIXTURE_PARAMS
 from subledger.plans import marts, quarantine, silver
 from subledger.sources.bronze import BRONZE_COLUMNS
 
@@ -44,7 +44,7 @@ def test_customer_issue_priority_and_raw_value(spark):
         dict(customer_id="D", signup_date="2024-01-01", cac_usd="10", email=None, row_seq=5),
         dict(customer_id="E", signup_date="2024-01-01", cac_usd="10", email="x", row_seq=6),
     ]
-    q = quarantine.quarantine_customers_from(_bronze(spark, "customers", recs), DEFAULT_PARAMS)
+    q = quarantine.quarantine_customers_from(_bronze(spark, "customers", recs), FIXTURE_PARAMS)
     got = rows(q, "row_id", "issue_type", "problematic_raw_value")
     assert got == sorted([
         (None, "null_customer_id", "bad"),
@@ -63,7 +63,7 @@ def test_subscription_notes_use_their_own_priority(spark):
         dict(subscription_id="S2", customer_id=None, plan="pro", mrr_usd="0", row_seq=2),
         dict(subscription_id="S3", customer_id="C", plan="pro", mrr_usd=None, row_seq=3),
     ]
-    q = quarantine.quarantine_subscriptions_from(_bronze(spark, "subscriptions", recs), DEFAULT_PARAMS)
+    q = quarantine.quarantine_subscriptions_from(_bronze(spark, "subscriptions", recs), FIXTURE_PARAMS)
     got = rows(q, "row_id", "issue_type", "investigation_notes")
     assert got == [
         ("S1", "null_customer_id", "Plan not assigned - check billing system"),
@@ -83,9 +83,9 @@ def test_transaction_gate_binds_to_last_disjunct(spark):
         dict(transaction_id="T4", customer_id="C", amount="0.4", row_seq=5),
     ]
     raw = _bronze(spark, "transactions", recs)
-    open_gate = quarantine.quarantine_transactions_from(raw, DEFAULT_PARAMS, F.lit(True))
-    closed = quarantine.quarantine_transactions_from(raw, DEFAULT_PARAMS, F.lit(False))
-    null_gate = quarantine.quarantine_transactions_from(raw, DEFAULT_PARAMS, F.lit(None).cast("boolean"))
+    open_gate = quarantine.quarantine_transactions_from(raw, FIXTURE_PARAMS, F.lit(True))
+    closed = quarantine.quarantine_transactions_from(raw, FIXTURE_PARAMS, F.lit(False))
+    null_gate = quarantine.quarantine_transactions_from(raw, FIXTURE_PARAMS, F.lit(None).cast("boolean"))
     assert {r.row_id for r in open_gate.collect()} == {None, "T1", "T2", "T3", "T4"}
     assert {r.row_id for r in closed.collect()} == {None, "T1", "T2"}
     assert {r.row_id for r in null_gate.collect()} == {None, "T1", "T2"}
@@ -103,7 +103,7 @@ def test_subscription_months_active_and_kept_null_dates(spark):
              end_date="15/03/2001", status="active", row_seq=3),
     ]
     got = {r.subscription_id: r for r in silver.clean_subscriptions(
-        _bronze(spark, "subscriptions", recs), DEFAULT_PARAMS).collect()}
+        _bronze(spark, "subscriptions", recs), FIXTURE_PARAMS).collect()}
     assert got["S1"].months_active == 1 and got["S1"].is_churned and got["S1"].plan == "pro"
     assert got["S1"].is_upgraded is True and got["S2"].is_upgraded is False
     assert got["S2"].start_date is None and got["S2"].months_active is None
@@ -242,20 +242,20 @@ def test_transactions_null_method_gets_null_context(spark):
 
 
 def test_as_of_boundary_is_inclusive(spark):
-    as_of = DEFAULT_PARAMS.as_of.isoformat()            # 2001-06-30
-    later = (DEFAULT_PARAMS.as_of + dt.timedelta(days=1)).isoformat()
+    as_of = FIXTURE_PARAMS.as_of.isoformat()            # 2001-06-30
+    later = (FIXTURE_PARAMS.as_of + dt.timedelta(days=1)).isoformat()
     tx = _bronze(spark, "transactions", [
         dict(transaction_id="T1", customer_id="C", amount="5", status="success", transaction_date=as_of, row_seq=1),
         dict(transaction_id="T2", customer_id="C", amount="5", status="success", transaction_date=later, row_seq=2),
     ])
-    kept = silver.clean_transactions(tx, DEFAULT_PARAMS).collect()
+    kept = silver.clean_transactions(tx, FIXTURE_PARAMS).collect()
     assert [r.transaction_id for r in kept] == ["T1"] and kept[0].is_future_dated is False
     rev = _bronze(spark, "monthly_revenue", [
         dict(revenue_id="R1", subscription_id="S", customer_id="C", month=as_of, mrr_usd="10", plan="pro", row_seq=1),
         dict(revenue_id="R2", subscription_id="S", customer_id="C", month=later, mrr_usd="10", plan="pro", row_seq=2),
         dict(revenue_id="R3", subscription_id="S", customer_id="C", month=as_of, mrr_usd=None, plan="pro", row_seq=3),
     ])
-    got = {r.revenue_id: r for r in silver.clean_monthly_revenue(rev, DEFAULT_PARAMS).collect()}
+    got = {r.revenue_id: r for r in silver.clean_monthly_revenue(rev, FIXTURE_PARAMS).collect()}
     assert set(got) == {"R1", "R3"}                      # null MRR is kept in silver
     assert got["R3"].mrr_usd is None and got["R3"].is_zero_mrr is True
 
@@ -275,7 +275,7 @@ def test_revenue_schedule_prices_upgrades_and_dates(spark):
         dict(subscription_id="S3", customer_id="C3", plan="pro", mrr_usd="199", start_date="not a date",
              row_seq=3),
     ])
-    got = rows(expand_monthly_revenue(subs, DEFAULT_PARAMS.as_of), "revenue_id", "month", "mrr_usd")
+    got = rows(expand_monthly_revenue(subs, FIXTURE_PARAMS.as_of), "revenue_id", "month", "mrr_usd")
     assert got == [
         ("S1-200101", dt.date(2001, 1, 1), Decimal("99.00")),
         ("S1-200102", dt.date(2001, 2, 1), Decimal("199.00")),

@@ -1,6 +1,7 @@
 """A customer holding a third of all revenue rows stays bounded and exact."""
 
 import datetime as dt
+import re
 from collections import Counter
 from decimal import Decimal
 
@@ -63,20 +64,23 @@ def test_plans_pre_aggregate_before_the_shuffle(spark):
     assert "Partial" in dplan and "WindowGroupLimit" in dplan
 
 
-def test_hot_customer_path_equals_the_partitioned_path(spark):
-    df = _skewed(spark, hot_subs=300, others=600).unionByName(spark.createDataFrame(
-        [("HOT", m, "pro", Decimal(f"{100 + i}.{i % 100:02d}")) for i, m in
-         enumerate(MONTHS * 40)], "customer_id string, revenue_month date, plan string, mrr_usd decimal(10,2)"))
-    hist = rv.revenue_histogram(df)
+def _big_customer(spark, values=1500):
+    """One customer with a third of the rows and as many distinct values."""
+    big = [("HOT", m, "pro", Decimal(f"{100 + i}.{i % 100:02d}")) for i, m in enumerate(MONTHS * values)]
+    rest = [(f"C{i}", m, "starter", Decimal("49.00")) for i in range(2 * values) for m in MONTHS]
+    return spark.createDataFrame(big + rest, "customer_id string, revenue_month date, plan string, mrr_usd decimal(10,2)")
+
 
-    def movements(parts):
-        cm = rv.customer_month(parts)
-        return (sorted(map(tuple, rv.new_mrr(cm).collect())),
-                sorted(map(tuple, rv.expansion_mrr(parts).collect())),
-                sorted(map(tuple, rv.churned_mrr(cm).collect())),
-                sorted(map(tuple, rv.mrr_by_month_plan(parts).collect())))
-
-    normal = rv.split_hot_customers(hist)            # nobody is hot
-    spread = rv.split_hot_customers(hist, limit=1)   # every multi-row customer is hot
-    assert spread[1].select("customer_id").distinct().count() > 1
-    assert movements(normal) == movements(spread)
+def test_a_customer_with_very_many_values_is_exact_and_spread(spark):
+    df = _big_customer(spark)
+    hist = rv.revenue_histogram(df)
+    hot = {m: sorted(r.mrr_usd for r in df.where((F.col("customer_id") == "HOT") & (F.col("revenue_month") == m)).collect())
+           for m in MONTHS}
+    got = {r.revenue_month: r.expansion_mrr for r in rv.expansion_mrr(hist).collect()}
+    for prev, cur in zip(MONTHS, MONTHS[1:]):
+        assert got[cur] == sum(a - b for a in hot[cur] for b in hot[prev] if a > b)
+    # churn and first months shuffle on (customer, month), not on the customer
+    cm = rv.customer_month(hist)
+    plan = rv._churn_rows(cm)._jdf.queryExecution().executedPlan().toString()
+    keys = [x for x in plan.split("Exchange hashpartitioning(")[1:]]
+    assert keys and all(x.startswith("customer_id") and not re.match(r"customer_id#\d+, \d+\)", x) for x in keys)

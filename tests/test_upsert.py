@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from subledger.operators.upsert import VersionedTable, incremental_gate, keyed_upsert
+from subledger.operators.upsert import BucketedTable, VersionedTable, incremental_gate, keyed_upsert
 
 from conftest import rows
 
@@ -85,3 +85,48 @@ def test_dq_reports_apply_severity(spark):
     assert rep[("acquisition_channel", "not_null")] == (1, "fail")
     assert rep[("customer_id", "not_null")] == (1, "fail")
     assert rep[("customer_id", "unique")] == (1, "fail")            # 'A' twice; nulls ignored
+
+
+def test_old_versions_are_retired(spark, scratch):
+    vt = VersionedTable(spark, f"{scratch}/q", keep=2)
+    for i in range(4):
+        vt.publish(_q(spark, [("A", str(i), TS1)]), tag=f"b-{i}")
+    assert vt.versions() == [3, 4] and vt.tags() == ["b-2", "b-3"]
+    assert rows(vt.current(), "issue_type") == [("3",)]
+
+
+def test_an_upsert_rewrites_only_the_buckets_it_touches(spark, scratch):
+    table = BucketedTable(spark, f"{scratch}/q", "row_id", buckets=16)
+    assert table.current() is None
+    recs = [(f"K{i}", "old", TS1) for i in range(200)] + [(None, "old", TS1)]
+    table.upsert(_q(spark, recs))
+    first = table._newest()
+    assert len(first) == 16
+    table.upsert(_q(spark, [("K7", "new", TS2, "0.12"), (None, "new", TS2, None)], extra=True), tag="x-1")
+    moved = [b for b, v in table._newest().items() if v != first[b]]
+    assert 1 <= len(moved) <= 2
+    got = table.current()
+    assert got.columns == ["row_id", "issue_type", "flagged_at", "raw_fee_usd"]
+    want = [(f"K{i}", "new" if i == 7 else "old") for i in range(200)] + [(None, "old"), (None, "new")]
+    assert rows(got, "row_id", "issue_type") == sorted(want, key=repr)
+    assert rows(got.where("row_id = 'K7'"), "raw_fee_usd") == [("0.12",)]
+    # retired versions go, but not while a bucket's content is in them
+    for i in range(5):
+        table.upsert(_q(spark, [("K7", str(i), TS2)]))
+    assert table.versions()[0] == 1
+    assert rows(table.current(), "row_id").__len__() == 202
+    assert table.upsert(_q(spark, []).limit(0)) == max(table.versions())
+
+
+def test_dropped_duplicates_needs_an_arrival_order(spark):
+    import pytest
+
+    from subledger.operators.dedup import dropped_duplicates
+
+    df = spark.createDataFrame([("A", "2", 1), ("A", "1", 2), ("A", "1", 3), ("B", "1", 4), (None, "1", 5), (None, "1", 6)],
+                               "k string, d string, row_seq long")
+    assert rows(dropped_duplicates(df, "k", "d"), "k", "row_seq") == [("A", 1), ("A", 3)]
+    with pytest.raises(ValueError):
+        dropped_duplicates(df.drop("row_seq"), "k", "d")
+    with pytest.raises(Exception, match="row_seq is null"):
+        dropped_duplicates(df.withColumn("row_seq", F.lit(None).cast("long")), "k", "d").collect()
