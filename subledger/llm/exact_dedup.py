@@ -70,12 +70,7 @@ def verified_winners(thin: DataFrame, tie: str) -> DataFrame:
         .groupBy("digest")
         .agg(F.count(F.lit(1)).alias("n"), F.min(best("n_chars", "doc_id", tie)).alias("win"))
     )
-    rows = thin.agg(F.count(F.lit(1)).alias("rows"))
-    return (
-        exact.join(F.broadcast(rows))
-        .where((F.col("n") > 1) & (F.col("n") >= HEAVY_SHARE * F.col("rows")))
-        .drop("rows")
-    )
+    return exact.where((F.col("n") > 1) & (F.col("n") >= HEAVY_SHARE * thin.count()))
 
 
 def report(docs: DataFrame) -> DataFrame:

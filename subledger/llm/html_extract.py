@@ -235,11 +235,19 @@ class Odds:
         self.tags, self.parts = tags, parts
         self.cache: dict[tuple[str, str], tuple[float, ...]] = {}
 
+    def part(self, token: str) -> list[float]:
+        """The odds of a token; of an unknown one, those of a known one it begins or ends with."""
+        if token in self.parts:
+            return [self.parts[token]]
+        inside = {token[:i] for i in range(4, len(token))} | {token[i:] for i in range(1, len(token) - 3)}
+        near = [self.parts[t] for t in inside if t in self.parts]
+        return [min(near) if min(near) < 0 else max(near)] if near else []
+
     def of(self, tag: str, attrs: str) -> tuple[float, ...]:
         """tag, attribute sum, least and most."""
         got = self.cache.get((tag, attrs))
         if got is None:
-            known = [self.parts[t] for t in tokens(attrs) if t in self.parts] or [0.0]
+            known = [x for t in tokens(attrs) for x in self.part(t)] or [0.0]
             got = (self.tags.get(tag, 0.0), sum(known), min(known), max(known))
             if len(self.cache) > 100_000:
                 self.cache.clear()

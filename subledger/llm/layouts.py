@@ -29,10 +29,11 @@ NAMES = {
     "wrap": "wrapper container page row col layout site wrap inner grid",
 }
 NAMES = {k: v.split() for k, v in NAMES.items()}
+ROLES = {"header": "banner", "nav": "navigation", "side": "complementary", "form": "search", "footer": "contentinfo", "main": "main"}
 TAGS = {
     "header": ["header", "header", "div"], "nav": ["nav", "nav", "div"], "ad": ["div", "aside", "section", "ins"],
     "notice": ["div", "section", "aside", "p"], "side": ["aside", "aside", "div"], "related": ["div", "section", "aside", "nav"],
-    "share": ["div", "ul"], "comments": ["section", "div"], "footer": ["footer", "footer", "div"],
+    "share": ["div", "ul"], "comments": ["section", "div", "div", "ol", "ul"], "footer": ["footer", "footer", "div"],
 }
 
 
@@ -59,12 +60,14 @@ class Page:
         name = rng.choice(NAMES[kind])
         if rng.random() < 0.3:
             name += " " + rng.choice(["box", "block", "clearfix", "js-x", "w100", name + "-inner", "module"])
+        if kind in ROLES and rng.random() < 0.15:
+            return f' role="{ROLES[kind]}"'
         return f' {rng.choice(["class", "class", "class", "id"])}="{name}"'
 
     def block(self, kind: str, inner: str) -> str:
         tag = self.rng.choice(TAGS[kind])
         attrs = self.attrs(kind)
-        if tag in ("div", "p", "section", "ul", "ins") and not attrs and kind != "notice":
+        if tag in ("div", "p", "section", "ul", "ol", "ins") and not attrs and kind != "notice":
             attrs = f' class="{self.rng.choice(NAMES[kind])}"'
         return f"<{tag}{attrs}>{inner}</{tag}>"
 
@@ -97,7 +100,10 @@ class Page:
             return f'<form{self.attrs("form")}><label>{self.words(2)}</label><input name="q"><p>{self.words(rng.randint(2, 15))}</p><button>{self.words(1)}</button></form>'
         if kind == "comments":
             one = lambda: f"<{(t := rng.choice(['div', 'li', 'article']))}{self.attrs('comment') or ' class=comment'}><b>{self.words(1)}</b>{self.prose(1, 3)}</{t}>"
-            return self.block("comments", f"<h2>{self.words(2)}</h2>" + "".join(one() for _ in range(rng.randint(1, 6))))
+            plain = lambda: f"<li>{self.words(int(2 ** rng.uniform(1, 7)))}</li>"
+            one = plain if rng.random() < 0.2 else one
+            title = f"<h2>{self.words(2)}</h2>" if rng.random() < 0.7 else ""
+            return self.block("comments", title + "".join(one() for _ in range(rng.randint(1, 6))))
         return self.block("footer", rng.choice([f"&copy; {self.words(3)} &middot; {self.words(rng.randint(2, 9))}", f"<p>{self.words(8)}</p>" + self.links(2, 6)]))
 
     def want(self, n: int) -> tuple[str, str]:
@@ -124,8 +130,9 @@ class Page:
         if kind < 0.2:
             return f"<h{(n := rng.randint(2, 4))}>{self.want(rng.randint(1, 7))[0]}</h{n}>"
         if kind < 0.26:
-            t = rng.choice(["ul", "ol"])
-            return f"<{t}>" + "".join(f"<li>{self.want(rng.randint(2, 20))[0]}</li>" for _ in range(rng.randint(2, 6))) + f"</{t}>"
+            t, linked = rng.choice(["ul", "ol"]), rng.random() < 0.2
+            a, b = ("<a href=/x>", "</a>") if linked else ("", "")
+            return f"<{t}>" + "".join(f"<li>{a}{self.want(rng.randint(2, 20))[0]}{b}</li>" for _ in range(rng.randint(2, 6))) + f"</{t}>"
         if kind < 0.3:
             return f"<blockquote><p>{self.want(size)[0]}</p></blockquote>"
         if kind < 0.32:
@@ -135,6 +142,8 @@ class Page:
     def article(self) -> str:
         rng = self.rng
         parts = [f"<h1>{self.want(rng.randint(1, 10))[0]}</h1>"] if rng.random() < 0.85 else []
+        if parts and rng.random() < 0.15:
+            parts = [f"<header>{parts[0]}</header>"]
         parts += [self.paragraph() for _ in range(rng.choice([0, 1, 1, 2, 4, 8, 15]) if parts else rng.randint(1, 8))]
         for kind in ("ad", "share", "related", "form", "notice"):
             if rng.random() < 0.12:
