@@ -16,8 +16,11 @@ refinement (Schuermann and Stoye 2005):
    reusing the one before. The identifiers of a run's first and last position
    tell runs with equal content; of such a class the first run stays and all
    positions of the others are repeats.
-3. Only buckets that still hold two or more classes are refined further, from
-   runs to single positions, by b100 of each position.
+   The strings that begin between l and l + ``BAND`` - 1 bytes before a q-gram
+   have ``CORE`` bytes in common; a class stays open for such a band only if its
+   bucket holds another class with an equal identifier (16 bits) of that core.
+3. Only open bands of classes are refined further, from runs to single positions,
+   by b100 of each position.
 
 Identifiers are 64-bit hashes within a bucket that is a 64-bit hash itself, so
 two strings are taken as equal on 128 bits. Every task first settles what
@@ -45,6 +48,10 @@ from subledger.llm.hashing import BASE, byte_values, grams, mixed, paired
 
 SPAN = 100
 Q = SPAN // 4
+#: Bands of starts before a q-gram, and what all strings of a band share.
+BANDS = 4
+BAND = (SPAN - Q + 1) // BANDS
+CORE = SPAN - BAND + 1
 #: Bytes handled at once, and rows that a task settles within itself at once.
 BLOCK = 1 << 20
 FLUSH = 1 << 20
@@ -73,15 +80,25 @@ class Buckets:
         """b100: one identifier for the SPAN bytes from each position."""
         return paired(self.half(at), self.half(at + 2 * Q), 3)
 
-    def runs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(part, start in the laid out bytes, positions, bucket, class) of every run."""
+    def bands(self, part: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """16 bits per band of the q-gram at ``at``; 0 if the part does not reach as far."""
+        begin, end = (self.end - self.size)[part], self.end[part]
+        out = np.zeros(len(at), np.uint64)
+        for k in range(BANDS):
+            some = np.flatnonzero((at - k * BAND >= begin) & (at - k * BAND + CORE <= end))
+            i = at[some] - k * BAND
+            core = paired(self.half(i), paired(self.first[i + 2 * Q], self.first[i + CORE - Q], 5), 6)
+            out[some] |= (core >> np.uint64(48) | np.uint64(1)) << np.uint64(16 * k)
+        return out
+
+    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(part, position, place of the q-gram that represents it) of all positions."""
         n = int(self.end[-1]) if len(self.end) else 0
         at = np.arange(max(0, n - SPAN + 1))
         part = np.repeat(np.arange(len(self.size)), self.size)[: len(at)]
         at = at[at + SPAN <= self.end[part]]
         if not len(at):
-            none = np.zeros(0, np.int64)
-            return none, none, none, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+            return at, at, at
         places = np.arange(len(self.first), dtype=np.uint64)
         low = self.first >> np.uint64(PLACE_BITS) << np.uint64(PLACE_BITS) | places
         width, want = 1, SPAN - Q + 1
@@ -89,13 +106,19 @@ class Buckets:
             low = np.minimum(low[:-width], low[width:])
             width *= 2
         low = np.minimum(low[: len(low) - (want - width)], low[want - width :])
-        anchor = (low[at] & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
+        return part[at], at, (low[at] & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
+
+    def runs(self) -> tuple[np.ndarray, ...]:
+        """(part, start in the laid out bytes, positions, bucket, class, bands) of every run."""
+        part, at, anchor = self.anchors()
+        if not len(at):
+            return at, at, at, *[np.zeros(0, np.uint64)] * 3
         new = np.flatnonzero(np.r_[True, (at[1:] != at[:-1] + 1) | (anchor[1:] != anchor[:-1])])
         count = np.diff(np.append(new, len(at)))
-        begin = at[new]
+        begin, part, anchor = at[new], part[new], anchor[new]
         with np.errstate(over="ignore"):
             kind = paired(self.whole(begin), self.whole(begin + count - 1) + count.astype(np.uint64), 4)
-        return part[begin], begin, count, self.first[anchor[new]], kind
+        return part, begin, count, self.first[anchor], kind, self.bands(part, anchor)
 
 
 def place(ties: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -103,44 +126,74 @@ def place(ties: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 
 MARKS = pa.schema(
-    [("copy", pa.bool_()), ("bucket", pa.int64()), ("kind", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int64())]
+    [("copy", pa.bool_()), ("bucket", pa.int64()), ("kind", pa.int64()), ("bands", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int64())]
 )
-MARKS_DDL = "copy boolean, bucket long, kind long, doc_id long, place long"
+MARKS_DDL = "copy boolean, bucket long, kind long, bands long, doc_id long, place long"
 
 
 class Settled:
-    """Rows gathered in a task; of rows with equal (bucket, kind) only the first goes on."""
+    """Rows gathered in a task; of rows with equal (bucket, kind) only the first goes on.
+
+    The others are told as copies: places alone, neighbours joined to runs.
+    """
 
     def __init__(self):
         self.rows: list[tuple] = []
         self.n = 0
 
-    def add(self, bucket, kind, doc_id, no_id, at) -> None:
-        self.rows.append((bucket, kind, doc_id, no_id, at))
+    def add(self, bucket, kind, bands, doc_id, no_id, at) -> None:
+        self.rows.append((bucket, kind, bands, doc_id, no_id, at))
         self.n += len(at)
 
-    def flush(self) -> pa.RecordBatch:
-        bucket, kind, doc_id, no_id, at = (np.concatenate(x) for x in zip(*self.rows, strict=True))
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        bucket, kind, bands, doc_id, no_id, at = (np.concatenate(x) for x in zip(*self.rows, strict=True))
         self.rows, self.n = [], 0
         by = np.lexsort((at, doc_id, no_id, kind, bucket))
         b, k, d, x, p = bucket[by], kind[by], doc_id[by], no_id[by], at[by]
         new = np.r_[True, (b[1:] != b[:-1]) | (k[1:] != k[:-1])]
         lead = np.flatnonzero(new)[np.cumsum(new) - 1]  # the first of each row's class
-        copy = np.empty(len(by), bool)
-        copy[by] = (d != d[lead]) | (x != x[lead]) | (p != p[lead])
-        repeat = np.zeros(len(by), bool)  # a repeated row of one document
-        repeat[by] = ~new & ~copy[by]
-        keep = ~repeat
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(copy[keep]),
-                pa.array(np.where(copy, np.uint64(0), bucket)[keep].view(np.int64)),
-                pa.array(np.where(copy, np.uint64(0), kind)[keep].view(np.int64)),
-                pa.array(doc_id[keep], mask=no_id[keep]),
-                pa.array(at[keep]),
-            ],
-            schema=MARKS,
-        )
+        copy = (d != d[lead]) | (x != x[lead]) | (p != p[lead])
+        first = by[new]
+        first.sort()  # by document again, which compresses better
+        yield marks(False, bucket[first], kind[first], bands[first], doc_id[first], no_id[first], at[first])
+        d, x, p = d[copy], x[copy], p[copy]
+        if len(p):
+            by = np.lexsort((p, d, x))
+            d, x, p = d[by], x[by], joined_runs(d[by], x[by], p[by])
+            left = p >= 0
+            d, x, p = d[left], x[left], p[left]
+            none = np.zeros(len(p), np.uint64)
+            spread = mixed(d.view(np.uint64) ^ p.view(np.uint64), 7)  # buckets of their own
+            yield marks(True, spread, none, none, d, x, p)
+
+
+def marks(copy: bool, bucket, kind, bands, doc_id, no_id, at) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.full(len(at), copy)), *[pa.array(c.view(np.int64)) for c in (bucket, kind, bands)],
+            pa.array(doc_id, mask=no_id), pa.array(at),
+        ],
+        schema=MARKS,
+    )
+
+
+def joined_runs(doc_id, no_id, at) -> np.ndarray:
+    """Sorted places in which each row that continues the row before is -1 and counted there."""
+    count = (at & (1 << RUN_BITS) - 1) + 1
+    begin = at >> RUN_BITS  # the tie above the start: equal for one text
+    follows = (doc_id[1:] == doc_id[:-1]) & (no_id[1:] == no_id[:-1]) & (begin[1:] == begin[:-1] + count[:-1])
+    head = np.r_[True, ~follows]
+    first = np.flatnonzero(head)
+    before = np.cumsum(count) - count
+    offset = before - before[first][np.cumsum(head) - 1]  # positions since the run's head
+    # a place can hold 2^RUN_BITS positions, and a row brings SPAN - Q + 1 at most
+    piece = offset // ((1 << RUN_BITS) - (SPAN - Q + 1))
+    head |= np.r_[True, piece[1:] != piece[:-1]]
+    first = np.flatnonzero(head)
+    total = np.add.reduceat(count, first)
+    out = np.full(len(at), -1)
+    out[first] = begin[first] << RUN_BITS | (total - 1)
+    return out
 
 
 def ids_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -158,12 +211,12 @@ def run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, owner, shift, size = [], [], [], 0
 
         def close():
-            part, begin, count, bucket, kind = Buckets(parts).runs()
+            part, begin, count, bucket, kind, bands = Buckets(parts).runs()
             if len(part):
                 doc = np.array(owner)[part]
                 base = np.cumsum([0, *map(len, parts[:-1])])
                 start = begin - base[part] + np.array(shift)[part]
-                out.add(bucket, kind, ids[doc], none[doc], place(ties[doc], start, count))
+                out.add(bucket, kind, bands, ids[doc], none[doc], place(ties[doc], start, count))
 
         for i, text in enumerate(batch.column("text")):
             data = text.as_py().encode("utf-8", "surrogatepass")
@@ -173,7 +226,7 @@ def run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     close()
                     parts, owner, shift, size = [], [], [], 0
                     if out.n >= FLUSH:
-                        yield out.flush()
+                        yield from out.flush()
                 parts.append(piece)
                 owner.append(i)
                 shift.append(a)
@@ -181,9 +234,9 @@ def run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if parts:
             close()
         if out.n >= FLUSH:
-            yield out.flush()
+            yield from out.flush()
     if out.n:
-        yield out.flush()
+        yield from out.flush()
 
 
 def position_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,20 +251,21 @@ def position_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             runs = runs.values
             at, bucket = runs.field("place").to_numpy(), runs.field("bucket").to_numpy().view(np.uint64)
             start, count = at >> RUN_BITS & mask, (at & (1 << RUN_BITS) - 1) + 1
-            parts = [data[a : a + n + SPAN - 1] for a, n in zip(start.tolist(), count.tolist(), strict=True)]
-            found = Buckets(parts)
-            each = np.repeat(np.arange(len(parts)), count)
-            step = np.arange(len(each)) - np.repeat(np.cumsum(count) - count, count)
-            kind = found.whole((found.end - found.size)[each] + step)
+            found = Buckets([data[a : a + n + SPAN - 1] for a, n in zip(start.tolist(), count.tolist(), strict=True)])
+            each, here, anchor = found.anchors()  # the positions of all runs, in order
+            band = (anchor - here) // BAND
+            some = np.flatnonzero(runs.field("open").to_numpy()[each] >> band & 1)
+            each, here = each[some], here[some]
+            shift = start - (found.end - found.size)
             n = len(each)
             out.add(
-                bucket[each], kind, np.full(n, ids[i]), np.full(n, none[i]),
-                place(np.full(n, ties[i]), start[each] + step, np.ones(n, np.int64)),
+                bucket[each], found.whole(here), np.zeros(n, np.uint64), np.full(n, ids[i]), np.full(n, none[i]),
+                place(np.full(n, ties[i]), here + shift[each], np.ones(n, np.int64)),
             )
             if out.n >= FLUSH:
-                yield out.flush()
+                yield from out.flush()
     if out.n:
-        yield out.flush()
+        yield from out.flush()
 
 
 def order() -> list[Column]:
@@ -252,38 +306,40 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     """doc_id, tie, n_removed, spans of every document that loses bytes; stored."""
     ship(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), tie().alias("tie"), text_or_empty().alias("text"))
-    runs = stored(texts.mapInArrow(run_rows, MARKS_DDL), "suffix-runs")
-
-    # buckets, refined to classes; both windows use the one shuffle on bucket
-    dealt = runs.where("not copy").drop("copy").repartition("bucket")
     classes = Window.partitionBy("bucket", "kind").orderBy(*order())
-    ranked = dealt.withColumn("lead", is_first(classes))
-    beside = Window.partitionBy("bucket", "lead").orderBy("kind", *order())
-    other = (F.lag("kind").over(beside) != F.col("kind")) | (F.lead("kind").over(beside) != F.col("kind"))
+
+    # runs in buckets, refined to classes; all windows use the one shuffle on bucket
+    runs = texts.mapInArrow(run_rows, MARKS_DDL).repartition("bucket")
+    several = Window.partitionBy("bucket", "lead").orderBy("kind", *order())
+    other = (F.lag("kind").over(several) != F.col("kind")) | (F.lead("kind").over(several) != F.col("kind"))
+    left = (
+        runs.withColumn("lead", is_first(classes) & ~F.col("copy"))
+        .withColumn("other", F.coalesce(other, F.lit(False))).where("not lead or other")
+    )
+    open_ = F.lit(0)
+    for k in range(BANDS):
+        band = F.col(f"band{k}")
+        beside = Window.partitionBy("bucket", "lead").orderBy(band, "kind", *order())
+        left = left.withColumn(f"band{k}", F.shiftrightunsigned("bands", 16 * k).bitwiseAND(0xFFFF))
+        same = F.coalesce((F.lag(band).over(beside) == band) | (F.lead(band).over(beside) == band), F.lit(False))
+        left = left.withColumn(f"open{k}", F.when(F.col("lead") & (band != 0) & same, 1 << k).otherwise(0))
+        open_ = open_ + F.col(f"open{k}")
     refined = stored(
-        ranked.withColumn("open", F.col("lead") & F.coalesce(other, F.lit(False)))
-        .where("open or not lead").drop("kind"),
+        left.withColumn("open", open_).where("not lead or open > 0").select("bucket", "lead", "open", "doc_id", "place"),
         "suffix-classes",
     )
 
-    # classes of open buckets, refined to positions
-    left = with_tie(refined.where("lead and open")).distinct()
-    per_doc = left.groupBy("doc_id", "tie").agg(F.collect_list(F.struct("bucket", "place")).alias("runs"))
+    # open bands of classes, refined to positions
+    per_doc = (
+        with_tie(refined.where("lead").drop("lead")).distinct()
+        .groupBy("doc_id", "tie").agg(F.collect_list(F.struct("bucket", "open", "place")).alias("runs"))
+    )
     with_runs = texts.join(per_doc, same_document(texts, per_doc)).select(
         texts["doc_id"], texts["tie"], "text", "runs"
     )
-    single = stored(with_runs.mapInArrow(position_rows, MARKS_DDL), "suffix-positions")
-    later = (
-        single.where("not copy").drop("copy")
-        .withColumn("lead", is_first(classes)).where("not lead")
-    )
-    columns = ["doc_id", "place"]
-    copies = (
-        runs.where("copy").select(columns)
-        .unionByName(single.where("copy").select(columns))
-        .unionByName(refined.where("not lead").select(columns))
-        .unionByName(later.select(columns))
-    )
+    single = with_runs.mapInArrow(position_rows, MARKS_DDL).drop("bands").repartition("bucket")
+    later = single.withColumn("lead", is_first(classes) & ~F.col("copy")).where("not lead")
+    copies = refined.where("not lead").select("doc_id", "place").unionByName(later.select("doc_id", "place"))
     merge = F.pandas_udf(merged, SPANS)
     return stored(
         with_tie(copies).groupBy("doc_id", "tie").agg(F.collect_list("place").alias("places"))
