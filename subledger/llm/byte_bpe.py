@@ -39,14 +39,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from subledger.llm.common import ship, text_chunks, text_or_empty
+from subledger.llm.common import chunks, ship, text_or_empty
 from subledger.llm.piece_ids import PieceIds
 
 #: Leaves: bytes of a pre-token merged directly, characters of a text matched directly.
 LEAF_BYTES = 48
 LEAF_CHARS = 1 << 16
 #: Pre-tokens whose ids a task keeps.
-KEPT = 200_000
+KEPT = 600_000
 #: The pattern's reach past a match's start (its contractions have three characters).
 REACH = 3
 #: Bytes of text handled at once in a task.
@@ -224,10 +224,10 @@ def rows_by_chunk(batches: Iterator[pa.RecordBatch], path: str, pattern: str, de
     """The ids (and what they decode to) of each chunk of texts; only one chunk is held."""
     own = coder(path, pattern)
     for batch in batches:
-        for a, texts in text_chunks(batch, "text", CHUNK):
-            ids, cuts = own.encode(texts)
+        for part in chunks(batch, "text", CHUNK):
+            ids, cuts = own.encode(part.column("text").to_pylist())
             columns = {
-                "doc_id": batch.column("doc_id").slice(a, len(texts)),
+                "doc_id": part.column("doc_id"),
                 "ids": pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids, pa.int32())),
             }
             if decode:

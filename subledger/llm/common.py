@@ -87,13 +87,12 @@ def pieces(texts: Iterable[str], most: int) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def text_chunks(batch: pa.RecordBatch, column: str, most: int) -> Iterator[tuple[int, list[str]]]:
-    """(first row, texts) over a batch in chunks of about ``most`` bytes, one text at least."""
-    cells = batch.column(column)
-    ends = np.cumsum(pc.binary_length(cells).to_numpy(zero_copy_only=False))
+def chunks(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``most`` bytes in a column, one row at least."""
+    ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
     a = 0
-    while a < len(cells):
+    while a < len(ends):
         before = ends[a - 1] if a else 0
         b = max(a + 1, int(np.searchsorted(ends, before + most, side="right")))
-        yield a, cells.slice(a, b - a).to_pylist()
+        yield batch.slice(a, b - a)
         a = b

@@ -8,10 +8,23 @@ from itertools import chain
 import numpy as np
 
 
+class Places(dict):
+    """Numbers for pieces; an unknown piece gets the next one and is noted in ``new``."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        place = self[piece] = len(self)
+        self.new.append(piece)
+        return place
+
+
 class PieceIds:
-    """Ids of pieces, learned once each by ``learn`` (sorted new pieces -> sizes, flat ids).
+    """Ids of pieces, learned once each by ``learn`` (new pieces -> sizes, flat ids).
 
-    Holds at most ``most`` pieces, or those of one call if they are more.
+    Holds at most ``most`` pieces and those of one call.
     """
 
     def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int):
@@ -19,28 +32,35 @@ class PieceIds:
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[str, int] = {}
-        self.flat, self.offset, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.place = Places()
+        self.flat, self.offset, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
-    def ids(self, found: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all lists of pieces end to end, and where each list's begin (and the last's end)."""
-        new = set(chain.from_iterable(found)).difference(self.place)
-        if new:
-            if len(self.place) + len(new) > self.most:
-                self.clear()
-                new = set(chain.from_iterable(found))
-            order = sorted(new)
-            size, flat = self.learn(order)
-            self.place.update(zip(order, range(len(self.place), len(self.place) + len(order)), strict=True))
+    def places(self, pieces: Iterable[str], count: int) -> np.ndarray:
+        """The numbers of ``count`` pieces; valid until the next call."""
+        if len(self.place) > self.most:
+            self.clear()
+        at = np.fromiter(map(self.place.__getitem__, pieces), np.int64, count)
+        if new := self.place.new:
+            self.place.new = []
+            size, flat = self.learn(new)
             self.offset = np.concatenate([self.offset, len(self.flat) + np.cumsum(size) - size])
             self.flat = np.concatenate([self.flat, flat])
-            self.size = np.concatenate([self.size, size])
+            self.size = np.concatenate([self.size, size.astype(np.int32)])
+        return at
+
+    def expand(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of numbered pieces end to end, and where each piece's begin (and the last's end)."""
+        return expanded(self.flat, self.offset, self.size, at)
+
+    def ids(self, found: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all lists of pieces end to end, and where each list's begin (and the last's end)."""
         counts = np.fromiter(map(len, found), np.int64, len(found))
-        at = np.fromiter(self.places(chain.from_iterable(found)), np.int64, int(counts.sum()))
-        size = self.size[at]
-        ends = np.concatenate([[0], np.cumsum(size)])
-        ids = self.flat[np.repeat(self.offset[at] - ends[:-1], size) + np.arange(ends[-1])]
+        ids, ends = self.expand(self.places(chain.from_iterable(found), int(counts.sum())))
         return ids, ends[np.concatenate([[0], np.cumsum(counts)])]
 
-    def places(self, pieces: Iterable[str]) -> Iterable[int]:
-        return map(self.place.__getitem__, pieces)
+
+def expanded(flat: np.ndarray, offset: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """flat[offset[i] : offset[i] + size[i]] for each i of ``at``, end to end, and the ends from 0 on."""
+    n = size[at]
+    ends = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
+    return flat[np.repeat(offset[at] - ends[:-1], n) + np.arange(ends[-1])], ends

@@ -22,6 +22,7 @@ hashes. Extra columns are ignored; an empty table gives empty files.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -31,27 +32,25 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from subledger.llm.common import ship, stored, text_chunks, text_or_empty
-from subledger.llm.piece_ids import PieceIds
+from subledger.llm.common import chunks, ship, stored, text_or_empty
+from subledger.llm.piece_ids import expanded
 
 END_ID = 1
 MOST_BITS = 20
-BLOCK = 1 << 18
+BLOCK = 1 << 19
 STEP = 128
-CHUNK = 1 << 18
-#: Pieces of text whose ids a task keeps.
-KEPT = 400_000
-#: Latin letters that no normaliser joins with what surrounds them here.
+CHUNK = 1 << 23
+#: Parts of words whose ids a task keeps.
+KEPT = 2_000_000
+#: Latin letters that no normaliser joins with the stops and commas behind them.
 LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
-#: A word without its full stops and commas, those, or anything else between white space.
-PIECE = re.compile(
-    rf"[{LETTER}]+(?=[.,]*(?:[ \n\t\r]|\Z))|[.,]+(?=[ \n\t\r]|\Z)|[^ \n\t\r]+"
-)
+STEM = f"^[{LETTER}]+$"
 SIMPLE = re.compile(rf"[{LETTER}]+|[.,]+")
 
 
@@ -59,29 +58,50 @@ SIMPLE = re.compile(rf"[{LETTER}]+|[.,]+")
 
 
 class WordIds:
-    """Ids of texts, by a bounded dictionary of pieces that the library has encoded.
-
-    The tokenizer drops white space and cuts at every change between letters
-    and punctuation, so a text's ids are those of its pieces, one after the
-    other. Pieces of letters only, or of stops and commas only, are single
-    words to the library and are encoded many to a call.
+    """Ids of texts, by a bounded dictionary of the parts of words that the library has encoded.
+
+    The tokenizer drops white space and cuts at every change between letters and
+    punctuation. So a text's ids are those of its words, one after the other, and
+    a word of letters with stops and commas behind has the ids of both parts.
+    Arrow splits a chunk of texts and tells its distinct words and parts; the
+    library sees only parts that are new, those that are single words to it many
+    to a call.
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has a core of its own
         self.library = Tokenizer.from_file(path)
-        self.pieces = PieceIds(self.learn, KEPT)
+        self.clear()
+
+    def clear(self) -> None:
+        self.known = pa.array([], pa.string())
+        self.flat, self.offset, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def places(self, parts: pa.Array) -> np.ndarray:
+        """The numbers of distinct parts, after learning those that are new."""
+        if len(self.known) > KEPT:
+            self.clear()
+        at = pc.index_in(parts, value_set=self.known)
+        new = parts.filter(at.is_null())
+        number = at.fill_null(0).to_numpy().astype(np.int64)
+        if len(new):
+            number[at.is_null().to_numpy(zero_copy_only=False)] = np.arange(len(self.known), len(self.known) + len(new))
+            size, flat = self.learn(new.to_pylist())
+            self.offset = np.concatenate([self.offset, len(self.flat) + np.cumsum(size) - size])
+            self.flat, self.size = np.concatenate([self.flat, flat]), np.concatenate([self.size, size])
+            self.known = pa.concat_arrays([self.known, new])
+        return number
 
     def learn(self, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
         simple = np.array([SIMPLE.fullmatch(x) is not None for x in new])
         words = [x for x, s in zip(new, simple, strict=True) if s]
-        other = [x for x, s in zip(new, simple, strict=True) if not s]
         calls = [words[i : i + 200] for i in range(0, len(words), 200)]
         got = self.library.encode_batch([" ".join(c) for c in calls], add_special_tokens=False)
-        size = np.zeros(len(new), np.int64)
         counts = [np.bincount(np.array(g.word_ids, np.int64), minlength=len(c)) for g, c in zip(got, calls, strict=True)]
         if any(len(n) != len(c) or not n.all() for n, c in zip(counts, calls, strict=True)):
-            raise ValueError("the library does not see one word per piece")
-        single = self.library.encode_batch(other, add_special_tokens=False)
+            raise ValueError("the library does not see one word per part")
+        single = self.library.encode_batch([x for x, s in zip(new, simple, strict=True) if not s], add_special_tokens=False)
+        size = np.zeros(len(new), np.int64)
         size[simple] = np.concatenate([np.zeros(0, np.int64), *counts])
         size[~simple] = [len(g.ids) for g in single]
         flat = np.empty(int(size.sum()), np.int32)
@@ -90,9 +110,23 @@ class WordIds:
         flat[~of_simple] = np.fromiter(chain.from_iterable(g.ids for g in single), np.int32)
         return size, flat
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        ids, cuts = self.pieces.ids([PIECE.findall(t) for t in texts])
-        return [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts end to end, and where each text's begin (and the last's end)."""
+        split = pc.ascii_split_whitespace(texts)
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary
+        stem = pc.ascii_rtrim(distinct, characters=".,")
+        simple = pc.match_substring_regex(stem, STEM)
+        stem = pc.if_else(simple, stem, distinct)
+        tail = pc.if_else(simple, pc.replace_substring_regex(distinct, "^[^.,]+", ""), "")
+        parts = pa.concat_arrays([stem, tail]).dictionary_encode()
+        number = self.places(parts.dictionary)
+        at = number[parts.indices.to_numpy()].reshape(2, -1).T.ravel()  # stem, tail, stem, tail, ...
+        flat, ends = expanded(self.flat, self.offset, self.size, at)
+        offset = ends[:-1:2]
+        ids, ends = expanded(flat, offset, np.diff(ends[::2]), words.indices.to_numpy())
+        counts = pc.list_value_length(split).to_numpy()
+        return ids, ends[np.concatenate([[0], np.cumsum(counts)])]
 
 
 @lru_cache(1)
@@ -119,9 +153,9 @@ def tokenised(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = word_ids(path)
         for batch in batches:
-            for a, texts in text_chunks(batch, "text", CHUNK):
-                cells = [packed(np.append(x, end_id)) for x in coder.encode(texts)]
-                part = batch.slice(a, len(texts))
+            for part in chunks(batch, "text", CHUNK):
+                flat, cuts = coder.encode(part.column("text"))
+                cells = [packed(np.append(flat[a:b], end_id)) for a, b in zip(cuts, cuts[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("text_key"), pa.array(cells, pa.binary())],
                     ["doc_id", "text_key", "ids"],
@@ -168,14 +202,14 @@ class Code:
         self.most = int(bits[-1]) if len(bits) else 1
         width = np.left_shift(1, self.most - bits)  # table slots of each code
         first = np.cumsum(width) - width
-        self.symbol = np.repeat(ids, width).astype(np.int64)
-        self.bits = np.repeat(bits, width).astype(np.int64)
-        missing = (1 << self.most) - len(self.symbol)  # a lone id leaves half the table empty
-        self.symbol = np.concatenate([self.symbol, np.full(missing, -1)])
-        self.bits = np.concatenate([self.bits, np.full(missing, self.most)])
+        # id << 8 | bits by the next most bits of the stream; a lone id leaves half the table empty
+        self.table = np.full(1 << self.most, self.most, np.uint64)
+        slots = np.repeat((ids.astype(np.uint64) << np.uint64(8)) | bits.astype(np.uint64), width)
+        self.table[: len(slots)] = slots
         size = int(ids.max()) + 1 if len(ids) else 0
+        # codes by id, at the high end of 64 bits
         self.code, self.length = np.zeros(size, np.uint64), np.zeros(size, np.int64)
-        self.code[ids] = (first >> (self.most - bits)).astype(np.uint64)
+        self.code[ids] = first.astype(np.uint64) << np.uint64(64 - self.most)
         self.length[ids] = bits
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray, int]:
@@ -183,37 +217,35 @@ class Code:
         length = self.length[ids]
         end = np.cumsum(length)
         begin = end - length
-        word, room = begin >> 6, 64 - (begin & 63) - length
+        word, bit = begin >> 6, (begin & 63).astype(np.uint64)
         code = self.code[ids]
-        high = np.where(
-            room >= 0, code << np.maximum(room, 0).astype(np.uint64), code >> np.maximum(-room, 0).astype(np.uint64)
-        )
         out = np.zeros((int(end[-1]) >> 6) + 2, np.uint64)
         first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-        out[word[first]] = np.add.reduceat(high, first)
-        over = np.flatnonzero(room < 0)
-        out[word[over] + 1] |= code[over] << (64 + room[over]).astype(np.uint64)
+        out[word[first]] = np.add.reduceat(code >> bit, first)
+        over = np.flatnonzero(end > (word + 1) << 6)  # codes that go on in the next word
+        out[word[over] + 1] |= code[over] << (np.uint64(64) - bit[over])
         n_bits = int(end[-1])
         return out.astype(">u8").tobytes()[: (n_bits + 7) // 8], begin[::STEP], n_bits
 
     def decode(self, stream: bytes, marks: np.ndarray, n_tokens: int) -> np.ndarray:
         """All ids of a block; every stretch between two marks is a lane."""
         words = np.frombuffer(stream + bytes(24 - len(stream) % 8), ">u8").astype(np.uint64)
-        lanes, at = len(marks), np.array(marks, np.int64)
-        out = np.empty((STEP, lanes), np.int64)
+        lanes, at = len(marks), np.array(marks).astype(np.uint64)
+        out = np.empty((STEP, lanes), np.uint64)
         last = n_tokens - (lanes - 1) * STEP  # ids of the last lane
-        shift = np.uint64(64 - self.most)
+        six, low, one = np.uint64(6), np.uint64(63), np.uint64(1)
+        shift, length = np.uint64(64 - self.most), np.uint64(255)
         for i in range(STEP):
             if i == last:
                 at, lanes = at[:-1], lanes - 1
                 if not lanes:
                     break
-            word, bit = at >> 6, (at & 63).astype(np.uint64)
-            window = words[word] << bit | (words[word + 1] >> np.uint64(1)) >> (np.uint64(63) - bit)
-            slot = (window >> shift).astype(np.int64)
-            out[i, :lanes] = self.symbol[slot]
-            at = at + self.bits[slot]
-        return out.T.ravel()[:n_tokens]
+            word, bit = (at >> six).view(np.int64), at & low
+            window = words[word] << bit | words[word + 1] >> one >> (low - bit)
+            slot = self.table[(window >> shift).view(np.int64)]
+            out[i, :lanes] = slot
+            at = at + (slot & length)
+        return (out.T.ravel()[:n_tokens] >> np.uint64(8)).view(np.int64)
 
 
 def counted(tokens: DataFrame) -> pd.DataFrame:
@@ -222,8 +254,9 @@ def counted(tokens: DataFrame) -> pd.DataFrame:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = np.zeros(0, np.int64)
         for batch in batches:
-            for cell in batch["ids"]:
-                got = np.bincount(unpacked(cell), minlength=len(sums))
+            for a in range(0, len(batch), 256):
+                ids = np.concatenate([unpacked(cell) for cell in batch["ids"].iloc[a : a + 256]])
+                got = np.bincount(ids, minlength=len(sums))
                 got[: len(sums)] += sums
                 sums = got
         some = np.flatnonzero(sums)

@@ -76,5 +76,5 @@ def test_dictionary_stays_bounded(monkeypatch):
     coder = byte_bpe.BytePairs(PATH, PATTERN)
     for i in range(50):
         coder.encode([f"word{i} other{i} third{i}"])
-        assert len(coder.pieces.place) <= 10
+        assert len(coder.pieces.place) <= 10 + 6
     assert coder.decode(np.zeros(0, np.int32)) == b""
