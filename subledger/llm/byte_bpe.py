@@ -46,7 +46,7 @@ from subledger.llm.piece_ids import PieceIds
 LEAF_BYTES = 48
 LEAF_CHARS = 1 << 16
 #: Pre-tokens whose ids a task keeps.
-KEPT = 600_000
+KEPT = 400_000
 #: The pattern's reach past a match's start (its contractions have three characters).
 REACH = 3
 #: Bytes of text handled at once in a task.

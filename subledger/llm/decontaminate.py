@@ -26,11 +26,12 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from subledger.llm.common import pieces, ship, stored, text_or_empty, without
+from subledger.llm.common import chunks, ship, stored, text_or_empty, without
 from subledger.llm.hashing import BASE, GRAM, byte_values, grams, mixed, rolled
 
 SPAN = 13
@@ -106,6 +107,9 @@ class Words:
         }
 
 
+HITS = pa.list_(
+    pa.struct([("gram", pa.int64()), ("k", pa.int32()), ("at", pa.int32()), ("before", pa.int32()), ("words", pa.list_(pa.string()))])
+)
 HIT = "gram long, k int, at int, before int, words array<string>"
 
 
@@ -142,24 +146,23 @@ def document_rows(shared, lengths: list[int]):
     """Per document its number of words and the fingerprints that pass the bit map."""
     sizes = [(K, W)] * (SPAN in lengths) + [(m, 1) for m in lengths if m < SPAN]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for batch in batches:
-            texts, n_words, hits = list(batch["text"]), [], []
-            for a, b in pieces(texts, CHUNK):
-                words = Words(texts[a:b])
-                n_words += list(words.upto - words.since)
-                found = [[] for _ in range(b - a)]
+            for part in chunks(batch, "text", CHUNK):
+                words = Words(part.column("text").to_pylist())
+                found = [[] for _ in range(len(part))]
                 for k, w in sizes:
                     at, grams = words.fingerprints(k, w)
                     slot = grams >> np.uint64(64 - MAP_BITS)
                     hit = (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1)
                     for i in np.flatnonzero(hit):
                         found[words.text[at[i]]].append(words.row(at[i], k, w, grams[i]))
-                hits += found
-            yield pd.DataFrame(
-                {"doc_id": batch["doc_id"], "text_key": batch["text_key"], "row_no": batch["row_no"], "n_words": n_words, "hits": hits}
-            )
+                kept = [part.column(c) for c in ("doc_id", "text_key", "row_no")]
+                yield pa.RecordBatch.from_arrays(
+                    [*kept, pa.array(words.upto - words.since, pa.int64()), pa.array(found, HITS)],
+                    ["doc_id", "text_key", "row_no", "n_words", "hits"],
+                )
 
     return run
 
@@ -199,14 +202,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     shared = spark.sparkContext.broadcast(bit_map(items))
     base = stored(
         docs.select(
-            F.col("doc_id").cast("string").alias("doc_id"),  # pandas has no null integers
+            "doc_id",
             F.xxhash64(text_or_empty()).alias("text_key"),
             F.monotonically_increasing_id().alias("row_no"),
             text_or_empty().alias("text"),
-        ).mapInPandas(
+        ).mapInArrow(
             document_rows(shared, lengths),
-            f"doc_id string, text_key long, row_no long, n_words long, hits array<struct<{HIT.replace(' ', ':').replace(',:', ',')}>>",
-        ).withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType)),
+            f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_key long, row_no long, n_words long, hits array<struct<{HIT.replace(' ', ':').replace(',:', ',')}>>",
+        ),
         "winnow-documents",
     )
     hits = base.select("row_no", F.explode("hits").alias("h")).select("row_no", "h.*")

@@ -19,11 +19,12 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from subledger.llm.common import fresh, pieces, ship
+from subledger.llm.common import chunks, fresh, ship, text_or_empty
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -31,7 +32,7 @@ SMOOTHING = 0.1
 UNKNOWN = "und"
 #: Most megabytes of the count matrix (languages x BUCKETS x 8 bytes).
 MODEL_MB = 256
-#: Characters handled at once in a task.
+#: Bytes of text handled at once in a task.
 CHUNK = 1 << 18
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
@@ -81,15 +82,15 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out, starts, has
 
 
-def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, bucket, n) summed over this task's rows; bucket -1 counts its texts."""
     sums: dict[str, np.ndarray] = {}
     texts: dict[str, int] = {}
     for batch in batches:
-        for a, b in pieces(batch["text"], CHUNK):
-            part = batch.iloc[a:b].sort_values("lang", kind="stable")
-            grams, starts, _ = features(list(part["text"]))
-            langs = part["lang"].to_numpy()
+        for part in chunks(batch, "text", CHUNK):
+            part = part.take(pc.sort_indices(part.column("lang")))
+            grams, starts, _ = features(part.column("text").to_pylist())
+            langs = np.array(part.column("lang").to_pylist(), object)
             first = np.flatnonzero(np.r_[True, langs[1:] != langs[:-1]])
             cut = np.append(starts[first], len(grams))
             for i, k in enumerate(first):
@@ -100,11 +101,11 @@ def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 texts[lang] = texts.get(lang, 0) + int(upto - k)
     for lang, got in sums.items():
         some = np.flatnonzero(got)
-        yield pd.DataFrame(
+        yield pa.RecordBatch.from_pydict(
             {
-                "lang": lang,
-                "bucket": np.append(some, -1).astype(np.int32),
-                "n": np.append(got[some], texts[lang]).astype(np.int64),
+                "lang": pa.array([lang] * (len(some) + 1)),
+                "bucket": pa.array(np.append(some, -1), pa.int32()),
+                "n": pa.array(np.append(got[some], texts[lang]), pa.int64()),
             }
         )
 
@@ -122,7 +123,7 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     if langs * BUCKETS * 8 > MODEL_MB * 1e6:
         raise ValueError(f"{langs} languages need more than {MODEL_MB} MB; raise MODEL_MB")
     rows = (
-        labelled.mapInPandas(counts, "lang string, bucket int, n long")
+        labelled.mapInArrow(counts, "lang string, bucket int, n long")
         .groupBy("lang", "bucket")
         .agg(F.sum("n").alias("n"))
         .toPandas()
@@ -140,23 +141,20 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
 
 def scores(texts: list[str], names: list[str], matrix: np.ndarray) -> tuple[list[str], np.ndarray]:
     """The best language of each text and its posterior probability."""
-    labels, best = [], np.zeros(len(texts))
     if not names:
-        return [UNKNOWN] * len(texts), best
-    for a, b in pieces(texts, CHUNK):
-        grams, starts, has = features(texts[a:b])
-        log = np.empty((b - a, len(names)))
-        for k in range(len(names)):
-            column = np.ascontiguousarray(matrix[:, k])
-            each = column[grams[:, 0]].astype(np.float64)
-            for j in range(1, grams.shape[1]):
-                each += column[grams[:, j]]
-            log[:, k] = np.add.reduceat(each, starts) + column[-1]
-        top = log.argmax(axis=1)
-        share = 1 / np.exp(log - log[np.arange(b - a), top][:, None]).sum(axis=1)
-        best[a:b] = np.where(has, share, 0.0)
-        labels += [names[t] if h else UNKNOWN for t, h in zip(top, has, strict=True)]
-    return labels, best
+        return [UNKNOWN] * len(texts), np.zeros(len(texts))
+    grams, starts, has = features(texts)
+    log = np.empty((len(texts), len(names)))
+    for k in range(len(names)):
+        column = np.ascontiguousarray(matrix[:, k])
+        each = column[grams[:, 0]].astype(np.float64)
+        for j in range(1, grams.shape[1]):
+            each += column[grams[:, j]]
+        log[:, k] = np.add.reduceat(each, starts) + column[-1]
+    top = log.argmax(axis=1)
+    share = 1 / np.exp(log - log[np.arange(len(texts)), top][:, None]).sum(axis=1)
+    labels = [names[t] if h else UNKNOWN for t, h in zip(top, has, strict=True)]
+    return labels, np.where(has, share, 0.0)
 
 
 def held_out() -> Column:
@@ -171,13 +169,19 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
     ship(spark)
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
-    def classify(text: pd.Series) -> pd.DataFrame:
-        labels, best = scores(list(text.fillna("")), *shared.value)
-        return pd.DataFrame({"lang_pred": labels, "score": best})
+    @F.arrow_udf("lang_pred string, score double")
+    def classify(text: pa.Array) -> pa.Array:
+        labels, best = [], [np.zeros(0)]
+        for part in chunks(pa.RecordBatch.from_arrays([text], ["text"]), "text", CHUNK):
+            label, share = scores(part.column("text").to_pylist(), *shared.value)
+            labels += label
+            best.append(share)
+        return pa.StructArray.from_arrays(
+            [pa.array(labels, pa.string()), pa.array(np.concatenate(best))], ["lang_pred", "score"]
+        )
 
     made, label, score = fresh(docs, "made", "lang_pred", "score")
-    return docs.withColumn(made, classify("text")).select(
+    return docs.withColumn(made, classify(text_or_empty())).select(
         *[F.col(f"`{c}`") for c in docs.columns],
         F.col(made)["lang_pred"].alias(label),
         F.col(made)["score"].alias(score),

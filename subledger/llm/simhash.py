@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,10 +61,10 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
-@F.pandas_udf(LongType())
-def fingerprints(text: pd.Series) -> pd.Series:
-    made = np.fromiter((fingerprint(t) for t in text), np.uint64, len(text))
-    return pd.Series(made.view(np.int64))
+@F.arrow_udf(LongType())
+def fingerprints(text: pa.Array) -> pa.Array:
+    made = np.fromiter((fingerprint(t.as_py()) for t in text), np.uint64, len(text))
+    return pa.array(made.view(np.int64))
 
 
 # --- covering tables --------------------------------------------------------
