@@ -24,15 +24,17 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from subledger.operators.quality import not_null_report, unique_report
+from subledger.operators.quality import not_null_report, profile, unique_report
 from subledger.operators.upsert import BucketedTable, VersionedTable, incremental_gate
 from subledger.params import RunParams
 from subledger.plans import marts, quarantine, silver
 from subledger.session import checkpoint_dir
-from subledger.sources.bronze import Bronze
+from subledger.sources.bronze import CORRUPT, TABLES, Bronze
 
 
 @dataclass
@@ -57,6 +59,16 @@ def _delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def malformed_lines(bronze: Bronze) -> DataFrame:
+    """Per bronze table the lines that its raw file could not give all columns for."""
+    parts = []
+    for name in TABLES:
+        table = bronze.table(name)
+        bad = F.col(CORRUPT).isNotNull() if CORRUPT in table.columns else F.lit(False)
+        parts.append(profile(table, name, {"malformed_lines": F.count_if(bad)}))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def build(spark: SparkSession, bronze: Bronze, out_root: str, params: RunParams,
           keep_intermediate: bool = False) -> BuildResult:
     """Build every layer. The deduplicated bronze copies live in a per-run
@@ -111,6 +123,7 @@ def build(spark: SparkSession, bronze: Bronze, out_root: str, params: RunParams,
     models = {**s, **q}
     res.tables["dq_not_null"] = _publish(not_null_report(models), f"{out_root}/dq/not_null")
     res.tables["dq_unique"] = _publish(unique_report(models), f"{out_root}/dq/unique")
+    res.tables["dq_malformed"] = _publish(malformed_lines(bronze), f"{out_root}/dq/malformed")
     if not keep_intermediate:
         _delete(spark, work)
     return res

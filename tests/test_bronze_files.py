@@ -62,3 +62,24 @@ def test_ids_of_very_large_keys_stay_apart(spark):
     revenue = bronze_monthly_revenue(customer)
     assert len(ids(revenue, "revenue_id")) == revenue.count()
     assert set(ids(revenue, "subscription_id")) == set(ids(subs, "subscription_id"))
+
+
+def test_a_build_from_raw_files_publishes_bronze_and_counts_malformed_lines(spark, tmp_path):
+    from subledger.__main__ import main
+    from subledger.operators.upsert import VersionedTable
+    from subledger.sources.bronze import TABLES
+    from subledger.sources.fixtures import fixture_bronze
+
+    bronze = fixture_bronze(spark, "/root/testdata/sf0.001")
+    for name in TABLES:
+        bronze.table(name).drop("row_seq").write.option("header", True).option("escape", '"').option(
+            "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{tmp_path}/raw/{name}")
+    _file(tmp_path / "raw" / "customers", "C2,short", name="z.csv")
+    args = ["--as-of", "2001-06-30", "--run-ts", "2001-07-01 06:00:00"]
+    assert main(["build", "--csv", "--bronze", f"{tmp_path}/raw", "--out", f"{tmp_path}/out", *args]) == 0
+    for name in TABLES:
+        loaded = VersionedTable(spark, f"{tmp_path}/out/bronze/{name}").current()
+        assert loaded.count() == bronze.table(name).count() + (name == "customers")
+    bad = VersionedTable(spark, f"{tmp_path}/out/dq/malformed").current().collect()
+    assert {r.table_name: r.failures for r in bad} == {
+        "customers": 1, "subscriptions": 0, "transactions": 0, "monthly_revenue": 0}
