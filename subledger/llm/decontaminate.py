@@ -29,7 +29,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 from subledger.llm.common import chunks, ship, stored, text_or_empty, without
 from subledger.llm.hashing import BASE, GRAM, byte_values, grams, mixed, rolled
@@ -167,7 +166,6 @@ def document_rows(shared, lengths: list[int]):
     return run
 
 
-@F.pandas_udf(StructType([StructField("first", IntegerType()), StructField("upto", IntegerType())]))
 def extended(
     at: pd.Series, k: pd.Series, before: pd.Series, words: pd.Series, item_before: pd.Series, item_words: pd.Series
 ) -> pd.DataFrame:
@@ -216,9 +214,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     probe = items.select(
         "item", "gram", "k", F.col("before").alias("item_before"), F.col("words").alias("item_words")
     ).distinct()
+    extend = F.pandas_udf(extended, "first int, upto int")
     spans = (
         hits.join(probe, ["gram", "k"])
-        .withColumn("s", extended("at", "k", "before", "words", "item_before", "item_words"))
+        .withColumn("s", extend("at", "k", "before", "words", "item_before", "item_words"))
         .select("row_no", "item", "s.first", "s.upto")
         .where("upto > first")
         .distinct()

@@ -52,14 +52,14 @@ BLOCK = frozenset(
 RAW = frozenset("script style noscript textarea title iframe noembed noframes xmp".split())
 GONE = RAW | frozenset("template svg math select datalist button object canvas audio video map head dialog".split())
 HEAD = RAW | frozenset("head base link meta template".split())
-END_TAG = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)[^>]*>?", re.I) for t in RAW}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: A new element of the key ends an open one of the value, up to an element of SCOPE.
+#: A new element of the key ends an open one of the value, up to an element of SCOPE; others end a paragraph.
 ENDS = {
-    "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
+    "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
     "th": {"td", "th"}, "tbody": {"tbody", "thead", "tfoot", "tr", "td", "th"}, "option": {"option"},
     "tfoot": {"tbody", "thead", "tr", "td", "th"}, "body": {"head"},
 }
+PARAGRAPH = frozenset(["p"])
 SCOPE = frozenset("ul ol menu dl table div section article aside nav main header footer body html td th form".split())
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?"
@@ -72,6 +72,11 @@ PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 STOPS = re.compile(r"[.,;:!?]")
 
 
+@lru_cache(256)
+def end_tag(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*>?", re.I)
+
+
 class Tree:
     """Nodes in page order: element nodes, and text blocks (tag ``#text``)."""
 
@@ -113,8 +118,7 @@ def parse(page: str) -> Tree:
     def flush() -> None:
         nonlocal run, links
         if run:
-            raw = html.unescape("".join(run))
-            text = " ".join(raw.split())
+            text = " ".join("".join(map(html.unescape, run)).split())
             if text:
                 linked = sum(len(x) for x, link in zip(run, links, strict=True) if link)
                 tree.node(stack[-1][1], "#text", "", text, min(linked, len(text)))
@@ -135,7 +139,7 @@ def parse(page: str) -> Tree:
             continue  # comment, doctype, instruction
         closing, attrs = found[1] or found[4], found[3] or found[6] or ""
         if tag in RAW and not closing:  # up to its end tag, whatever stands between
-            close = END_TAG[tag].search(page, at)
+            close = end_tag(tag).search(page, at)
             at = close.end() if close else end
             continue
         if gone == "head" and not closing and tag not in HEAD:
@@ -174,16 +178,13 @@ def parse(page: str) -> Tree:
         if tag in GONE or hidden(attrs):
             if tag in BLOCK:
                 flush()
-            if not attrs.endswith("/"):
+            if not attrs.endswith("/") and end_tag(tag).search(page, at):  # one that never ends hides nothing
                 gone, gone_depth = tag, 1
             continue
         if tag in BLOCK:
             flush()
-            ends = ENDS.get(tag, {"p"})
-            if tag not in ENDS or tag in ("li", "dt", "dd"):
-                ends = ends | {"p"}
-            i = len(stack) - 1
-            cut = None
+            ends = ENDS.get(tag, PARAGRAPH)
+            i, cut = len(stack) - 1, None
             while i > 0:
                 if stack[i][0] in ends:
                     cut = i
@@ -194,11 +195,8 @@ def parse(page: str) -> Tree:
                 for name, _ in stack[cut:]:
                     in_link -= name == "a"
                 del stack[cut:]
-            if tag in ("html", "body") and tree.tag[0] == "body":
-                if attrs:
-                    tree.attrs[0] += " " + attrs if tag == "body" else ""
-                continue
-            if attrs.endswith("/") and tag not in BLOCK:
+            if tag in ("html", "body"):  # the root stands for both
+                tree.attrs[0] += f" {attrs}" if tag == "body" else ""
                 continue
             stack.append((tag, tree.node(stack[-1][1], tag, attrs)))
         else:

@@ -29,7 +29,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
 from subledger.llm.common import ship, stored, text_or_empty, without
 
@@ -61,7 +60,6 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
-@F.arrow_udf(LongType())
 def fingerprints(text: pa.Array) -> pa.Array:
     made = np.fromiter((fingerprint(t.as_py()) for t in text), np.uint64, len(text))
     return pa.array(made.view(np.int64))
@@ -240,7 +238,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         docs.select(
             "doc_id",
             F.xxhash64(text_or_empty()).alias("text_key"),
-            fingerprints(text_or_empty()).alias("fp"),
+            F.arrow_udf(fingerprints, "long")(text_or_empty()).alias("fp"),
         ),
         "simhash",
     )

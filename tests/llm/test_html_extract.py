@@ -73,6 +73,7 @@ def test_parse_blocks():
     assert blocks("1 < 2 and <3> x <") == ["1 < 2 and <3> x <"]
     assert blocks("<p title=\"a>b\">c</p><p title='unclosed>d</p>") == ["c", "d"]
     assert blocks("<p>a<script>never closed") == ["a"]
+    assert blocks("<button>never ends<p>a &am<b>p;</b></p><select><option>b") == ["never ends", "a &amp;", "b"]
     assert blocks("<svg><title>t</title><g>x</g></svg><p>y") == ["y"]
 
 
