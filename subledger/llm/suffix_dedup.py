@@ -55,7 +55,9 @@ CORE = SPAN - BAND + 1
 #: Bytes handled at once, and rows that a task settles within itself at once.
 BLOCK = 1 << 20
 FLUSH = 1 << 20
-PLACE_BITS = 22  # of a byte within a block
+#: Bits for the place of a byte in what is laid end to end: two blocks, or RUNS runs of under 2 SPAN bytes.
+PLACE_BITS = 22
+RUNS = 1 << 13
 #: A place is a text's tie (25 bits), a start (31 bits) and a run's length less one (7 bits).
 START_BITS, RUN_BITS, TIE_BITS = 31, 7, 25
 
@@ -248,22 +250,23 @@ def position_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         ties = batch.column("tie").to_numpy()
         for i, (text, runs) in enumerate(zip(batch.column("text"), batch.column("runs"), strict=True)):
             data = text.as_py().encode("utf-8", "surrogatepass")
-            runs = runs.values
-            at, bucket = runs.field("place").to_numpy(), runs.field("bucket").to_numpy().view(np.uint64)
-            start, count = at >> RUN_BITS & mask, (at & (1 << RUN_BITS) - 1) + 1
-            found = Buckets([data[a : a + n + SPAN - 1] for a, n in zip(start.tolist(), count.tolist(), strict=True)])
-            each, here, anchor = found.anchors()  # the positions of all runs, in order
-            band = (anchor - here) // BAND
-            some = np.flatnonzero(runs.field("open").to_numpy()[each] >> band & 1)
-            each, here = each[some], here[some]
-            shift = start - (found.end - found.size)
-            n = len(each)
-            out.add(
-                bucket[each], found.whole(here), np.zeros(n, np.uint64), np.full(n, ids[i]), np.full(n, none[i]),
-                place(np.full(n, ties[i]), here + shift[each], np.ones(n, np.int64)),
-            )
-            if out.n >= FLUSH:
-                yield from out.flush()
+            for a in range(0, len(runs.values), RUNS):
+                some_runs = runs.values.slice(a, RUNS)
+                at, bucket = some_runs.field("place").to_numpy(), some_runs.field("bucket").to_numpy().view(np.uint64)
+                start, count = at >> RUN_BITS & mask, (at & (1 << RUN_BITS) - 1) + 1
+                found = Buckets([data[x : x + n + SPAN - 1] for x, n in zip(start.tolist(), count.tolist(), strict=True)])
+                each, here, anchor = found.anchors()  # the positions of all runs, in order
+                band = (anchor - here) // BAND
+                some = np.flatnonzero(some_runs.field("open").to_numpy()[each] >> band & 1)
+                each, here = each[some], here[some]
+                shift = start - (found.end - found.size)
+                n = len(each)
+                out.add(
+                    bucket[each], found.whole(here), np.zeros(n, np.uint64), np.full(n, ids[i]), np.full(n, none[i]),
+                    place(np.full(n, ties[i]), here + shift[each], np.ones(n, np.int64)),
+                )
+                if out.n >= FLUSH:
+                    yield from out.flush()
     if out.n:
         yield from out.flush()
 

@@ -58,6 +58,7 @@ def test_matches_brute_force(spark, seed):
 def test_blocks_and_flushes_do_not_matter(spark, monkeypatch):
     monkeypatch.setattr(sd, "BLOCK", 150)
     monkeypatch.setattr(sd, "FLUSH", 3)
+    monkeypatch.setattr(sd, "RUNS", 2)
     rows = passages(3, 30)
     assert result(spark, rows, 3) == brute(rows)
 
@@ -84,3 +85,10 @@ def test_repeated_rows_are_one_document(spark):
     none = hashlib.sha256(b"").hexdigest()
     n = len(long)
     assert got == sorted([(1, n, 0, 0, sha), (1, n, 0, 0, sha), (2, n, n, 1, none)], key=repr)
+
+
+def test_a_very_long_document_that_others_share_in_part(spark):
+    rng = random.Random(12)
+    long = "".join(rng.choice("abcdefghij klmnop") for _ in range(400_000))
+    rows = [(1, long), (2, "".join(long[i : i + 150] + f" cut {i} " for i in range(0, 300_000, 300)))]
+    assert result(spark, rows, 2) == brute(rows)
