@@ -25,14 +25,15 @@ def ship(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """``df`` written once to the shared checkpoint folder and read back.
 
     Cuts lineage and pins values (row ids, fingerprints) that later jobs join
-    on, so a lost executor re-reads files instead of re-running Python.
+    on, so a lost executor re-reads files instead of re-running Python. Cells that
+    are compressed already are best written with ``compression`` uncompressed.
     """
     path = f"{checkpoint_dir(df.sparkSession)}/llm-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -163,7 +163,7 @@ def tokenised(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
 
     rows = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("text_key"), text_or_empty().alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return stored(rows.mapInArrow(ids, f"doc_id {kind}, text_key long, ids binary"), "token-ids")
+    return stored(rows.mapInArrow(ids, f"doc_id {kind}, text_key long, ids binary"), "token-ids", "uncompressed")
 
 
 # --- the code ---------------------------------------------------------------
@@ -315,7 +315,7 @@ def written(tokens: DataFrame, most_bits: int = MOST_BITS) -> tuple[DataFrame, D
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text_key")
         .select(F.spark_partition_id().alias("part"), F.col("doc_id").cast("string").alias("doc_id"), "ids")
     )
-    return code, stored(in_order.mapInPandas(write, BLOCKS), "token-blocks")
+    return code, stored(in_order.mapInPandas(write, BLOCKS), "token-blocks", "uncompressed")
 
 
 def documents(code: DataFrame, blocks: DataFrame, doc_id_type: str = "long") -> DataFrame:

@@ -174,7 +174,7 @@ def archives(pages: DataFrame, least: int = 0) -> DataFrame:
         F.spark_partition_id().alias("part"), F.col("page_id").cast("string"), "url", "payload", "sha1",
         F.col("refers_to").cast("string"),
     )
-    return stored(rows.mapInPandas(write, "name string, data binary"), "warc")
+    return stored(rows.mapInPandas(write, "name string, data binary"), "warc", "uncompressed")
 
 
 INDEX = "array<struct<id:string,offset:long,length:long>>"
@@ -194,7 +194,8 @@ def normalised(files: DataFrame) -> DataFrame:
                     at += len(member)
                 yield pd.DataFrame({"name": [name], "data": [b"".join(members)], "index": [index]})
 
-    return stored(files.mapInPandas(rewrite, f"name string, data binary, index {INDEX}"), "warc-members")
+    members = files.mapInPandas(rewrite, f"name string, data binary, index {INDEX}")
+    return stored(members, "warc-members", "uncompressed")
 
 
 def read(files: DataFrame) -> DataFrame:
