@@ -28,9 +28,10 @@ repeats within itself: of a class it sends on the first run only, so a group of
 copies leaves each task as one row.
 
 "First" is by smallest doc_id (null last), then the hash of the text, then the
-start. Rows that repeat a doc_id and its text are one document and get the same
-result. Null and empty texts have no bytes; texts under SPAN bytes lose none.
-Very long texts are handled in blocks that overlap. Extra columns are ignored.
+start. Rows that repeat a doc_id and its text (by all 64 bits of its hash, which
+every row carries) are one document and get the same result. Null and empty
+texts have no bytes; texts under SPAN bytes lose none. Very long texts are handled
+in blocks that overlap. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -58,12 +59,13 @@ FLUSH = 1 << 20
 #: Bits for the place of a byte in what is laid end to end: two blocks, or RUNS runs of under 2 SPAN bytes.
 PLACE_BITS = 22
 RUNS = 1 << 13
-#: A place is a text's tie (25 bits), a start (31 bits) and a run's length less one (7 bits).
-START_BITS, RUN_BITS, TIE_BITS = 31, 7, 25
+#: A place is a start and, in its last 7 bits, a run's length less one.
+RUN_BITS = 7
 
 
 def tie() -> Column:
-    return F.xxhash64(text_or_empty()).bitwiseAND((1 << TIE_BITS) - 1)
+    """Tells texts of one doc_id (null included) apart."""
+    return F.xxhash64(text_or_empty())
 
 
 class Buckets:
@@ -123,14 +125,17 @@ class Buckets:
         return part, begin, count, self.first[anchor], kind, self.bands(part, anchor)
 
 
-def place(ties: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
-    return ties << (START_BITS + RUN_BITS) | start << RUN_BITS | (count - 1)
+def place(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    return start << RUN_BITS | (count - 1)
 
 
 MARKS = pa.schema(
-    [("copy", pa.bool_()), ("bucket", pa.int64()), ("kind", pa.int64()), ("bands", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int64())]
-)
-MARKS_DDL = "copy boolean, bucket long, kind long, bands long, doc_id long, place long"
+    [
+        ("copy", pa.bool_()), ("bucket", pa.int64()), ("kind", pa.int64()), ("bands", pa.int64()), ("doc_id", pa.int64()),
+        ("tie", pa.int64()), ("place", pa.int64()),
+    ]
+)
+MARKS_DDL = "copy boolean, bucket long, kind long, bands long, doc_id long, tie long, place long"
 
 
 class Settled:
@@ -143,47 +148,49 @@ class Settled:
         self.rows: list[tuple] = []
         self.n = 0
 
-    def add(self, bucket, kind, bands, doc_id, no_id, at) -> None:
-        self.rows.append((bucket, kind, bands, doc_id, no_id, at))
+    def add(self, bucket, kind, bands, doc_id, no_id, ties, at) -> None:
+        self.rows.append((bucket, kind, bands, doc_id, no_id, ties, at))
         self.n += len(at)
 
     def flush(self) -> Iterator[pa.RecordBatch]:
-        bucket, kind, bands, doc_id, no_id, at = (np.concatenate(x) for x in zip(*self.rows, strict=True))
+        bucket, kind, bands, doc_id, no_id, ties, at = (np.concatenate(x) for x in zip(*self.rows, strict=True))
         self.rows, self.n = [], 0
-        by = np.lexsort((at, doc_id, no_id, kind, bucket))
-        b, k, d, x, p = bucket[by], kind[by], doc_id[by], no_id[by], at[by]
+        by = np.lexsort((at, ties, doc_id, no_id, kind, bucket))
+        b, k, d, x, t, p = bucket[by], kind[by], doc_id[by], no_id[by], ties[by], at[by]
         new = np.r_[True, (b[1:] != b[:-1]) | (k[1:] != k[:-1])]
         lead = np.flatnonzero(new)[np.cumsum(new) - 1]  # the first of each row's class
-        copy = (d != d[lead]) | (x != x[lead]) | (p != p[lead])
+        copy = (d != d[lead]) | (x != x[lead]) | (t != t[lead]) | (p != p[lead])
         first = by[new]
         first.sort()  # by document again, which compresses better
-        yield marks(False, bucket[first], kind[first], bands[first], doc_id[first], no_id[first], at[first])
-        d, x, p = d[copy], x[copy], p[copy]
+        yield marks(False, bucket[first], kind[first], bands[first], doc_id[first], no_id[first], ties[first], at[first])
+        d, x, t, p = d[copy], x[copy], t[copy], p[copy]
         if len(p):
-            by = np.lexsort((p, d, x))
-            d, x, p = d[by], x[by], joined_runs(d[by], x[by], p[by])
+            by = np.lexsort((p, t, d, x))
+            d, x, t = d[by], x[by], t[by]
+            p = joined_runs(d, x, t, p[by])
             left = p >= 0
-            d, x, p = d[left], x[left], p[left]
+            d, x, t, p = d[left], x[left], t[left], p[left]
             none = np.zeros(len(p), np.uint64)
-            spread = mixed(d.view(np.uint64) ^ p.view(np.uint64), 7)  # buckets of their own
-            yield marks(True, spread, none, none, d, x, p)
+            spread = mixed(d.view(np.uint64) ^ t.view(np.uint64) ^ p.view(np.uint64), 7)  # buckets of their own
+            yield marks(True, spread, none, none, d, x, t, p)
 
 
-def marks(copy: bool, bucket, kind, bands, doc_id, no_id, at) -> pa.RecordBatch:
+def marks(copy: bool, bucket, kind, bands, doc_id, no_id, ties, at) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array(np.full(len(at), copy)), *[pa.array(c.view(np.int64)) for c in (bucket, kind, bands)],
-            pa.array(doc_id, mask=no_id), pa.array(at),
+            pa.array(doc_id, mask=no_id), pa.array(ties), pa.array(at),
         ],
         schema=MARKS,
     )
 
 
-def joined_runs(doc_id, no_id, at) -> np.ndarray:
+def joined_runs(doc_id, no_id, ties, at) -> np.ndarray:
     """Sorted places in which each row that continues the row before is -1 and counted there."""
     count = (at & (1 << RUN_BITS) - 1) + 1
-    begin = at >> RUN_BITS  # the tie above the start: equal for one text
-    follows = (doc_id[1:] == doc_id[:-1]) & (no_id[1:] == no_id[:-1]) & (begin[1:] == begin[:-1] + count[:-1])
+    begin = at >> RUN_BITS
+    follows = (doc_id[1:] == doc_id[:-1]) & (no_id[1:] == no_id[:-1]) & (ties[1:] == ties[:-1])
+    follows &= begin[1:] == begin[:-1] + count[:-1]
     head = np.r_[True, ~follows]
     first = np.flatnonzero(head)
     before = np.cumsum(count) - count
@@ -218,7 +225,7 @@ def run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 doc = np.array(owner)[part]
                 base = np.cumsum([0, *map(len, parts[:-1])])
                 start = begin - base[part] + np.array(shift)[part]
-                out.add(bucket, kind, bands, ids[doc], none[doc], place(ties[doc], start, count))
+                out.add(bucket, kind, bands, ids[doc], none[doc], ties[doc], place(start, count))
 
         for i, text in enumerate(batch.column("text")):
             data = text.as_py().encode("utf-8", "surrogatepass")
@@ -244,7 +251,6 @@ def run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def position_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The single positions of some runs by bucket and b100, settled within the task."""
     out = Settled()
-    mask = (1 << START_BITS) - 1
     for batch in batches:
         ids, none = ids_of(batch)
         ties = batch.column("tie").to_numpy()
@@ -253,7 +259,7 @@ def position_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             for a in range(0, len(runs.values), RUNS):
                 some_runs = runs.values.slice(a, RUNS)
                 at, bucket = some_runs.field("place").to_numpy(), some_runs.field("bucket").to_numpy().view(np.uint64)
-                start, count = at >> RUN_BITS & mask, (at & (1 << RUN_BITS) - 1) + 1
+                start, count = at >> RUN_BITS, (at & (1 << RUN_BITS) - 1) + 1
                 found = Buckets([data[x : x + n + SPAN - 1] for x, n in zip(start.tolist(), count.tolist(), strict=True)])
                 each, here, anchor = found.anchors()  # the positions of all runs, in order
                 band = (anchor - here) // BAND
@@ -263,7 +269,7 @@ def position_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 n = len(each)
                 out.add(
                     bucket[each], found.whole(here), np.zeros(n, np.uint64), np.full(n, ids[i]), np.full(n, none[i]),
-                    place(np.full(n, ties[i]), here + shift[each], np.ones(n, np.int64)),
+                    np.full(n, ties[i]), place(here + shift[each], np.ones(n, np.int64)),
                 )
                 if out.n >= FLUSH:
                     yield from out.flush()
@@ -272,11 +278,11 @@ def position_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def order() -> list[Column]:
-    return [F.col("doc_id").asc_nulls_last(), F.col("place")]
+    return [F.col("doc_id").asc_nulls_last(), F.col("tie"), F.col("place")]
 
 
 def is_first(window: Window) -> Column:
-    here = F.struct("doc_id", "place")
+    here = F.struct("doc_id", "tie", "place")
     return here == F.first(here).over(window)
 
 
@@ -284,10 +290,6 @@ def same_document(a: DataFrame, b: DataFrame) -> Column:
     return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["tie"] == b["tie"])
 
 
-def with_tie(marks: DataFrame) -> DataFrame:
-    return marks.withColumn("tie", F.shiftrightunsigned("place", START_BITS + RUN_BITS))
-
-
 SPANS = "n_removed long, spans array<struct<begin:long,end:long>>"
 
 
@@ -295,7 +297,7 @@ def merged(places: pd.Series) -> pd.DataFrame:
     """Maximal removed runs of bytes from places (start, number of positions)."""
     rows = []
     for x in places:
-        at = np.sort(np.asarray(x, np.int64) & (1 << START_BITS + RUN_BITS) - 1)
+        at = np.sort(np.asarray(x, np.int64))
         begin, end = at >> RUN_BITS, (at >> RUN_BITS) + (at & (1 << RUN_BITS) - 1) + SPAN
         reach = np.maximum.accumulate(end)
         new = np.flatnonzero(np.r_[True, begin[1:] > reach[:-1]])
@@ -328,13 +330,13 @@ def removed_spans(docs: DataFrame) -> DataFrame:
         left = left.withColumn(f"open{k}", F.when(F.col("lead") & (band != 0) & same, 1 << k).otherwise(0))
         open_ = open_ + F.col(f"open{k}")
     refined = stored(
-        left.withColumn("open", open_).where("not lead or open > 0").select("bucket", "lead", "open", "doc_id", "place"),
+        left.withColumn("open", open_).where("not lead or open > 0").select("bucket", "lead", "open", "doc_id", "tie", "place"),
         "suffix-classes",
     )
 
     # open bands of classes, refined to positions
     per_doc = (
-        with_tie(refined.where("lead").drop("lead")).distinct()
+        refined.where("lead").drop("lead").distinct()
         .groupBy("doc_id", "tie").agg(F.collect_list(F.struct("bucket", "open", "place")).alias("runs"))
     )
     with_runs = texts.join(per_doc, same_document(texts, per_doc)).select(
@@ -342,10 +344,10 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     )
     single = with_runs.mapInArrow(position_rows, MARKS_DDL).drop("bands").repartition("bucket")
     later = single.withColumn("lead", is_first(classes) & ~F.col("copy")).where("not lead")
-    copies = refined.where("not lead").select("doc_id", "place").unionByName(later.select("doc_id", "place"))
+    copies = refined.where("not lead").select("doc_id", "tie", "place").unionByName(later.select("doc_id", "tie", "place"))
     merge = F.pandas_udf(merged, SPANS)
     return stored(
-        with_tie(copies).groupBy("doc_id", "tie").agg(F.collect_list("place").alias("places"))
+        copies.groupBy("doc_id", "tie").agg(F.collect_list("place").alias("places"))
         .select("doc_id", "tie", merge("places").alias("m")).select("doc_id", "tie", "m.*"),
         "suffix-spans",
     )

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from subledger.llm import suffix_dedup as sd
 from tests.llm.data import AWKWARD, documents
@@ -87,6 +88,24 @@ def test_repeated_rows_are_one_document(spark):
     assert got == sorted([(1, n, 0, 0, sha), (1, n, 0, 0, sha), (2, n, n, 1, none)], key=repr)
 
 
+@pytest.mark.parametrize("doc_id", [None, 5])
+def test_texts_of_one_id_whose_hashes_share_25_bits(spark, doc_id):
+    """Each is a document of its own: what the first loses, the second does not."""
+    rng = random.Random(21)
+    text = lambda n: "".join(rng.choice("abcdefghij klmnop") for _ in range(n))
+    other, head, tail = text(150), text(200), text(300)
+    pool = [f"{other if i % 2 else head}{tail} {i}" for i in range(20_000)]
+    low = spark.createDataFrame([(t,) for t in pool], "t string").select(
+        "t", F.xxhash64("t").alias("h"), F.xxhash64("t").bitwiseAND((1 << 25) - 1).alias("low")
+    )
+    by_low = {}
+    for t, h, bits in low.collect():
+        by_low.setdefault(bits, {})[t[:150] == other] = (h, t)
+    pair = sorted(next(x for x in by_low.values() if len(x) == 2).values())
+    rows = [(1, other), *[(doc_id, t) for _, t in pair]]
+    assert result(spark, rows) == brute(rows)
+
+
 def test_a_very_long_document_that_others_share_in_part(spark):
     rng = random.Random(12)
     long = "".join(rng.choice("abcdefghij klmnop") for _ in range(400_000))
