@@ -1,4 +1,4 @@
-"""Suffix-array dedup by bucket-pointer refinement: repeated strings of ``SPAN`` bytes.
+"""Suffix-array dedup after bucket-pointer refinement, by content hashes: repeated strings of ``SPAN`` bytes.
 
 A suffix array over all positions is more than needed: of the order among
 suffixes only this counts, which positions share their first SPAN bytes and
@@ -13,7 +13,9 @@ refinement (Schuermann and Stoye 2005):
    one row per 38 bytes or so.
 2. A bucket is refined by the bucket identifiers at later offsets:
    b50(i) = (b25(i), b25(i + 25)), b100(i) = (b50(i), b50(i + 50)), each level
-   reusing the one before. The identifiers of a run's first and last position
+   reusing the one before. They are hashes of the text, made where it is read, and
+   stand for the pointers that sorting the buckets would give; suffixes are never
+   ordered. The identifiers of a run's first and last position
    tell runs with equal content; of such a class the first run stays and all
    positions of the others are repeats.
    The strings that begin between l and l + ``BAND`` - 1 bytes before a q-gram
