@@ -8,7 +8,8 @@ checked against ``MODEL_MB`` before it is fetched and broadcast. Scoring is a
 sparse row-by-matrix product per batch in numpy.
 
 A text that is null or has no letter is ``und`` with score 0; with no labelled
-row at all every text is ``und``. Equal scores go to the language first in code
+row at all every text is ``und``, but ``known_language`` still rejects only those
+that are null or have no letter. Equal scores go to the language first in code
 point order. Rows with a null or empty ``lang`` teach nothing. Repeated rows
 count as often as they occur; extra columns are ignored.
 """
@@ -139,11 +140,11 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     return names, matrix.astype(np.float32)
 
 
-def scores(texts: list[str], names: list[str], matrix: np.ndarray) -> tuple[list[str], np.ndarray]:
-    """The best language of each text and its posterior probability."""
-    if not names:
-        return [UNKNOWN] * len(texts), np.zeros(len(texts))
+def scores(texts: list[str], names: list[str], matrix: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The best language of each text, its posterior probability, and which texts have a letter."""
     grams, starts, has = features(texts)
+    if not names:
+        return [UNKNOWN] * len(texts), np.zeros(len(texts)), has
     log = np.empty((len(texts), len(names)))
     for k in range(len(names)):
         column = np.ascontiguousarray(matrix[:, k])
@@ -154,7 +155,7 @@ def scores(texts: list[str], names: list[str], matrix: np.ndarray) -> tuple[list
     top = log.argmax(axis=1)
     share = 1 / np.exp(log - log[np.arange(len(texts)), top][:, None]).sum(axis=1)
     labels = [names[t] if h else UNKNOWN for t, h in zip(top, has, strict=True)]
-    return labels, np.where(has, share, 0.0)
+    return labels, np.where(has, share, 0.0), has
 
 
 def held_out() -> Column:
@@ -164,27 +165,30 @@ def held_out() -> Column:
 
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
-    """``docs`` with the columns lang_pred and score (or those names with ``_``)."""
+    """``docs`` with the columns lang_pred, score and has_letter (or those names with ``_``)."""
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(model)
 
-    @F.arrow_udf("lang_pred string, score double")
+    @F.arrow_udf("lang_pred string, score double, has_letter boolean")
     def classify(text: pa.Array) -> pa.Array:
-        labels, best = [], [np.zeros(0)]
+        labels, best, letter = [], [np.zeros(0)], [np.zeros(0, bool)]
         for part in chunks(pa.RecordBatch.from_arrays([text], ["text"]), "text", CHUNK):
-            label, share = scores(part.column("text").to_pylist(), *shared.value)
+            label, share, has = scores(part.column("text").to_pylist(), *shared.value)
             labels += label
             best.append(share)
+            letter.append(has)
         return pa.StructArray.from_arrays(
-            [pa.array(labels, pa.string()), pa.array(np.concatenate(best))], ["lang_pred", "score"]
+            [pa.array(labels, pa.string()), pa.array(np.concatenate(best)), pa.array(np.concatenate(letter))],
+            ["lang_pred", "score", "has_letter"],
         )
 
-    made, label, score = fresh(docs, "made", "lang_pred", "score")
+    made, label, score, letter = fresh(docs, "made", "lang_pred", "score", "has_letter")
     return docs.withColumn(made, classify(text_or_empty())).select(
         *[F.col(f"`{c}`") for c in docs.columns],
         F.col(made)["lang_pred"].alias(label),
         F.col(made)["score"].alias(score),
+        F.col(made)["has_letter"].alias(letter),
     )
 
 
@@ -192,12 +196,12 @@ def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score; learned from the rows not held out."""
     model = train(docs.where(~held_out()))
     slim = docs.select("doc_id", "text", held_out().alias("held_out"))
-    return predict(slim, model).drop("text")
+    return predict(slim, model).drop("text", "has_letter")
 
 
 def known_language(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text has a language; the rest is rejected."""
+    """The rows of ``docs`` whose text has a language; those with a null or letterless text are rejected."""
     model = train(docs.where(~held_out()))
     out = predict(docs, model)
-    label = out.columns[-2]
-    return out.where(F.col(label) != UNKNOWN).select(*[F.col(f"`{c}`") for c in docs.columns])
+    has_letter = out.columns[-1]
+    return out.where(F.col(has_letter)).select(*[F.col(f"`{c}`") for c in docs.columns])

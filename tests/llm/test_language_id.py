@@ -53,3 +53,11 @@ def test_learns_only_from_rows_not_held_out(spark):
 def test_no_labels_and_empty_table(spark):
     assert [tuple(r) for r in li.identify(documents(spark, [(2, "text")])).collect()] == [(2, True, "und", 0.0)]
     assert li.identify(documents(spark, [])).count() == 0
+
+
+def test_without_labels_only_texts_without_a_letter_are_rejected(spark):
+    held = next(i for i in range(60) if zlib.crc32(str(i).encode()) % 3 == 1)
+    rows = [(100, "some text", None), (101, "12 !", None), (102, None, ""), (103, "", None), (104, "été", "")]
+    for more in ([], [(held, "more text", "en")]):
+        kept = li.known_language(documents(spark, rows + more)).collect()
+        assert {r["doc_id"] for r in kept} == {100, 104, *[r[0] for r in more]}
