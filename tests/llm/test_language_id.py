@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import zlib
 
+import pytest
+
 from subledger.llm import language_id as li
 from tests.llm.data import AWKWARD, documents
 
@@ -61,3 +63,20 @@ def test_without_labels_only_texts_without_a_letter_are_rejected(spark):
     for more in ([], [(held, "more text", "en")]):
         kept = li.known_language(documents(spark, rows + more)).collect()
         assert {r["doc_id"] for r in kept} == {100, 104, *[r[0] for r in more]}
+
+
+def test_blocks_of_languages_do_not_matter(spark, monkeypatch):
+    words = ["aaa bab", "bbb cac", "ccc dad", "ddd eae", "eee faf"]
+    rows = [(i, f"{words[i % 5]} {words[i % 7 % 5]}", f"l{i % 5}") for i in range(60)]
+    rows += [(100, None, "l1"), (101, "12", "l2"), (102, "zzz", None), (None, "aaa eee", None), (0, rows[0][1], "l0")]
+    docs = documents(spark, rows)
+    key = lambda r: (r[0] is None, r[0] or 0)
+    want = sorted(map(tuple, li.identify(docs).collect()), key=key)
+    monkeypatch.setattr(li, "MODEL_MB", 0.6)  # two languages in a block
+    monkeypatch.setattr(li, "HELD", 1)
+    got = sorted(map(tuple, li.identify(docs).collect()), key=key)
+    assert [r[:3] for r in got] == [r[:3] for r in want]
+    assert [r[3] for r in got] == pytest.approx([r[3] for r in want])
+    kept = li.known_language(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted((r[0] for r in rows if r[0] not in (100, 101)), key=repr)
