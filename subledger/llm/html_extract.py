@@ -20,7 +20,10 @@ model comes out everywhere.
 
 A null, empty or text-free html gives the empty text. Text that is not markup
 is one block of the body. Pages cut short are read as if all open elements
-ended there. Repeated rows give equal rows; extra columns are ignored.
+ended there. An element whose content is no markup hides what stands up to its end
+tag; a self-closed one hides nothing, nor does one that never ends, but for
+scripts, styles and text areas. Elements that are ``hidden``, ``aria-hidden=true`` or
+``display:none``, and those of ``GONE``, are left out by rule, before the trees see them. Repeated rows give equal rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -50,6 +53,8 @@ BLOCK = frozenset(
 )
 #: Elements whose content is no markup, and elements that never hold main text.
 RAW = frozenset("script style noscript textarea title iframe noembed noframes xmp".split())
+#: Of these the rest of the page is content if they never end.
+OPEN = frozenset("script style textarea".split())
 GONE = RAW | frozenset("template svg math select datalist button object canvas audio video map head dialog".split())
 HEAD = RAW | frozenset("head base link meta template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -69,6 +74,7 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 NAMES = frozenset("class id role itemprop itemtype aria-label data-role data-component rel".split())
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+CLOSED = re.compile(r"(?:\A|[\s\"'])/\Z")
 STOPS = re.compile(r"[.,;:!?]")
 
 
@@ -139,8 +145,10 @@ def parse(page: str) -> Tree:
             continue  # comment, doctype, instruction
         closing, attrs = found[1] or found[4], found[3] or found[6] or ""
         if tag in RAW and not closing:  # up to its end tag, whatever stands between
+            if CLOSED.search(attrs) or tag not in OPEN and attrs.endswith("/"):
+                continue  # ends at its own tag
             close = end_tag(tag).search(page, at)
-            at = close.end() if close else end
+            at = close.end() if close else end if tag in OPEN else at
             continue
         if gone == "head" and not closing and tag not in HEAD:
             gone = ""  # an element that no head can have ends it

@@ -77,6 +77,22 @@ def test_parse_blocks():
     assert blocks("<svg><title>t</title><g>x</g></svg><p>y") == ["y"]
 
 
+@pytest.mark.parametrize("tag", ["iframe", "noscript", "title", "xmp", "noembed", "noframes"])
+def test_raw_elements_that_are_self_closed_or_never_end_hide_nothing(tag):
+    assert blocks(f"<p>a<{tag} src=x/>b</p><p>c</p>") == ["ab", "c"]
+    assert blocks(f"<p>a<{tag} />b</p><{tag}>x</{tag}><p>c</p>") == ["ab", "c"]
+    assert blocks(f"<p>a</p><{tag} src='x'><p>b</p><p>c</p>") == ["a", "b", "c"]
+    assert blocks(f"<p>a<{tag}>x</{tag}>b</p>") == ["ab"]
+    article = f"<h1>Title</h1><p>First {LONG}</p><{tag} src=x/><p>Last {LONG}</p>"
+    got = he.trained().texts([f"<body><article>{article}</article></body>"])
+    assert got == ["\n".join(["Title", f"First {LONG.strip()}", f"Last {LONG.strip()}"])]
+
+
+def test_self_closed_scripts_hide_nothing_and_unquoted_addresses_do_not_close_them():
+    assert blocks('<p>a<script src="x"/>b</p><script>no</script><p>c') == ["ab", "c"]
+    assert blocks("<p>a<script src=/x/>no</script>b</p>") == ["ab"]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<div class=ad>", "</div>", "<a href='", "x ", "&amp", "<!--", "-->", "<li>", "</ul>", "<ul>", "<script>", "</script>", "<b>", "</b>", "\"", "<td", ">", "<form>", "</head>", "<head>", "<br/>"]), max_size=30))
 def test_any_markup_is_read(parts):
