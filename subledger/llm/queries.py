@@ -1,4 +1,4 @@
-"""The ten operators as registered queries, with SQL where SQL can express them."""
+"""The thirteen operators as registered queries, with SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 from subledger.llm import (
     byte_bpe,
     chat_format,
+    collocations,
     decontaminate,
     exact_dedup,
+    hard_negatives,
     html_extract,
     language_id,
+    quality_rules,
     simhash,
     suffix_dedup,
     token_files,
@@ -112,6 +115,23 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mined(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(
+        table(spark, sf_dir, "embeddings"), "vec_id", "embedding", label, F.col("vec_id") % 100 == 0
+    )
+
+
 QUERIES = {
     "op1_html_extract": op1_html_extract,
     "op2_byte_bpe": op2_byte_bpe,
@@ -123,6 +143,9 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_token_files": op9_token_files,
     "op10_warc": op10_warc,
+    "op11_quality_rules": op11_quality_rules,
+    "op12_collocations": op12_collocations,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 OP7_SQL = r"""
@@ -194,7 +217,65 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(lost) AS loss_cha
 FROM g
 """
 
-ORACLE = {"op8_chat_format": OP8_SQL, "op5_decontamination": OP5_SQL, "op7_exact_dedup": OP7_SQL}
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (
+  SELECT * FROM (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces) WHERE len(words) > 0
+), totals AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM w GROUP BY lang
+), f AS MATERIALIZED (
+  SELECT lang, k, array_to_string(words[i : i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM w, unnest(generate_series(1, 5)) AS x(k), unnest(generate_series(1, len(words) - k + 1)) AS y(i)
+  GROUP BY ALL HAVING count(*) >= 100
+), inner_parts AS (
+  SELECT DISTINCT s.lang, array_to_string(s.words[i : i + m - 1], ' ') AS phrase, s.f
+  FROM (SELECT lang, k, f, string_split(phrase, ' ') AS words FROM f WHERE k > 2) AS s,
+       unnest(generate_series(2, s.k - 1)) AS x(m), unnest(generate_series(1, s.k - m + 1)) AS y(i)
+), kept AS (
+  SELECT lang, k AS size, f AS a, string_split(phrase, ' ') AS words, phrase FROM f
+  WHERE k > 1 AND NOT EXISTS (
+    SELECT 1 FROM inner_parts AS p WHERE p.lang = f.lang AND p.phrase = f.phrase AND 100 * p.f >= 100 * f.f)
+), cuts AS (
+  SELECT c.*, h.f AS l, t.f AS r, n, CAST((1000::HUGEINT * c.a * n) // (h.f::HUGEINT * t.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(generate_series(1, size - 1)) AS k FROM kept) AS c
+  JOIN f AS h ON h.lang = c.lang AND h.phrase = array_to_string(c.words[1 : c.k], ' ')
+  JOIN f AS t ON t.lang = c.lang AND t.phrase = array_to_string(c.words[c.k + 1 : c.size], ' ')
+  JOIN totals ON totals.lang = c.lang
+), best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best QUALIFY rank <= 2000
+"""
+
+OP13_SQL = r"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS parts
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS MATERIALIZED (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, a.label = b.label AS same, b.r, b.vec_id,
+         CAST(coalesce(list_sum(list_transform(list_zip(a.parts, b.parts), lambda z: z[1] * z[2])), 0) AS BIGINT) AS score
+  FROM v AS a JOIN v AS b ON a.r <> b.r WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+       CAST(row_number() OVER (PARTITION BY p.anchor, p.r ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score
+QUALIFY rank <= 5
+"""
+
+ORACLE = {
+    "op5_decontamination": OP5_SQL,
+    "op7_exact_dedup": OP7_SQL,
+    "op8_chat_format": OP8_SQL,
+    "op12_collocations": OP12_SQL,
+    "op13_hard_negatives": OP13_SQL,
+}
 
 
 def queries() -> dict:

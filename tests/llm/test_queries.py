@@ -24,13 +24,13 @@ def result(spark, name):
 
 
 def test_one_query_per_operator():
-    assert [re.match(r"op(\d+)_", n)[1] for n in queries.queries()] == [str(i) for i in range(1, 11)]
+    assert [re.match(r"op(\d+)_", n)[1] for n in queries.queries()] == [str(i) for i in range(1, 14)]
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = con.sql(queries.ORACLE[name])
     got = queries.QUERIES[name](spark, SF)
