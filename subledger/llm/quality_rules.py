@@ -6,10 +6,10 @@ each pattern of votes occurs is counted in Spark over all documents that the two
 rules below leave. There are at most 3^rules patterns (59,049, in practice some
 hundred), whatever the corpus, so expectation-maximisation runs on the driver over these
 counts. It estimates the share of good documents and, per rule, how often it
-votes good and bad on good and on bad documents. A rule's accuracy is held to be better
-than a coin's (a bad vote never speaks for a document, a good one never against it) and
-no rate is taken as surer than RATES; an abstention says nothing; of what passes the
-hard rules at least half is taken to be good. So a document that no rule votes against stays,
+votes good, bad or not at all on good and on bad documents. A rule is held to be better
+than a coin: a bad vote never speaks for a document, a good vote or an abstention never
+against it, and no rate is taken as surer than RATES. Of what passes the hard rules at
+least half is taken to be good. So a document that no rule votes against stays,
 and one bad vote outweighs the good ones only if the rule fires among bad documents far
 more often than among good ones. The posterior log-odds are a sum over the votes, hence
 a plain column expression: no join, no broadcast.
@@ -105,7 +105,7 @@ def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def per_hundred(count: str, whole: Column | str = "n_words") -> Column:
     whole = F.col(whole) if isinstance(whole, str) else whole
-    return F.col(count) * 100 / whole
+    return F.try_divide(F.col(count) * 100, whole)
 
 
 @dataclass(frozen=True)
@@ -123,9 +123,9 @@ class Rule:
 def rules() -> list[Rule]:
     """Ten rules over the measures; of a text without the thing measured they abstain."""
     letters = F.nullif(F.col("n_upper") + F.col("n_lower"), F.lit(0))
-    length = F.col("word_chars") / F.col("n_words")
+    length = F.try_divide("word_chars", "n_words")
     lines = F.when(F.col("n_lines") > 1, F.col("n_lines"))
-    variety = F.col("n_distinct") / F.least("n_words", F.lit(400))
+    variety = F.try_divide(F.col("n_distinct"), F.least("n_words", F.lit(400)))
     never = F.lit(False)
     return [
         Rule("symbols", per_hundred("n_symbols") > 10, never),
@@ -145,15 +145,17 @@ def rules() -> list[Rule]:
 
 @dataclass(frozen=True)
 class Model:
-    """Share of good documents, and per rule the weight (log-odds) of a good and of a bad vote."""
+    """Share of good documents, and per rule the weight (log-odds) of a good vote, a bad one, and none."""
 
     good: float
     up: np.ndarray
     down: np.ndarray
+    none: np.ndarray
 
     def log_odds(self, votes: np.ndarray) -> np.ndarray:
         """Of rows of votes (-1, 0, 1), in favour of good."""
-        return math.log(self.good / (1 - self.good)) + (votes == 1) @ self.up + (votes == -1) @ self.down
+        said = (votes == 1) @ self.up + (votes == -1) @ self.down + (votes == 0) @ self.none
+        return math.log(self.good / (1 - self.good)) + said
 
 
 def fitted(votes: np.ndarray, counts: np.ndarray) -> Model:
@@ -162,10 +164,10 @@ def fitted(votes: np.ndarray, counts: np.ndarray) -> Model:
     It starts from a plain count: more bad votes than one against each two good ones is bad.
     """
     n, zero = counts.sum(), np.zeros(votes.shape[1])
-    model = Model(0.5, zero, zero)
+    model = Model(0.5, zero, zero, zero)
     if not n:
         return model
-    up, down = votes == 1, votes == -1
+    up, down, none = votes == 1, votes == -1, votes == 0
     good = np.where(down.sum(axis=1) * 2 > up.sum(axis=1), 0.1, 0.9)
     rate = lambda weight, said: np.clip((weight @ said + 1) / (weight.sum() + 3), *RATES)
     for _ in range(ROUNDS):
@@ -174,16 +176,17 @@ def fitted(votes: np.ndarray, counts: np.ndarray) -> Model:
             float(np.clip((g.sum() + 1) / (n + 2), 0.5, RATES[1])),
             np.maximum(np.log(rate(g, up) / rate(b, up)), 0),
             np.minimum(np.log(rate(g, down) / rate(b, down)), 0),
+            np.maximum(np.log(rate(g, none) / rate(b, none)), 0),
         )
         good = 1 / (1 + np.exp(-model.log_odds(votes)))
-        moved = [np.abs(x - y).max() for x, y in ((before.up, model.up), (before.down, model.down))]
+        moved = [np.abs(x - y).max() for x, y in ((before.up, model.up), (before.down, model.down), (before.none, model.none))]
         if max(*moved, abs(before.good - model.good)) < 1e-9:
             break
     return model
 
 
 def judged(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, the measures, a vote per rule, ``quality`` (posterior), ``base_failed``, ``kept``."""
+    """doc_id, the measures, a vote per rule, ``p_good`` (posterior), ``base_failed``, ``kept``."""
     ship(docs.sparkSession)
     table = docs.select(F.col("doc_id"), text_or_empty().alias("text"))
     kind = table.schema["doc_id"].dataType.simpleString()
@@ -197,8 +200,8 @@ def judged(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     seen = voted.where(~failed).groupBy(*names).agg(F.count(F.lit(1)).alias("n")).orderBy(*names).toPandas()
     model = fitted(seen[names].to_numpy(np.int64).reshape(-1, len(names)), seen["n"].to_numpy(np.float64))
     odds = reduce(add, [
-        F.when(F.col(name) == 1, float(up)).when(F.col(name) == -1, float(down)).otherwise(0.0)
-        for name, up, down in zip(names, model.up, model.down, strict=True)
+        F.when(F.col(name) == 1, float(up)).when(F.col(name) == -1, float(down)).otherwise(float(none))
+        for name, up, down, none in zip(names, model.up, model.down, model.none, strict=True)
     ], F.lit(math.log(model.good / (1 - model.good))))
-    return voted.withColumn("quality", 1 / (1 + F.exp(-odds))).withColumn("base_failed", failed).withColumn(
-        "kept", ~failed & (F.col("quality") >= threshold))
+    return voted.withColumn("p_good", 1 / (1 + F.exp(-odds))).withColumn("base_failed", failed).withColumn(
+        "kept", ~failed & (F.col("p_good") >= threshold))
