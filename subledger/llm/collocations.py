@@ -14,13 +14,14 @@ Texts are lower-cased (A-Z), split at ``[.,;:!?\\x0A-\\x0D]`` into pieces and th
    words, or all) as piece-end corrections. Both are counted per slice of a
    batch, then summed by a shuffle on the words themselves.
 3. ``compacted``: an edge whose end node has one edge in, one edge out and equal weights is
-   followed by that edge only. Pointer doubling along such steps finds for every edge the
-   last of its path and the distance to it; a cycle has no last edge and is left as
+   followed by that edge only. Pointer doubling along such steps (on edge numbers) finds for every
+   edge the last of its path and the distance to it; a cycle has no last edge and is left as
    it is. A path becomes a row of up to SEGMENT edges: its words, once, and one weight.
 4. ``counts``: f of a node is the weight of its outgoing edges plus the tails that end in
    it; dropping the last word again and again, f of all shorter phrases follows from the
    longer ones and the tails. No shorter phrase is ever counted in the texts.
-5. ``scored``: the cut with the lowest score counts; products are decimals of 38 digits.
+5. ``scored``: the cut with the lowest score counts; products are decimals of 38 digits. Candidates
+   whose score cannot reach the first ones, by bounds from their outer words, have no cut looked up.
 
 Phrases with LEAST or more occurrences, and their parts, thus have exact counts; rarer
 ones may come out lower, never higher, and are dropped. Inside one slice equal phrases are told
@@ -73,7 +74,7 @@ class Pieces:
 
     def __init__(self, texts: list[bytes]):
         self.data = (b"\n" + b"\n".join(texts) + b"\n").translate(LOWERED)
-        raw = np.frombuffer(self.data, np.uint8)
+        self.raw = raw = np.frombuffer(self.data, np.uint8)
         kind = byte_kind()[raw]
         change = np.flatnonzero(np.diff((kind == PLAIN).view(np.int8)))
         self.begin, self.end = change[::2] + 1, change[1::2] + 1
@@ -86,8 +87,25 @@ class Pieces:
         """A hash of word i and word i + 1."""
         return mixed(grams(self.hash, 2, GRAM), salt)
 
-    def phrase(self, first: int, n: int) -> str:
-        return b" ".join(self.data[a:b] for a, b in zip(self.begin[first : first + n], self.end[first : first + n], strict=True)).decode()
+    def phrases(self, first: np.ndarray, n: int) -> pa.StringArray:
+        """The ``n`` words from each word of ``first`` on, joined by one space."""
+        begin, end = self.begin[first], self.end[first + n - 1]
+        words = sum(self.end[first + j] - self.begin[first + j] for j in range(n))
+        spaced = end - begin != words + n - 1  # not one character between words
+        tabs = np.zeros(len(first), bool)
+        for j in range(1, n):
+            tabs |= self.raw[self.begin[first + j] - 1] != 0x20
+        odd = np.flatnonzero(spaced | tabs)
+        source, begin, end = self.raw, begin.copy(), end.copy()
+        if len(odd):  # written out behind the texts
+            more = [b" ".join(self.data[a:b] for a, b in zip(self.begin[i : i + n], self.end[i : i + n], strict=True)) for i in first[odd]]
+            size = np.cumsum([0, *map(len, more)])
+            begin[odd], end[odd] = len(source) + size[:-1], len(source) + size[1:]
+            source = np.concatenate([source, np.frombuffer(b"".join(more), np.uint8)])
+        stops = np.r_[0, np.cumsum(end - begin)]
+        at = np.arange(stops[-1]) + np.repeat(begin - stops[:-1], end - begin)
+        return pa.StringArray.from_buffers(
+            len(first), pa.py_buffer(stops.astype(np.int32).tobytes()), pa.py_buffer(source[at].tobytes()))
 
 
 def language_salt(lang: str) -> int:
@@ -122,10 +140,14 @@ def hash_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def equal_runs(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """One place of each distinct pair of hashes, and how often the pair occurs."""
-    order = np.lexsort((second, first))
+    order = np.argsort(first, kind="stable")
     a, b = first[order], second[order]
-    new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])][: len(a)]
-    at = np.flatnonzero(new)
+    same, other = a[1:] == a[:-1], b[1:] != b[:-1]
+    if (same & other).any():  # equal first hashes of different phrases: by both
+        order = np.lexsort((second, first))
+        a, b = first[order], second[order]
+        same, other = a[1:] == a[:-1], b[1:] != b[:-1]
+    at = np.flatnonzero(np.r_[True, ~same | other])
     return order[at], np.diff(np.r_[at, len(a)])
 
 
@@ -143,10 +165,13 @@ def run_rows(shared, bits: int, longest: int):
                 salt = language_salt(lang)
                 word = known(mixed(found.hash, salt))
                 step = found.linked & known(found.steps(salt)) & word[1:] & word[:-1]
-                # words from i to the end of its string: 1 + the steps that follow without a cut
-                cut = np.flatnonzero(np.r_[~step, True]) if len(word) else np.zeros(0, np.int64)
-                left = cut[np.searchsorted(cut, np.arange(len(word)))] - np.arange(len(word)) + 1
-                place = np.arange(len(word)) - np.r_[0, cut[:-1] + 1][np.searchsorted(cut, np.arange(len(word)))] if len(word) else left
+                if not len(word):
+                    continue
+                # strings between cuts: for each word its place in its string and the words left in it
+                last = np.flatnonzero(np.r_[~step, True])
+                size = np.diff(np.r_[-1, last])
+                left = np.repeat(last, size) - np.arange(len(word)) + 1
+                place = np.repeat(size, size) - left
                 other = mixed(found.hash, 3)
                 for n in range(1, longest + 1):
                     if n == longest:
@@ -162,7 +187,7 @@ def run_rows(shared, bits: int, longest: int):
                     yield pa.RecordBatch.from_pydict({
                         "lang": pa.array([lang] * len(some), pa.string()),
                         "tail": pa.array([n < longest] * len(some), pa.bool_()),
-                        "phrase": pa.array([found.phrase(i, n) for i in at[some]], pa.string()),
+                        "phrase": found.phrases(at[some], n),
                         "n": pa.array(n_times, pa.int64()),
                     })
 
@@ -208,57 +233,60 @@ def without_first(phrase: str) -> Column:
 
 
 def graph(texts: DataFrame, hashes: DataFrame, longest: int) -> tuple[DataFrame, DataFrame]:
-    """(lang, phrase, n): the edges with their weights, the tails with theirs."""
+    """(lang, phrase, n, id): the edges with their weights; (lang, phrase, n): the tails."""
     spark = texts.sparkSession
     table, bits = bit_map(hashes)
     shared = spark.sparkContext.broadcast(table)
     rows = texts.mapInArrow(run_rows(shared, bits, longest), RUNS)
-    summed = stored(rows.groupBy("lang", "tail", "phrase").agg(F.sum("n").alias("n")), "collocations-runs")
-    return summed.where("not tail").drop("tail"), summed.where("tail").drop("tail")
+    summed = rows.groupBy("lang", "tail", "phrase").agg(F.sum("n").alias("n"))
+    summed = stored(summed.withColumn("id", F.monotonically_increasing_id()), "collocations-runs")
+    return summed.where("not tail").drop("tail"), summed.where("tail").drop("tail", "id")
 
 
 def followers(edges: DataFrame) -> DataFrame:
-    """(lang, phrase, after, n): edges with the only edge that follows, null at the end of a path.
+    """(id, last): edges whose end node has no other edge in, one edge out and equal weights, with that edge.
 
-    A node passes if it has one edge in and one out, of equal weights. Degrees are
-    partial sums, so a node with very many edges is one row per task.
+    Degrees are partial sums, so a node with very many edges is one row per task.
     """
-    ends = edges.select(
-        "lang", "n", "phrase", F.explode(F.array(
-            F.struct(without_first("phrase").alias("node"), F.lit(1).alias("inward")),
-            F.struct(without_last("phrase").alias("node"), F.lit(0).alias("inward")),
-        )).alias("end"),
-    )
-    inward = F.col("end.inward") == 1
-    nodes = ends.groupBy("lang", F.col("end.node").alias("node")).agg(
-        F.count_if(inward).alias("n_in"), F.count_if(~inward).alias("n_out"),
+    none = F.lit(None).cast("long")
+    ends = edges.select("lang", "n", without_first("phrase").alias("node"), F.col("id").alias("before"), none.alias("after")).union(
+        edges.select("lang", "n", without_last("phrase").alias("node"), none.alias("before"), F.col("id").alias("after")))
+    inward = F.col("before").isNotNull()
+    nodes = ends.groupBy("lang", "node").agg(
+        F.count("before").alias("n_in"), F.count("after").alias("n_out"),
         F.sum(F.when(inward, F.col("n"))).alias("w_in"), F.sum(F.when(~inward, F.col("n"))).alias("w_out"),
-        F.max(F.when(inward, F.col("phrase"))).alias("before"), F.max(F.when(~inward, F.col("phrase"))).alias("after"),
+        F.max("before").alias("id"), F.max("after").alias("last"),
     )
-    passed = nodes.where("n_in = 1 and n_out = 1 and w_in = w_out and before != after")
-    return edges.join(passed.select("lang", F.col("before").alias("phrase"), "after"), ["lang", "phrase"], "left")
+    return nodes.where("n_in = 1 and n_out = 1 and w_in = w_out and id != last").select("id", "last")
+
+
+def path_places(links: DataFrame) -> DataFrame:
+    """(id, last, steps) of all edges in paths of two or more, by pointer doubling; none of cycles."""
+    links = stored(links, "collocations-links")
+    ids = links.select(F.col("id").alias("last"), F.lit(True).alias("more"))
+    # open: something follows the last edge so far; only these rows go through a round
+    state = stored(links.join(ids, "last", "left").select(
+        "id", "last", F.lit(1).cast("long").alias("steps"), F.col("more").isNotNull().alias("open")), "collocations-paths")
+    is_open, before = state.where("open").count(), None
+    while is_open and is_open != before:  # what stays open for ever is in a cycle
+        jump = state.select(
+            F.col("id").alias("last"), F.col("last").alias("further"), F.col("steps").alias("more"), F.col("open").alias("still"))
+        moved = state.where("open").join(jump, "last").select(
+            "id", F.col("further").alias("last"), (F.col("steps") + F.col("more")).alias("steps"), F.col("still").alias("open"))
+        state = stored(state.where("not open").unionByName(moved), "collocations-paths")
+        before, is_open = is_open, state.where("open").count()
+    inner = state.where("not open").drop("open")
+    ends = inner.select("last").distinct()
+    return inner.unionByName(ends.select(F.col("last").alias("id"), "last", F.lit(0).cast("long").alias("steps")))
 
 
 def compacted(edges: DataFrame) -> DataFrame:
     """(lang, phrase, n): unary paths as one row of up to SEGMENT edges each, other edges as they are."""
-    linked = stored(followers(edges), "collocations-edges")
-    state = linked.select("lang", "phrase", F.coalesce("after", "phrase").alias("last"), F.col("after").isNotNull().cast("long").alias("steps"))
-    # rows with steps > 0 move until their last edge is one that nothing follows
-    open_, before = state.where("steps > 0").count(), None
-    while open_ and open_ != before:
-        jump = state.where("steps > 0").select(
-            "lang", F.col("phrase").alias("last"), F.col("last").alias("further"), F.col("steps").alias("more"))
-        state = stored(
-            state.join(jump, ["lang", "last"], "left").select(
-                "lang", "phrase", F.coalesce("further", "last").alias("last"),
-                (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"), F.col("further").isNotNull().alias("moved"),
-            ), "collocations-paths")
-        before, open_ = open_, state.where("moved").count()
-        state = state.drop("moved")
-    moving = state.join(linked.where("after is not null").select("lang", F.col("phrase").alias("last")).distinct(),
-                        ["lang", "last"], "left_semi")  # ends on an edge that something follows: a cycle
-    placed = linked.select("lang", "phrase", "n").join(
-        state.join(moving.select("lang", "phrase"), ["lang", "phrase"], "left_anti"), ["lang", "phrase"], "left")
+    # numbers are unique on both sides, so what belongs together is gathered by a group, not a join
+    text, path = edges.select("id", "lang", "phrase", "n"), path_places(followers(edges))
+    both = text.unionByName(path, allowMissingColumns=True).groupBy("id").agg(
+        *[F.max(c).alias(c) for c in ("lang", "phrase", "n", "last", "steps")])
+    placed = stored(both.drop("id"), "collocations-edges")
     segment = F.floor(F.col("steps") / SEGMENT)
     paths = placed.where("last is not null").groupBy("lang", "last", segment.alias("segment")).agg(
         F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct((-F.col("steps")).alias("at"), "phrase"))).alias("found"))
@@ -276,8 +304,10 @@ def counts(edges: DataFrame, tails: DataFrame, longest: int, least: int) -> Data
     """
     parts = F.split("phrase", " ")
     starts = F.sequence(F.lit(1), F.size(parts) - (longest - 1))
-    level = edges.select("lang", F.col("n").alias("f"), F.explode(F.transform(
-        starts, lambda i: F.array_join(F.slice(parts, i, F.lit(longest)), " "))).alias("phrase"))
+    many = F.size(parts) > longest
+    level = edges.where(~many).select("lang", F.col("n").alias("f"), "phrase").unionByName(
+        edges.where(many).select("lang", F.col("n").alias("f"), F.explode(F.transform(
+            starts, lambda i: F.array_join(F.slice(parts, i, F.lit(longest)), " "))).alias("phrase")))
     levels = [level.where(F.col("f") >= least).select("lang", "phrase", F.lit(longest).alias("n"), "f")]
     for n in range(longest - 1, 0, -1):
         outward = level.select("lang", without_last("phrase").alias("phrase"), "f")
@@ -288,9 +318,17 @@ def counts(edges: DataFrame, tails: DataFrame, longest: int, least: int) -> Data
     return stored(reduce(DataFrame.unionByName, levels), "collocations-counts")
 
 
-def scored(found: DataFrame, totals: DataFrame, longest: int) -> DataFrame:
-    """(lang, phrase, a, l, r, n, score) of phrases that no longer phrase of equal count contains."""
-    size = F.size(F.split("phrase", " "))
+def big(column: str) -> Column:
+    return F.col(column).cast("decimal(19,0)")
+
+
+def thousandfold(above: Column, below: Column) -> Column:
+    """floor(1000 * above / below), exact."""
+    return F.call_function("div", F.lit(1000).cast("decimal(4,0)") * above, below)
+
+
+def kept_candidates(found: DataFrame) -> DataFrame:
+    """Phrases of two words or more that no longer phrase of equal count contains."""
     # f of a longer phrase is never above that of a part, so "100 f >= 100 a" says equal
     inner = found.where("n > 2").select(
         "lang", F.col("f").alias("longer"), F.explode(F.flatten(F.transform(
@@ -299,17 +337,43 @@ def scored(found: DataFrame, totals: DataFrame, longest: int) -> DataFrame:
         ))).alias("phrase"),
     ).groupBy("lang", "phrase").agg(F.max("longer").alias("longer"))
     kept = found.where("n > 1").join(inner, ["lang", "phrase"], "left").where("longer is null or longer < f")
-    cuts = kept.select(
-        "lang", "phrase", F.col("f").alias("a"), F.explode(F.sequence(F.lit(1), size - 1)).alias("k"), size.alias("size")
+    return kept.select("lang", "phrase", F.col("f").alias("a"), F.col("n").alias("size"))
+
+
+def promising(kept: DataFrame, found: DataFrame, totals: DataFrame, top: int) -> DataFrame:
+    """Candidates that can be among the first ``top`` of their language, by proven bounds.
+
+    No part of a phrase is more frequent than its first or last word, so no cut scores below
+    1000 a n / (f(first) f(last)); and the outermost cuts score 1000 n / max(f(first),
+    f(last)) at most, as the other part is as frequent as the phrase at least. What cannot
+    reach the ``top``-th largest lower bound is left out before the cuts are looked up.
+    """
+    word = found.where("n = 1")
+    first, last = (word.select("lang", F.col("phrase").alias(c), F.col("f").alias(f"f_{c}")) for c in ("head", "rest"))
+    bound = kept.withColumns({
+        "head": F.substring_index("phrase", " ", 1), "rest": F.substring_index("phrase", " ", -1),
+    }).join(first, ["lang", "head"]).join(last, ["lang", "rest"]).join(F.broadcast(totals), "lang").select(
+        "lang", "phrase", "a", "size", "n",
+        thousandfold(big("a") * big("n"), big("f_head") * big("f_rest")).alias("least"),
+        thousandfold(big("n"), F.greatest(big("f_head"), big("f_rest"))).alias("most"),
+    )
+    bound = stored(bound, "collocations-bounds")
+    score = bound.select("lang", "phrase", "a", F.col("least").alias("score"))
+    floor = ranked(score, top).where(F.col("rank") == top).select("lang", F.col("score").alias("floor"))
+    return bound.join(F.broadcast(floor), "lang", "left").where("floor is null or most >= floor").drop("least", "most", "floor")
+
+
+def scored(found: DataFrame, totals: DataFrame, top: int) -> DataFrame:
+    """(lang, phrase, a, l, r, n, score) of all candidates that can be among the first ``top``."""
+    cuts = promising(kept_candidates(found), found, totals, top).withColumn(
+        "k", F.explode(F.sequence(F.lit(1), F.col("size") - 1))
     ).withColumns({
         "head": F.expr("substring_index(phrase, ' ', k)"), "rest": F.expr("substring_index(phrase, ' ', k - size)"),
     })
     left = found.select("lang", F.col("phrase").alias("head"), F.col("f").alias("l"))
     right = found.select("lang", F.col("phrase").alias("rest"), F.col("f").alias("r"))
-    big = lambda c: F.col(c).cast("decimal(19,0)")
-    exact = cuts.join(left, ["lang", "head"]).join(right, ["lang", "rest"]).join(F.broadcast(totals), "lang").withColumns(
-        {"above": F.lit(1000).cast("decimal(4,0)") * big("a") * big("n"), "below": big("l") * big("r")}
-    ).withColumn("score", F.expr("above div below"))
+    exact = cuts.join(left, ["lang", "head"]).join(right, ["lang", "rest"]).withColumn(
+        "score", thousandfold(big("a") * big("n"), big("l") * big("r")))
     best = exact.groupBy("lang", "phrase").agg(F.min(F.struct("score", "k", "a", "l", "r", "n")).alias("cut"))
     return best.select("lang", "phrase", "cut.a", "cut.l", "cut.r", "cut.n", "cut.score")
 
@@ -335,5 +399,5 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -
 def mined(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score of each language's first ``top`` collocations."""
     found, totals = phrase_counts(docs, least, longest)
-    return ranked(scored(found, totals, longest), top).select(
+    return ranked(scored(found, totals, top), top).select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
