@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -84,6 +84,33 @@ def not_null_report(models: dict[str, DataFrame], tests=SCHEMA_TESTS) -> DataFra
     return _report(reduce(DataFrame.unionByName, parts))
 
 
+class NullCounts:
+    """Counts the nulls of a model's tested columns while the model is written.
+
+    ``watch`` adds the counts to a frame (``DataFrame.observe``): the job that
+    writes it delivers them, so no second scan is needed. A task that is run twice after
+    a lost executor may be counted twice; zero stays zero.
+    """
+
+    def __init__(self, tests=SCHEMA_TESTS):
+        self.tests = [t for t in tests if t.test == "not_null"]
+        self.seen: dict[str, Observation] = {}
+
+    def watch(self, model: str, df: DataFrame) -> DataFrame:
+        mine = [t for t in self.tests if t.model == model]
+        if not mine:
+            return df
+        self.seen[model] = Observation()
+        return df.observe(self.seen[model], *[F.count_if(F.col(t.column).isNull()).alias(t.column) for t in mine])
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        """The rows of ``not_null_report`` for the models that were written."""
+        rows = [(t.model, t.column, t.test, t.severity, self.seen[t.model].get[t.column])
+                for t in self.tests if t.model in self.seen]
+        return _report(spark.createDataFrame(
+            rows, "model string, column_name string, test_name string, severity string, failures long"))
+
+
 def unique_report(models: dict[str, DataFrame], tests=SCHEMA_TESTS) -> DataFrame:
     """Failures = number of non-null values that occur more than once."""
     parts = []

@@ -122,7 +122,7 @@ def churned_mrr(cm: DataFrame) -> DataFrame:
 LOW_BITS = 16  # a level-0 window holds at most 2**16 distinct values
 
 
-def _expansion_rows(hist: DataFrame) -> DataFrame:
+def expansion_rows(hist: DataFrame) -> DataFrame:
     """(month, gain, 1) per customer-month that has a pair this > last.
 
     For each (customer, month m) the gain is sum over values a of m and b of
@@ -205,17 +205,20 @@ def expansion_mrr(hist: DataFrame) -> DataFrame:
     """A4: sum of (this - last) over every pair of a customer's rows in month m
     and in m - 1 with this > last, and the count of customers with such a pair.
     """
-    return _expansion_rows(hist).groupBy(T).agg(
+    return expansion_rows(hist).groupBy(T).agg(
         F.sum("expansion_mrr").alias("expansion_mrr"),
         F.sum("expanded_customers").alias("expanded_customers"),
     )
 
 
 def new_and_expansion(cm: DataFrame, hist: DataFrame) -> DataFrame:
-    """New and expansion MRR per month from one month-level aggregation over
-    the union of the per-customer contribution rows (one shuffle, not two)."""
-    new = _new_rows(cm)
-    return new.unionByName(_expansion_rows(hist), allowMissingColumns=True).groupBy(T).agg(
+    """New and expansion MRR per month."""
+    return added_moves(_new_rows(cm), expansion_rows(hist))
+
+
+def added_moves(new: DataFrame, expansion: DataFrame) -> DataFrame:
+    """Month sums over the union of the per-customer contribution rows (one shuffle, not two)."""
+    return new.unionByName(expansion, allowMissingColumns=True).groupBy(T).agg(
         F.sum("new_mrr").alias("new_mrr"),
         F.sum("new_customers").alias("new_customers"),
         F.sum("expansion_mrr").alias("expansion_mrr"),

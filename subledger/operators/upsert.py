@@ -1,24 +1,21 @@
-"""Keyed incremental upsert on plain Parquet, and the versioned table it feeds.
+"""Keyed incremental upsert on plain Parquet.
 
-Parquet has no MERGE, so an upsert is a new version of the table:
+Parquet has no MERGE. An upsert is
 
     next = (old rows whose key is not in the batch)  union  batch
 
-written to a fresh directory, then published. A plan never overwrites the
-path it reads, so a failed or retried job leaves the current version intact,
-and a lost executor only recomputes tasks of the version being written.
+over the hash buckets that the batch touches, written by dynamic partition overwrite.
 """
 
 from __future__ import annotations
 
-import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from subledger.operators.materialise import materialised
-
-_VERSION_DIR = re.compile(r"^v=(\d+)(?:\.tag=(.+))?$")
+from subledger.operators.partitions import PartitionedTable
 
 
 def keyed_upsert(target: DataFrame | None, batch: DataFrame, key: str) -> DataFrame:
@@ -55,129 +52,40 @@ def incremental_gate(run_ts: Column, target: DataFrame | None, ts_col: str = "fl
     return run_ts > target.select(F.max(ts_col)).scalar()
 
 
-class VersionedTable:
-    """Directory ``root/v=<n>`` per version; the newest committed one is current.
-
-    A version counts as committed once Spark's job commit wrote ``_SUCCESS``, so
-    readers see the old table or the new one, also after a failed write. The
-    ``keep`` newest versions stay for readers that still use them. ``tag`` names
-    what a version was made from (a micro-batch, say) in its directory's name.
-    """
-
-    def __init__(self, spark: SparkSession, root: str, keep: int = 2):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.keep = keep
-
-    def _path(self, *names: str):
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path("/".join([self.root, *names]))
-        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _names(self, *below: str) -> list[str]:
-        path, fs = self._path(*below)
-        return [st.getPath().getName() for st in fs.listStatus(path)] if fs.exists(path) else []
-
-    def _dirs(self) -> dict[int, str]:
-        """Directory name by version, committed or not."""
-        found = {int(m[1]): m[0] for m in map(_VERSION_DIR.match, self._names()) if m}
-        return dict(sorted(found.items()))
-
-    def _committed(self) -> dict[int, str]:
-        return {v: d for v, d in self._dirs().items() if "_SUCCESS" in self._names(d)}
-
-    def versions(self) -> list[int]:
-        """Committed versions, oldest first."""
-        return list(self._committed())
-
-    def tags(self) -> list[str]:
-        return [m[2] for d in self._committed().values() if (m := _VERSION_DIR.match(d)) and m[2]]
-
-    def path(self, version: int) -> str:
-        return f"{self.root}/{self._dirs().get(version, f'v={version:06d}')}"
-
-    def current(self) -> DataFrame | None:
-        vs = self.versions()
-        return self.spark.read.parquet(self.path(vs[-1])) if vs else None
-
-    def _next(self, tag: str | None) -> tuple[int, str]:
-        # Numbered past every directory, committed or not: a job that died
-        # mid-write leaves an uncommitted directory that is never reused.
-        nxt = max(self._dirs(), default=0) + 1
-        return nxt, f"{self.root}/v={nxt:06d}" + (f".tag={tag}" if tag else "")
-
-    def _delete(self, *names: str) -> None:
-        path, fs = self._path(*names)
-        fs.delete(path, True)
-
-    def _retire(self) -> None:
-        for name in list(self._committed().values())[: -self.keep]:
-            self._delete(name)
-
-    def publish(self, df: DataFrame, tag: str | None = None) -> int:
-        """``df`` as the next version of the whole table."""
-        nxt, path = self._next(tag)
-        df.write.mode("errorifexists").parquet(path)
-        self._retire()
-        return nxt
-
-
-class BucketedTable(VersionedTable):
-    """A keyed table in hash buckets, of which an upsert rewrites those it touches.
-
-    A version holds the buckets it rewrote (``v=<n>/_bucket=<b>``); a bucket's
-    content is in the newest committed version that has it. An upsert never
-    empties a bucket, as a replaced row's key stays where it was.
-    """
+class KeyedTable(PartitionedTable):
+    """A table with a key, in hash buckets of it; ``_batch`` names the batch a row came with."""
 
-    def __init__(self, spark: SparkSession, root: str, key: str, buckets: int = 64, keep: int = 2):
-        super().__init__(spark, root, keep)
+    def __init__(self, spark: SparkSession, root: str, key: str, buckets: int = 64):
+        super().__init__(spark, root, "_bucket")
         self.key, self.buckets = key, buckets
 
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(F.coalesce(F.col(self.key), F.lit(""))), F.lit(self.buckets)).cast("int")
 
-    def _newest(self) -> dict[str, str]:
-        """Directory of each bucket's content."""
-        found = {}
-        for name in self._committed().values():
-            found |= {b: name for b in self._names(name) if b.startswith("_bucket=")}
-        return found
-
-    def current(self) -> DataFrame | None:
-        return self._read()
-
-    def _read(self, buckets: list[int] | None = None) -> DataFrame | None:
-        found = self._newest()
-        if not found:
-            return None
-        # the newest version has every column so far; older files lack the later ones
-        newest = list(self._committed().values())[-1]
-        schema = self.spark.read.parquet(f"{self.root}/{newest}").drop("_bucket").schema
-        paths = [f"{self.root}/{d}/{b}" for b, d in found.items()
-                 if buckets is None or int(b.removeprefix("_bucket=")) in buckets]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
-
-    def upsert(self, batch: DataFrame, tag: str | None = None) -> int:
-        """``keyed_upsert`` of ``batch``, as the next version; its buckets only."""
-        batch = materialised(batch, "upsert-batch")
-        touched = [r[0] for r in batch.select(self._bucket()).distinct().collect()]  # at most `buckets`
-        target = self._read(touched)
-        if target is None or touched:
-            rows = keyed_upsert(target, batch, self.key)
-        else:
-            return max(self.versions())  # nothing to write
-        nxt, path = self._next(tag)
-        dealt = rows.withColumn("_bucket", self._bucket()).hint("rebalance", "_bucket")
-        dealt.write.mode("errorifexists").partitionBy("_bucket").parquet(path)
-        self._retire()
-        return nxt
-
-    def _retire(self) -> None:
-        used = set(self._newest().values())
-        names = list(self._committed().values())
-        for name in names[: -self.keep]:
-            if name not in used:
-                self._delete(name)
+    def read(self, parts: list | None = None, without: str | None = None) -> DataFrame | None:
+        """The rows without helper columns, and without those that came with the batch ``without``."""
+        table = self.rows(parts)
+        if table is not None and without is not None:
+            table = table.where(F.col("_batch") != without)
+        return table if table is None else table.select(*[c for c in table.columns if not c.startswith("_")])
+
+    def upsert(self, batch: DataFrame, tag: str | None = None, gone: DataFrame | None = None) -> None:
+        """``keyed_upsert`` of ``batch``; rows whose key is in ``gone`` (one column) leave first.
+
+        The same batch under the same ``tag`` again changes nothing, also after an
+        upsert that broke off: its keyed rows replace themselves, and null-key rows
+        that came with this tag are dropped before they are appended.
+        """
+        tag = tag or uuid.uuid4().hex
+        batch = materialised(batch.withColumns({"_batch": F.lit(tag), "_bucket": self._bucket()}), "upsert-batch")
+        moved = batch.select("_bucket")
+        if gone is not None:
+            gone = materialised(gone.select(F.col(gone.columns[0]).alias(self.key)), "upsert-gone")
+            moved = moved.unionByName(gone.select(self._bucket().alias("_bucket")))
+        touched = [r[0] for r in moved.distinct().collect()]  # at most `buckets`
+        target = self.rows(touched)
+        if target is not None:
+            target = target.where(F.col(self.key).isNotNull() | (F.col("_batch") != tag))
+            if gone is not None:
+                target = target.join(gone, self.key, "left_anti").select(*target.columns)
+        self.replace(keyed_upsert(target, batch, self.key), touched)
