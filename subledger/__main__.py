@@ -5,7 +5,8 @@
     python -m subledger test  --out <out root>
 
 ``build`` is the scheduled run (silver, quarantine with incremental upsert,
-gold, DQ reports); ``test`` prints the not_null / unique report of a build.
+gold, DQ reports); its exit status is 2 if a test of severity ``error`` kept it from
+being published; ``test`` prints the not_null / unique report of a build.
 The session comes from ``spark-submit`` (master, checkpoint dir, resources).
 """
 
@@ -50,7 +51,7 @@ def main(argv=None) -> int:
     spark = builder.getOrCreate()
 
     if args.cmd == "build":
-        from subledger.plans.pipeline import build
+        from subledger.plans.pipeline import AuditFailed, build
         from subledger.sources.bronze import TABLES, Bronze, load_csv, read_bronze
 
         if args.csv:
@@ -59,14 +60,18 @@ def main(argv=None) -> int:
             })
         else:
             bronze = read_bronze(spark, args.bronze)
-        res = build(spark, bronze, args.out, _params(args))
+        try:
+            res = build(spark, bronze, args.out, _params(args))
+        except AuditFailed as e:
+            print(f"not published: {e}", file=sys.stderr)
+            return 2
         for name, path in res.tables.items():
             print(f"{name}\t{path}")
         return 0
 
-    from subledger.operators.upsert import VersionedTable
+    from subledger.plans.pipeline import read_table
 
-    not_null, unique = (VersionedTable(spark, f"{args.out}/dq/{n}").current() for n in ("not_null", "unique"))
+    not_null, unique = (read_table(spark, args.out, f"dq_{n}") for n in ("not_null", "unique"))
     report = not_null.unionByName(unique)
     rows = report.orderBy("model", "column_name", "test_name").collect()  # one row per declared test
     for r in rows:

@@ -69,10 +69,14 @@ def quarantine_breakdown(*quarantine_tables: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def kpi_transactions(mart_transactions: DataFrame) -> DataFrame:
-    """Success rate, total transactions, successful volume, failure rate."""
+def kpi_transactions(tx: DataFrame) -> DataFrame:
+    """Success rate, total transactions, successful volume, failure rate.
+
+    ``tx`` is the payments mart or, as no context column is used, the silver
+    transactions, which have the same rows and need no context.
+    """
     n = F.count(F.lit(1))
-    return mart_transactions.agg(
+    return tx.agg(
         n.alias("total_transactions"),
         F.round(F.count_if("is_successful").cast("double") / F.nullif(n, F.lit(0)) * 100, 2)
         .alias("success_rate_pct"),

@@ -53,19 +53,27 @@ def mrr_components(revenue: DataFrame) -> dict[str, DataFrame]:
 
 
 def mart_mrr(revenue: DataFrame) -> DataFrame:
-    """C8. Growth is a lag over rows ordered by month and plan: the first plan
-    row of a month sees the month before, the others see their own month again,
-    so it is a window over months, and 0 (null for a zero total) elsewhere."""
+    """C8, in order of month and plan."""
     hist = materialised(rv.revenue_histogram(revenue), "revenue-histogram")
     cm = rv.customer_month(hist)
     by_plan = materialised(rv.mrr_by_month_plan(hist), "mrr-by-month-plan")
-    growth = rv.month_growth(rv.month_totals(by_plan)).select(
+    growth = rv.month_growth(rv.month_totals(by_plan))
+    return mrr_rows(by_plan, growth, rv.new_and_expansion(cm, hist), rv.churned_mrr(cm)).orderBy(T, "plan")
+
+
+def mrr_rows(by_plan: DataFrame, growth: DataFrame, new_and_expansion: DataFrame, churned: DataFrame) -> DataFrame:
+    """The mart's rows from its parts, for whichever months these cover.
+
+    Growth is a lag over rows ordered by month and plan: the first plan
+    row of a month sees the month before, the others see their own month again,
+    so it is a window over months, and 0 (null for a zero total) elsewhere."""
+    growth = growth.select(
         T,
         F.col("total_mrr").alias("total_mrr_all_plans"),
         "total_active_customers",
         F.col("mrr_growth_rate_pct").alias("_first_growth"),
     )
-    months = growth.join(rv.new_and_expansion(cm, hist), T, "left").join(rv.churned_mrr(cm), T, "left")
+    months = growth.join(new_and_expansion, T, "left").join(churned, T, "left")
     in_month = Window.partitionBy(T).orderBy("plan")
     m = by_plan.withColumn("_place", F.row_number().over(in_month))
     j = context_join(m, materialised(months, "mrr-months"), T).withColumn(
@@ -92,7 +100,7 @@ def mart_mrr(revenue: DataFrame) -> DataFrame:
          + F.coalesce("churned_mrr", z)).alias("net_new_mrr"),
         "mrr_growth_rate_pct",
         (total * 12).alias("arr"),
-    ).orderBy(T, "plan")
+    )
 
 
 # ---- mart_cac_ltv (C9) -----------------------------------------------------
@@ -236,50 +244,97 @@ TX_DETAIL_COLS = (
 )
 
 
-_CONTEXT_KEYS = ("transaction_month", "payment_method", "channel")
+PAYMENT_KEYS = ("transaction_month", "payment_method", "channel")
+#: grouping_id of a grouping set: a bit for each of PAYMENT_KEYS that is summed over.
+MONTH, METHOD, CHANNEL, ALL = 0b011, 0b101, 0b110, 0b111
+LEVELS = {MONTH: "month", METHOD: "payment_method", CHANNEL: "channel", ALL: "all"}
+
+
+def payment_measures(tx: DataFrame) -> DataFrame:
+    """PAYMENT_KEYS and the additive measures of a transaction, one row each."""
+    one = lambda c: F.when(c, 1).otherwise(0).cast("long")
+    return tx.select(
+        *PAYMENT_KEYS,
+        F.lit(1).cast("long").alias("_n"),
+        *[one(F.col(f"is_{n}")).alias(f"_{n}") for n in ("successful", "failed", "refunded")],
+        one(F.col("status") == STATUS_PENDING).alias("_pending"),
+        _success_amount().alias("_volume"),
+        F.when(F.col("is_successful"), F.col("fee_usd")).otherwise(F.lit(0)).alias("_fees"),
+    )
+
+
+MEASURES = ("_n", "_successful", "_failed", "_refunded", "_pending", "_volume", "_fees")
 
 
-def _context_cube(tx: DataFrame) -> DataFrame:
-    """(month, method, channel) -> row count, successful count and volume.
+def payment_cube(tx: DataFrame) -> DataFrame:
+    """PAYMENT_KEYS -> sums of the additive measures. Null keys form groups of their own."""
+    return payment_measures(tx).groupBy(*PAYMENT_KEYS).agg(*[F.sum(m).alias(m) for m in MEASURES])
 
-    One pass over the transactions; the three context tables are then
-    re-aggregations of this small written table. Null keys form their own
-    groups, so every re-aggregate still counts every row.
+
+def payment_levels(measures: DataFrame) -> DataFrame:
+    """Sums per month, per method, per channel and over all rows, told apart by ``_level``.
+
+    ``measures`` are rows of ``payment_measures`` or a ``payment_cube``; one pass and
+    one shuffle of partial sums, whichever of the levels are read afterwards.
     """
-    return tx.groupBy(*_CONTEXT_KEYS).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.count_if(F.col("is_successful")).alias("_ok"),
-        F.sum(_success_amount()).alias("_vol"),
+    sets = [[k] for k in PAYMENT_KEYS] + [[]]
+    return measures.groupingSets(sets, *PAYMENT_KEYS).agg(
+        F.grouping_id().cast("int").alias("_level"), *[F.sum(m).alias(m) for m in MEASURES])
+
+
+def _rate_of(part: str) -> Column:
+    return F.round(F.col(part).cast("double") / F.nullif(F.col("_n"), F.lit(0)) * 100, 2)
+
+
+def payment_tiles(tx: DataFrame) -> DataFrame:
+    """G2, G11, G12, G13 in one pass: the additive figures of all four dashboard tiles."""
+    level = F.create_map(*[F.lit(x) for kv in LEVELS.items() for x in kv])[F.col("_level")]
+    return payment_levels(payment_measures(tx)).select(
+        level.alias("level"), *PAYMENT_KEYS,
+        F.col("_n").alias("total_transactions"),
+        *[F.col(f"_{n}").alias(f"{n}_transactions") for n in ("successful", "failed", "refunded", "pending")],
+        _rate_of("_successful").alias("success_rate_pct"),
+        _rate_of("_failed").alias("failure_rate_pct"),
+        F.col("_volume").alias("successful_volume_usd"),
+        F.col("_fees").alias("total_fees_usd"),
     )
 
 
-def _context(cube: DataFrame, key: str, rate: str, volume: str | None = None, rows: str | None = None) -> DataFrame:
+def _context(levels: DataFrame, level: int, key: str, rate: str, volume: str | None = None, rows: str | None = None) -> DataFrame:
     """One row per ``key`` with its success rate, and its volume and row count if named."""
-    n, ok = F.sum("_n"), F.sum("_ok")
-    measures = [F.round(ok.cast("double") / F.nullif(n, F.lit(0)) * 100, 2).alias(rate)]
-    measures += [n.alias(rows)] if rows else []
-    measures += [F.sum("_vol").alias(volume)] if volume else []
-    return materialised(cube.groupBy(key).agg(*measures), f"by-{key}")
+    measures = [_rate_of("_successful").alias(rate)]
+    measures += [F.col("_n").alias(rows)] if rows else []
+    measures += [F.col("_volume").alias(volume)] if volume else []
+    return levels.where(F.col("_level") == level).select(key, *measures)
 
 
-def mart_transactions(tx: DataFrame) -> DataFrame:
-    """Detail rows plus month / method / channel context.
+def with_month_context(tx: DataFrame, levels: DataFrame, n: int | None = None) -> DataFrame:
+    """Detail rows and the figures of their month: all that depends on the month alone."""
+    month = _context(levels, MONTH, "transaction_month", "month_success_rate_pct",
+                     "month_successful_volume_usd", "month_total_transactions")
+    return context_join(tx.select(*TX_DETAIL_COLS), month, "transaction_month", n=n)
 
-    Keys join with plain equality, so a null method or channel gets null context.
-    """
-    cube = materialised(_context_cube(tx), "payment-context")
-    out = tx.select(*TX_DETAIL_COLS)
-    for key, context in (
-        ("transaction_month", _context(cube, "transaction_month", "month_success_rate_pct",
-                                       "month_successful_volume_usd", "month_total_transactions")),
-        ("payment_method", _context(cube, "payment_method", "payment_method_success_rate_pct",
-                                    "payment_method_total_volume_usd")),
-        ("channel", _context(cube, "channel", "channel_success_rate_pct")),
-    ):
-        out = context_join(out, context, key)
+
+def with_global_contexts(rows: DataFrame, levels: DataFrame, n: int | None = None) -> DataFrame:
+    """Rows of ``with_month_context`` and the figures of their method and channel over all months."""
+    method = _context(levels, METHOD, "payment_method", "payment_method_success_rate_pct", "payment_method_total_volume_usd")
+    channel = _context(levels, CHANNEL, "channel", "channel_success_rate_pct")
+    out = context_join(context_join(rows, method, "payment_method", n=n), channel, "channel", n=n)
     return out.select(
         *TX_DETAIL_COLS,
         "month_total_transactions", "month_success_rate_pct", "month_successful_volume_usd",
         "payment_method_success_rate_pct", "payment_method_total_volume_usd",
         "channel_success_rate_pct",
-    ).orderBy("transaction_date", "transaction_id")
+    )
+
+
+def mart_transactions(tx: DataFrame) -> DataFrame:
+    """Detail rows plus month / method / channel context, in order.
+
+    Keys join with plain equality, so a null method or channel gets null context.
+    All contexts come from one small table, written and counted once.
+    """
+    levels = materialised(payment_levels(payment_measures(tx)), "payment-levels")
+    n = levels.count()
+    out = with_global_contexts(with_month_context(tx, levels, n), levels, n)
+    return out.orderBy("transaction_date", "transaction_id")

@@ -334,6 +334,9 @@ PAYMENT_METRICS = {
     "unique_customers": "count(DISTINCT customer_id)",
 }
 
+TILE_METRICS = ("total_transactions", "successful_transactions", "failed_transactions", "refunded_transactions",
+                "pending_transactions", "success_rate_pct", "failure_rate_pct", "volume:successful_volume_usd", "total_fees_usd")
+
 
 def payments(key: str, *metrics: str, source: str = "stg_transactions") -> str:
     """A summary by ``key`` (or over all rows); ``metric:name`` renames."""

@@ -9,6 +9,7 @@ engines hand over the same value types; the library itself keeps decimals.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 from typing import Callable
 
@@ -20,14 +21,20 @@ from subledger.functions import iso_date, multi_format_date, whole_number
 from subledger.functions.scalars import ISO_DATE, OTHER_DATE_LAYOUTS
 from subledger.operators import quality
 from subledger.operators.dedup import dropped_duplicates
+from subledger.operators.distinct import customer_bitmaps, customer_numbers, distinct_customers
+from subledger.operators.materialise import materialised
+from subledger.operators.ordering import numbered
+from subledger.operators.revenue import revenue_histogram
 from subledger.operators.schedule import expand_monthly_revenue
 from subledger.operators.upsert import incremental_gate, keyed_upsert
 from subledger.params import DEFAULT_PLAN_PRICE, PLAN_PRICES, RunParams
-from subledger.plans import kpi, marts
+from subledger.plans import kpi, marts, pipeline
 from subledger.plans import oracle as o
+from subledger.plans.monthly import MonthlyMrr
 from subledger.plans.quarantine import flagged_at, quarantine_transactions
 from subledger.plans.silver import deduped
 from subledger.plans.warehouse import Warehouse
+from subledger.session import checkpoint_dir
 from subledger.sources.bronze import BRONZE_COLUMNS, Bronze
 from subledger.sources.fixtures import FIXTURE_PARAMS, bronze_transactions, fixture_bronze
 
@@ -322,7 +329,15 @@ def q_quarantine_breakdown(spark, sf_dir):
                                          "volume:successful_volume_usd", source="mart_transactions"),
           doubles=("successful_volume_usd",))
 def q_kpi_transactions(spark, sf_dir):
-    return kpi.kpi_transactions(_wh(spark, sf_dir).mart_transactions)
+    return kpi.kpi_transactions(_wh(spark, sf_dir).stg_transactions)
+
+
+@register("payment_tiles", "\nUNION ALL BY NAME\n".join(
+    f"SELECT '{level}' AS level, * FROM ({o.payments(key, *o.TILE_METRICS)})"
+    for level, key in (("month", "transaction_month"), ("payment_method", "payment_method"), ("channel", "channel"), ("all", ""))),
+    doubles=("successful_volume_usd", "total_fees_usd"))
+def q_payment_tiles(spark, sf_dir):
+    return marts.payment_tiles(_wh(spark, sf_dir).stg_transactions)
 
 
 @register("kpi_unit_economics", f"SELECT {_AVERAGES_SQL} FROM g_customer_metrics", doubles=tuple(_AVERAGES))
@@ -548,6 +563,81 @@ def q_fix_cycle_replay(spark, sf_dir):
     return keyed_upsert(v1, batch, "row_id")
 
 
+def _replayed(spark: SparkSession, sf_dir: str) -> str:
+    """Payment tables built from the load as it came, then taken to the repaired load by
+    its change set; the folder they are in."""
+    full = fixture_bronze(spark, sf_dir)
+    root = f"{checkpoint_dir(spark).rstrip('/')}/fix-cycle-{uuid.uuid4().hex}"
+    pipeline.build_transactions(spark, root, full.transactions, DAY1_PARAMS)
+    repaired = _repaired_bronze(full).transactions
+    pipeline.reload_transactions(spark, root, full.transactions, repaired, FIXTURE_PARAMS)
+    return root
+
+
+_FIXED = {"b_transactions_fixed": _FIX_REL["b_transactions_fixed"],
+          "d_transactions": o.first_copies("b_transactions_fixed", "transaction_id", "transaction_date")}
+
+
+@register("fix_cycle_replay_silver", "SELECT * FROM stg_transactions", doubles=("amount_usd", "fee_usd"),
+          extra_relations=_FIXED)
+def q_fix_cycle_replay_silver(spark, sf_dir):
+    """Silver after the reload: equal to one built from the repaired load."""
+    return pipeline.read_table(spark, _replayed(spark, sf_dir), "stg_transactions")
+
+
+@register("fix_cycle_replay_mart", "SELECT * FROM mart_transactions", doubles=MART_TX_DOUBLES, extra_relations=_FIXED)
+def q_fix_cycle_replay_mart(spark, sf_dir):
+    """The payments mart after the reload: equal to one built from the repaired load."""
+    return pipeline.read_table(spark, _replayed(spark, sf_dir), "mart_transactions")
+
+
+# ---------------------------------------------------------------------------
+# Order (O1-O3), additive distinct counts (A1, A6), month by month (A2-A5)
+# ---------------------------------------------------------------------------
+
+@register("mart_mrr_order",
+          "SELECT revenue_month, plan, row_number() OVER (ORDER BY revenue_month, plan) AS position FROM mart_mrr")
+def q_mart_mrr_order(spark, sf_dir):
+    return numbered(_wh(spark, sf_dir).mart_mrr.select("revenue_month", "plan"), [F.col("revenue_month"), F.col("plan")])
+
+
+@register("mart_cac_ltv_order", """
+SELECT signup_date, customer_id, row_number() OVER (ORDER BY signup_date, customer_id) AS position FROM g_customer_metrics""")
+def q_mart_cac_ltv_order(spark, sf_dir):
+    rows = _wh(spark, sf_dir).customer_metrics.select("signup_date", "customer_id")
+    return numbered(rows, [F.col("signup_date"), F.col("customer_id")])
+
+
+@register("mart_transactions_order", """
+SELECT transaction_date, transaction_id, row_number() OVER (ORDER BY transaction_date, transaction_id) AS position
+FROM mart_transactions""")
+def q_mart_transactions_order(spark, sf_dir):
+    rows = _wh(spark, sf_dir).stg_transactions.select("transaction_date", "transaction_id")
+    return numbered(rows, [F.col("transaction_date"), F.col("transaction_id")])
+
+
+@register("customers_per_quarter", """
+SELECT CAST(date_trunc('quarter', revenue_month) AS DATE) AS quarter, count(DISTINCT customer_id) AS customers
+FROM g_revenue GROUP BY ALL""")
+def q_customers_per_quarter(spark, sf_dir):
+    """Paying customers per quarter, from the bitmaps per month and plan alone."""
+    paying = revenue_histogram(_wh(spark, sf_dir).stg_monthly_revenue)
+    bitmaps = materialised(customer_bitmaps(paying, customer_numbers(paying), "revenue_month", "plan"), "customer-bitmaps")
+    return distinct_customers(bitmaps, quarter=F.trunc("revenue_month", "quarter"))
+
+
+@register("mart_mrr_append", "SELECT * FROM mart_mrr", doubles=MART_MRR_DOUBLES, bigints=("total_active_customers",))
+def q_mart_mrr_append(spark, sf_dir):
+    """The mart of all months but the last, to which the last is appended from the carried state."""
+    revenue = materialised(_wh(spark, sf_dir).stg_monthly_revenue, "revenue")
+    month = F.trunc("revenue_month", "MM")
+    last = F.lit(revenue.agg(F.max(month)).first()[0])
+    mart = MonthlyMrr(spark, f"{checkpoint_dir(spark).rstrip('/')}/monthly-mrr-{uuid.uuid4().hex}")
+    mart.start(revenue.where(month < last))
+    mart.append(revenue.where(month == last))
+    return mart.read()
+
+
 # ---------------------------------------------------------------------------
 # Re-aimed operators
 # ---------------------------------------------------------------------------
@@ -673,9 +763,6 @@ def _csv_query(table: str):
     def load(spark, sf_dir):
         """Derived bronze rows, with commas, quotes and line breaks in one column,
         written as raw CSV into the shared folder and bulk-loaded back as bronze."""
-        import uuid
-
-        from subledger.session import checkpoint_dir
         from subledger.sources.bronze import CORRUPT, ROW_SEQ, load_csv
 
         root = f"{checkpoint_dir(spark).rstrip('/')}/csv-load-{uuid.uuid4().hex}"

@@ -31,3 +31,8 @@ def scratch() -> str:
 def rows(df, *cols):
     cols = cols or tuple(df.columns)
     return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
+
+
+def files(root: str) -> dict[str, set[str]]:
+    """Data files by partition folder of a table on local disk."""
+    return {d.name: {f.name for f in d.glob("*.parquet")} for d in Path(root).iterdir() if "=" in d.name}

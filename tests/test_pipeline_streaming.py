@@ -1,17 +1,23 @@
 """Materialised build (two runs, versioned quarantine) and the streaming upsert."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from subledger.operators.upsert import BucketedTable, VersionedTable
+from subledger.operators import publish
 from subledger.params import RunParams
 from subledger.plans import pipeline
+from subledger.operators.quality import not_null_report
+from subledger.operators.upsert import KeyedTable
+from subledger.plans.quarantine import quarantine_transactions
 from subledger.plans.warehouse import Warehouse
-from subledger.sources.bronze import read_bronze, write_bronze
+from subledger.session import checkpoint_dir
+from subledger.sources.bronze import Bronze, read_bronze, text_schema, write_bronze
 from subledger.sources.fixtures import fixture_bronze
 from subledger.streaming import start_quarantine_stream
+from subledger.streaming.quarantine_stream import StreamTables, publish_batch
 
 from conftest import SF001, rows
 
@@ -20,28 +26,64 @@ P1 = RunParams(AS_OF, dt.datetime(2001, 6, 30, 6))
 P2 = RunParams(AS_OF, dt.datetime(2001, 7, 1, 6))
 
 
-def test_pipeline_builds_all_layers_and_versions_quarantine(spark, scratch):
+def test_pipeline_builds_all_layers_and_publishes_them(spark, scratch):
     write_bronze(fixture_bronze(spark, SF001), f"{scratch}/bronze")
     bronze = read_bronze(spark, f"{scratch}/bronze")
-    r1 = pipeline.build(spark, bronze, f"{scratch}/out", P1)
-    r2 = pipeline.build(spark, bronze, f"{scratch}/out", P2)
-    assert (r1.quarantine_transactions_version, r2.quarantine_transactions_version) == (1, 2)
+    out = f"{scratch}/out"
+    before = {p.name for p in Path(checkpoint_dir(spark).removeprefix("file:")).iterdir()}
+    r1 = pipeline.build(spark, bronze, out, P1)
+    r2 = pipeline.build(spark, bronze, out, P2)
+    assert {p.name for p in Path(checkpoint_dir(spark).removeprefix("file:")).iterdir()} == before
+    assert (r1.build, r2.build) == (1, 2)
     lazy = Warehouse(bronze, P2)
-    for name in ("stg_customers", "stg_transactions", "mart_mrr", "mart_transactions"):
-        written = spark.read.parquet(r2.tables[name])
+    for name in ("stg_customers", "stg_transactions", "mart_mrr", "mart_cac_ltv", "mart_transactions"):
+        written = pipeline.read_table(spark, out, name)
         want = getattr(lazy, name)
         assert written.columns == want.columns
         assert rows(written) == rows(want), name
-    assert spark.read.parquet(r2.tables["mart_transactions"]).columns[3] == "transaction_month"
-    marts = VersionedTable(spark, f"{scratch}/out/gold/mart_mrr")
-    assert marts.versions() == [1, 2]  # readers of the first build still have it
-    q2 = BucketedTable(spark, r2.tables["quarantine_transactions"], "row_id").current()
+    assert publish.current(spark, out) == r2.tables
+    spark.read.parquet(r1.tables["mart_mrr"]).count()  # readers of the first build still have it
+    q2 = pipeline.read_table(spark, out, "quarantine_transactions")
     assert q2.count() == lazy.quarantine_transactions.count()
     assert {r.flagged_at for r in q2.collect()} == {P2.run_ts}
-    dq = {(r.model, r.column_name, r.test_name): r.status
-          for r in spark.read.parquet(r2.tables["dq_not_null"]).collect()}
-    assert dq[("stg_customers", "customer_id", "not_null")] == "pass"
-    assert dq[("quarantine_customers", "row_id", "not_null")] == "fail"  # the null-id row
+    dq = {(r.model, r.column_name, r.test_name): (r.failures, r.status)
+          for r in pipeline.read_table(spark, out, "dq_not_null").collect()}
+    want = {(r.model, r.column_name, r.test_name): (r.failures, r.status)
+            for r in not_null_report({n: getattr(lazy, n) for n in MODELS}).collect()}
+    assert dq == want and dq[("quarantine_customers", "row_id", "not_null")][1] == "fail"  # the null-id row
+
+
+MODELS = ("stg_customers", "stg_subscriptions", "stg_transactions", "stg_monthly_revenue",
+          "quarantine_customers", "quarantine_subscriptions", "quarantine_transactions")
+
+
+def test_a_failed_test_keeps_the_old_gold_current(spark, scratch):
+    bronze = fixture_bronze(spark, SF001)
+    write_bronze(bronze, f"{scratch}/bronze")
+    bronze = read_bronze(spark, f"{scratch}/bronze")
+    out = f"{scratch}/out"
+    first = pipeline.build(spark, bronze, out, P1)
+    flagged = rows(pipeline.read_table(spark, out, "quarantine_transactions"))
+    holes = {"acquisition_channel": bronze.customers, "status": bronze.subscriptions}
+    broken = bronze.replace(customers=holes["acquisition_channel"].withColumn(
+        "acquisition_channel", F.when(F.col("row_seq") % 50 != 0, F.col("acquisition_channel"))))
+    with pytest.raises(pipeline.AuditFailed) as e:
+        pipeline.build(spark, broken, out, P2)
+    assert [x[:3] for x in e.value.failures] == [("stg_customers", "acquisition_channel", "not_null")]
+    assert e.value.failures[0][3] > 0
+    assert publish.current(spark, out) == first.tables
+    assert rows(pipeline.read_table(spark, out, "quarantine_transactions")) == flagged
+    # an accepted failure and one of severity warn do not stop it
+    pipeline.build(spark, broken, out, P2, accepted=pipeline.ACCEPTED | {e.value.failures[0][:3]})
+    assert publish.log(spark, out).agg(F.max("build")).first()[0] == 2
+    from subledger.operators.quality import SCHEMA_TESTS, ColumnTest, NullCounts
+
+    counts = NullCounts((*SCHEMA_TESTS, ColumnTest("stg_customers", "full_name", "not_null", "warn")))
+    counts.watch("stg_customers", spark.createDataFrame(
+        [("A", None, None, "x")], "customer_id string, full_name string, signup_date date, acquisition_channel string")
+    ).write.format("noop").mode("overwrite").save()
+    pipeline.audit(counts.report(spark))
+    assert {r.status for r in counts.report(spark).collect()} == {"pass", "warn"}
 
 
 def test_streaming_upsert_processes_arriving_files(spark, scratch):
@@ -53,33 +95,68 @@ def test_streaming_upsert_processes_arriving_files(spark, scratch):
     q = start_quarantine_stream(spark, land, root, lambda b: params[min(b, 1)],
                                 checkpoint_location=f"{scratch}/ckpt")
     q.awaitTermination(120)
-    vt = BucketedTable(spark, root, "row_id")
-    assert vt.versions() == [1]
-    first = vt.current().count()
+    tables = StreamTables(spark, root)
+    first = tables.read().count()
     tx.where("row_seq % 2 = 1").write.parquet(f"{land}/part=2")
     q = start_quarantine_stream(spark, land, root, lambda b: params[min(b, 1)],
                                 checkpoint_location=f"{scratch}/ckpt")
     q.awaitTermination(120)
-    assert vt.versions() == [1, 2]
-    assert vt.current().count() >= first
-    assert vt.current().where("flagged_at = TIMESTAMP_NTZ '2001-07-01 06:00:00'").count() > 0
+    assert tables.read().count() >= first
+    assert rows(tables.read().drop("flagged_at")) == rows(quarantine_transactions(
+        fixture_bronze(spark, SF001), P1).drop("flagged_at"))
+
+
+def _tx(spark, recs):
+    """(id, date, amount, arrival) as bronze transactions."""
+    schema = text_schema("transactions", with_row_seq=True)
+    base = dict(customer_id="C", currency="usd", payment_method="card", status="success", fee_usd="1", channel="web",
+                country="x", description="y")
+    return spark.createDataFrame(
+        [tuple({**base, "transaction_id": i, "transaction_date": d, "amount": a, "row_seq": n}[c] for c in schema.names)
+         for i, d, a, n in recs], schema)
+
+
+#: Copies that beat each other in every way: by date, by arrival, null dates and ids, good and bad ones.
+COPIES = [("A", "2001-01-02", "-1", 1), ("A", "2001-01-01", "5", 2), ("B", "2001-01-01", "5", 3), ("B", "2001-01-01", "-1", 4),
+          ("C", None, "-1", 5), ("C", "2001-01-01", "0", 6), (None, "2001-01-03", "1", 7), (None, "2001-01-02", "-4", 8),
+          ("D", "2001-01-01", None, 9)]
+
+
+@pytest.mark.parametrize("cuts", [(3,), (1, 5), (2, 4, 6, 8), tuple(range(1, 9))])
+@pytest.mark.parametrize("backwards", [False, True])
+def test_a_stream_over_any_files_equals_one_batch(spark, scratch, cuts, backwards):
+    recs = COPIES[::-1] if backwards else COPIES
+    tables = StreamTables(spark, f"{scratch}/q", buckets=2)
+    for i, (a, b) in enumerate(zip((0, *cuts), (*cuts, len(recs)))):
+        run = RunParams(AS_OF, dt.datetime(2001, 7, 1 + i, 6))
+        publish_batch(tables, _tx(spark, recs[a:b]), run, f"s-{i}")
+        if i == 1:  # a batch that is run again
+            publish_batch(tables, _tx(spark, recs[a:b]), run, f"s-{i}")
+    bronze = Bronze(None, None, _tx(spark, recs), None)
+    want = quarantine_transactions(bronze, P1).drop("flagged_at")
+    assert rows(tables.read().drop("flagged_at")) == rows(want)
 
 
 def test_a_micro_batch_that_is_retried_changes_nothing(spark, scratch):
-    from subledger.streaming.quarantine_stream import publish_batch
-
-    table = BucketedTable(spark, f"{scratch}/q", "row_id")
+    tables = StreamTables(spark, f"{scratch}/q", buckets=4)
     batch = fixture_bronze(spark, SF001).transactions.withColumn(
         "transaction_id", F.when(F.col("row_seq") % 5 != 0, F.col("transaction_id")))
-    counts = []
+    seen = []
     for _ in range(3):
-        publish_batch(table, batch, P1, "stream-0")
-        counts.append((table.current().count(), table.current().where("row_id IS NULL").count()))
-    assert len(set(counts)) == 1 and counts[0][1] > 0
+        publish_batch(tables, batch, P1, "stream-0")
+        seen.append(rows(tables.read()))
+    assert seen[0] == seen[1] == seen[2] and any(r[0] is None for r in seen[0])
+    # quarantine written, winners not: the batch counts as not yet done
+    other = StreamTables(spark, f"{scratch}/p", buckets=4)
+    publish_batch(other, batch, P1, "stream-0")
+    half = StreamTables(spark, f"{scratch}/p", buckets=4)
+    half.winners = KeyedTable(spark, f"{scratch}/none", "_key", 4)
+    publish_batch(half, batch, P1, "stream-0")
+    assert rows(half.read()) == seen[0]
     with pytest.raises(ValueError, match="is not after"):
-        publish_batch(table, batch, P1, "stream-1")
-    publish_batch(table, batch, P2, "stream-1")
-    assert len(table.versions()) == 2
+        publish_batch(tables, batch, P1, "stream-1")
+    publish_batch(tables, batch, P2, "stream-1")  # nothing of it beats what is there
+    assert rows(tables.read()) == seen[0]
 
 
 def test_a_build_without_dates_uses_the_day_of_the_run(spark, scratch):
@@ -94,15 +171,15 @@ def test_a_build_without_dates_uses_the_day_of_the_run(spark, scratch):
     one = lambda **x: spark.createDataFrame([tuple({**row, **x}[c] for c in schema.names)], schema)
     write_bronze(bronze.replace(transactions=one()), f"{scratch}/b1")
     assert main(["build", "--bronze", f"{scratch}/b1", "--out", f"{scratch}/out"]) == 0
-    kept = VersionedTable(spark, f"{scratch}/out/silver/stg_transactions").current()
+    kept = pipeline.read_table(spark, f"{scratch}/out", "stg_transactions")
     assert rows(kept, "transaction_id") == [("T1",)]
     write_bronze(bronze.replace(transactions=one(transaction_id="T2", amount="-5")), f"{scratch}/b2")
     assert main(["build", "--bronze", f"{scratch}/b2", "--out", f"{scratch}/out"]) == 0
-    flagged = BucketedTable(spark, f"{scratch}/out/quarantine/quarantine_transactions", "row_id").current()
+    flagged = pipeline.read_table(spark, f"{scratch}/out", "quarantine_transactions")
     assert rows(flagged, "row_id", "issue_type") == [("T2", "negative_or_zero_amount")]
     write_bronze(bronze.replace(transactions=one(transaction_id="T3", amount="-6")), f"{scratch}/b3")
     assert main(["build", "--bronze", f"{scratch}/b3", "--out", f"{scratch}/out"]) == 0
-    flagged = BucketedTable(spark, f"{scratch}/out/quarantine/quarantine_transactions", "row_id").current()
+    flagged = pipeline.read_table(spark, f"{scratch}/out", "quarantine_transactions")
     assert rows(flagged, "row_id") == [("T2",), ("T3",)]
 
 
