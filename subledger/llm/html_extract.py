@@ -20,16 +20,20 @@ model comes out everywhere.
 
 A null, empty or text-free html gives the empty text. Text that is not markup
 is one block of the body. Pages cut short are read as if all open elements
-ended there. An element whose content is no markup hides what stands up to its end
+ended there. By rule only what holds no text of a page is left out: scripts, styles,
+title, head, frames' fallbacks, templates and form controls. Whether something hidden is main text, the trees
+decide. An element whose content is no markup hides what stands up to its end
 tag; a self-closed one hides nothing, nor does one that never ends, but for
-scripts, styles and text areas. Elements that are ``hidden``, ``aria-hidden=true`` or
-``display:none``, and those of ``GONE``, are left out by rule, before the trees see them. Repeated rows give equal rows; extra columns are ignored.
+scripts, styles and text areas; a form control without an end ends with its block. Parsing
+takes time in proportion to the page, however deep or broken its markup; a page is the
+largest thing a task holds. Repeated rows give equal rows; an empty table gives none; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -48,24 +52,25 @@ CHUNK = 1 << 20
 #: Elements that start a block of their own.
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure"
-    " footer form h1 h2 h3 h4 h5 h6 header hgroup hr html ins legend li main menu nav ol optgroup p pre section summary"
+    " footer form h1 h2 h3 h4 h5 h6 header hgroup hr html ins legend li main menu nav noscript ol optgroup p pre section summary"
     " table tbody td tfoot th thead tr ul".split()
 )
-#: Elements whose content is no markup, and elements that never hold main text.
-RAW = frozenset("script style noscript textarea title iframe noembed noframes xmp".split())
+#: Elements whose content is no markup.
+RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
 #: Of these the rest of the page is content if they never end.
 OPEN = frozenset("script style textarea".split())
-GONE = RAW | frozenset("template svg math select datalist button object canvas audio video map head dialog".split())
-HEAD = RAW | frozenset("head base link meta template".split())
+#: Elements whose text is none of the page.
+MUTE = frozenset("template select datalist button head".split())
+HEAD = RAW | frozenset("head base link meta template noscript".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: A new element of the key ends an open one of the value, up to an element of SCOPE; others end a paragraph.
 ENDS = {
     "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
     "th": {"td", "th"}, "tbody": {"tbody", "thead", "tfoot", "tr", "td", "th"}, "option": {"option"},
-    "tfoot": {"tbody", "thead", "tr", "td", "th"}, "body": {"head"},
+    "tfoot": {"tbody", "thead", "tr", "td", "th"}, "body": {"head"}, "noscript": set(),
 }
 PARAGRAPH = frozenset(["p"])
-SCOPE = frozenset("ul ol menu dl table div section article aside nav main header footer body html td th form".split())
+SCOPE = frozenset("ul ol menu dl table div section article aside nav main header footer body html td th form template".split())
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
@@ -113,13 +118,72 @@ def hidden(attrs: str) -> bool:
     return False
 
 
+class Open:
+    """The open elements, with how many there are of each tag, in all and in each scope."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, int]] = [("body", 0)]  # inline ones have the node of their block
+        self.counts: Counter = Counter()
+        self.scopes: list[tuple[str, Counter]] = [("body", Counter())]  # an element of SCOPE and what is open since, itself included
+        self.inline: Counter = Counter()  # (node, tag) of inline ones
+        self.links = self.mutes = 0
+
+    def push(self, tag: str, node: int, block: bool) -> None:
+        self.stack.append((tag, node))
+        self.counts[tag] += 1
+        if tag in SCOPE:
+            self.scopes.append((tag, Counter()))
+        self.scopes[-1][1][tag] += 1
+        if not block:
+            self.inline[node, tag] += 1
+        self.links += tag == "a"
+        self.mutes += tag in MUTE
+
+    def pop(self) -> str:
+        tag, node = self.stack.pop()
+        self.counts[tag] -= 1
+        self.scopes[-1][1][tag] -= 1
+        if tag in SCOPE:
+            self.scopes.pop()
+        if tag not in BLOCK:
+            self.inline[node, tag] -= 1
+        self.links -= tag == "a"
+        self.mutes -= tag in MUTE
+        return tag
+
+    def close(self, tag: str) -> None:
+        while len(self.stack) > 1 and self.pop() != tag:
+            pass
+
+    def imply(self, ends: frozenset | set) -> None:
+        """End the elements of ``ends`` in this scope, with all that is open in them."""
+        left = 0
+        for owner, counts in reversed(self.scopes):
+            left += sum(counts[t] for t in ends)
+            if owner not in ends:
+                break
+        i, cut = len(self.stack) - 1, None
+        while left > 0:  # whatever is passed on the way ends too
+            if self.stack[i][0] in ends:
+                cut, left = i, left - 1
+            i -= 1
+        if cut:
+            while len(self.stack) > cut:
+                self.pop()
+
+
 def parse(page: str) -> Tree:
     tree = Tree()
-    stack = [("body", 0)]  # open elements; inline ones have the node of their block
+    open_ = Open()
     run: list[str] = []  # the text block being read, and which parts of it are links
     links: list[bool] = []
-    in_link, gone = 0, ""  # gone: inside this element nothing counts
-    gone_depth = 0
+    last_end: dict[str, int] = {}
+
+    def ends_later(tag: str) -> bool:
+        """Whether an end tag follows; each tag's last one is looked up once."""
+        if tag not in last_end:
+            last_end[tag] = max((m.start() for m in end_tag(tag).finditer(page, at)), default=-1)
+        return at <= last_end[tag]
 
     def flush() -> None:
         nonlocal run, links
@@ -127,16 +191,16 @@ def parse(page: str) -> Tree:
             text = " ".join("".join(map(html.unescape, run)).split())
             if text:
                 linked = sum(len(x) for x, link in zip(run, links, strict=True) if link)
-                tree.node(stack[-1][1], "#text", "", text, min(linked, len(text)))
+                tree.node(open_.stack[-1][1], "#text", "", text, min(linked, len(text)))
             run, links = [], []
 
     at, end = 0, len(page)
     while at < end:
         found = TOKEN.search(page, at)
         stop = found.start() if found else end
-        if stop > at and not gone:
+        if stop > at and not open_.mutes:
             run.append(page[at:stop])
-            links.append(in_link > 0)
+            links.append(open_.links > 0)
         if not found:
             break
         at = found.end()
@@ -147,34 +211,21 @@ def parse(page: str) -> Tree:
         if tag in RAW and not closing:  # up to its end tag, whatever stands between
             if CLOSED.search(attrs) or tag not in OPEN and attrs.endswith("/"):
                 continue  # ends at its own tag
-            close = end_tag(tag).search(page, at)
+            close = end_tag(tag).search(page, at) if ends_later(tag) else None
             at = close.end() if close else end if tag in OPEN else at
             continue
-        if gone == "head" and not closing and tag not in HEAD:
-            gone = ""  # an element that no head can have ends it
-        if gone:
-            if tag == gone:
-                gone_depth += -1 if closing else 0 if attrs.endswith("/") else 1
-                if not gone_depth:
-                    gone = ""
-            continue
+        if open_.stack[-1][0] == "head" and not closing and tag not in HEAD:
+            open_.pop()  # an element that no head can have ends it
         if closing:
-            if tag in BLOCK:
-                if any(t == tag for t, _ in stack[1:]):
-                    flush()
-                    while len(stack) > 1:
-                        name, _ = stack.pop()
-                        in_link -= name == "a"
-                        if name == tag:
-                            break
+            if tag in BLOCK or tag in MUTE:
+                if open_.counts[tag]:
+                    if tag in BLOCK:
+                        flush()
+                    open_.close(tag)
                 elif tag == "p":
                     flush()
-            elif any(t == tag for t, n in stack[1:] if n == stack[-1][1]):
-                while True:
-                    name, _ = stack.pop()
-                    in_link -= name == "a"
-                    if name == tag:
-                        break
+            elif open_.inline[open_.stack[-1][1], tag]:
+                open_.close(tag)
             continue
         if tag in VOID:
             if tag == "hr":
@@ -183,33 +234,20 @@ def parse(page: str) -> Tree:
                 run.append("\n")
                 links.append(False)
             continue
-        if tag in GONE or hidden(attrs):
-            if tag in BLOCK:
-                flush()
-            if not attrs.endswith("/") and end_tag(tag).search(page, at):  # one that never ends hides nothing
-                gone, gone_depth = tag, 1
-            continue
         if tag in BLOCK:
             flush()
-            ends = ENDS.get(tag, PARAGRAPH)
-            i, cut = len(stack) - 1, None
-            while i > 0:
-                if stack[i][0] in ends:
-                    cut = i
-                elif stack[i][0] in SCOPE:
-                    break
-                i -= 1
-            if cut:
-                for name, _ in stack[cut:]:
-                    in_link -= name == "a"
-                del stack[cut:]
+            open_.imply(ENDS.get(tag, PARAGRAPH))
             if tag in ("html", "body"):  # the root stands for both
                 tree.attrs[0] += f" {attrs}" if tag == "body" else ""
                 continue
-            stack.append((tag, tree.node(stack[-1][1], tag, attrs)))
-        else:
-            in_link += tag == "a"
-            stack.append((tag, stack[-1][1]))
+            open_.push(tag, tree.node(open_.stack[-1][1], tag, attrs), True)
+        elif tag not in MUTE:
+            open_.push(tag, open_.stack[-1][1], False)
+        elif not attrs.endswith("/") and ends_later(tag):  # one that never ends hides nothing
+            if open_.counts[tag] and tag != "template":
+                flush()
+                open_.close(tag)
+            open_.push(tag, open_.stack[-1][1], False)
     flush()
     return tree
 
@@ -220,7 +258,7 @@ FEATURES = (
     "tag odds, attribute odds: sum, least, most; parent's tag and attribute odds; path least, most;"
     " text, blocks, link density, words per block, stops per word, elements per character, depth,"
     " position, share of page, share of parent, siblings, place among them, siblings of its tag,"
-    " siblings' text, list items, is text"
+    " siblings' text, list items, is text, is hidden, is in something hidden"
 )
 
 
@@ -287,10 +325,13 @@ def features(tree: Tree, odds: Odds) -> np.ndarray:
     items = np.array([t == "li" for t in tree.tag], float)
     begin = np.cumsum(size) - size
     depth = np.zeros(n)
+    concealed = np.array([hidden(a) for a in tree.attrs], float)
+    within = concealed.copy()
     low, high = own[:, 0] + own[:, 2], own[:, 0] + own[:, 3]
     for i in range(1, n):  # parents come before their children
         p = parent[i]
         depth[i] = depth[p] + 1
+        within[i] = max(within[i], within[p])
         low[i], high[i] = min(low[i], low[p]), max(high[i], high[p])
     for i in range(n - 1, 0, -1):
         total[parent[i]] += total[i]
@@ -313,7 +354,7 @@ def features(tree: Tree, odds: Odds) -> np.ndarray:
             total[:, 1] / chars, total[:, 2] / np.maximum(total[:, 4], 1), total[:, 3] / np.maximum(total[:, 2], 1),
             total[:, 5] / chars, depth, begin / max(1.0, total[0, 0]), total[:, 0] / max(1.0, total[0, 0]),
             total[:, 0] / np.maximum(total[up, 0], 1), beside, place / np.maximum(beside, 1),
-            alike / np.maximum(beside, 1), np.log1p(rest / np.maximum(beside, 1)), np.log1p(items), is_text,
+            alike / np.maximum(beside, 1), np.log1p(rest / np.maximum(beside, 1)), np.log1p(items), is_text, concealed, within,
         ]
     ).astype(np.float32)
 

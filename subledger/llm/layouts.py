@@ -3,7 +3,9 @@
 Each page is an article in one of several wrappings, with menus, banners,
 sidebars, adverts, notices, forms, related links, reader comments and footers
 around and inside it, in tags and class names as pages have them, some of them
-without any names and some with broken markup.
+without any names and some with broken markup. Of both kinds some elements are hidden (menus
+that open on a click, articles that a script shows). Some pages have no
+wrapping: bare paragraphs, running text, or plain text without markup.
 """
 
 from __future__ import annotations
@@ -69,7 +71,11 @@ class Page:
         attrs = self.attrs(kind)
         if tag in ("div", "p", "section", "ul", "ol", "ins") and not attrs and kind != "notice":
             attrs = f' class="{self.rng.choice(NAMES[kind])}"'
-        return f"<{tag}{attrs}>{inner}</{tag}>"
+        return f"<{tag}{attrs}{self.concealed(0.08)}>{inner}</{tag}>"
+
+    def concealed(self, share: float) -> str:
+        rng = self.rng
+        return rng.choice([" hidden", ' aria-hidden="true"', ' style="display:none"']) if rng.random() < share else ""
 
     def links(self, a: int, b: int, most: int = 3) -> str:
         items = [f'<a href="/{i}">{self.words(self.rng.randint(1, most))}</a>' for i in range(self.rng.randint(a, b))]
@@ -86,6 +92,8 @@ class Page:
             return self.block("header", rng.choice([f"<h1>{self.words(2)}</h1>", f"<div>{self.words(3)}</div>", ""]) + (self.boilerplate("nav") if rng.random() < 0.5 else f"<p>{self.words(5)}</p>"))
         if kind == "nav":
             return self.block("nav", self.links(2, 12, 2))
+        if kind == "noscript":
+            return f"<noscript>{self.words(int(2 ** rng.uniform(1, 4)))}</noscript>"
         if kind == "ad":
             return self.block("ad", rng.choice([self.words(int(2 ** rng.uniform(0, 6))), self.prose(1, 2), f'<a href="/b">{self.words(8)}</a>']))
         if kind == "notice":
@@ -137,7 +145,9 @@ class Page:
             return f"<blockquote><p>{self.want(size)[0]}</p></blockquote>"
         if kind < 0.32:
             return f"<figure><img src=x><figcaption>{self.want(rng.randint(2, 12))[0]}</figcaption></figure>"
-        return f"<p>{self.want(size)[0]}</p>"
+        if kind < 0.34:
+            return f"<noscript>{self.want(size)[0]}</noscript>"
+        return f"<p{self.concealed(0.03)}>{self.want(size)[0]}</p>"
 
     def article(self) -> str:
         rng = self.rng
@@ -153,24 +163,50 @@ class Page:
         inner = "".join(parts)
         kind = rng.random()
         if kind < 0.35:
-            return f"<article{self.attrs('main') if rng.random() < 0.4 else ''}>{inner}</article>"
+            return f"<article{self.attrs('main') if rng.random() < 0.4 else ''}{self.concealed(0.05)}>{inner}</article>"
         if kind < 0.5:
-            return f"<main{self.attrs('main') if rng.random() < 0.4 else ''}>{inner}</main>"
+            return f"<main{self.attrs('main') if rng.random() < 0.4 else ''}{self.concealed(0.05)}>{inner}</main>"
         if kind < 0.65:
             return f"<main><article>{inner}</article></main>"
         name = rng.choice(NAMES["main"])
         tag = rng.choice(["div", "div", "section", "td"])
-        body = f'<{tag} class="{name}">{inner}</{tag}>'
+        body = f'<{tag} class="{name}"{self.concealed(0.05)}>{inner}</{tag}>'
         if tag == "td":
             body = f"<table><tr>{body}</tr></table>"
         return f'<div id="{rng.choice(NAMES["main"])}">{body}</div>' if kind < 0.85 else body
 
+    def bare(self) -> str:
+        """A page without a wrapping: everything is main text, but for a menu or footer at times."""
+        rng = self.rng
+        kind = rng.random()
+        if kind < 0.25:
+            return self.want(int(2 ** rng.uniform(0, 8)))[0] if rng.random() < 0.5 else self.plain(rng.randint(1, 200))
+        if kind < 0.5:
+            body = self.want(int(2 ** rng.uniform(0, 8)))[0]
+        else:
+            body = "".join(f"<p>{self.want(int(2 ** rng.uniform(0, 7)))[0]}</p>" for _ in range(rng.choice([1, 1, 2, 3, 6, 12])))
+            if rng.random() < 0.3:
+                body = f"<h1>{self.want(rng.randint(1, 8))[0]}</h1>{body}"
+        if rng.random() < 0.3:
+            body = self.boilerplate("nav") + body if rng.random() < 0.5 else body + self.boilerplate("footer")
+        return rng.choice([f"<html><body>{body}</body></html>", f"<body>{body}", body])
+
+    def plain(self, n: int) -> str:
+        """Text without markup."""
+        text = html.unescape(self.words(n))
+        self.wanted.add(text)
+        return html.escape(text, quote=False)
+
     def page(self) -> str:
         rng = self.rng
+        if rng.random() < 0.1:
+            return self.bare()
         before = [k for k, p in (("header", 0.5), ("nav", 0.6), ("notice", 0.25), ("ad", 0.4), ("form", 0.15), ("side", 0.12)) if rng.random() < p]
         after = [k for k, p in (("related", 0.25), ("comments", 0.3), ("side", 0.3), ("ad", 0.15), ("form", 0.15), ("share", 0.15), ("footer", 0.8)) if rng.random() < p]
         if rng.random() < 0.2:
             rng.shuffle(before)
+        if rng.random() < 0.06:
+            before.insert(0, "noscript")
         body = "".join(map(self.boilerplate, before)) + self.article() + "".join(map(self.boilerplate, after))
         for _ in range(rng.choice([0, 0, 1, 2])):
             body = f"<div{self.attrs('wrap')}>{body}</div>"

@@ -68,16 +68,23 @@ def test_parse_blocks():
     assert blocks("a <b>b</b>\n c<p>d<p>e<br>f</p>g") == ["a b c", "d", "e f", "g"]
     assert blocks("<p>x &amp; y &#233; &am</p><p>&nbsp;</p><!-- <p>no</p> --><p>z") == ["x & y é &am", "z"]
     assert blocks("<ul><li>1<li>2<ul><li>3</ul><li>4</ul><table><tr><td>5<td>6<tr><td>7</table>") == list("1234567")
-    assert blocks("<script>var a='<p>x</p>';</script><style>p{}</style><noscript>n</noscript><p hidden>h</p>t") == ["t"]
+    assert blocks("<script>var a='<p>x</p>';</script><style>p{}</style><noscript>n</noscript><p hidden>h</p>t") == ["n", "h", "t"]
+    assert blocks("<p>a<noscript>x</noscript>b</p>c") == ["a", "x", "b", "c"]
+    assert blocks("<p><span aria-hidden=true>T</span>he <math><mi>x</mi><mo>=</mo><mn>1</mn></math> of <object>y</object>.</p>") == ["The x=1 of y."]
     assert blocks("<head><title>x</title><p>no body tag") == ["no body tag"]
     assert blocks("1 < 2 and <3> x <") == ["1 < 2 and <3> x <"]
     assert blocks("<p title=\"a>b\">c</p><p title='unclosed>d</p>") == ["c", "d"]
     assert blocks("<p>a<script>never closed") == ["a"]
     assert blocks("<button>never ends<p>a &am<b>p;</b></p><select><option>b") == ["never ends", "a &amp;", "b"]
-    assert blocks("<svg><title>t</title><g>x</g></svg><p>y") == ["y"]
+    assert blocks("<svg><title>t</title><g>x</g></svg><p>y") == ["x", "y"]
+    assert blocks("<p>a <button>Ok</button> b<select><option>1<option>2</select></p><datalist><option>c</datalist>d") == ["a b", "d"]
+    assert blocks("<p>a <button>Ok<p>b <button>No</button> c") == ["a", "b c"]
+    assert blocks("<p>a <button><b>Ok</button> b</p>") == ["a b"]
+    assert blocks("<p>a<template><p>no</p><template>no</template>no</template>b") == ["ab"]
+    assert blocks("<article><p hidden>one<p>two</article><ul><li aria-hidden=true>x<li>y</ul>z") == ["one", "two", "x", "y", "z"]
 
 
-@pytest.mark.parametrize("tag", ["iframe", "noscript", "title", "xmp", "noembed", "noframes"])
+@pytest.mark.parametrize("tag", ["iframe", "title", "xmp", "noembed", "noframes"])
 def test_raw_elements_that_are_self_closed_or_never_end_hide_nothing(tag):
     assert blocks(f"<p>a<{tag} src=x/>b</p><p>c</p>") == ["ab", "c"]
     assert blocks(f"<p>a<{tag} />b</p><{tag}>x</{tag}><p>c</p>") == ["ab", "c"]
@@ -88,6 +95,48 @@ def test_raw_elements_that_are_self_closed_or_never_end_hide_nothing(tag):
     assert got == ["\n".join(["Title", f"First {LONG.strip()}", f"Last {LONG.strip()}"])]
 
 
+TWO = [f"main one {LONG}".strip(), f"main two {LONG}".strip()]
+MAIN = "".join(f"<p>{t}</p>" for t in TWO)
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<article><p hidden>{LONG}<p>{TWO[0]}<p>{TWO[1]}</article>", [LONG.strip(), *TWO]),
+    (f"<article><h1>T</h1>{MAIN}<ul><li aria-hidden=true>{LONG}<li>{LONG}two</ul></article>", ["T", *TWO, LONG.strip(), f"{LONG}two"]),
+    (f"<html><body><article style='display:none'><h1>T</h1>{MAIN}</article></body></html>", ["T", *TWO]),
+    (f"<article><h1>T</h1>{MAIN}<noscript>{LONG}</noscript></article>", ["T", *TWO, LONG.strip()]),
+    ("<html><body>One sentence here. Then another one, a little longer. And a third.</body></html>",
+     ["One sentence here. Then another one, a little longer. And a third."]),
+    ("<html><body><p>A A</p><p>A</p></body></html>", ["A A", "A"]),
+    ("<html><body><p>Only one paragraph of text.</p></body></html>", ["Only one paragraph of text."]),
+    ("Just text without markup, and nothing else.", ["Just text without markup, and nothing else."]),
+    (f"<nav hidden><ul><li><a href=/>Home</a></li></ul></nav><article><h1>T</h1>{MAIN}</article>", ["T", *TWO]),
+])
+def test_nothing_of_the_text_is_lost(page, want):
+    assert he.trained().texts([page]) == ["\n".join(want)]
+
+
+@pytest.mark.parametrize("piece", [
+    "<div>{i}", "</div>", "<div><b>{i}</i></b>", "<button>{i}", "<svg>{i}", "<iframe>{i}", "<p><i>{i}", "<center><p>{i}",
+    "<li><span>{i}", "<table><tr><td>{i}", "<select><option>{i}", "<blockquote><p>{i}</blockquote></blockquote>", "<a href=x>{i}", "<p hidden>{i}",
+    "<title>{i}", "<!-- {i}", "<template>{i}",
+])
+def test_parsing_takes_time_in_proportion_to_the_page(piece):
+    import time
+
+    def seconds(n):
+        page = "".join(piece.format(i=i) for i in range(n)) + "</div>" * (n if piece.startswith("<div>") else 0)
+        best = 9e9
+        for _ in range(3):
+            t = time.process_time()
+            he.parse(page)
+            best = min(best, time.process_time() - t)
+        return best
+
+    seconds(500)
+    small, large = seconds(3000), seconds(24_000)
+    assert large < 8 * 3 * max(small, 0.004), (small, large)
+
+
 def test_self_closed_scripts_hide_nothing_and_unquoted_addresses_do_not_close_them():
     assert blocks('<p>a<script src="x"/>b</p><script>no</script><p>c') == ["ab", "c"]
     assert blocks("<p>a<script src=/x/>no</script>b</p>") == ["ab"]
