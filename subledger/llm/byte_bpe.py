@@ -3,11 +3,13 @@
 A piece of text is encoded by halving it down to leaves and joining the halves'
 results upwards, on two levels:
 
-* Merges. ``merge_tree`` halves the bytes of one pre-token. Two neighbours are
-  joined by re-encoding a window of some tokens on both sides of the seam. A
-  token sequence is the encoding of its bytes exactly if every two adjacent
-  tokens are (each pair encodes to itself), so the window's result is final as
-  soon as its outer seams are such pairs; otherwise the window doubles.
+* Merges. ``merge_tree`` cuts the bytes of one pre-token into leaves and joins neighbours
+  up the tree. A token sequence is the encoding of its bytes exactly if every two
+  adjacent tokens are (each pair encodes to itself). So ``merge_join`` encodes a window
+  anew that grows from the seam to the right: each time the longest token that is such a pair with the one
+  before it, with a step back (at last into the left half) where no token fits. It is
+  over as soon as the window ends where a token of the right half begins and both are such a pair: all
+  outside is then final. The work follows the window's length, not that of the halves.
 * Pre-tokens. ``split_tree`` halves a long text. In the left half a match is
   settled if it ends before the half does and starts at least three characters
   before that end: the pattern looks at most one character past a match and
@@ -17,11 +19,13 @@ results upwards, on two levels:
   matches agree.
 
 Joining is associative, so any tree gives the same ids. Leaves are merged many
-at a time, by arrays over all of them. Decoding concatenates the tokens' bytes
+at a time, by arrays over all of them. A pre-token of any length thus takes time nearly in
+proportion to it. Decoding concatenates the tokens' bytes
 up a tree of the same kind. Ids of pre-tokens are kept in a bounded dictionary
 per task.
 
-Null and empty texts have no ids. Lone surrogates cannot occur in Spark strings.
+Null and empty texts have no ids; an empty table gives no rows; repeated rows give equal rows. One
+text is the largest thing a task holds. Lone surrogates cannot occur in Spark strings.
 Ids that the vocabulary lacks make ``decode`` fail with a KeyError. Extra columns are kept.
 """
 
@@ -77,6 +81,14 @@ class BytePairs:
         by = pairs[:, 0].argsort()
         self.pairs, self.merged = np.append(pairs[by, 0], NONE), np.append(pairs[by, 1], NONE)
         self.single = np.array([self.ranks[bytes([i])] for i in range(256)])
+        # lengths of the tokens of four bytes or more by their first four, longest first
+        lengths: dict[bytes, set[int]] = {}
+        for t in self.ranks:
+            if len(t) > 3:
+                lengths.setdefault(t[:4], set()).add(len(t))
+        self.lengths = {k: sorted(v, reverse=True) for k, v in lengths.items()}
+        self.longest = max(map(len, self.ranks))
+        self.shorter = lru_cache(1 << 16)(self._shorter)
 
     # --- merges within one pre-token
 
@@ -141,28 +153,85 @@ class BytePairs:
         return size, out
 
     def _settled(self, a: int, b: int) -> bool:
-        return self.merge_leaf(self.tokens[a] + self.tokens[b]) == [a, b]
+        """Whether the bytes of two tokens encode to them."""
+        parts = [bytes([x]) for x in self.tokens[a] + self.tokens[b]]
+        rank, least = self.ranks.get, None
+        while len(parts) > 2:
+            found = [rank(x + y, NONE) for x, y in zip(parts, parts[1:], strict=False)]
+            least = min(found)
+            if least == NONE:
+                return False
+            i = found.index(least)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        return parts == [self.tokens[a], self.tokens[b]] and rank(parts[0] + parts[1]) is None
+
+    def _shorter(self, token: int) -> int | None:
+        """The next longest token that the token begins with."""
+        t = self.tokens[token]
+        return next((self.ranks[t[:n]] for n in range(len(t) - 1, 0, -1) if t[:n] in self.ranks), None)
+
+    def match(self, text: bytes, at: int) -> int:
+        """The longest token at a place of a text."""
+        for n in (*self.lengths.get(text[at : at + 4], ()), 3, 2, 1):
+            token = self.ranks.get(text[at : at + n])
+            if token is not None:
+                return token
+        raise KeyError(text[at : at + 1])
 
     def merge_join(self, left: list[int], right: list[int]) -> list[int]:
-        if not left or not right:
-            return left + right
-        if self.settled(left[-1], right[0]):
+        if not left or not right or self.settled(left[-1], right[0]):
             return left + right
-        n = 2
+        size = lambda t: len(self.tokens[t])
+        keep, made = len(left), []  # tokens of the left half that stay, and the window's
+        start, text = 0, b""  # the bytes read so far begin here, places counted from the seam
+        begins = {0: 0}  # where each token of the right half begins, as far as it was read
+        taken, stop = 0, 0
+        at, dead = 0, set()  # dead: no encoding has a token that ends there
+
+        def read_on() -> None:
+            nonlocal taken, stop, text
+            while taken < len(right) and stop < at + self.longest:  # twice as far each time
+                more = right[taken : max(16, 2 * taken)]
+                text += b"".join(map(self.tokens.__getitem__, more))
+                for i, t in enumerate(more, taken + 1):
+                    stop += size(t)
+                    begins[stop] = i
+                taken += len(more)
+
+        read_on()
+        token = self.match(text, at - start)
         while True:
-            a, b = left[-n:], right[:n]
-            seam = self.merge_leaf(b"".join(map(self.tokens.__getitem__, a + b)))
-            left_ok = n >= len(left) or self.settled(left[-n - 1], seam[0])
-            right_ok = n >= len(right) or self.settled(seam[-1], right[n])
-            if left_ok and right_ok:
-                return left[: -n if n < len(left) else 0] + seam + right[n:]
-            n *= 2
+            before = made[-1] if made else left[keep - 1] if keep else None
+            while token is not None and (at + size(token) in dead or before is not None and not self.settled(before, token)):
+                token = self.shorter(token)
+            if token is None:  # none fits here: the one before has to be shorter
+                dead.add(at)
+                if made:
+                    last = made.pop()
+                    at -= size(last)
+                    token = self.shorter(last)
+                else:  # chosen without a look at the right half: any other may fit
+                    keep -= 1
+                    text, start = self.tokens[left[keep]] + text, start - size(left[keep])
+                    at = start
+                    token = self.match(text, 0)
+                continue
+            made.append(token)
+            at += size(token)
+            i = begins.get(at)
+            if i is not None and (i == len(right) or self.settled(token, right[i])):
+                return left[:keep] + made + right[i:]
+            read_on()
+            token = self.match(text, at - start)
 
     def merge_tree(self, data: bytes) -> list[int]:
-        if len(data) <= self.leaf_bytes:
-            return self.merge_leaf(data)
-        half = len(data) // 2
-        return self.merge_join(self.merge_tree(data[:half]), self.merge_tree(data[half:]))
+        sizes, flat = self.merge_leaves([data[i : i + self.leaf_bytes] for i in range(0, len(data), self.leaf_bytes)])
+        cuts, ids = [0, *np.cumsum(sizes).tolist()], flat.tolist()
+        level = [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        while len(level) > 1:
+            joined = [self.merge_join(a, b) for a, b in zip(level[::2], level[1::2], strict=False)]
+            level = joined + level[len(level) - len(level) % 2 :]
+        return level[0] if level else []
 
     # --- pre-tokens within one text
 

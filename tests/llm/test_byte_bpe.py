@@ -54,6 +54,25 @@ def test_long_pretokens_and_runs(library):
             assert coder.encode([text])[0].tolist() == library.encode_ordinary(text)
 
 
+@pytest.mark.parametrize("kind", ["=-", "-", "\n", "a", "ab", "random", "hex", "é中"])
+def test_a_pretoken_of_a_megabyte(library, kind):
+    """Seconds, not hours, whatever it is made of; the ids are the library's."""
+    import time
+
+    rng, n = random.Random(4), 1 << 20
+    made = {"random": "".join(rng.choices("etaoinshrdlu", k=n)), "hex": "x" + "".join(rng.choices("abcdef", k=n - 1))}
+    text = made.get(kind) or kind * (n // len(kind.encode()))
+    coder = byte_bpe.BytePairs(PATH, PATTERN)
+    begin = time.process_time()
+    ids = coder.encode([text])[0].tolist()
+    assert time.process_time() - begin < 30
+    # the library itself needs minutes for one such pre-token of few different letters: a part stands for it
+    small = text[: 20_000 if kind in ("random", "hex") else 100_000]
+    assert coder.encode([small])[0].tolist() == library.encode_ordinary(small)
+    assert coder.decode(np.array(ids)).decode() == text
+    assert all(coder.settled(a, b) for a, b in zip(ids, ids[1:]))
+
+
 def test_awkward_rows(spark, library):
     docs = documents(spark, AWKWARD)
     rows = byte_bpe.round_trip(docs, PATH, PATTERN).collect()

@@ -80,7 +80,7 @@ def test_parse_blocks():
     assert blocks("<p>a <button>Ok</button> b<select><option>1<option>2</select></p><datalist><option>c</datalist>d") == ["a b", "d"]
     assert blocks("<p>a <button>Ok<p>b <button>No</button> c") == ["a", "b c"]
     assert blocks("<p>a <button><b>Ok</button> b</p>") == ["a b"]
-    assert blocks("<p>a<template><p>no</p><template>no</template>no</template>b") == ["ab"]
+    assert blocks("<p>a<template><p>no</p><template>no</template>no</template>b") == ["a", "b"]
     assert blocks("<article><p hidden>one<p>two</article><ul><li aria-hidden=true>x<li>y</ul>z") == ["one", "two", "x", "y", "z"]
 
 
