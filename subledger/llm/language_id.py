@@ -38,6 +38,8 @@ SMOOTHING = 0.1
 UNKNOWN = "und"
 #: Most megabytes of a count matrix (languages x BUCKETS x 8 bytes); beyond it there are several.
 MODEL_MB = 256
+#: Bytes a count takes on the driver: as fetched, as a frame and in two matrices.
+FETCHED = 48
 #: Languages whose sums a task holds at once.
 HELD = 256
 #: Bytes of text handled at once in a task.
@@ -152,7 +154,7 @@ class Model:
         labelled = docs.where(
             F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.col("lang") != "")
         ).select("text", "lang")
-        self.most = max(1, int(MODEL_MB * 1e6) // (BUCKETS * 8))
+        self.most = max(1, int(MODEL_MB * 1e6) // (BUCKETS * FETCHED))
         self.one = labelled.select("lang").distinct().count() <= self.most
         self.found = (
             labelled.mapInArrow(counts, "lang string, bucket int, n long")

@@ -72,7 +72,7 @@ def test_blocks_of_languages_do_not_matter(spark, monkeypatch):
     docs = documents(spark, rows)
     key = lambda r: (r[0] is None, r[0] or 0)
     want = sorted(map(tuple, li.identify(docs).collect()), key=key)
-    monkeypatch.setattr(li, "MODEL_MB", 0.6)  # two languages in a block
+    monkeypatch.setattr(li, "MODEL_MB", 3.2)  # two languages in a block
     monkeypatch.setattr(li, "HELD", 1)
     got = sorted(map(tuple, li.identify(docs).collect()), key=key)
     assert [r[:3] for r in got] == [r[:3] for r in want]
