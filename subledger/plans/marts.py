@@ -31,11 +31,8 @@ def _rate_pct(flag_col: str, n: Column | None = None) -> Column:
 # ---- mart_mrr (C8) ---------------------------------------------------------
 
 def mrr_components(revenue: DataFrame) -> dict[str, DataFrame]:
-    """Every step of the MRR mart, from silver monthly revenue.
-
-    The histogram, the one large shuffle, is written once and read by each step.
-    """
-    hist = materialised(rv.revenue_histogram(revenue), "revenue-histogram")
+    """Every step of the MRR mart, from silver monthly revenue; nothing runs before one is used."""
+    hist = rv.revenue_histogram(revenue)
     cm = rv.customer_month(hist)
     by_plan = rv.mrr_by_month_plan(hist)
     totals = rv.month_totals(by_plan)

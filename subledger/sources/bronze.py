@@ -7,6 +7,7 @@ to make the keep-first dedup a total order.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -63,6 +64,28 @@ class Bronze:
         return Bronze(**cur)
 
 
+class LazyBronze:
+    """A ``Bronze`` whose tables are built when they are first asked for."""
+
+    def __init__(self, **tables: Callable[[], DataFrame]):
+        self._make = tables
+        self._made: dict[str, DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._make[name]()
+        return self._made[name]
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._make:
+            raise AttributeError(name)
+        return self.table(name)
+
+    def replace(self, **tables: DataFrame) -> "LazyBronze":
+        given = {t: (lambda df=df: df) for t, df in tables.items()}
+        return LazyBronze(**{**{t: (lambda t=t: self.table(t)) for t in self._make}, **given})
+
+
 #: Text of a line that does not parse as the table's columns.
 CORRUPT = "_corrupt_record"
 

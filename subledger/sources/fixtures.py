@@ -21,7 +21,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from subledger.params import RunParams
-from subledger.sources.bronze import ROW_SEQ, Bronze
+from subledger.sources.bronze import ROW_SEQ, LazyBronze
 
 # Fixed values of the fixture derivation (FIXTURES.md section 3).
 FIXTURE_PARAMS = RunParams(as_of=dt.date(2001, 6, 30), run_ts=dt.datetime(2001, 7, 1, 6, 0, 0))
@@ -187,12 +187,12 @@ def bronze_monthly_revenue(customer: DataFrame) -> DataFrame:
     )
 
 
-def fixture_bronze(spark: SparkSession, sf_dir: str) -> Bronze:
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    return Bronze(
-        customers=bronze_customers(customer),
-        subscriptions=bronze_subscriptions(customer),
-        transactions=bronze_transactions(orders),
-        monthly_revenue=bronze_monthly_revenue(customer),
+def fixture_bronze(spark: SparkSession, sf_dir: str) -> LazyBronze:
+    """The four tables, each built when it is first used: a query rarely needs all."""
+    source = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return LazyBronze(
+        customers=lambda: bronze_customers(source("customer")),
+        subscriptions=lambda: bronze_subscriptions(source("customer")),
+        transactions=lambda: bronze_transactions(source("orders")),
+        monthly_revenue=lambda: bronze_monthly_revenue(source("customer")),
     )

@@ -53,6 +53,33 @@ def test_mart_transactions_never_shuffles_detail_rows_on_a_context_key(silver, l
     assert sum("rangepartitioning" in k for k in shuffles(plan)) == 1
 
 
+def test_payment_tiles_take_one_scan_and_one_shuffle(silver, large):
+    tx = silver("stg_transactions")
+    plan = plan_of(marts.payment_tiles(tx)).split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 1
+    assert len(shuffles(plan)) == 1
+    levels = {(r.level, r.n) for r in marts.payment_tiles(tx).groupBy("level").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert ("all", 1) in levels and len(levels) == 4
+
+
+def test_the_global_payment_tile_needs_no_context(spark, silver):
+    from subledger.plans import kpi
+
+    tx = silver("stg_transactions")
+    plan = plan_of(kpi.kpi_transactions(tx))
+    assert "Join" not in plan and "BroadcastExchange" not in plan
+    assert rows(kpi.kpi_transactions(tx)) == rows(kpi.kpi_transactions(marts.mart_transactions(tx)))
+
+
+def test_levels_from_a_cube_equal_those_from_rows(silver):
+    tx = silver("stg_transactions")
+    tx = tx.withColumn("channel", F.when(F.col("channel") != "web", F.col("channel")))  # a null key is no total
+    one = marts.payment_levels(marts.payment_measures(tx))
+    two = marts.payment_levels(marts.payment_cube(tx))
+    assert rows(one) == rows(two.select(*one.columns))
+    assert one.where("_level = 6 and channel is null").count() == 1
+
+
 def test_mart_cac_ltv_never_shuffles_detail_rows_on_the_plan(silver, large):
     out = marts.mart_cac_ltv(silver("stg_customers"), silver("stg_subscriptions"), silver("stg_monthly_revenue"))
     assert not any("(plan#" in k for k in shuffles(plan_of(out)))
