@@ -7,16 +7,19 @@ hence its fingerprint at the same place: with K = 8 and W = 6 no shared span of
 13 words is missed. An item of m < 13 words, but not none, is matched whole by
 the scheme (k = m, w = 1).
 
-A fixed-size bit map of the benchmark's fingerprints (``MAP_BITS``, 2 MB
-whatever the benchmark's size) is broadcast and only thins out the documents'
+A bit map of the benchmark's fingerprints (16 bits each on average, up to 2^MAP_BITS
+bits, 32 MB) is broadcast and only thins out the documents'
 fingerprints; a shuffle join on the fingerprint decides. Every joined pair is
-extended word by word to both sides, so hash collisions never count.
+extended word by word to both sides, so hash collisions never count. Items that have a
+fingerprint with the same words around it in common are joined as one context; their ids come in
+once per document.
 
 Lower-casing touches A-Z only; a word is a run of ASCII digits, letters and
 code points from U+0080. Null or empty texts have no words, are never hit and
 never contaminated. Repeated item rows count once per item_id; a null item_id
-is the empty string in lists. Repeated documents get equal rows. Extra columns
-are ignored.
+is the empty string in lists. Repeated documents get equal rows. Very long texts are taken
+whole; one text is the largest thing a task holds. An empty table of documents gives no
+rows, an empty benchmark hits nothing. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ from subledger.llm.hashing import BASE, GRAM, byte_values, grams, mixed, rolled
 
 SPAN = 13
 K, W = 8, 6
-MAP_BITS = 24
+MAP_BITS = 28
 CHUNK = 1 << 18
 
 
@@ -130,15 +133,17 @@ def item_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(out)
 
 
-def bit_map(items: DataFrame) -> np.ndarray:
-    """2^MAP_BITS bits, one set per fingerprint; at most 2^(MAP_BITS - 6) rows are fetched."""
-    bit = F.shiftrightunsigned("gram", 64 - MAP_BITS)
-    rows = items.groupBy(F.shiftright(bit, 6).alias("word")).agg(
-        F.expr(f"bit_or(shiftleft(1L, cast(shiftrightunsigned(gram, {64 - MAP_BITS}) & 63 as int)))").alias("bits")
-    ).toPandas()
-    out = np.zeros(1 << (MAP_BITS - 6), np.uint64)
-    out[rows["word"].to_numpy(dtype=np.int64)] = rows["bits"].to_numpy(dtype=np.int64).view(np.uint64)
-    return out
+def bit_map(items: DataFrame) -> tuple[np.ndarray, int]:
+    """A bit per fingerprint by its first bits, and how many these are; fetched packed, 4 KB a row."""
+    bits = min(MAP_BITS, max(16, (16 * max(1, items.count())).bit_length()))
+    slot = F.shiftrightunsigned("gram", 64 - bits) + 1  # buckets hold 1 to 32,768 and so on
+    rows = items.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).toPandas()
+    out = np.zeros((1 << bits >> 3) + 4096, np.uint8)
+    for bucket, part in zip(rows["bucket"], rows["bits"], strict=True):
+        at = (int(bucket) - 1) * 4096
+        out[at : at + len(part)] = np.frombuffer(part, np.uint8)
+    return out, bits
 
 
 def document_rows(shared, lengths: list[int]):
@@ -146,15 +151,15 @@ def document_rows(shared, lengths: list[int]):
     sizes = [(K, W)] * (SPAN in lengths) + [(m, 1) for m in lengths if m < SPAN]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
+        table, bits = shared.value
         for batch in batches:
             for part in chunks(batch, "text", CHUNK):
                 words = Words(part.column("text").to_pylist())
                 found = [[] for _ in range(len(part))]
                 for k, w in sizes:
                     at, grams = words.fingerprints(k, w)
-                    slot = grams >> np.uint64(64 - MAP_BITS)
-                    hit = (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1)
+                    slot = grams >> np.uint64(64 - bits)
+                    hit = table[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8) & 1
                     for i in np.flatnonzero(hit):
                         found[words.text[at[i]]].append(words.row(at[i], k, w, grams[i]))
                 kept = [part.column(c) for c in ("doc_id", "text_key", "row_no")]
@@ -211,14 +216,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "winnow-documents",
     )
     hits = base.select("row_no", F.explode("hits").alias("h")).select("row_no", "h.*")
-    probe = items.select(
-        "item", "gram", "k", F.col("before").alias("item_before"), F.col("words").alias("item_words")
-    ).distinct()
+    around = ["gram", "k", "before", "words"]
+    contexts = stored(items.select(*around).distinct().withColumn("context", F.monotonically_increasing_id()), "winnow-contexts")
+    members = items.join(contexts, around).select("context", "item").distinct()
+    probe = contexts.withColumnsRenamed({"before": "item_before", "words": "item_words"})
     extend = F.pandas_udf(extended, "first int, upto int")
     spans = (
         hits.join(probe, ["gram", "k"])
         .withColumn("s", extend("at", "k", "before", "words", "item_before", "item_words"))
-        .select("row_no", "item", "s.first", "s.upto")
+        .select("row_no", "context", "s.first", "s.upto")
         .where("upto > first")
         .distinct()
     )
@@ -231,7 +237,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .groupBy("row_no").agg(F.sum("new").alias("n_hit"))
     )
     named = (
-        spans.groupBy("row_no").agg(F.array_sort(F.collect_set("item")).alias("items"))
+        spans.select("row_no", "context").distinct().join(members, "context")
+        .groupBy("row_no").agg(F.array_sort(F.collect_set("item")).alias("items"))
     )
     return (
         base.select("row_no", "doc_id", "text_key", "n_words")

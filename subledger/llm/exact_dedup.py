@@ -8,13 +8,15 @@
    per candidate, by an aggregate with at most ``HEAVY_MOST`` groups.
 4. The verified winners (at most ``HEAVY_MOST`` rows of about 100 bytes) are
    broadcast; copies of a heavy digest are settled map-side, without a shuffle.
-5. All other digests go through one ordinary shuffle. A digest that the
-   summary misses is only slower, never wrong.
+5. All other digests go through ordinary shuffles: count and winner per digest, by partial
+   sums, then the rows meet the digests that occur more than once. So a digest just
+   below the share, or one that the summary misses, is a row per task in the first and, as
+   a join on one row, split by AQE in the second. It is only slower, never wrong.
 
 Of equal texts the row with the most code points stays, then the smallest
 doc_id (null last), then the smallest hash of its text, then any of the
-repeated rows. A null text counts as empty. An empty table gives an empty
-result. Other columns, whatever their names, are left alone.
+repeated rows. A null text counts as empty. Very long texts are hashed whole, where they
+are read. An empty table gives an empty result. Other columns, whatever their names, are left alone.
 """
 
 from __future__ import annotations
@@ -86,25 +88,24 @@ def report(docs: DataFrame) -> DataFrame:
     )
     winners = stored(verified_winners(thin, "row_no"), "exact-dedup-heavy")
     marked = thin.join(F.broadcast(winners), "digest", "left")
-    heavy = marked.where(F.col("n").isNotNull()).select(
+    heavy = told(marked.where(F.col("n").isNotNull()))
+    light = marked.where(F.col("n").isNull()).drop("n", "win")
+    repeated = light.groupBy("digest").agg(
+        F.count(F.lit(1)).alias("n"), F.min(best("n_chars", "doc_id", "row_no")).alias("win")
+    ).where("n > 1")
+    return heavy.unionByName(told(light.join(repeated, "digest", "left")))
+
+
+def told(rows: DataFrame) -> DataFrame:
+    """The report's columns from rows with the count and winner of their digest (null: alone)."""
+    alone = F.col("n").isNull()
+    return rows.select(
         "doc_id",
-        F.col("win.doc_id").alias("keep_id"),
-        F.col("n").alias("group_size"),
-        (F.col("win.tie") == F.col("row_no")).alias("kept"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("win.doc_id")).alias("keep_id"),
+        F.coalesce("n", F.lit(1).cast("long")).alias("group_size"),
+        (alone | (F.col("win.tie") == F.col("row_no"))).alias("kept"),
         F.col("digest").alias("text_sha256"),
     )
-    group = Window.partitionBy("digest")
-    ranked = group.orderBy(
-        F.col("n_chars").desc(), F.col("doc_id").asc_nulls_last(), F.col("row_no")
-    )
-    light = marked.where(F.col("n").isNull()).select(
-        "doc_id",
-        F.first("doc_id").over(ranked).alias("keep_id"),
-        F.count(F.lit(1)).over(group).alias("group_size"),
-        (F.row_number().over(ranked) == 1).alias("kept"),
-        F.col("digest").alias("text_sha256"),
-    )
-    return heavy.unionByName(light)
 
 
 def distinct_texts(docs: DataFrame) -> DataFrame:

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 import random
+
+import numpy as np
+from pyspark.sql import functions as F
 import re
 
 from subledger.llm import decontaminate as dc
@@ -70,6 +73,28 @@ def test_long_spans_and_rare_hits(spark):
     assert {r["doc_id"] for r in kept.collect()} == {d[0] for d in brute(docs, items) if not d[4]}
 
 
+def test_items_that_share_a_phrase_are_one_context(spark):
+    phrase = " ".join(f"s{i}" for i in range(30))
+    items = [(i, phrase) for i in range(40)] + [(100 + i, f"own{i} {phrase} end{i}") for i in range(10)]
+    docs = [(i, f"a{i} b {phrase} c") for i in range(30)] + [(50, f"own3 {phrase}"), (51, phrase[:60])]
+    assert result(dc.contamination(documents(spark, docs), benchmark(spark, items))) == brute(docs, items)
+
+
+def test_the_bit_map_follows_the_benchmark_and_only_thins_out(spark, monkeypatch):
+    rows = lambda n: spark.range(n).select(F.xxhash64("id").alias("gram"))
+    sizes = {n: dc.bit_map(rows(n)) for n in (0, 10, 50_000)}
+    assert [b for _, b in sizes.values()] == [16, 16, 20]
+    for n, (table, bits) in sizes.items():
+        grams = np.array([r.gram for r in rows(n).collect()], np.int64).view(np.uint64) >> np.uint64(64 - bits)
+        assert all(table[g >> 3] >> (g & 7) & 1 for g in grams.tolist()) and int(np.unpackbits(table).sum()) == len(set(grams.tolist()))
+    items = [(i, " ".join(f"w{(i * 7 + j) % 50}" for j in range(30))) for i in range(20)]
+    docs = [(i, " ".join(f"w{(i * 3 + j) % 60}" for j in range(50))) for i in range(30)]
+    want = brute(docs, items)
+    for bits in (3, 28):  # with eight bits nearly everything passes
+        monkeypatch.setattr(dc, "MAP_BITS", bits)
+        assert result(dc.contamination(documents(spark, docs), benchmark(spark, items))) == want
+
+
 def test_chunks_do_not_matter(monkeypatch, spark):
     items = [(1, "x y z " * 10)]
     docs = [(i, "q " * (i % 7) + "x y z " * 6) for i in range(40)]

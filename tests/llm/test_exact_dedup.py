@@ -52,6 +52,15 @@ def test_empty_table(spark):
     assert exact_dedup.distinct_texts(docs).count() == 0
 
 
+def test_light_copies_have_a_partial_step_and_no_window(spark, monkeypatch):
+    """A digest just below the share: counted by partial sums, then joined."""
+    monkeypatch.setattr(exact_dedup, "HEAVY_SHARE", 2.0)
+    rows = AWKWARD + [(100 + i, "hot  copy" if i % 3 else "hot copy") for i in range(500)]
+    got = exact_dedup.report(documents(spark, rows))
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(rows)
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_main_path_has_no_python(spark):
     plan = exact_dedup.report(documents(spark, AWKWARD).limit(5))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
