@@ -50,9 +50,9 @@ _PLANS = (" Starter", "growth", "pro", "enterprise")
 def bronze_transactions_sql(src: str) -> str:
     return f"""
 SELECT 'TXN-' || {_pad('k', 9)} AS transaction_id,
-  CASE WHEN k % 33 <> 2 THEN 'CUST-' || {_pad('o_custkey', 7)} END AS customer_id,
+  CASE WHEN k % 33 = 2 THEN NULL ELSE 'CUST-' || {_pad('o_custkey', 7)} END AS customer_id,
   {_mixed('d', 'k')} AS transaction_date,
-  CASE WHEN k % 47 = 3 THEN '-' || price WHEN k % 67 = 5 THEN '0.0' WHEN k % 101 <> 7 THEN price END AS amount,
+  CASE WHEN k % 47 = 3 THEN '-' || price WHEN k % 67 = 5 THEN '0.0' WHEN k % 101 = 7 THEN NULL ELSE price END AS amount,
   CASE k % 7 WHEN 3 THEN 'eur' WHEN 4 THEN 'GBP' ELSE ' usd' END AS currency,
   {_pick('k % 4', 'card', 'bank_transfer', 'Wallet', 'crypto')} AS payment_method,
   CASE WHEN k % 97 = 1 THEN NULL WHEN k % 100 < 87 THEN 'success' WHEN k % 100 < 94 THEN 'failed'
@@ -69,10 +69,10 @@ FROM (SELECT o_orderkey AS k, o_custkey, dup, CAST(o_orderdate AS DATE) + dup AS
 
 BRONZE = {
     "b_customers": f"""
-SELECT CASE WHEN k % 211 <> 17 THEN 'CUST-' || {_pad('k', 7)} END AS customer_id,
+SELECT CASE WHEN k % 211 = 17 THEN NULL ELSE 'CUST-' || {_pad('k', 7)} END AS customer_id,
   {_mixed('d', 'k + dup * 3')} AS signup_date,
   c_name AS full_name,
-  CASE WHEN k % 53 <> 7 THEN ' User' || k || '@Company.io ' END AS email,
+  CASE WHEN k % 53 = 7 THEN NULL ELSE ' User' || k || '@Company.io ' END AS email,
   'Nation_' || c_nationkey AS country,
   {_pick('k % 5', '1-10', '11-50', '51-200', '201-500', '500+')} AS company_size,
   lower(c_mktsegment) AS acquisition_channel,
@@ -84,9 +84,9 @@ FROM (SELECT *, c_custkey AS k, {_start('c_custkey')} + 10 * dup AS d
       FROM (SELECT *, unnest(CASE WHEN c_custkey % 97 = 13 THEN [0, 1] ELSE [0] END) AS dup FROM customer))""",
     "b_subscription_rows": f"""
 SELECT k, dup, 'SUB-' || {_pad('k', 7)} || CASE dup WHEN 1 THEN '-2' ELSE '' END AS subscription_id,
-  CASE WHEN k % 109 <> 21 THEN 'CUST-' || {_pad('k', 7)} END AS customer_id,
-  CASE WHEN k % 59 <> 4 THEN {_pick(_PLAN, *_PLANS)} END AS plan,
-  CASE WHEN k % 61 = 8 THEN '0' WHEN k % 83 <> 2 THEN {_pick(_PLAN, '49', '99', '199', '499')} END AS mrr_usd,
+  CASE WHEN k % 109 = 21 THEN NULL ELSE 'CUST-' || {_pad('k', 7)} END AS customer_id,
+  CASE WHEN k % 59 = 4 THEN NULL ELSE {_pick(_PLAN, *_PLANS)} END AS plan,
+  CASE WHEN k % 61 = 8 THEN '0' WHEN k % 83 = 2 THEN NULL ELSE {_pick(_PLAN, '49', '99', '199', '499')} END AS mrr_usd,
   {_mixed('d', 'k')} AS start_date,
   CASE WHEN k % 7 = 3 THEN {_mixed('(d + CAST(30 * (1 + k % 12) AS INTEGER))', 'k + 1')} END AS end_date,
   CASE k % 7 WHEN 3 THEN 'churned' ELSE 'active' END AS status,
@@ -239,8 +239,9 @@ SILVER = {
         "currency": _high("currency"), "country": _high("country"),
         "transaction_date": D("transaction_date"), "transaction_month": _month(D("transaction_date")),
         "amount_usd": _money("amount", 12), "fee_usd": _money("fee_usd", 10),
-        **{f"is_{n}": _flag(f"{_low('status')} = '{s}'")
-           for n, s in (("successful", "success"), ("failed", "failed"), ("refunded", "refunded"))},
+        "is_successful": _flag(f"{_low('status')} = 'success'"),
+        "is_failed": _flag(f"{_low('status')} = 'failed'"),
+        "is_refunded": _flag(f"{_low('status')} = 'refunded'"),
         "is_invalid_amount": f"coalesce({_AMOUNT} <= 0, amount IS NULL)", "is_missing_customer": "customer_id IS NULL",
         "is_future_dated": _flag(f"{D('transaction_date')} > {AS_OF}"),
     }),
@@ -279,7 +280,7 @@ _CUSTOMER_RAW = quarantine(
 QUARANTINE = {
     "quarantine_customers": f"""
 SELECT * EXCLUDE (raw_of),
-  map {{'signup_date': raw_signup_date, 'cac_usd': raw_cac_usd}}[raw_of] AS problematic_raw_value
+  CASE raw_of WHEN 'signup_date' THEN raw_signup_date WHEN 'cac_usd' THEN raw_cac_usd END AS problematic_raw_value
 FROM ({_CUSTOMER_RAW})""",
     "quarantine_subscriptions": quarantine(
         "d_subscriptions", "subscriptions",
@@ -410,8 +411,8 @@ LEFT JOIN g_avg_mrr_per_customer a USING (customer_id) LEFT JOIN g_churn_by_plan
     "g_customer_metrics": """
 SELECT * EXCLUDE (ltv, ratio), round(ltv, 2) AS projected_ltv, round(ratio, 2) AS ltv_cac_ratio,
   CASE WHEN avg_monthly_mrr > 0 THEN round(cac_usd / avg_monthly_mrr, 1) END AS cac_payback_months,
-  coalesce(list_filter([{'name': 'excellent', 'least': 5}, {'name': 'healthy', 'least': 3}, {'name': 'marginal', 'least': 1}],
-                       lambda h: ratio >= h.least)[1].name, 'poor') AS unit_economics_health
+  CASE WHEN ratio >= 5 THEN 'excellent' WHEN ratio >= 3 THEN 'healthy' WHEN ratio >= 1 THEN 'marginal' ELSE 'poor' END
+    AS unit_economics_health
 FROM (SELECT *, ltv / CAST(nullif(cac_usd, 0) AS DOUBLE) AS ratio FROM g_lifetime)""",
     "g_tx_monthly_summary": payments(
         "transaction_month", *[m for m in PAYMENT_METRICS if m not in ("volume", "unique_customers")],
