@@ -14,7 +14,8 @@ written to a file, is a ``.warc.gz``. An archive is closed once it holds
 Of pages with equal payloads of at least ``least`` bytes the one with the
 largest page_id is a response and the others are revisits of it; a null page_id
 is smaller than any other, and if it is the largest, all are responses. Rows
-that repeat the largest page_id are responses too. A null html is the empty
+that repeat the largest page_id are responses too. Very long pages are read and written whole; an
+archive and one page are the largest things a task holds. A null html is the empty
 payload, a null url has no target header, control characters in urls are
 percent-encoded. Streams cut short or with text between records raise a
 ValueError. Extra columns are ignored; an empty table gives an empty result.
@@ -29,12 +30,15 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from subledger.llm.common import ship, stored
 
 ARCHIVE_BYTES = 4 << 20
+#: Most digests that occur more than once (60 bytes a row) to broadcast; beyond it pages are shuffled.
+BROADCAST_ROWS = 100_000
 PIECE = 1 << 18
 #: All records carry one date: a run over the same pages gives the same bytes.
 DATE = "2000-01-01T00:00:00Z"
@@ -131,22 +135,23 @@ def normalise(chunks: Iterable[bytes], level: int = 6) -> Iterator[tuple[bytes,
 
 def typed(pages: DataFrame, least: int = 0) -> DataFrame:
     """page_id, url, payload, sha1 (hex) and refers_to (null for responses)."""
-    full = pages.select(
-        "page_id", "url", F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload")
-    ).withColumn("sha1", F.sha1("payload"))
-    shared = (
-        full.where(F.octet_length("payload") >= least)
-        .groupBy("sha1").agg(F.max("page_id").alias("largest"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1").drop("n")
+    payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
+    # decided on digests alone; the pages themselves stay where they are
+    thin = pages.select("page_id", F.sha1(payload).alias("sha1")).where(F.octet_length(payload) >= least)
+    shared = stored(
+        thin.groupBy("sha1").agg(F.max("page_id").alias("largest"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"),
+        "warc-shared",
     )
+    side = F.broadcast(shared) if shared.count() <= BROADCAST_ROWS else shared
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("largest")), F.col("largest"))
-    return full.join(shared, "sha1", "left").select(
+    full = pages.select("page_id", "url", payload.alias("payload")).withColumn("sha1", F.sha1("payload"))
+    return full.join(side, "sha1", "left").select(
         "page_id", "url", "payload", "sha1", refers.alias("refers_to")
     )
 
 
-def archives(pages: DataFrame, least: int = 0) -> DataFrame:
-    """Monolithic archives of all pages, stored: name, data."""
+def archives(pages: DataFrame, least: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
+    """Monolithic archives of all pages, of ``archive_bytes`` or one record more, stored: name, data."""
     ship(pages.sparkSession)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -164,7 +169,7 @@ def archives(pages: DataFrame, least: int = 0) -> DataFrame:
                 )
                 out.append(engine.compress(data))
                 size += len(data)
-                if size >= ARCHIVE_BYTES:
+                if size >= archive_bytes:
                     yield close()
                     engine, out, size, n = None, [], 0, n + 1
         if engine:
@@ -178,23 +183,25 @@ def archives(pages: DataFrame, least: int = 0) -> DataFrame:
 
 
 INDEX = "array<struct<id:string,offset:long,length:long>>"
+INDEX_TYPE = pa.list_(pa.struct([("id", pa.string()), ("offset", pa.int64()), ("length", pa.int64())]))
 
 
 def normalised(files: DataFrame) -> DataFrame:
     """``files`` (name, data) with a gzip member per record, and the sidecar index; stored."""
     ship(files.sparkSession)
 
-    def rewrite(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, data in zip(batch["name"], batch["data"], strict=True):
-                view, members, index, at = memoryview(data), [], [], 0
+            for name, data in zip(batch.column("name"), batch.column("data"), strict=True):
+                view, members, index, at = memoryview(data.as_buffer()), [], [], 0
                 for member, key in normalise(bytes(view[i : i + PIECE]) for i in range(0, len(view), PIECE)):
                     index.append({"id": key, "offset": at, "length": len(member)})
                     members.append(member)
                     at += len(member)
-                yield pd.DataFrame({"name": [name], "data": [b"".join(members)], "index": [index]})
+                yield pa.RecordBatch.from_pydict(
+                    {"name": [name.as_py()], "data": pa.array([b"".join(members)], pa.binary()), "index": pa.array([index], INDEX_TYPE)})
 
-    return stored(files.mapInPandas(rewrite, f"name string, data binary, index {INDEX}"), "warc-members")
+    return stored(files.mapInArrow(rewrite, f"name string, data binary, index {INDEX}"), "warc-members")
 
 
 def read(files: DataFrame) -> DataFrame:

@@ -76,3 +76,23 @@ def test_normaliser_takes_any_pieces_and_members(step):
 
 def test_empty_table(spark):
     assert warc.round_trip(pages(spark, [])).count() == 0
+
+
+def test_archives_that_fill_up_and_a_page_longer_than_one(spark):
+    rows = ROWS + [(100 + i, f"http://h/{i}", f"<p>{i}</p>" * 5) for i in range(300)]
+    made = warc.archives(pages(spark, rows).coalesce(2), archive_bytes=2000)
+    files = made.collect()
+    assert len(files) > 30 and len({r["name"] for r in files}) == len(files)
+    sizes = sorted(len(gzip.decompress(r["data"])) for r in files)
+    assert sizes[-1] > 1_000_000 and sizes[len(sizes) // 2] < 4000
+    got = warc.read(warc.normalised(made))
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(rows)
+
+
+def test_pages_are_not_shuffled_unless_very_many_digests_repeat(spark, monkeypatch):
+    rows = ROWS + [(100 + i, "u", f"<p>{i % 50}</p>") for i in range(200)]
+    one = warc.typed(pages(spark, rows))
+    assert "Exchange hashpartitioning" not in one._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", 0)
+    two = warc.typed(pages(spark, rows))
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
