@@ -13,7 +13,8 @@ A text that is null or has no letter is ``und`` with score 0; with no labelled
 row at all every text is ``und``, but ``known_language`` still rejects only those
 that are null or have no letter. Equal scores go to the language first in code
 point order. Rows with a null or empty ``lang`` teach nothing. Repeated rows
-count as often as they occur; extra columns are ignored.
+count as often as they occur. Very long texts are read whole; one text is the largest thing a
+task holds. An empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -16,7 +16,9 @@ and small stars, each round written to the shared folder.
 
 A null or empty text (no words) has fingerprint 0 and is linked like any other.
 Null doc_ids never name a component unless all its rows have none. Repeated
-rows share a fingerprint. Extra columns are ignored.
+rows share a fingerprint. Very long texts are hashed whole, some words at a time; one text is the
+largest thing a task holds. An empty table gives no rows. Rows with one fingerprint, a third of
+all perhaps, meet their component by a join on it, which AQE splits. Extra columns are ignored.
 """
 
 from __future__ import annotations

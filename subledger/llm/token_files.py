@@ -17,7 +17,8 @@ block, start_in_part, n_tokens, n_bits, doc_ids, doc_tokens, stream, marks).
 
 Null and empty texts have only the end id. Documents are in ascending doc_id
 order, null first; rows that share a doc_id are in the order of their texts'
-hashes. Extra columns are ignored; an empty table gives empty files.
+hashes. Very long texts are encoded whole; one text, and the block it is in, is the largest thing a
+task holds. Extra columns are ignored; an empty table gives empty files.
 """
 
 from __future__ import annotations

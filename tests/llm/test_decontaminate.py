@@ -1,10 +1,10 @@
 from __future__ import annotations
 
 import random
+import re
 
 import numpy as np
 from pyspark.sql import functions as F
-import re
 
 from subledger.llm import decontaminate as dc
 from tests.llm.data import AWKWARD, documents
