@@ -51,7 +51,11 @@ def mrr_components(revenue: DataFrame) -> dict[str, DataFrame]:
 
 def mart_mrr(revenue: DataFrame) -> DataFrame:
     """C8, in order of month and plan."""
-    hist = materialised(rv.revenue_histogram(revenue), "revenue-histogram")
+    return mart_mrr_of(materialised(rv.revenue_histogram(revenue), "revenue-histogram"))
+
+
+def mart_mrr_of(hist: DataFrame) -> DataFrame:
+    """C8 from a written ``revenue_histogram``."""
     cm = rv.customer_month(hist)
     by_plan = materialised(rv.mrr_by_month_plan(hist), "mrr-by-month-plan")
     growth = rv.month_growth(rv.month_totals(by_plan))

@@ -8,7 +8,7 @@ The state lies in three tables in folders per calendar month:
 * ``mart_mrr``: the rows themselves, of which it reads the last total (growth).
 
 A month is written whole, so appending it again, after a failure or with corrected
-rows, replaces it; with ``append_from`` the later months follow, from their histograms.
+rows, replaces it; with ``append_from`` and ``rewrite`` the later months follow, from their histograms.
 """
 
 from __future__ import annotations
@@ -53,7 +53,7 @@ class MonthlyMrr:
             first = rv.first_revenue_month(rv.customer_month(hist)).select(C, "first_month")
             self.histogram.replace(_with_month(hist))
             self.known.replace(_with_month(first, "first_month"))
-            self.mart.replace(_with_month(marts.mart_mrr(revenue)))
+            self.mart.replace(_with_month(marts.mart_mrr_of(hist)), order=(T, "plan"))
 
     def append(self, revenue: DataFrame) -> dt.date | None:
         """Append (or replace) the one calendar month that ``revenue`` has rows of.
@@ -80,11 +80,24 @@ class MonthlyMrr:
         with work_folder(self.spark):
             hist = materialised(_with_month(rv.revenue_histogram(revenue)), "revenue-histogram")
             (first,) = (r[0] for r in hist.select(_MONTH).distinct().limit(2).collect())
-            later = self.histogram.rows().where(F.col(_MONTH) > first).select(_MONTH).distinct().collect()
-            months = [first, *sorted(r[0] for r in later)]  # one per month of history
-            for month in months:
-                self._write(month, hist if month == first else self._rows(self.histogram, F.col(_MONTH) == month))
-            return months
+            return self._from(first, {first: hist})
+
+    def rewrite(self, revenue: DataFrame, months: list[dt.date]) -> list[dt.date]:
+        """``revenue`` as all rows of ``months`` (some may have none now), then the months after the first."""
+        if not months:
+            return []
+        with work_folder(self.spark):
+            hist = materialised(_with_month(rv.revenue_histogram(revenue)), "revenue-histogram")
+            return self._from(min(months), {m: hist.where(F.col(_MONTH) == F.lit(m)) for m in months})
+
+    def _from(self, first: dt.date, new: dict[dt.date, DataFrame]) -> list[dt.date]:
+        here = self._rows(self.histogram, F.col(_MONTH) > F.lit(first))
+        later = [] if here is None else [r[0] for r in here.select(_MONTH).distinct().collect()]
+        months = sorted({*new, *later})  # one per month of history
+        for month in months:
+            hist = new.get(month)
+            self._write(month, self._rows(self.histogram, F.col(_MONTH) == F.lit(month)) if hist is None else hist)
+        return months
 
     @staticmethod
     def _rows(table: PartitionedTable, where) -> DataFrame | None:
@@ -114,6 +127,6 @@ class MonthlyMrr:
         rows = marts.mrr_rows(by_plan, rv.month_growth(totals).where(in_month), moves,
                               rv.churned_mrr(rv.customer_month(both)).where(in_month))
         rows = materialised(_with_month(rows), "mrr-rows")
-        self.mart.replace(rows, [month])
+        self.mart.replace(rows, [month], (T, "plan"))
         self.known.replace(_with_month(new.select(C, "first_month"), "first_month"), [month])
         self.histogram.replace(hist, [month])  # last: a month that is here is complete

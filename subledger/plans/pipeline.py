@@ -17,9 +17,10 @@ runs once and is written:
 4. the incremental quarantine is a keyed upsert that rewrites the hash buckets
    its batch touches.
 
-``reload_transactions`` takes a corrected load of bronze transactions through
-silver, quarantine and gold without a rebuild: only months with changed rows are
-written (see ``operators.changes``).
+``reload`` takes corrected loads of bronze tables through silver, quarantine and gold
+without a rebuild (see ``operators.changes``): of transactions and revenue only
+months with changed rows are written, and those of the MRR mart after them; customers and
+subscriptions take the rows of changed keys out and in again.
 
 All time-dependent values come from ``RunParams``; re-running with the same
 parameters over the same bronze rewrites identical tables. Everything that
@@ -46,13 +47,14 @@ from subledger.operators.quality import NullCounts, not_null_report, profile, un
 from subledger.operators.upsert import KeyedTable, incremental_gate
 from subledger.params import RunParams
 from subledger.plans import marts, quarantine, silver
+from subledger.plans.monthly import MonthlyMrr
 from subledger.sources.bronze import CORRUPT, TABLES, Bronze
 
 SILVER = ("stg_customers", "stg_subscriptions", "stg_transactions", "stg_monthly_revenue")
 
 #: Tables in folders per month, with the column that says the month.
 BY_MONTH = {"stg_transactions": "transaction_month", "payment_cube": "transaction_month",
-            "mart_transactions": "transaction_month"}
+            "mart_transactions": "transaction_month", "stg_monthly_revenue": "revenue_month_start"}
 _MONTH = "_month"
 
 #: Order of the files of a mart: each is sorted, and none begins before the one in front of it has ended.
@@ -95,9 +97,15 @@ def _write(df: DataFrame, name: str, path: str) -> str:
 
 
 def _read(spark: SparkSession, name: str, path: str) -> DataFrame:
+    if name == "mart_mrr":
+        return _mrr(spark, path).read()
     return by_month(spark, path).read() if name in BY_MONTH else spark.read.parquet(path)
 
 
+def _mrr(spark: SparkSession, path: str) -> MonthlyMrr:
+    return MonthlyMrr(spark, path)
+
+
 def read_table(spark: SparkSession, out_root: str, name: str) -> DataFrame:
     """A published table as its model defines it."""
     out_root = out_root.rstrip("/")
@@ -188,7 +196,8 @@ def build(spark: SparkSession, bronze: Bronze, out_root: str, params: RunParams,
         rows = flagged.read()
 
         # 5. gold, from the written silver tables
-        write("gold", "mart_mrr", marts.mart_mrr(s["stg_monthly_revenue"]))
+        res.tables["mart_mrr"] = f"{out_root}/gold/mart_mrr/{stamp}"
+        _mrr(spark, res.tables["mart_mrr"]).start(s["stg_monthly_revenue"])
         write("gold", "mart_cac_ltv", marts.mart_cac_ltv(s["stg_customers"], s["stg_subscriptions"], s["stg_monthly_revenue"]))
         write("gold", "payment_cube", marts.payment_cube(s["stg_transactions"]))
         cube = by_month(spark, res.tables["payment_cube"]).rows()
@@ -234,6 +243,18 @@ def build_transactions(spark: SparkSession, out_root: str, load: DataFrame, para
         return publish.publish(spark, out_root, tables)
 
 
+def build_revenue(spark: SparkSession, out_root: str, load: DataFrame, params: RunParams) -> int:
+    """Only silver monthly revenue and the MRR mart of ``build``."""
+    out_root = out_root.rstrip("/")
+    stamp = f"{params.run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+    first = keep_first(load, *silver.DEDUP["monthly_revenue"])
+    tables = {"stg_monthly_revenue": _write(
+        silver.clean_monthly_revenue(first, params), "stg_monthly_revenue", f"{out_root}/silver/stg_monthly_revenue/{stamp}"),
+        "mart_mrr": f"{out_root}/gold/mart_mrr/{stamp}"}
+    _mrr(spark, tables["mart_mrr"]).start(_read(spark, "stg_monthly_revenue", tables["stg_monthly_revenue"]))
+    return publish.publish(spark, out_root, tables)
+
+
 def reload_transactions(spark: SparkSession, out_root: str, old: DataFrame, new: DataFrame, params: RunParams) -> list[dt.date]:
     """Take a corrected load of bronze transactions into the published tables.
 
@@ -258,7 +279,7 @@ def reload_transactions(spark: SparkSession, out_root: str, old: DataFrame, new:
         months = sorted(r[0] for r in before.select(month).union(now.select(month)).distinct().collect())
 
         paths = publish.current(spark, out_root)
-        tx, cube, mart = (by_month(spark, paths[n]) for n in BY_MONTH)
+        tx, cube, mart = (by_month(spark, paths[n]) for n in ("stg_transactions", "payment_cube", "mart_transactions"))
         if months:
             kept = rows_of(tx.read(months), keys, key, "left_anti")
             tx.replace(kept.unionByName(now).withColumn(_MONTH, F.col(month)), months)
@@ -270,3 +291,69 @@ def reload_transactions(spark: SparkSession, out_root: str, old: DataFrame, new:
         flagged = flagged_transactions(spark, out_root)
         flagged.upsert(quarantine.quarantine_transactions_from(again, params, _gate(flagged, params)), _tag(params))
     return months
+
+
+def reload_revenue(spark: SparkSession, out_root: str, old: DataFrame, new: DataFrame, params: RunParams) -> list[dt.date]:
+    """The same for a corrected load of monthly revenue: silver and the MRR mart.
+
+    Silver is written in the months of changed rows, the mart there and in the months
+    after the first of them (a first month of a customer, a growth rate or a churn may have moved). Returns the
+    months of the mart. ``reload`` brings the customer mart up to date as well.
+    """
+    out_root = out_root.rstrip("/")
+    key, month = "revenue_id", BY_MONTH["stg_monthly_revenue"]
+    with work_folder(spark):
+        keys = materialised(changed_keys(old, new, key), "changed-keys")
+
+        def cleaned(load: DataFrame) -> DataFrame:
+            first = keep_first(rows_of(load, keys, key), *silver.DEDUP["monthly_revenue"])
+            return silver.clean_monthly_revenue(first, params)
+
+        now = materialised(cleaned(new), "changed-silver")
+        months = sorted(r[0] for r in cleaned(old).select(month).union(now.select(month)).distinct().collect())
+        if not months:
+            return []
+        paths = publish.current(spark, out_root)
+        table = by_month(spark, paths["stg_monthly_revenue"])
+        kept = rows_of(table.read(months), keys, key, "left_anti")
+        table.replace(kept.unionByName(now).withColumn(_MONTH, F.col(month)), months)
+        return _mrr(spark, paths["mart_mrr"]).rewrite(table.read(months), months)
+
+
+def reload(spark: SparkSession, out_root: str, old: Bronze, new: Bronze, params: RunParams) -> dict[str, str]:
+    """Take corrected loads of all four bronze tables into the published ones, without a rebuild.
+
+    Transactions and revenue go by month. Of customers and subscriptions the rows
+    of changed keys are cleaned again and exchanged in silver; their quarantines, as in the
+    models, are rebuilt from the load. The customer mart follows from silver, not from bronze. What is
+    written whole is published together at the end; returns its folders.
+    """
+    out_root = out_root.rstrip("/")
+    reload_transactions(spark, out_root, old.table("transactions"), new.table("transactions"), params)
+    months = reload_revenue(spark, out_root, old.table("monthly_revenue"), new.table("monthly_revenue"), params)
+    stamp = f"{params.run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+    tables: dict[str, str] = {}
+    clean = {"customers": lambda raw: silver.clean_customers(raw),
+             "subscriptions": lambda raw: silver.clean_subscriptions(raw, params)}
+    flag = {"customers": quarantine.quarantine_customers_from, "subscriptions": quarantine.quarantine_subscriptions_from}
+    with work_folder(spark):
+        for name, cleaned in clean.items():
+            key, order = silver.DEDUP[name]
+            keys = materialised(changed_keys(old.table(name), new.table(name), key), "changed-keys")
+            if keys.isEmpty():
+                continue
+            again = keep_first(rows_of(new.table(name), keys, key), key, order)
+            kept = rows_of(read_table(spark, out_root, f"stg_{name}"), keys, key, "left_anti")
+            tables[f"stg_{name}"] = _write(
+                kept.unionByName(cleaned(again)), f"stg_{name}", f"{out_root}/silver/stg_{name}/{stamp}")
+            tables[f"quarantine_{name}"] = _write(
+                flag[name](keep_first(new.table(name), key, order), params), f"quarantine_{name}",
+                f"{out_root}/quarantine/quarantine_{name}/{stamp}")
+        if tables or months:
+            s = {n: _read(spark, n, tables.get(n) or publish.current(spark, out_root)[n])
+                 for n in ("stg_customers", "stg_subscriptions", "stg_monthly_revenue")}
+            tables["mart_cac_ltv"] = _write(
+                marts.mart_cac_ltv(s["stg_customers"], s["stg_subscriptions"], s["stg_monthly_revenue"]),
+                "mart_cac_ltv", f"{out_root}/gold/mart_cac_ltv/{stamp}")
+            publish.publish(spark, out_root, tables)
+    return tables

@@ -104,6 +104,13 @@ def test_a_corrected_month_and_those_after_it(spark, built):
     assert rows(built.read()) == rows(marts.mart_mrr(frame(spark, [r for r in RECS if r[1] != 1] + fixed)))
 
 
+def test_months_that_lose_all_their_rows(spark, built):
+    built.append(frame(spark, part(RECS, 3)))
+    assert built.rewrite(frame(spark, [("c", 2, 1, "y", "2.00")]), [month(1), month(2)]) == [month(i) for i in (1, 2, 3)]
+    left = [r for r in RECS if r[1] not in (1, 2)] + [("c", 2, 1, "y", "2.00")]
+    assert rows(built.read()) == rows(marts.mart_mrr(frame(spark, left)))
+
+
 def test_the_month_before_is_pruned_to(spark, built):
     from pyspark.sql import functions as F
 

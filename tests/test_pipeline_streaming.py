@@ -19,7 +19,7 @@ from subledger.sources.fixtures import fixture_bronze
 from subledger.streaming import start_quarantine_stream
 from subledger.streaming.quarantine_stream import StreamTables, publish_batch
 
-from conftest import SF001, rows
+from conftest import SF001, files, rows
 
 AS_OF = dt.date(2001, 6, 30)
 P1 = RunParams(AS_OF, dt.datetime(2001, 6, 30, 6))
@@ -42,7 +42,7 @@ def test_pipeline_builds_all_layers_and_publishes_them(spark, scratch):
         assert written.columns == want.columns
         assert rows(written) == rows(want), name
     assert publish.current(spark, out) == r2.tables
-    spark.read.parquet(r1.tables["mart_mrr"]).count()  # readers of the first build still have it
+    spark.read.parquet(r1.tables["mart_cac_ltv"]).count()  # readers of the first build still have it
     q2 = pipeline.read_table(spark, out, "quarantine_transactions")
     assert q2.count() == lazy.quarantine_transactions.count()
     assert {r.flagged_at for r in q2.collect()} == {P2.run_ts}
@@ -57,6 +57,34 @@ MODELS = ("stg_customers", "stg_subscriptions", "stg_transactions", "stg_monthly
           "quarantine_customers", "quarantine_subscriptions", "quarantine_transactions")
 
 
+def test_a_reload_of_all_tables_equals_a_build(spark, scratch):
+    """Corrections in every table: an id that comes, goes, is repaired, changes its month or its customer."""
+    old = fixture_bronze(spark, SF001)
+    write_bronze(old, f"{scratch}/b1")
+    up = lambda df, c, when, value: df.withColumn(c, F.when(F.expr(when), F.expr(value)).otherwise(F.col(c)))
+    new = old.replace(
+        customers=up(old.customers.where("row_seq % 37 <> 4"), "cac_usd", "row_seq % 11 = 2", "'77.50'"),
+        subscriptions=up(up(old.subscriptions, "plan", "plan is null", "'pro'"), "status", "row_seq % 29 = 6", "'churned'"),
+        transactions=up(old.transactions, "amount", "transaction_date like '1995-05%'", "'8.88'"),
+        monthly_revenue=up(old.monthly_revenue.where("not (month = '2001-03-01' and row_seq % 7 = 1)"),
+                           "mrr_usd", "month >= '2001-05-01' and mrr_usd = '0'", "'49'"),
+    )
+    write_bronze(new, f"{scratch}/b2")
+    old, new = read_bronze(spark, f"{scratch}/b1"), read_bronze(spark, f"{scratch}/b2")
+    out = f"{scratch}/out"
+    pipeline.build(spark, old, out, P1)
+    before = files(f"{publish.current(spark, out)['stg_monthly_revenue']}")
+    tables = pipeline.reload(spark, out, old, new, P2)
+    assert set(tables) == {"stg_customers", "stg_subscriptions", "quarantine_customers", "quarantine_subscriptions", "mart_cac_ltv"}
+    lazy = Warehouse(new, P2)
+    for name in ("stg_customers", "stg_subscriptions", "stg_transactions", "stg_monthly_revenue", "quarantine_customers",
+                 "quarantine_subscriptions", "mart_mrr", "mart_cac_ltv", "mart_transactions"):
+        assert rows(pipeline.read_table(spark, out, name)) == rows(getattr(lazy, name)), name
+    after = files(f"{publish.current(spark, out)['stg_monthly_revenue']}")
+    assert {k for k in after if after[k] != before.get(k)} == {f"_month=2001-0{m}-01" for m in (3, 5, 6)}
+    assert pipeline.reload(spark, out, new, new, RunParams(AS_OF, dt.datetime(2001, 7, 2, 6))) == {}
+
+
 def test_a_failed_test_keeps_the_old_gold_current(spark, scratch):
     bronze = fixture_bronze(spark, SF001)
     write_bronze(bronze, f"{scratch}/bronze")
