@@ -7,8 +7,8 @@ hence its fingerprint at the same place: with K = 8 and W = 6 no shared span of
 13 words is missed. An item of m < 13 words, but not none, is matched whole by
 the scheme (k = m, w = 1).
 
-A bit map of the benchmark's fingerprints (16 bits each on average, up to 2^MAP_BITS
-bits, 32 MB) is broadcast and only thins out the documents'
+A bit map of the benchmark's fingerprints (2^LEAST_BITS bits, or 64 for each of them, up to
+2^MAP_BITS, 32 MB) is broadcast and only thins out the documents'
 fingerprints; a shuffle join on the fingerprint decides. Every joined pair is
 extended word by word to both sides, so hash collisions never count. Items that have a
 fingerprint with the same words around it in common are joined as one context; their ids come in
@@ -38,7 +38,7 @@ from subledger.llm.hashing import BASE, GRAM, byte_values, grams, mixed, rolled
 
 SPAN = 13
 K, W = 8, 6
-MAP_BITS = 28
+LEAST_BITS, MAP_BITS = 24, 28
 CHUNK = 1 << 18
 
 
@@ -135,7 +135,7 @@ def item_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def bit_map(items: DataFrame) -> tuple[np.ndarray, int]:
     """A bit per fingerprint by its first bits, and how many these are; fetched packed, 4 KB a row."""
-    bits = min(MAP_BITS, max(16, (16 * max(1, items.count())).bit_length()))
+    bits = min(MAP_BITS, max(LEAST_BITS, (64 * items.count()).bit_length()))
     slot = F.shiftrightunsigned("gram", 64 - bits) + 1  # buckets hold 1 to 32,768 and so on
     rows = items.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).toPandas()
