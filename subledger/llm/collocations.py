@@ -49,9 +49,11 @@ from subledger.llm.hashing import BASE, GRAM, byte_values, grams, mixed, rolled
 LONGEST = 5
 LEAST = 100
 TOP = 2000
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 MAP_BITS = 28
 SEGMENT = 512
+#: Most languages whose totals are broadcast; with more they are joined by a shuffle.
+LANGUAGES = 100_000
 SALTS = 64
 
 STOP, BREAK, PLAIN = 0, 1, 2
@@ -350,9 +352,10 @@ def promising(kept: DataFrame, found: DataFrame, totals: DataFrame, top: int) ->
     """
     word = found.where("n = 1")
     first, last = (word.select("lang", F.col("phrase").alias(c), F.col("f").alias(f"f_{c}")) for c in ("head", "rest"))
+    few = (lambda df: F.broadcast(df)) if totals.count() <= LANGUAGES else (lambda df: df)  # one row per language
     bound = kept.withColumns({
         "head": F.substring_index("phrase", " ", 1), "rest": F.substring_index("phrase", " ", -1),
-    }).join(first, ["lang", "head"]).join(last, ["lang", "rest"]).join(F.broadcast(totals), "lang").select(
+    }).join(first, ["lang", "head"]).join(last, ["lang", "rest"]).join(few(totals), "lang").select(
         "lang", "phrase", "a", "size", "n",
         thousandfold(big("a") * big("n"), big("f_head") * big("f_rest")).alias("least"),
         thousandfold(big("n"), F.greatest(big("f_head"), big("f_rest"))).alias("most"),
@@ -360,7 +363,7 @@ def promising(kept: DataFrame, found: DataFrame, totals: DataFrame, top: int) ->
     bound = stored(bound, "collocations-bounds")
     score = bound.select("lang", "phrase", "a", F.col("least").alias("score"))
     floor = ranked(score, top).where(F.col("rank") == top).select("lang", F.col("score").alias("floor"))
-    return bound.join(F.broadcast(floor), "lang", "left").where("floor is null or most >= floor").drop("least", "most", "floor")
+    return bound.join(few(floor), "lang", "left").where("floor is null or most >= floor").drop("least", "most", "floor")
 
 
 def scored(found: DataFrame, totals: DataFrame, top: int) -> DataFrame:

@@ -140,6 +140,12 @@ def test_bounds_leave_the_first_rows(spark, top):
     assert run(spark, table, least=2, top=top) == brute(table, 2, top)
 
 
+def test_very_many_languages(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "LANGUAGES", 2)
+    table = [(t, f"lang{i % 9}") for i, (t, _) in enumerate(random_table(10))]
+    assert run(spark, table, least=2, top=4) == brute(table, 2, 4)
+
+
 def test_chunks_and_first_rows(spark, monkeypatch):
     monkeypatch.setattr(collocations, "CHUNK", 200)
     table = random_table(8)
