@@ -20,13 +20,14 @@ def customer_numbers(customers: DataFrame, known: DataFrame | None = None) -> Da
     """customer_id, customer_no (dense, from 1 on) of all non-null ids in ``customers``.
 
     ``known`` numbers stay; new customers are numbered behind them. Numbers
-    follow the order of the ids, without a global task.
+    follow the order of the ids, without a global task. The known meet the ids in a
+    merge join, as in ``customer_bitmaps``.
     """
     ids = customers.select("customer_id").where("customer_id is not null").distinct()
     if known is None:
         return numbered(ids, [F.col("customer_id")], NUMBER)
     last = known.agg(F.coalesce(F.max(NUMBER), F.lit(0))).first()[0]
-    fresh = numbered(ids.join(known, "customer_id", "left_anti"), [F.col("customer_id")], NUMBER)
+    fresh = numbered(ids.join(known.hint("merge"), "customer_id", "left_anti"), [F.col("customer_id")], NUMBER)
     return known.select("customer_id", NUMBER).unionByName(fresh.withColumn(NUMBER, F.col(NUMBER) + F.lit(last)))
 
 
@@ -34,9 +35,11 @@ def customer_bitmaps(rows: DataFrame, numbers: DataFrame, *keys: str) -> DataFra
     """(keys, stretch, bits): the customers of each key, 32,768 numbers to a row of 4 KB.
 
     Partial bitmaps are built before the shuffle, so a key with very many rows
-    is a row per stretch and task.
+    is a row per stretch and task. Numbers are a row per customer, which files hold in
+    little space and a broadcast does not, so the join is a merge join whatever their size
+    is estimated to be.
     """
-    met = rows.select(*keys, "customer_id").join(numbers, "customer_id")
+    met = rows.select(*keys, "customer_id").join(numbers.hint("merge"), "customer_id")
     return met.groupBy(*keys, F.bitmap_bucket_number(NUMBER).alias("stretch")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(NUMBER)).alias("bits"))
 

@@ -82,3 +82,15 @@ def test_new_customers_are_numbered_behind_the_known(spark):
     assert bits.select("stretch").distinct().count() == 3
     assert rows(distinct_customers(bits, half=F.col("m") > 0)) == [(False, 23_334), (True, 46_666)]
     assert rows(distinct_customers(bits, all=F.lit(1))) == [(1, 70_000)]
+
+
+def test_customers_are_never_broadcast(spark):
+    """Also not when their files are smaller than the threshold: the hash table of a row per customer fills the driver."""
+    df = spark.createDataFrame([(f"c{i % 30}", i % 4) for i in range(200)], "customer_id string, m int")
+    numbers = customer_numbers(df)
+    bitmaps = customer_bitmaps(df, numbers, "m")
+    more = customer_numbers(df.withColumn("customer_id", F.concat(F.lit("d"), "customer_id")), numbers)
+    assert rows(distinct_customers(bitmaps, all=F.lit(1))) == [(1, 30)] and more.count() == 60
+    plan = bitmaps._jdf.queryExecution().executedPlan().toString()
+    met = plan[:plan.index("SortMergeJoin")]  # above the join with the numbers; below it, ranges of the numbers are broadcast
+    assert "BroadcastHashJoin" not in met
