@@ -130,3 +130,27 @@ def test_a_build_from_raw_files_publishes_bronze_and_counts_malformed_lines(spar
     bad = read_table(spark, f"{tmp_path}/out", "dq_malformed").collect()
     assert {r.table_name: r.failures for r in bad} == {
         "customers": 1, "subscriptions": 0, "transactions": 0, "monthly_revenue": 0}
+
+
+def test_customers_of_one_row_group_become_schedules_in_many_tasks(spark, tmp_path):
+    """What a task explodes, sorts and tells apart is bounded, however few row groups the customers come in."""
+    from subledger.sources.fixtures import CUSTOMERS_PER_TASK, fixture_bronze
+
+    n = 3 * CUSTOMERS_PER_TASK + 7
+    customer = spark.range(n).selectExpr(
+        # a third of the keys is null, another third one key
+        "case id % 3 when 0 then null when 1 then 5L else id end c_custkey", "'n' c_name", "1 c_nationkey", "1.0D c_acctbal", "'AUTO' c_mktsegment")
+    customer.coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    whole = spark.read.parquet(f"{tmp_path}/customer.parquet")
+    assert whole.rdd.getNumPartitions() == 1
+    bronze = fixture_bronze(spark, str(tmp_path))
+    for table, build in (("customers", bronze_customers), ("subscriptions", bronze_subscriptions), ("monthly_revenue", bronze_monthly_revenue)):
+        got, want = bronze.table(table), build(whole)
+        per_task = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(per_task) == 4 and max(per_task) < 1.2 * sum(per_task) / 4, per_task
+        every = lambda df: df.select(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)").alias("h")).agg(F.count("h"), F.sum("h")).first()
+        assert every(got) == every(want)
+    scans = bronze.monthly_revenue._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<c_custkey:bigint>" in scans  # only keys are dealt for schedules
+    small = fixture_bronze(spark, "/root/testdata/sf0.001").monthly_revenue
+    assert "Exchange" not in small._jdf.queryExecution().executedPlan().toString()
