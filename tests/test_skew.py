@@ -84,3 +84,16 @@ def test_a_customer_with_very_many_values_is_exact_and_spread(spark):
     plan = rv._churn_rows(cm)._jdf.queryExecution().executedPlan().toString()
     keys = [x for x in plan.split("Exchange hashpartitioning(")[1:]]
     assert keys and all(x.startswith("customer_id") and not re.match(r"customer_id#\d+, \d+\)", x) for x in keys)
+
+
+def test_movement_windows_keep_all_shuffle_partitions(spark):
+    """Adaptive execution would merge them by compressed size, whatever memory their rows take in the windows."""
+    hist = rv.revenue_histogram(_skewed(spark))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert parts > 1
+    assert rv._churn_rows(rv.customer_month(hist)).rdd.getNumPartitions() == parts
+    expansion = rv.expansion_rows(hist)
+    expansion.collect()
+    final = expansion._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    kept = [x for x in final.splitlines() if "REPARTITION_BY_NUM" in x]
+    assert len(kept) == 2 and all(f", {parts})" in x for x in kept) and sum("_hi" in x for x in kept) == 1
