@@ -154,3 +154,24 @@ def test_customers_of_one_row_group_become_schedules_in_many_tasks(spark, tmp_pa
     assert "ReadSchema: struct<c_custkey:bigint>" in scans  # only keys are dealt for schedules
     small = fixture_bronze(spark, "/root/testdata/sf0.001").monthly_revenue
     assert "Exchange" not in small._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("query", [
+    "cac_channel_summary", "customer_revenue_summary", "customers_by_country", "first_revenue_month", "health_by_plan",
+    "kpi_unit_economics", "ltv_by_plan", "mart_cac_ltv", "mart_cac_ltv_order"])
+def test_every_scan_of_customers_is_dealt_before_it_grows(spark, tmp_path, monkeypatch, query):
+    """A query over revenue and unit economics explodes customers in no task that reads them."""
+    from subledger.operators import ordering
+    from subledger.plans import marts, registry
+    from subledger.sources import fixtures
+
+    monkeypatch.setattr(fixtures, "CUSTOMERS_PER_TASK", 100, raising=False)
+    for module in (marts, ordering):
+        monkeypatch.setattr(module, "materialised", lambda df, label: df)  # the whole query in one plan
+    spark.range(350).selectExpr(
+        "id c_custkey", "'n' c_name", "cast(id % 25 as int) c_nationkey", "1.0D c_acctbal", "'AUTO' c_mktsegment",
+    ).coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    plan = registry.queries()[query](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    below = [x for x in plan.splitlines() if "FileScan parquet" in x or "RoundRobinPartitioning(4)" in x]
+    # a plan is written from the top down: a deal, then the scan it deals
+    assert below and ["FileScan" in x for x in below] == [False, True] * (len(below) // 2), below
