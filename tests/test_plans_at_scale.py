@@ -169,3 +169,11 @@ def test_growth_of_months_without_revenue_total(spark):
     df = spark.createDataFrame(recs, "customer_id string, revenue_month date, plan string, mrr_usd decimal(10,2)")
     got = [r.mrr_growth_rate_pct for r in marts.mart_mrr(df).collect()]
     assert [None if g is None else float(g) for g in got] == [None, 0.0, 100.0, 0.0, -100.0, None]
+
+
+def test_customers_are_never_broadcast(silver, monkeypatch):
+    """However small Spark takes tables of customers to be: a broadcast goes whole through the driver."""
+    monkeypatch.setattr(marts, "materialised", lambda df, label: df)  # the whole query in one plan
+    plan = plan_of(marts.customer_metrics(silver("stg_customers"), silver("stg_subscriptions"), silver("stg_monthly_revenue")))
+    assert {"Inner", "LeftAnti"} <= set(re.findall(r"SortMergeJoin \[customer_id.*?\], (\w+)", plan))
+    assert "BroadcastHashJoin [plan" in plan and "BroadcastHashJoin [customer_id" not in plan
