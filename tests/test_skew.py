@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from subledger.operators import revenue as rv
 from subledger.operators.dedup import keep_first
+from subledger.plans import marts
 
 MONTHS = [dt.date(2024, m, 1) for m in (1, 2, 3)]
 PRICES = ["49.00", "99.00", "199.00"]
@@ -97,3 +98,17 @@ def test_movement_windows_keep_all_shuffle_partitions(spark):
     final = expansion._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     kept = [x for x in final.splitlines() if "REPARTITION_BY_NUM" in x]
     assert len(kept) == 2 and all(f", {parts})" in x for x in kept) and sum("_hi" in x for x in kept) == 1
+
+
+def test_the_revenue_summary_keeps_all_shuffle_partitions(spark):
+    """No aggregate by customer lies behind partitions that adaptive execution may merge; a hot customer is exact."""
+    rows = _skewed(spark).coalesce(4).withColumn("revenue_id", F.concat(F.lit("R"), F.monotonically_increasing_id()))
+    out = marts.customer_revenue_summary(rows)
+    exchanges = re.findall(r"Exchange .*", out._jdf.queryExecution().executedPlan().toString())
+    assert len(exchanges) == 2 and all("REPARTITION_BY_NUM" in e for e in exchanges), exchanges
+    prices = [Decimal(r.mrr_usd) for r in rows.where("customer_id = 'HOT'").select("mrr_usd").collect()]
+    hot = out.where("customer_id = 'HOT'").first()
+    assert hot.total_revenue_to_date == sum(prices) and hot.months_with_revenue == len(MONTHS)
+    assert hot.avg_monthly_mrr == round(sum(prices) / len(prices), 2)
+    types = dict(out.dtypes)
+    assert (types["avg_monthly_mrr"], types["total_revenue_to_date"]) == ("decimal(11,2)", "decimal(20,2)")
